@@ -105,6 +105,22 @@ def with_chunks(df: DataFrame, key, order: Sequence[str], width: float | None =
               .withColumn(C, F.coalesce(chunk, F.lit(-(2 ** 63)))))
 
 
+def last_row(columns: Sequence[str]) -> Column:
+    """The chunk's last row (all input columns) as one struct.
+
+    Referencing every column here keeps the summary branch and the row branch
+    reading the same columns, so both hang off one (key, chunk) shuffle that
+    Spark reuses instead of shuffling the input twice.
+    """
+    cols = [c for c in columns if not c.startswith("__")]
+    return F.max_by(F.struct(*[F.col(c) for c in cols]), "__lrn").alias("__lastrow")
+
+
+def keep_last_row(summary: DataFrame) -> DataFrame:
+    """Keep ``__lastrow`` live through column pruning (every chunk has one)."""
+    return summary.where(F.col("__lastrow").isNotNull()).drop("__lastrow")
+
+
 def _local_window(order: Sequence[str]):
     return Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order])
 
@@ -143,13 +159,13 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
 
     # One summary row per chunk (grouping on the window's own partitioning:
     # no exchange), then prefix windows over the summaries of each key.
-    aggs = [F.count(F.lit(1)).alias("__cnt")]
+    aggs = [F.count(F.lit(1)).alias("__cnt"), last_row(df.columns)]
     if value is not None:
         aggs += [F.min_by(value, "__lrn").alias("__first"),
                  F.max_by(value, "__lrn").alias("__last"),
                  F.max_by("__ln", "__lrn").alias("__trail"),
                  F.max("__lisl").alias("__nisl")]
-    s = rows.groupBy(K, C).agg(*aggs)
+    s = keep_last_row(rows.groupBy(K, C).agg(*aggs))
     ws = Window.partitionBy(K).orderBy(C)
     s = s.withColumn("__off", F.coalesce(F.sum("__cnt").over(_before(ws)), F.lit(0)).cast("long"))
     keep = [K, C, "__off"]

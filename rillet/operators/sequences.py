@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.flags import truncating_mean
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan, strip
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, keep_last_row, last_row, scan, strip
 
 
 def _order_struct(order: Sequence[str]):
@@ -37,20 +37,21 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     keys = _as_list(key)
     rows = scan(df, key, order, None, width, rows_per_chunk)
     rows = rows.withColumn("__g", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("long"))
-    ostr = _order_struct(order)
+    # Ordered by the global row number (a long): fixed-width buffers keep
+    # both aggregates hash-based, with no extra sort of the rows.
     part = (rows.groupBy(K, C, "__g")
                 .agg(*[F.first(k).alias(k) for k in keys],
                      F.count(F.lit(1)).alias("__cnt"),
                      F.sum(F.col(value).cast("long")).alias("__sum"),
-                     F.max(ostr).alias("__lo"),
-                     F.max_by(F.col(time_col), ostr).alias("__t")))
+                     F.max("__rn").alias("__hi"),
+                     F.max_by(F.col(time_col), F.col("__rn")).alias("__t")))
     whole = part.where(F.col("__cnt") == size)
     merged = (part.where(F.col("__cnt") < size)
                   .groupBy(K, "__g")
                   .agg(*[F.first(k).alias(k) for k in keys],
                        F.sum("__cnt").alias("__cnt"),
                        F.sum("__sum").alias("__sum"),
-                       F.max_by("__t", "__lo").alias("__t"))
+                       F.max_by("__t", "__hi").alias("__t"))
                   .where(F.col("__cnt") == size))
     cols = keys + [F.col("__t").alias(time_alias), truncating_mean(F.col("__sum"), size).alias(out)]
     return whole.select(*cols).unionByName(merged.select(*cols))
@@ -70,7 +71,7 @@ def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     """
     keys = _as_list(key)
     rows = scan(df, key, order, value, width, rows_per_chunk).where(F.col(value).isNotNull())
-    cm = rows.groupBy(K, C, value).agg(F.max("__n").alias("__cm"))
+    cm = keep_last_row(rows.groupBy(K, C, value).agg(F.max("__n").alias("__cm"), last_row(df.columns)))
     wv = Window.partitionBy(K, value).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
     mb = (cm.withColumn("__mb", F.max("__cm").over(wv))
             .where(F.col("__mb").isNotNull())
