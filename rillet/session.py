@@ -44,9 +44,30 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rillet`` importable in executors' Python workers (once per context).
+
+    The stateful processors and table functions run in Python workers; the
+    package is zipped into the checkpoint folder and shipped with
+    ``addPyFile`` (what ``--py-files`` does at submit time).
+    """
+    sc = spark.sparkContext
+    if sc.getLocalProperty("rillet.shipped") == "1" or getattr(sc, "_rillet_shipped", False):
+        return
+    import shutil
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "rillet-pkg")
+    os.makedirs(base, exist_ok=True)
+    zip_path = shutil.make_archive(os.path.join(base, "rillet"), "zip", os.path.dirname(pkg), "rillet")
+    sc.addPyFile(zip_path)
+    sc._rillet_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
