@@ -109,7 +109,10 @@ def progress_report(query: StreamingQuery) -> dict:
     """Rows in, rows dropped as late by the watermark, and the watermark, from
     the last progress of a query (W6)."""
     p = query.lastProgress or {}
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+    dropped = lambda pr: sum(op.get("numRowsDroppedByWatermark", 0) for op in pr.get("stateOperators", []))
+    recent = query.recentProgress or []
     return {"batch_id": p.get("batchId"), "input_rows": p.get("numInputRows"),
-            "dropped_by_watermark": dropped,
+            "dropped_by_watermark": dropped(p),
+            "dropped_total": sum(dropped(pr) for pr in recent),
+            "input_rows_total": sum(pr.get("numInputRows", 0) for pr in recent),
             "watermark": (p.get("eventTime") or {}).get("watermark")}
