@@ -1,8 +1,12 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query is forced to completion with the ``noop`` sink (the full plan
-runs, nothing is collected to the driver). One warm-up pass, then the median
-of $BENCH_REPEAT timed runs per query. Prints one JSON line.
+Each batch query is forced to completion with the ``noop`` sink (the full
+plan runs, nothing is collected to the driver). One warm-up pass, then the
+median of $BENCH_REPEAT timed runs per query; ``value`` is their sum. The
+streaming forms (``stream_*``: start a query, process the whole table
+folder with availableNow, read back its table) are timed once each and
+reported apart under ``stream_queries`` (set BENCH_STREAMS=0 to skip them).
+Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from rillet.plans.catalog import QUERIES  # noqa: E402
+from rillet.plans.catalog import QUERIES, STREAM_QUERIES  # noqa: E402
 from rillet.session import build_session  # noqa: E402
 
 
@@ -36,9 +40,18 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
+    stream_times: dict[str, float] = {}
+    if os.environ.get("BENCH_STREAMS", "1") != "0":
+        for name, fn in STREAM_QUERIES.items():
+            if only and name not in only:
+                continue
+            t0 = time.perf_counter()
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            stream_times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat}))
+                      "unit": "sec", "queries": times, "stream_queries": stream_times,
+                      "sf": sf, "cpus": cpus, "repeat": repeat}))
     spark.stop()
 
 

@@ -17,7 +17,13 @@ from rillet.functions.udtf import split_words
 from rillet.operators.aggregates import changelog, keyed_sum, running_aggregate, word_count
 from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
+from rillet.session import scratch_path
 from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams
+from rillet.streaming import jobs as SJ
+from rillet.streaming.queries import run_available, stream_flag_runs, stream_latest, stream_table
+from rillet.streaming.sinks import append_sink, read_upserted, upsert_sink
+
+AVAILABLE = {"availableNow": True}
 
 
 def _events(spark, d):
@@ -120,6 +126,87 @@ def q_dash_d6(spark, d):
     return D.record_run_panel(q_record_runs(spark, d))
 
 
+# ------------------------------------------------ streaming forms
+# Each runs its streaming query over the table folder (availableNow) into a
+# table under the checkpoint folder and returns that table.
+
+
+def _stream(spark, d, name):
+    schema = load(spark, d, name).schema
+    return stream_table(spark, d, name, schema)
+
+
+def _run(spark, name, start):
+    out, ckpt = scratch_path(spark, name), scratch_path(spark, f"{name}-ckpt")
+    run_available(start(out, ckpt))
+    return out
+
+
+def q_stream_word_count(spark, d):
+    lines = role_lines(_stream(spark, d, "documents"))
+    out = _run(spark, "stream_word_count", lambda o, c: SJ.start_word_count(lines, o, c, AVAILABLE))
+    return read_upserted(spark, out, ["word"], ["count"]).select("word", "count")
+
+
+def q_stream_team_spend(spark, d):
+    pays = role_payments(_stream(spark, d, "customer"))
+    teams = role_teams(load(spark, d, "nation"))
+    out = _run(spark, "stream_team_spend", lambda o, c: SJ.start_team_spend(pays, teams, o, c, AVAILABLE))
+    return read_upserted(spark, out, ["team"], ["pay_amount"]).select("team", "pay_amount")
+
+
+def q_stream_pair_average(spark, d):
+    bits = role_bits(_stream(spark, d, "events"))
+    out = _run(spark, "stream_pair_average", lambda o, c: SJ.start_pair_average(bits, o, c, "user_id", AVAILABLE))
+    return spark.read.parquet(out).select("user_id", "create_time", "average")
+
+
+def q_stream_record_runs(spark, d):
+    bits = role_bits(_stream(spark, d, "events"))
+    out = _run(spark, "stream_record_runs", lambda o, c: SJ.start_record_runs(bits, o, c, "user_id", AVAILABLE))
+    return spark.read.parquet(out).select("user_id", "create_time", "value", "run_length")
+
+
+def q_stream_signal_qa(spark, d):
+    signal = role_signal(_stream(spark, d, "events"))
+    out, ckpt = scratch_path(spark, "stream_signal_qa"), scratch_path(spark, "stream_signal_qa-ckpt")
+    for q in SJ.start_signal_qa(signal, out, ckpt, trigger=AVAILABLE).values():
+        run_available(q)
+    return out
+
+
+def q_stream_window_summary(spark, d):
+    out = q_stream_signal_qa(spark, d)
+    return spark.read.parquet(f"{out}/summary")
+
+
+def q_stream_flag_runs(spark, d):
+    signal = role_signal(_stream(spark, d, "events"))
+    out = _run(spark, "stream_flag_runs",
+               lambda o, c: append_sink(stream_flag_runs(signal, "user_id", J.SIGNAL_ORDER, "flag", "ts"),
+                                        o, c, AVAILABLE))
+    return spark.read.parquet(out).select("user_id", "n_samples", "end_time")
+
+
+def q_stream_latest_flag(spark, d):
+    signal = role_signal(_stream(spark, d, "events"))
+    out = _run(spark, "stream_latest_flag",
+               lambda o, c: upsert_sink(stream_latest(signal, "user_id", J.SIGNAL_ORDER, "flag"), o, c,
+                                        ["user_id"], J.SIGNAL_ORDER, trigger=AVAILABLE))
+    return read_upserted(spark, out, ["user_id"], J.SIGNAL_ORDER).select("user_id", "flag")
+
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_word_count": q_stream_word_count,
+    "stream_team_spend": q_stream_team_spend,
+    "stream_pair_average": q_stream_pair_average,
+    "stream_record_runs": q_stream_record_runs,
+    "stream_flag_runs": q_stream_flag_runs,
+    "stream_latest_flag": q_stream_latest_flag,
+    "stream_window_summary": q_stream_window_summary,
+}
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": q_word_count,
     "word_count_udtf": q_word_count_udtf,
@@ -310,3 +397,18 @@ SELECT value, date_trunc('second', create_time) AS second, max(run_length) AS ma
 FROM r WHERE value IN (0, 1) GROUP BY value, date_trunc('second', create_time)
 """,
 }
+
+ORACLE_SQL.update({
+    "stream_word_count": _WORDS,
+    "stream_team_spend": _TEAM_SPEND,
+    "stream_pair_average": _pairs("user_id"),
+    "stream_record_runs": _records("user_id"),
+    "stream_flag_runs": _FLAG_RUNS,
+    "stream_latest_flag": _LATEST,
+    # Append mode emits a window once the watermark (latest time - 3 s) has
+    # passed its end; the windows still open at the end are not reported.
+    "stream_window_summary": f"""
+SELECT * FROM ({_SUMMARY})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 3 SECOND
+""",
+})
