@@ -57,11 +57,23 @@ def order_number(df: DataFrame, col: str) -> Column:
     raise TypeError(f"first order column {col!r} must be numeric, date or timestamp, not {dt}")
 
 
+_WIDTHS: dict[tuple, float] = {}
+
+
 def chunk_width(df: DataFrame, order_col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> float:
     """Width of the first order column that holds ~``rows_per_chunk`` rows.
 
-    One small aggregate job (count, min, max of one column).
+    One small aggregate job (count, min, max of one column), remembered per
+    input plan. Any width gives the same results; it only sets how rows are
+    spread over tasks, so a remembered width for grown data costs speed only.
     """
+    memo = (df.semanticHash(), order_col, rows_per_chunk)
+    if memo not in _WIDTHS:
+        _WIDTHS[memo] = _measure_width(df, order_col, rows_per_chunk)
+    return _WIDTHS[memo]
+
+
+def _measure_width(df: DataFrame, order_col: str, rows_per_chunk: int) -> float:
     x = order_number(df, order_col)
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     n, lo, hi = r["n"], r["lo"], r["hi"]
@@ -146,16 +158,22 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
     order = list(order)
     rows = with_chunks(df, key, order, width, rows_per_chunk)
     w = _local_window(order)
-    rows = rows.withColumn("__lrn", F.row_number().over(w))
-    if value is not None:
+    # withColumns: one analysis per step; steps only where a window reads
+    # the output of another window.
+    if value is None:
+        rows = rows.withColumn("__lrn", F.row_number().over(w))
+    else:
         v = F.col(value)
-        start = (F.col("__lrn") == 1) | ~F.lag(v).over(w).eqNullSafe(v)
-        rows = (rows.withColumn("__st", start)
-                    .withColumn("__lisl", F.sum(F.col("__st").cast("int")).over(_running(w)))
-                    .withColumn("__ln", F.col("__lrn") - F.max(F.when(F.col("__st"), F.col("__lrn"))).over(_running(w)) + 1)
-                    .withColumn("__plv", F.lag(v).over(w))
-                    .withColumn("__pln", F.lag("__ln").over(w))
-                    .withColumn("__plisl", F.lag("__lisl").over(w)))
+        rows = rows.withColumns({
+            "__lrn": F.row_number().over(w),
+            "__st": (F.row_number().over(w) == 1) | ~F.lag(v).over(w).eqNullSafe(v),
+            "__plv": F.lag(v).over(w),
+        })
+        rows = rows.withColumns({
+            "__lisl": F.sum(F.col("__st").cast("int")).over(_running(w)),
+            "__ln": F.col("__lrn") - F.max(F.when(F.col("__st"), F.col("__lrn"))).over(_running(w)) + 1,
+        })
+        rows = rows.withColumns({"__pln": F.lag("__ln").over(w), "__plisl": F.lag("__lisl").over(w)})
 
     # One summary row per chunk (grouping on the window's own partitioning:
     # no exchange), then prefix windows over the summaries of each key.
@@ -167,30 +185,36 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
                  F.max("__lisl").alias("__nisl")]
     s = keep_last_row(rows.groupBy(K, C).agg(*aggs))
     ws = Window.partitionBy(K).orderBy(C)
-    s = s.withColumn("__off", F.coalesce(F.sum("__cnt").over(_before(ws)), F.lit(0)).cast("long"))
+    off = F.coalesce(F.sum("__cnt").over(_before(ws)), F.lit(0)).cast("long")
     keep = [K, C, "__off"]
-    if value is not None:
-        pl = F.lag("__last").over(ws)
-        has_prev = F.lag("__cnt").over(ws).isNotNull()
-        s = (s.withColumn("__cv", pl)
-              .withColumn("__cont", has_prev & (F.col("__nisl") == 1) & F.col("__first").eqNullSafe(F.col("__cv")))
-              .withColumn("__tin", F.sum("__trail").over(_running(ws)))
-              .withColumn("__base", F.max(F.when(~F.col("__cont"), F.col("__tin") - F.col("__trail"))).over(_running(ws)))
-              .withColumn("__cum", F.col("__tin") - F.col("__base"))
-              .withColumn("__cl", F.lag("__cum").over(ws)))
+    if value is None:
+        s = s.withColumn("__off", off)
+    else:
+        # A chunk that is one run continuing the previous chunk's last value
+        # extends that run; any other chunk starts a new segment. The run open
+        # at a chunk's start (carry-in) is the sum of trailing run lengths
+        # since the start of the previous chunk's segment.
+        cont = (F.lag("__cnt").over(ws).isNotNull() & (F.col("__nisl") == 1)
+                & F.col("__first").eqNullSafe(F.lag("__last").over(ws)))
+        s = s.withColumns({"__off": off, "__cv": F.lag("__last").over(ws), "__cont": cont,
+                           "__tin": F.sum("__trail").over(_running(ws))})
+        s = s.withColumn("__base", F.max(F.when(~F.col("__cont"), F.col("__tin") - F.col("__trail")))
+                         .over(_running(ws)))
+        s = s.withColumn("__cl", F.lag(F.col("__tin") - F.col("__base")).over(ws))
         keep += ["__cv", "__cl"]
     rows = rows.join(s.select(*keep), [K, C], "inner")
-    rows = rows.withColumn("__rn", F.col("__off") + F.col("__lrn"))
+    cols = {"__rn": F.col("__off") + F.col("__lrn")}
     if value is not None:
         carry_ok = F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col(value))
         carry = F.when((F.col("__lisl") == 1) & carry_ok, F.col("__cl")).otherwise(F.lit(0))
         prev_carry_ok = F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col("__plv"))
         prev_carry = F.when((F.col("__plisl") == 1) & prev_carry_ok, F.col("__cl")).otherwise(F.lit(0))
-        rows = (rows.withColumn("__n", F.col("__ln") + carry)
-                    .withColumn("__pv", F.when(F.col("__lrn") == 1, F.col("__cv")).otherwise(F.col("__plv")))
-                    .withColumn("__pn", F.when(F.col("__lrn") == 1, F.col("__cl"))
-                                .otherwise(F.col("__pln") + prev_carry)))
-    return rows
+        cols.update({
+            "__n": F.col("__ln") + carry,
+            "__pv": F.when(F.col("__lrn") == 1, F.col("__cv")).otherwise(F.col("__plv")),
+            "__pn": F.when(F.col("__lrn") == 1, F.col("__cl")).otherwise(F.col("__pln") + prev_carry),
+        })
+    return rows.withColumns(cols)
 
 
 def strip(df: DataFrame) -> DataFrame:

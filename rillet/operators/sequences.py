@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.flags import truncating_mean
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, keep_last_row, last_row, scan, strip
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan, strip
 
 
 def _order_struct(order: Sequence[str]):
@@ -64,27 +64,23 @@ def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     longer than every earlier run of that value in the key (one value alone is
     not a run, so lengths start at 2).
 
-    A row at run position ``n`` is emitted when ``n >= 2`` and ``n`` exceeds
-    the longest earlier run of its value: the maximum over earlier chunks
-    (a prefix max over per-chunk maxima, small) and over earlier rows of
-    its own chunk (a window on the chunk partitioning, no exchange).
+    A row at run position ``n`` is a record when ``n >= 2`` and ``n`` exceeds
+    every earlier position of its value in the key. Inside its chunk that is
+    a running max (a window on the chunk partitioning, no exchange); the rows
+    that pass it are few, and the longest run of their value in earlier
+    chunks is the largest such candidate there, found by a range window over
+    the candidates alone.
     """
     keys = _as_list(key)
     rows = scan(df, key, order, value, width, rows_per_chunk).where(F.col(value).isNotNull())
-    cm = keep_last_row(rows.groupBy(K, C, value).agg(F.max("__n").alias("__cm"), last_row(df.columns)))
-    wv = Window.partitionBy(K, value).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
-    mb = (cm.withColumn("__mb", F.max("__cm").over(wv))
-            .where(F.col("__mb").isNotNull())
-            .groupBy(K, C)
-            .agg(F.map_from_entries(F.collect_list(F.struct(F.col(value), F.col("__mb")))).alias("__mbm")))
-    rows = rows.join(mb, [K, C], "left")
-    wc = Window.partitionBy(K, C, value).orderBy(*[F.col(o) for o in order]) \
+    in_chunk = Window.partitionBy(K, C, value).orderBy(*[F.col(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    best = F.greatest(F.coalesce(F.element_at(F.col("__mbm"), F.col(value)), F.lit(1)),
-                      F.coalesce(F.max("__n").over(wc), F.lit(1)))
-    rows = rows.withColumn("__best", best)
-    out = rows.where((F.col("__n") >= 2) & (F.col("__n") > F.col("__best")))
-    return out.select(*keys, F.col(time_col).alias(time_alias), F.col(value).alias("value"),
+    cand = rows.withColumn("__pm", F.max("__n").over(in_chunk)) \
+        .where((F.col("__n") >= 2) & (F.col("__n") > F.coalesce(F.col("__pm"), F.lit(1))))
+    earlier = Window.partitionBy(K, value).orderBy(C).rangeBetween(Window.unboundedPreceding, -1)
+    rec = cand.withColumn("__mb", F.max("__n").over(earlier)) \
+        .where(F.col("__n") > F.coalesce(F.col("__mb"), F.lit(1)))
+    return rec.select(*keys, F.col(time_col).alias(time_alias), F.col(value).alias("value"),
                       F.col("__n").cast("int").alias("run_length"))
 
 

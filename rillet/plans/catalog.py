@@ -18,7 +18,7 @@ from rillet.operators.aggregates import changelog, keyed_sum, running_aggregate,
 from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
 from rillet.session import scratch_path
-from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams
+from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams, spread
 from rillet.streaming import jobs as SJ
 from rillet.streaming.queries import run_available, stream_flag_runs, stream_latest, stream_table
 from rillet.streaming.sinks import append_sink, read_upserted, upsert_sink
@@ -39,11 +39,11 @@ def _bits(spark, d):
 
 
 def q_word_count(spark, d):
-    return J.word_count_job(role_lines(load(spark, d, "documents")))
+    return J.word_count_job(role_lines(spread(load(spark, d, "documents"))))
 
 
 def q_word_count_udtf(spark, d):
-    return split_words(role_lines(load(spark, d, "documents"))) \
+    return split_words(role_lines(spread(load(spark, d, "documents")))) \
         .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 

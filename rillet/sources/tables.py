@@ -18,6 +18,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer partitions than cores.
+
+    A large table is many files and row groups, so its scan is already
+    parallel and this is a no-op; a table stored as one row group is read by
+    one task, which matters before CPU-heavy per-row work (tokenising). The
+    check reads only the planned partition count; no job runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def role_signal(events: DataFrame) -> DataFrame:
     """events -> (event_id, ts, user_id, value, flag): the QA job's flagged signal.
 
