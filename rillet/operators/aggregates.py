@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.text import WHITESPACE_JAVA
 from rillet.functions.time import to_ntz
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, keep_last_row, last_row, with_chunks
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, with_chunks
 
 # Exact money: sums of two-decimal amounts are taken as decimals, so the
 # result does not depend on the order rows are added in.
@@ -53,19 +53,21 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
     rows per key), so a hot key is never one task.
     """
     order = list(order)
-    rows = with_chunks(df, key, order, width, rows_per_chunk)
-    wo = Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order])
-    w = wo.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunked = with_chunks(df, key, order, width, rows_per_chunk)
+    w = Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order]) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ws = Window.partitionBy(K).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__lrn", F.row_number().over(wo))
-    tots, pres = [last_row(df.columns)], []
+    locs, tots, pres = {}, [], []
     for i, (name, (fn, value)) in enumerate(folds.items()):
         val = F.lit(1) if value is None else F.col(value)
-        rows = rows.withColumn(f"__loc{i}", _FOLDS[fn](val).over(w))
+        locs[f"__loc{i}"] = _FOLDS[fn](val).over(w)
         tots.append(_FOLDS[fn](val).alias(f"__tot{i}"))
         outer = F.sum if fn in ("sum", "count") else _FOLDS[fn]
         pres.append(outer(f"__tot{i}").over(ws).alias(f"__pre{i}"))
-    tot = keep_last_row(rows.groupBy(K, C).agg(*tots)).select(K, C, *pres)
+    rows = chunked.withColumns(locs)
+    # Chunk totals need no order: a partial/final hash aggregate straight off
+    # the input shuffles one row per chunk and task, not the rows.
+    tot = chunked.groupBy(K, C).agg(*tots).select(K, C, *pres)
     rows = rows.join(tot, [K, C], "inner")
     for i, (name, (fn, _)) in enumerate(folds.items()):
         pre, loc = F.col(f"__pre{i}"), F.col(f"__loc{i}")
@@ -76,7 +78,7 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
         else:
             res = F.coalesce(F.least(pre, loc), loc)
         rows = rows.withColumn(name, res)
-    internal = [K, C, "__lrn"] + [f"__{p}{i}" for i in range(len(folds)) for p in ("loc", "pre")]
+    internal = [K, C] + [f"__{p}{i}" for i in range(len(folds)) for p in ("loc", "pre")]
     return rows.drop(*internal)
 
 

@@ -156,7 +156,8 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
     every ``__`` column.
     """
     order = list(order)
-    rows = with_chunks(df, key, order, width, rows_per_chunk)
+    chunked = with_chunks(df, key, order, width, rows_per_chunk)
+    rows = chunked
     w = _local_window(order)
     # withColumns: one analysis per step; steps only where a window reads
     # the output of another window.
@@ -175,15 +176,21 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
         })
         rows = rows.withColumns({"__pln": F.lag("__ln").over(w), "__plisl": F.lag("__lisl").over(w)})
 
-    # One summary row per chunk (grouping on the window's own partitioning:
-    # no exchange), then prefix windows over the summaries of each key.
-    aggs = [F.count(F.lit(1)).alias("__cnt"), last_row(df.columns)]
-    if value is not None:
-        aggs += [F.min_by(value, "__lrn").alias("__first"),
-                 F.max_by(value, "__lrn").alias("__last"),
-                 F.max_by("__ln", "__lrn").alias("__trail"),
-                 F.max("__lisl").alias("__nisl")]
-    s = keep_last_row(rows.groupBy(K, C).agg(*aggs))
+    # One summary row per chunk, then prefix windows over the summaries of
+    # each key (a few rows per key).
+    if value is None:
+        # Counts need no order: a partial/final hash aggregate straight off
+        # the input shuffles one row per chunk and task, not the rows.
+        s = chunked.groupBy(K, C).agg(F.count(F.lit(1)).alias("__cnt"))
+    else:
+        # Run lengths need the ordered rows: group on the window's own
+        # partitioning (no exchange; the row shuffle is reused).
+        s = keep_last_row(rows.groupBy(K, C).agg(
+            F.count(F.lit(1)).alias("__cnt"), last_row(df.columns),
+            F.min_by(value, "__lrn").alias("__first"),
+            F.max_by(value, "__lrn").alias("__last"),
+            F.max_by("__ln", "__lrn").alias("__trail"),
+            F.max("__lisl").alias("__nisl")))
     ws = Window.partitionBy(K).orderBy(C)
     off = F.coalesce(F.sum("__cnt").over(_before(ws)), F.lit(0)).cast("long")
     keep = [K, C, "__off"]

@@ -47,6 +47,11 @@ def q_word_count_udtf(spark, d):
         .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
+def q_word_count_changelog(spark, d):
+    docs = spread(load(spark, d, "documents")).select("doc_id", F.col("text").alias("line"))
+    return J.word_count_changelog(docs)
+
+
 def q_team_spend(spark, d):
     return J.team_spend(role_payments(load(spark, d, "customer")), role_teams(load(spark, d, "nation")))
 
@@ -210,6 +215,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": q_word_count,
     "word_count_udtf": q_word_count_udtf,
+    "word_count_changelog": q_word_count_changelog,
     "team_spend": q_team_spend,
     "keyed_sum": q_keyed_sum,
     "running_count": q_running_count,
@@ -243,6 +249,19 @@ WHERE word <> ''
 GROUP BY word
 """
 
+_WORD_CHANGES = f"""
+WITH t AS (SELECT doc_id, unnest(a) AS word, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos
+           FROM (SELECT doc_id, regexp_split_to_array(text, '{WHITESPACE_RE2}') AS a FROM documents)),
+r AS (SELECT word, doc_id, pos,
+             count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS c
+      FROM t WHERE word <> '')
+SELECT word, '+I' AS op, c AS count, doc_id, pos, 1 AS change_seq FROM r WHERE c = 1
+UNION ALL
+SELECT word, '-U' AS op, c - 1 AS count, doc_id, pos, 0 AS change_seq FROM r WHERE c > 1
+UNION ALL
+SELECT word, '+U' AS op, c AS count, doc_id, pos, 1 AS change_seq FROM r WHERE c > 1
+"""
+
 _TEAM_SPEND = """
 SELECT n.n_name AS team, CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS pay_amount
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -334,6 +353,7 @@ def _top_keys(cte: str) -> str:
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORDS,
     "word_count_udtf": _WORDS,
+    "word_count_changelog": _WORD_CHANGES,
     "team_spend": _TEAM_SPEND,
     "keyed_sum": "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total "
                  "FROM events GROUP BY user_id",

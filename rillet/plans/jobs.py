@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.aggregates import MONEY, keyed_sum, window_summary, word_count
+from rillet.functions.text import WHITESPACE_JAVA
+from rillet.operators.aggregates import MONEY, changelog, keyed_sum, window_summary, word_count
 from rillet.operators.lookup import lookup
 from rillet.operators.sequences import flag_runs, latest_by_key, pair_average, record_runs
 
@@ -22,6 +23,19 @@ def word_count_job(lines: DataFrame) -> DataFrame:
     return word_count(lines, "line")
 
 
+def word_count_changelog(docs: DataFrame, doc_id: str = "doc_id", line: str = "line") -> DataFrame:
+    """J1 with the change-record sink (K2): every word occurrence, in
+    (document, position) order, changes its word's count; the first
+    occurrence inserts it (``+I``), each later one retracts the old count
+    (``-U``) and adds the new one (``+U``). Columns: word, op, count, doc_id,
+    pos, change_seq. Computed chunk-parallel, so a very frequent word is not
+    one task.
+    """
+    tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
+    tokens = tokens.where(F.col("word") != F.lit(""))
+    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count")
+
+
 def team_spend(payments: DataFrame, teams: DataFrame) -> DataFrame:
     """Team id -> team name, total spend per team.
 
