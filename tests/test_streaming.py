@@ -181,3 +181,28 @@ def test_changelog_records(spark):
                     {"data": [{"word": "b", "count": 1}], "type": "INSERT"},
                     {"data": [{"word": "a", "count": 1}], "type": "DELETE"},
                     {"data": [{"word": "a", "count": 2}], "type": "INSERT"}]
+
+
+def test_json_messages_with_quarantine(spark, tmp_path):
+    """Signal messages as JSON lines: bad ones go to a quarantine sink, the
+    good ones through the window summary; the query keeps running."""
+    from rillet.schemas import SIGNAL
+    from rillet.sources import read_json_stream, split_quarantine, with_event_time
+
+    folder = tmp_path / "msgs"
+    folder.mkdir()
+    good = [{"createTime": f"2024-01-01 15:00:{s:02d}", "baselineId": 3, "signalValue": v}
+            for s, v in [(0, 1.0), (14, 3.0), (15, 5.0), (40, 2.0)]]
+    lines = [json.dumps(m) for m in good] + ['{"createTime":"junk","baselineId":"x"}', '{"createTime":']
+    (folder / "m-000.json").write_text("\n".join(lines) + "\n")
+    msgs = with_event_time(read_json_stream(spark, SIGNAL, transport="text", path=str(folder)), "createTime")
+    ok, bad = split_quarantine(msgs, required=("ts", "baselineId"))
+    signal = ok.select(F.col("baselineId").alias("user_id"), F.col("ts"),
+                       F.col("signalValue").alias("value"), F.lit(0).alias("flag"))
+    out, qdir = str(tmp_path / "out"), str(tmp_path / "quarantine")
+    run_available(append_sink(stream_window_summary(signal, "user_id", "ts", "value", "flag"), out,
+                              str(tmp_path / "c1"), trigger={"availableNow": True}))
+    run_available(append_sink(bad, qdir, str(tmp_path / "c2"), trigger={"availableNow": True}))
+    got = sorted((r.window_start.second, r.n_elements) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 2), (15, 1)]  # the window at 15:00:30 is still open
+    assert spark.read.parquet(qdir).count() == 2
