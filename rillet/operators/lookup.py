@@ -25,9 +25,12 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
     broadcast only after a bounded count shows it is small.
     """
     dim_key = dim_key or key
+    # Checked on the raw dimension: the count stops after max+1 rows, and the
+    # deduplicated table is never larger.
+    small = bounded_rows(dim, max_broadcast_rows)
     d = dim.dropDuplicates([dim_key])
     if dim_key != key:
         d = d.withColumnRenamed(dim_key, key)
-    if bounded_rows(d, max_broadcast_rows):
+    if small:
         d = F.broadcast(d)
     return df.join(d, key, "left")
