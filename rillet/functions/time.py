@@ -17,6 +17,12 @@ def second_bucket(ts: Column | str) -> Column:
     return to_ntz(F.date_trunc("second", c))
 
 
+def epoch_millis(text: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Milliseconds since the epoch of a text time (F8); unparsable text -> NULL."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.unix_millis(F.try_to_timestamp(c, F.lit(fmt)))
+
+
 def last_interval(df: DataFrame, ts: str, as_of, minutes: int = 15) -> DataFrame:
     """Rows with ``as_of - minutes < ts <= as_of`` (a dashboard time range, P9).
 

@@ -32,6 +32,29 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     return _start(w, trigger)
 
 
+def as_text_lines(df: DataFrame) -> DataFrame:
+    """Each row as one text line ``(v1,v2,...)`` (a row's plain string form)."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns]
+    return df.select(F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")")).alias("value"))
+
+
+def write_text_rows(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Row file sink (K3): one record per line. ``single_file`` gathers the
+    (already small, e.g. aggregated) result into one part file, as the
+    reference's parallelism-1 sink did; leave it off for large outputs."""
+    out = as_text_lines(df)
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode(mode).text(path)
+
+
+def text_rows_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Streaming form of :func:`write_text_rows` (append mode)."""
+    w = as_text_lines(df).writeStream.outputMode("append").format("text").option("path", path) \
+        .option("checkpointLocation", checkpoint)
+    return _start(w, trigger)
+
+
 def console_sink(df: DataFrame, checkpoint: str, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
     """Print each micro-batch (K1)."""
     w = df.writeStream.outputMode(mode).format("console").option("truncate", "false") \

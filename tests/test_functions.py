@@ -38,3 +38,20 @@ def test_top_keys_and_metrics(spark):
     assert sorted(r.k for r in restrict_to_top_keys(df, "k", 5).collect()) == [5, 6, 7, 8, 9]
     top = top_by_metric(df, "k", {"m": F.max("v")}, "m", 3).collect()
     assert [r.k for r in top] == [2, 5, 8]
+
+
+def test_epoch_millis(spark):
+    from rillet.functions import epoch_millis
+
+    df = spark.createDataFrame([("1970-01-01 00:00:01",), ("junk",)], "t string")
+    assert [r.ms for r in df.select(epoch_millis("t").alias("ms")).collect()] == [1000, None]
+
+
+def test_text_rows_sink(spark, tmp_path):
+    from rillet.streaming import write_text_rows
+
+    df = spark.createDataFrame([("be,", 2), ("to", None)], "word string, count long")
+    write_text_rows(df, str(tmp_path / "out"), single_file=True)
+    files = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 1
+    assert sorted(files[0].read_text().splitlines()) == ["(be,,2)", "(to,null)"]
