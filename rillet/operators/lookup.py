@@ -21,14 +21,17 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
     """Left join ``df`` to ``dim`` on an id: unknown, negative or NULL ids get
     NULL attributes and never fail the job.
 
-    The dimension is deduplicated on its key (one attribute row per id) and
-    broadcast only after a bounded count shows it is small.
+    The dimension is reduced to one attribute row per id and broadcast only
+    after a bounded count shows it is small.
     """
     dim_key = dim_key or key
     # Checked on the raw dimension: the count stops after max+1 rows, and the
     # deduplicated table is never larger.
     small = bounded_rows(dim, max_broadcast_rows)
-    d = dim.dropDuplicates([dim_key])
+    # One attribute row per id, chosen deterministically (the smallest), so
+    # a recomputed task picks the same row.
+    others = [c for c in dim.columns if c != dim_key]
+    d = dim.groupBy(dim_key).agg(F.min(F.struct(*others)).alias("_a")).select(dim_key, "_a.*")
     if dim_key != key:
         d = d.withColumnRenamed(dim_key, key)
     if small:

@@ -146,16 +146,21 @@ def _before(w):
 
 
 def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
-         width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+         width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+         keep: Sequence[str] = ()) -> DataFrame:
     """Rows of ``df`` with global sequence columns, computed chunk-parallel.
 
     Adds ``__rn`` (1-based position within the key). With ``value`` also
     ``__n`` (position within the run of equal values the row belongs to),
     ``__pv``/``__pn`` (value and run position of the previous row of the
     key, NULL for the key's first row). Keeps ``__k``/``__c``; callers drop
-    every ``__`` column.
+    every ``__`` column. Only the key, order, value and ``keep`` columns
+    pass through (the caller must use them all, so that the summary and the
+    rows read the same columns and share one shuffle).
     """
     order = list(order)
+    cols = list(dict.fromkeys(_as_list(key) + order + ([value] if value else []) + list(keep)))
+    df = df.select(*cols)
     chunked = with_chunks(df, key, order, width, rows_per_chunk)
     rows = chunked
     w = _local_window(order)
