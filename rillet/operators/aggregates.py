@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.text import WHITESPACE_JAVA
 from rillet.functions.time import to_ntz
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, with_chunks
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, chunking
 
 # Exact money: sums of two-decimal amounts are taken as decimals, so the
 # result does not depend on the order rows are added in.
@@ -53,7 +53,7 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
     rows per key), so a hot key is never one task.
     """
     order = list(order)
-    chunked = with_chunks(df, key, order, width, rows_per_chunk)
+    chunked, multi = chunking(df, key, order, width, rows_per_chunk)
     w = Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ws = Window.partitionBy(K).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
@@ -65,13 +65,13 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
         outer = F.sum if fn in ("sum", "count") else _FOLDS[fn]
         pres.append(outer(f"__tot{i}").over(ws).alias(f"__pre{i}"))
     rows = chunked.withColumns(locs)
-    # Chunk totals need no order: a partial/final hash aggregate straight off
-    # the input shuffles one row per chunk and task, not the rows.
-    tot = chunked.groupBy(K, C).agg(*tots).select(K, C, *pres)
-    rows = rows.join(tot, [K, C], "inner")
+    if multi:
+        rows = _with_prefix(rows, chunked, tots, pres)
     for i, (name, (fn, _)) in enumerate(folds.items()):
         pre, loc = F.col(f"__pre{i}"), F.col(f"__loc{i}")
-        if fn in ("sum", "count"):
+        if not multi:  # every key is one chunk: nothing comes before it
+            res = loc
+        elif fn in ("sum", "count"):
             res = F.coalesce(pre, F.lit(0)) + loc
         elif fn == "max":
             res = F.coalesce(F.greatest(pre, loc), loc)
@@ -79,7 +79,18 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
             res = F.coalesce(F.least(pre, loc), loc)
         rows = rows.withColumn(name, res)
     internal = [K, C] + [f"__{p}{i}" for i in range(len(folds)) for p in ("loc", "pre")]
-    return rows.drop(*internal)
+    return rows.drop(*[c for c in internal if c in rows.columns])
+
+
+def _with_prefix(rows: DataFrame, chunked: DataFrame, tots, pres) -> DataFrame:
+    """Join each chunk the fold of all earlier chunks of its key.
+
+    Chunk totals need no order: a partial/final hash aggregate straight off
+    the input shuffles one row per chunk and task, not the rows."""
+    has_prev = F.lag(C).over(Window.partitionBy(K).orderBy(C)).isNotNull()
+    tot = chunked.groupBy(K, C).agg(*tots).select(K, C, *pres, has_prev.alias("__has"))
+    # Only chunks after a key's first carry a prefix (see scan.scan).
+    return rows.join(tot.where(F.col("__has")).drop("__has"), [K, C], "left")
 
 
 def running_aggregate(df: DataFrame, key, order: Sequence[str], value: str | None, fn: str = "sum",

@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 K = "__k"
 C = "__c"
-DEFAULT_ROWS_PER_CHUNK = 2_000_000
+DEFAULT_ROWS_PER_CHUNK = 1_000_000
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -106,15 +107,62 @@ def _key_surrogate(df: DataFrame, keys: list[str]) -> Column:
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
-def with_chunks(df: DataFrame, key, order: Sequence[str], width: float | None = None,
-                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
-    """Add the (key, chunk) columns ``__k``, ``__c``."""
+# Hot keys (more than rows_per_chunk rows) are broadcast with their own chunk
+# origin and width. There are at most rows/rows_per_chunk of them; above this
+# many the single global width is used instead.
+MAX_HOT_KEYS = 200_000
+_HOT_COUNTS: dict[tuple, int] = {}
+_MIN_CHUNK = -(2 ** 63)
+
+
+def hot_keys(keyed: DataFrame, rows_per_chunk: int) -> DataFrame:
+    """``(__k, __lo, __w)`` for every key with more than ``rows_per_chunk`` rows:
+    where its chunks start and how wide they are, from the key's own span.
+    ``keyed`` has the key surrogate ``__k`` and the order number ``__x``; a
+    partial/final aggregate of two columns."""
+    st = keyed.groupBy(K).agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"),
+                              F.max("__x").alias("__hi"))
+    width = F.greatest((F.col("__hi") - F.col("__lo")) * F.lit(float(rows_per_chunk)) / F.col("__n"), F.lit(1.0))
+    return st.where(F.col("__n") > rows_per_chunk).select(K, "__lo", width.alias("__w"))
+
+
+def chunking(df: DataFrame, key, order: Sequence[str], width: float | None = None,
+             rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> tuple[DataFrame, bool]:
+    """Add the (key, chunk) columns ``__k``, ``__c``; also say whether any key
+    has more than one chunk.
+
+    By default chunks are per key: a key with at most ``rows_per_chunk`` rows
+    is one chunk; a hotter key is cut into ranges of its first order column
+    holding about ``rows_per_chunk`` of its rows. The hot keys are a small
+    table (counted up to a bound, then broadcast), so no shuffle is added.
+    When no key is hot every key is one chunk and nothing crosses a chunk
+    border. A fixed ``width`` (in order units) cuts every key the same way.
+    """
     order = list(order)
+    keyed = df.withColumns({K: _key_surrogate(df, _as_list(key)), "__x": order_number(df, order[0])})
     if width is None:
+        hot = hot_keys(keyed, rows_per_chunk)
+        memo = (hot.semanticHash(), MAX_HOT_KEYS)
+        if memo not in _HOT_COUNTS:
+            _HOT_COUNTS[memo] = hot.limit(MAX_HOT_KEYS + 1).count()
+        n_hot = _HOT_COUNTS[memo]
+        if n_hot == 0:
+            return keyed.withColumn(C, F.lit(0).cast("long")).drop("__x"), False
+        if n_hot <= MAX_HOT_KEYS:
+            rows = keyed.join(F.broadcast(hot), [K], "left")
+            chunk = F.when(F.col("__w").isNull(), F.lit(0)) \
+                .otherwise(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")))
+            return rows.withColumn(C, F.coalesce(chunk.cast("long"), F.lit(_MIN_CHUNK))) \
+                .drop("__x", "__lo", "__w"), True
         width = chunk_width(df, order[0], rows_per_chunk)
-    chunk = F.floor(order_number(df, order[0]) / F.lit(float(width))).cast("long")
-    return (df.withColumn(K, _key_surrogate(df, _as_list(key)))
-              .withColumn(C, F.coalesce(chunk, F.lit(-(2 ** 63)))))
+    chunk = F.floor(F.col("__x") / F.lit(float(width))).cast("long")
+    return keyed.withColumn(C, F.coalesce(chunk, F.lit(_MIN_CHUNK))).drop("__x"), True
+
+
+def with_chunks(df: DataFrame, key, order: Sequence[str], width: float | None = None,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+    """:func:`chunking` without the flag."""
+    return chunking(df, key, order, width, rows_per_chunk)[0]
 
 
 def last_row(columns: Sequence[str]) -> Column:
@@ -161,7 +209,7 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
     order = list(order)
     cols = list(dict.fromkeys(_as_list(key) + order + ([value] if value else []) + list(keep)))
     df = df.select(*cols)
-    chunked = with_chunks(df, key, order, width, rows_per_chunk)
+    chunked, multi = chunking(df, key, order, width, rows_per_chunk)
     rows = chunked
     w = _local_window(order)
     # withColumns: one analysis per step; steps only where a window reads
@@ -181,6 +229,14 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
         })
         rows = rows.withColumns({"__pln": F.lag("__ln").over(w), "__plisl": F.lag("__lisl").over(w)})
 
+    if not multi:
+        # Every key is one chunk: no offsets, nothing carried in.
+        carry = {"__off": F.lit(0).cast("long")}
+        if value is not None:
+            carry.update({"__cv": F.lit(None).cast(df.schema[value].dataType),
+                          "__cl": F.lit(None).cast("long")})
+        return _finish(rows.withColumns(carry), value)
+
     # One summary row per chunk, then prefix windows over the summaries of
     # each key (a few rows per key).
     if value is None:
@@ -214,8 +270,15 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
                          .over(_running(ws)))
         s = s.withColumn("__cl", F.lag(F.col("__tin") - F.col("__base")).over(ws))
         keep += ["__cv", "__cl"]
-    rows = rows.join(s.select(*keep), [K, C], "inner")
-    cols = {"__rn": F.col("__off") + F.col("__lrn")}
+    # Only chunks after a key's first carry anything; with per-key chunks
+    # those are the hot keys' chunks, a table small enough to broadcast.
+    rows = rows.join(s.where(F.col("__off") > 0).select(*keep), [K, C], "left")
+    return _finish(rows, value)
+
+
+def _finish(rows: DataFrame, value: str | None) -> DataFrame:
+    """Global positions from chunk-local ones plus what the chunk carries in."""
+    cols = {"__rn": F.coalesce(F.col("__off"), F.lit(0)) + F.col("__lrn")}
     if value is not None:
         carry_ok = F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col(value))
         carry = F.when((F.col("__lisl") == 1) & carry_ok, F.col("__cl")).otherwise(F.lit(0))

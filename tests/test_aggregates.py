@@ -31,12 +31,12 @@ def test_tokenize_unicode_whitespace_matches_python(spark):
 
 
 @pytest.mark.parametrize("fn,op", [("sum", lambda a, b: a + b), ("max", max), ("min", min)])
-@pytest.mark.parametrize("width", [4.0, 1e12])
-def test_running_aggregate(spark, fn, op, width):
+@pytest.mark.parametrize("chunking", [{"width": 4.0}, {"width": 1e12}, {"rows_per_chunk": 13}])
+def test_running_aggregate(spark, fn, op, chunking):
     rnd = random.Random(7)
     rows = [(i, rnd.randint(0, 2), i, rnd.randint(-5, 9)) for i in range(300)]
     df = spark.createDataFrame(rows, "seq long, k long, t long, v long")
-    got = {r.seq: r.run for r in running_aggregate(df, "k", ["t", "seq"], "v", fn, "run", width=width).collect()}
+    got = {r.seq: r.run for r in running_aggregate(df, "k", ["t", "seq"], "v", fn, "run", **chunking).collect()}
     exp = {}
     for k in range(3):
         rs = [r for r in rows if r[1] == k]

@@ -31,15 +31,34 @@ def _final_exchanges(plan: str) -> list[str]:
     return out
 
 
-@pytest.mark.parametrize("name,row_shuffles", [
-    ("record_runs", 1), ("flag_runs", 1), ("record_runs_global", 1),
-    ("pair_average", 2), ("running_count", 2), ("changelog", 2),
-])
-def test_sequence_queries_shuffle_rows_once(spark, name, row_shuffles):
+def _sequence_plans(spark):
+    """The sequence operators on the sf0.01 events with a small rows_per_chunk,
+    so every key (and the global sequence) is cut into several chunks."""
+    from rillet.operators import changelog, flag_runs, pair_average, record_runs, running_aggregate
+    from rillet.sources.tables import load, role_bits, role_signal
+
+    ev = load(spark, SF, "events")
+    bits, sig, o = role_bits(ev), role_signal(ev), ["ts", "event_id"]
+    kw = {"rows_per_chunk": 20}
+    return {
+        "record_runs": (record_runs(bits, "user_id", o, "bit", "ts", **kw), 1),
+        "flag_runs": (flag_runs(sig, "user_id", o, "flag", "ts", **kw), 1),
+        "record_runs_global": (record_runs(bits, None, o, "bit", "ts", rows_per_chunk=1000), 1),
+        "pair_average": (pair_average(bits, "user_id", o, "bit", "ts", **kw), 2),
+        "running_count": (running_aggregate(ev.select("event_id", "ts", "event_type"), "event_type", o, None,
+                                            "count", "n", rows_per_chunk=500), 2),
+        "changelog": (changelog(ev.select("event_id", "ts", "event_type"), "event_type", o, None, "count",
+                                rows_per_chunk=500), 2),
+    }
+
+
+@pytest.mark.parametrize("name", ["record_runs", "flag_runs", "record_runs_global", "pair_average",
+                                  "running_count", "changelog"])
+def test_sequence_queries_shuffle_rows_once(spark, name):
     """Rows are shuffled once by (key, chunk). Order-free totals add one
     shuffle of partial aggregates (one row per chunk and task); run summaries
     reuse the row shuffle instead."""
-    df = QUERIES[name](spark, SF)
+    df, row_shuffles = _sequence_plans(spark)[name]
     df.collect()  # run this DataFrame's own plan, so explain shows AQE's final plan
     plan = _plan(df)
     by_chunk = [a for a in _final_exchanges(plan) if re.match(r"hashpartitioning\((__k#\d+, )?__c#\d+L", a)]
@@ -48,6 +67,12 @@ def test_sequence_queries_shuffle_rows_once(spark, name, row_shuffles):
         assert "ReusedExchange" in plan
 
 
+def test_single_chunk_inputs_skip_the_summary(spark):
+    """No key above rows_per_chunk: one window per key, no summary join."""
+    plan = _plan(QUERIES["flag_runs"](spark, SF))
+    assert "Join" not in plan
+
+
 def test_word_count_pre_aggregates_and_prunes(spark):
     plan = _plan(QUERIES["word_count"](spark, SF))
     assert "partial_count" in plan

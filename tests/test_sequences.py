@@ -96,6 +96,31 @@ def test_random_equivalence(spark, width, seed):
     assert got == _expected(rows, brute.flag_runs)
 
 
+@pytest.mark.parametrize("rows_per_chunk", [9, 60])
+def test_random_equivalence_per_key_chunks(spark, rows_per_chunk):
+    """Default chunking: keys above rows_per_chunk are cut by their own span."""
+    rows = _random_rows(5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    order, kw = ["t", "seq"], {"rows_per_chunk": rows_per_chunk}
+    got = {tuple(r) for r in pair_average(df, "k", order, "v", "seq", **kw).collect()}
+    assert got == _expected(rows, brute.pair_average)
+    got = {tuple(r) for r in record_runs(df, "k", order, "v", "seq", **kw).collect()}
+    assert got == _expected(rows, brute.record_runs)
+    got = {(r.k, r.n_samples, r.end_time) for r in flag_runs(df, "k", order, "v", "seq", **kw).collect()}
+    assert got == _expected(rows, brute.flag_runs)
+    got = {tuple(r) for r in pair_average(df, None, order, "v", "seq", **kw).collect()}
+    assert got == _expected(rows, brute.pair_average, key=False)
+
+
+def test_per_key_chunks_split_only_hot_keys(spark):
+    rows = _random_rows(4)
+    df = spark.createDataFrame(rows, SCHEMA)
+    ch = with_chunks(df, "k", ["t", "seq"], rows_per_chunk=300)
+    per_key = {r.k: r.n for r in ch.groupBy("k").agg(F.countDistinct("__c").alias("n")).collect()}
+    assert per_key[0] >= 3  # the hot key (900 rows) is cut by its own span
+    assert all(n == 1 for k, n in per_key.items() if k != 0)  # the others stay whole
+
+
 @pytest.mark.parametrize("width", [7.0, 1e12])
 def test_global_sequence(spark, width):
     rows = _random_rows(3)
