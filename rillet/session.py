@@ -49,20 +49,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``rillet`` importable in executors' Python workers (once per context).
+    """Make ``rillet`` importable in Python workers of a local session.
 
-    The stateful processors and table functions run in Python workers; the
-    package is zipped into the checkpoint folder and shipped with
-    ``addPyFile`` (what ``--py-files`` does at submit time).
+    On a cluster the package is shipped at submit time (``--py-files``);
+    the streaming processors are pickled by value and need nothing shipped.
+    In local mode the package is zipped and added with ``addPyFile`` once
+    per context, so workers started from any directory can import it.
     """
     sc = spark.sparkContext
-    if sc.getLocalProperty("rillet.shipped") == "1" or getattr(sc, "_rillet_shipped", False):
+    if not sc.master.startswith("local") or getattr(sc, "_rillet_shipped", False):
         return
     import shutil
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_path(spark, "rillet-pkg")
-    os.makedirs(base, exist_ok=True)
+    base = tempfile.mkdtemp(prefix="rillet-pkg-")
     zip_path = shutil.make_archive(os.path.join(base, "rillet"), "zip", os.path.dirname(pkg), "rillet")
     sc.addPyFile(zip_path)
     sc._rillet_shipped = True
