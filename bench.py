@@ -4,8 +4,9 @@ Each batch query is forced to completion with the ``noop`` sink (the full
 plan runs, nothing is collected to the driver). One warm-up pass, then the
 median of $BENCH_REPEAT timed runs per query; ``value`` is their sum. The
 streaming forms (``stream_*``: start a query, process the whole table
-folder with availableNow, read back its table) are timed once each and
-reported apart under ``stream_queries`` (set BENCH_STREAMS=0 to skip them).
+folder with availableNow, read back its table) are timed once after a
+warm-up and reported apart under ``stream_queries`` (BENCH_STREAMS=0 skips
+them).
 Prints one JSON line.
 """
 
@@ -45,6 +46,7 @@ def main() -> None:
         for name, fn in STREAM_QUERIES.items():
             if only and name not in only:
                 continue
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             stream_times[name] = round(time.perf_counter() - t0, 3)

@@ -149,7 +149,8 @@ def _run(spark, name, start):
 
 def q_stream_word_count(spark, d):
     lines = role_lines(_stream(spark, d, "documents"))
-    out = _run(spark, "stream_word_count", lambda o, c: SJ.start_word_count(lines, o, c, AVAILABLE))
+    cores = spark.sparkContext.defaultParallelism
+    out = _run(spark, "stream_word_count", lambda o, c: SJ.start_word_count(lines, o, c, AVAILABLE, cores))
     return read_upserted(spark, out, ["word"], ["count"]).select("word", "count")
 
 

@@ -22,9 +22,10 @@ from rillet.streaming.queries import (
 from rillet.streaming.sinks import append_sink, upsert_sink
 
 
-def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                     spread_to: int | None = None) -> StreamingQuery:
     """Running word counts, upserted by word."""
-    return upsert_sink(stream_word_count(lines), out, checkpoint, ["word"], ["count"], trigger=trigger)
+    return upsert_sink(stream_word_count(lines, spread_to), out, checkpoint, ["word"], ["count"], trigger=trigger)
 
 
 def start_team_spend(payments: DataFrame, teams: DataFrame, out: str, checkpoint: str,

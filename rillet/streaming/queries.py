@@ -104,8 +104,15 @@ def stream_latest(df: DataFrame, key, order: Sequence[str], value: str, out: str
         .select(*keys, F.col("__l.v").alias(out or value), *[F.col(f"__l.o.{c}").alias(c) for c in order])
 
 
-def stream_word_count(lines: DataFrame) -> DataFrame:
-    """J1 on a stream: running counts per word (update mode)."""
+def stream_word_count(lines: DataFrame, spread_to: int | None = None) -> DataFrame:
+    """J1 on a stream: running counts per word (update mode).
+
+    ``spread_to`` spreads each micro-batch's lines over that many tasks
+    before tokenising, for sources with fewer partitions than cores (one
+    file, a topic with few partitions); counts are unchanged.
+    """
+    if spread_to:
+        lines = lines.repartition(spread_to)
     return word_count(lines)
 
 
