@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.flags import truncating_mean
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan, strip
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan
 
 
 def _order_struct(order: Sequence[str]):
@@ -109,4 +109,4 @@ def latest_by_key(df: DataFrame, key, order: Sequence[str], value: str, out: str
     return df.groupBy(*keys).agg(F.max_by(F.col(value), _order_struct(order)).alias(out or value))
 
 
-__all__ = ["pair_average", "record_runs", "flag_runs", "latest_by_key", "strip"]
+__all__ = ["pair_average", "record_runs", "flag_runs", "latest_by_key"]

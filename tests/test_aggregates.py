@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from rillet.functions.udtf import split_words
 from rillet.operators import changelog, keyed_sum, running_aggregate, window_summary, word_count

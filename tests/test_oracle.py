@@ -1,7 +1,5 @@
 """Every registered query against its SQL oracle (DuckDB) on the smallest tables."""
 
-import math
-
 import duckdb
 import pandas as pd
 import pytest

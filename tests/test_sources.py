@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from rillet.schemas import SIGNAL
 from rillet.sources import decode_json, kafka_options, read_csv_lines, split_quarantine, with_event_time
 
