@@ -2,9 +2,10 @@
 
 A window ``partitionBy(key).orderBy(seq)`` puts a whole key into one task,
 and a constant key (the reference's ``key_by(lambda row: 1)``) puts the whole
-input there. Here every key is cut into *chunks*: consecutive ranges of the
-first order column of a fixed width. A hot key then spreads over as many
-tasks as it has chunks.
+input there. Here hot keys are cut into *chunks*: consecutive ranges of the
+first order column holding about ``rows_per_chunk`` rows each, sized from
+the key's own span. A key holding a third of all rows then spreads over as
+many tasks as it has chunks; a key below ``rows_per_chunk`` stays whole.
 
 1. Rows are shuffled once, by (key, chunk), and numbered inside their chunk
    by window functions (run ids, position in run).
@@ -13,13 +14,11 @@ tasks as it has chunks.
 3. Window functions over the summaries (a few rows per key) give each chunk
    its offset (rows in earlier chunks of the key) and its carry-in (the run
    still open at the end of the previous chunk, with its global length).
-4. The summaries are joined back on (key, chunk). The joined side is small
-   and the big side is already partitioned by (key, chunk), so the big side
-   is not shuffled again.
+4. The summaries of chunks that follow another chunk are joined back on
+   (key, chunk): a small side, while the big side is already partitioned by
+   (key, chunk), so the big side is not shuffled again.
 
-The chunk width is chosen so that a chunk holds about ``rows_per_chunk``
-rows of the whole input; even a key holding a third of all rows then has
-chunks of at most that size.
+When no key is hot, every key is one chunk and steps 2-4 fall away.
 """
 
 from __future__ import annotations
