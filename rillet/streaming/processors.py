@@ -1,22 +1,24 @@
-"""Keyed state machines for Structured Streaming (T1-T3), row-based
-``transformWithState``.
-
-Within one micro-batch the rows of a key arrive in no guaranteed order, so
-each processor sorts them by the order columns first; across micro-batches
-the order is arrival order. Bound how much of one key a micro-batch holds
-with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``. State is typed and
-lives in the state store (RocksDB), so it survives restarts from the
-query's checkpoint.
+"""Keyed state machines for Structured Streaming (T1-T3), Arrow-batched
+``transformWithStateInPandas``.
+
+Each call gets one key's rows of a micro-batch as pandas frames; the state
+machine runs over them vectorised with numpy (prefix sums, run positions),
+not row by row. Within a micro-batch the rows of a key arrive in no
+guaranteed order, so they are sorted by the order columns first; across
+micro-batches the order is arrival order. Bound how much of one key a
+micro-batch holds with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
+State is typed and lives in the state store (RocksDB), so it survives
+restarts from the query's checkpoint.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # The processors are shipped by value: the streaming runner that starts them
@@ -24,17 +26,38 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def run_positions(values: np.ndarray, carry_value, carry_len: int) -> np.ndarray:
+    """Position of each value within its run of equal values, continuing a run
+    of ``carry_len`` rows of ``carry_value`` that ended the previous batch."""
+    m = len(values)
+    idx = np.arange(m)
+    starts = np.ones(m, dtype=bool)
+    starts[1:] = values[1:] != values[:-1]
+    start_at = np.maximum.accumulate(np.where(starts, idx, 0))
+    pos = idx - start_at + 1
+    if carry_len and m and values[0] == carry_value:
+        pos[start_at == 0] += carry_len
+    return pos
+
+
 class _Ordered(StatefulProcessor):
     def __init__(self, key_names: Sequence[str], order: Sequence[str], time_col: str):
         self.key_names = list(key_names)
         self.order = list(order)
         self.time_col = time_col
 
-    def _sorted(self, rows: Iterator[Row]) -> list[Row]:
-        return sorted(rows, key=lambda r: tuple(r[o] for o in self.order))
+    def _batch(self, frames: Iterator[pd.DataFrame], col: str) -> pd.DataFrame:
+        frames = list(frames)
+        if not frames:
+            return pd.DataFrame(columns=[col])
+        pdf = pd.concat(frames, ignore_index=True)
+        pdf = pdf[pdf[col].notna()]
+        return pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
 
-    def _key_fields(self, key) -> dict:
-        return dict(zip(self.key_names, key))
+    def _out(self, key, cols: dict) -> pd.DataFrame:
+        n = len(next(iter(cols.values())))
+        keys = {k: [v] * n for k, v in zip(self.key_names, key)}
+        return pd.DataFrame({**keys, **cols})
 
     def close(self) -> None:
         pass
@@ -52,17 +75,23 @@ class PairAverageProcessor(_Ordered):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.acc = handle.getValueState("acc", "n int, total long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, total = self.acc.get() if self.acc.exists() else (0, 0)
-        keys = self._key_fields(key)
-        for r in self._sorted(rows):
-            n, total = n + 1, total + r[self.value]
-            if n >= self.size:
-                yield Row(**keys, **{self.time_alias: r[self.time_col],
-                                     self.out: math.trunc(total / self.size)})
-                n, total = 0, 0
-        if n:
-            self.acc.update((n, total))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n0, total0 = self.acc.get() if self.acc.exists() else (0, 0)
+        pdf = self._batch(rows, self.value)
+        v = pdf[self.value].to_numpy(dtype=np.int64)
+        m = len(v)
+        prefix = np.concatenate([[0], np.cumsum(v)])
+        ends = np.nonzero((n0 + np.arange(m) + 1) % self.size == 0)[0]
+        if len(ends):
+            starts = ends - self.size + 1
+            sums = prefix[ends + 1] - prefix[np.maximum(starts, 0)] + np.where(starts < 0, total0, 0)
+            yield self._out(key, {self.time_alias: pdf[self.time_col].to_numpy()[ends],
+                                  self.out: np.trunc(sums / self.size).astype(np.int32)})
+            n1, total1 = m - 1 - ends[-1], int(prefix[m] - prefix[ends[-1] + 1])
+        else:
+            n1, total1 = n0 + m, total0 + int(prefix[m])
+        if n1:
+            self.acc.update((int(n1), int(total1)))
         else:
             self.acc.clear()
 
@@ -80,24 +109,31 @@ class RecordRunProcessor(_Ordered):
         self.run = handle.getValueState("run", f"prev {self.value_type}, len int")
         self.best = handle.getMapState("best", f"v {self.value_type}", "len int")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        has_prev = self.run.exists()
-        prev, length = self.run.get() if has_prev else (None, 0)
-        keys = self._key_fields(key)
-        for r in self._sorted(rows):
-            v = r[self.value]
-            if v is None:
-                continue
-            if not has_prev or v != prev:
-                prev, length, has_prev = v, 1, True
-                continue
-            length += 1
-            best = self.best.getValue((v,)) if self.best.containsKey((v,)) else None
-            if best is None or length > best[0]:
-                self.best.updateValue((v,), (length,))
-                yield Row(**keys, **{self.time_alias: r[self.time_col], "value": v, "run_length": length})
-        if has_prev:
-            self.run.update((prev, length))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        prev, length = self.run.get() if self.run.exists() else (None, 0)
+        pdf = self._batch(rows, self.value)
+        if pdf.empty:
+            return
+        v = pdf[self.value].to_numpy()
+        pdf["__n"] = run_positions(v, prev, length)
+        # Longest earlier run per value: the stored record, then the running
+        # maximum over this batch's earlier rows of the same value.
+        base = {}
+        for val in pd.unique(v):
+            k = (val.item() if hasattr(val, "item") else val,)
+            base[val] = self.best.getValue(k)[0] if self.best.containsKey(k) else 1
+        earlier = pdf.groupby(self.value, sort=False)["__n"].cummax().groupby(pdf[self.value], sort=False).shift(1)
+        bar = np.maximum(pdf[self.value].map(base).to_numpy(dtype=np.int64),
+                         earlier.fillna(0).to_numpy(dtype=np.int64))
+        rec = pdf[(pdf["__n"] >= 2) & (pdf["__n"].to_numpy() > bar)]
+        for val, n in rec.groupby(self.value, sort=False)["__n"].max().items():
+            self.best.updateValue((val.item() if hasattr(val, "item") else val,), (int(n),))
+        if len(rec):
+            yield self._out(key, {self.time_alias: rec[self.time_col].to_numpy(),
+                                  "value": rec[self.value].to_numpy(),
+                                  "run_length": rec["__n"].to_numpy(dtype=np.int32)})
+        last = v[-1]
+        self.run.update((last.item() if hasattr(last, "item") else last, int(pdf["__n"].iloc[-1])))
 
 
 class FlagRunProcessor(_Ordered):
@@ -111,18 +147,23 @@ class FlagRunProcessor(_Ordered):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "prev int, len int")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         has_prev = self.run.exists()
         prev, length = self.run.get() if has_prev else (None, 0)
-        keys = self._key_fields(key)
-        for r in self._sorted(rows):
-            f = r[self.flag]
-            if f == 1:
-                length = length + 1 if prev == 1 else 1
-                prev = 1
-            elif f == 0:
-                if prev == 1 or (prev is None and self.emit_empty_first):
-                    yield Row(**keys, n_samples=length if prev == 1 else 0, end_time=r[self.time_col])
-                prev, length = 0, 0
-        if prev is not None:
-            self.run.update((prev, length))
+        pdf = self._batch(rows, self.flag)
+        f = pdf[self.flag].to_numpy(dtype=np.int64)
+        keep = (f == 0) | (f == 1)  # other flag values change nothing
+        pdf, f = pdf[keep].reset_index(drop=True), f[keep]
+        if not len(f):
+            return
+        pos = run_positions(f, prev, length if prev == 1 else 0)
+        ones_len = np.where(f == 1, pos, 0)
+        prev_flag = np.concatenate([[-1 if prev is None else prev], f[:-1]])
+        prev_len = np.concatenate([[length if prev == 1 else 0], ones_len[:-1]])
+        first_ever = np.zeros(len(f), dtype=bool)
+        first_ever[0] = not has_prev and self.emit_empty_first
+        emit = (f == 0) & ((prev_flag == 1) | first_ever)
+        if emit.any():
+            yield self._out(key, {"n_samples": np.where(prev_flag == 1, prev_len, 0)[emit].astype(np.int32),
+                                  "end_time": pdf[self.time_col].to_numpy()[emit]})
+        self.run.update((int(f[-1]), int(ones_len[-1])))

@@ -59,7 +59,7 @@ def stream_pair_average(df: DataFrame, key, order: Sequence[str], value: str, ti
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("create_time", df.schema[time_col].dataType),
                                                   T.StructField("average", T.IntegerType())])
     proc = PairAverageProcessor(keys, order, value, time_col, size)
-    out = df.groupBy(*keys).transformWithState(proc, schema, "Append", "None")
+    out = df.groupBy(*keys).transformWithStateInPandas(proc, schema, "Append", "None")
     return _drop_global(out, keys_out)
 
 
@@ -71,7 +71,7 @@ def stream_record_runs(df: DataFrame, key, order: Sequence[str], value: str, tim
                                                   T.StructField("value", vtype),
                                                   T.StructField("run_length", T.IntegerType())])
     proc = RecordRunProcessor(keys, order, value, time_col, vtype.simpleString())
-    out = df.groupBy(*keys).transformWithState(proc, schema, "Append", "None")
+    out = df.groupBy(*keys).transformWithStateInPandas(proc, schema, "Append", "None")
     return _drop_global(out, keys_out)
 
 
@@ -82,7 +82,7 @@ def stream_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_c
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("n_samples", T.IntegerType()),
                                                   T.StructField("end_time", df.schema[time_col].dataType)])
     proc = FlagRunProcessor(keys, order, flag, time_col, emit_empty_first)
-    out = df.groupBy(*keys).transformWithState(proc, schema, "Append", "None")
+    out = df.groupBy(*keys).transformWithStateInPandas(proc, schema, "Append", "None")
     return _drop_global(out, keys_out)
 
 
