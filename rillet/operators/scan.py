@@ -23,6 +23,7 @@ When no key is hot, every key is one chunk and steps 2-4 fall away.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,7 +62,8 @@ _WIDTHS: dict[tuple, float] = {}
 
 
 def chunk_width(df: DataFrame, order_col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> float:
-    """Width of the first order column that holds ~``rows_per_chunk`` rows.
+    """Width of the first order column that holds ~``rows_per_chunk`` rows
+    (``inf`` when all rows fit one chunk).
 
     One small aggregate job (count, min, max of one column), remembered per
     input plan. Any width gives the same results; it only sets how rows are
@@ -78,7 +80,7 @@ def _measure_width(df: DataFrame, order_col: str, rows_per_chunk: int) -> float:
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     n, lo, hi = r["n"], r["lo"], r["hi"]
     if not n or lo is None or hi is None or hi <= lo or n <= rows_per_chunk:
-        return float((hi or 0) - (lo or 0) + 1)
+        return math.inf  # everything fits one chunk
     return max(float(hi - lo) * rows_per_chunk / n, 1.0)
 
 
@@ -139,6 +141,8 @@ def chunking(df: DataFrame, key, order: Sequence[str], width: float | None = Non
     """
     order = list(order)
     keyed = df.withColumns({K: _key_surrogate(df, _as_list(key)), "__x": order_number(df, order[0])})
+    if width is not None and math.isinf(width):
+        return keyed.withColumn(C, F.lit(0).cast("long")).drop("__x"), False
     if width is None:
         hot = hot_keys(keyed, rows_per_chunk)
         memo = (hot.semanticHash(), MAX_HOT_KEYS)

@@ -77,3 +77,25 @@ def test_team_lookup(spark):
                                  "team_id int, pay_amount double")
     got = {r.team: r.pay_amount for r in team_spend(pays, teams).collect()}
     assert got == {"Hippo": 1.5, "ORCA": 2.0, "NZAPP": 3.0, None: 15.0}
+
+
+def test_word_count_changelog_across_chunks(spark):
+    from rillet.plans.jobs import word_count_changelog
+
+    docs = [(1, "a b a"), (2, " b  c "), (3, "a"), (5, ""), (6, "c c b")]
+    df = spark.createDataFrame(docs, "doc_id long, line string")
+    got = sorted((r.doc_id, r.pos, r.change_seq, r.op, r.word, r["count"])
+                 for r in word_count_changelog(df, docs_per_chunk=1).collect())
+    expect, counts = [], {}
+    for doc_id, line in docs:
+        for pos, w in enumerate(__import__("re").split(r"\s+", line)):
+            if not w:
+                continue
+            c = counts.get(w, 0)
+            if c:
+                expect.append((doc_id, pos, 0, "-U", w, c))
+                expect.append((doc_id, pos, 1, "+U", w, c + 1))
+            else:
+                expect.append((doc_id, pos, 1, "+I", w, 1))
+            counts[w] = c + 1
+    assert got == sorted(expect)
