@@ -109,8 +109,8 @@ def _key_surrogate(df: DataFrame, keys: list[str]) -> Column:
 
 
 # Hot keys (more than rows_per_chunk rows) are broadcast with their own chunk
-# origin and width. There are at most rows/rows_per_chunk of them; above this
-# many the single global width is used instead.
+# origin and width when there are at most this many (there are at most
+# rows/rows_per_chunk of them).
 MAX_HOT_KEYS = 200_000
 _HOT_COUNTS: dict[tuple, int] = {}
 _MIN_CHUNK = -(2 ** 63)
@@ -151,13 +151,14 @@ def chunking(df: DataFrame, key, order: Sequence[str], width: float | None = Non
         n_hot = _HOT_COUNTS[memo]
         if n_hot == 0:
             return keyed.withColumn(C, F.lit(0).cast("long")).drop("__x"), False
-        if n_hot <= MAX_HOT_KEYS:
-            rows = keyed.join(F.broadcast(hot), [K], "left")
-            chunk = F.when(F.col("__w").isNull(), F.lit(0)) \
-                .otherwise(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")))
-            return rows.withColumn(C, F.coalesce(chunk.cast("long"), F.lit(_MIN_CHUNK))) \
-                .drop("__x", "__lo", "__w"), True
-        width = chunk_width(df, order[0], rows_per_chunk)
+        # Up to MAX_HOT_KEYS the table is broadcast; beyond, Spark picks the
+        # join from its own size estimate (sort-merge, with AQE splitting the
+        # hot keys' partitions).
+        rows = keyed.join(F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot, [K], "left")
+        chunk = F.when(F.col("__w").isNull(), F.lit(0)) \
+            .otherwise(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")))
+        return rows.withColumn(C, F.coalesce(chunk.cast("long"), F.lit(_MIN_CHUNK))) \
+            .drop("__x", "__lo", "__w"), True
     chunk = F.floor(F.col("__x") / F.lit(float(width))).cast("long")
     return keyed.withColumn(C, F.coalesce(chunk, F.lit(_MIN_CHUNK))).drop("__x"), True
 

@@ -145,3 +145,17 @@ def test_null_keys_form_their_own_group(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.k is None, r.create_time) for r in pair_average(df, "k", ["t", "seq"], "v", "seq").collect())
     assert got == [(False, 3), (True, 1)]
+
+
+def test_many_hot_keys_join_without_forced_broadcast(spark, monkeypatch):
+    """Above MAX_HOT_KEYS the hot-key table is joined without a broadcast hint."""
+    import importlib
+
+    scan_mod = importlib.import_module("rillet.operators.scan")
+    monkeypatch.setattr(scan_mod, "MAX_HOT_KEYS", 1)
+    rows = _random_rows(6)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {tuple(r) for r in record_runs(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=30).collect()}
+    assert got == _expected(rows, brute.record_runs)
+    got = {tuple(r) for r in pair_average(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=30).collect()}
+    assert got == _expected(rows, brute.pair_average)
