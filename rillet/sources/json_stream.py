@@ -22,7 +22,7 @@ def kafka_options(topic: str, bootstrap_servers: str, group_id: str | None = Non
     Both the current (``scan.startup.mode``) and the legacy
     (``connector.startup-mode``) spellings map to ``startingOffsets``.
     """
-    starting = {"latest-offset": "latest", "earliest-offset": "earliest"}.get(startup_mode, startup_mode)
+    starting = STARTUP_MODES.get(startup_mode, startup_mode)
     opts = {"subscribe": topic, "kafka.bootstrap.servers": bootstrap_servers,
             "startingOffsets": starting}
     if group_id:
@@ -30,6 +30,37 @@ def kafka_options(topic: str, bootstrap_servers: str, group_id: str | None = Non
     return opts
 
 
+# Connector option names of the two spellings the reference's
+# jobs use (current, then legacy), mapped to Spark Kafka reader options.
+CONNECTOR_OPTIONS = {
+    "topic": "subscribe",
+    "connector.topic": "subscribe",
+    "properties.bootstrap.servers": "kafka.bootstrap.servers",
+    "connector.properties.bootstrap.servers": "kafka.bootstrap.servers",
+    "properties.group.id": "kafka.group.id",
+    "connector.properties.group.id": "kafka.group.id",
+    "scan.startup.mode": "startingOffsets",
+    "connector.startup-mode": "startingOffsets",
+}
+STARTUP_MODES = {"latest-offset": "latest", "earliest-offset": "earliest"}
+
+
+def kafka_options_from_connector(props: dict[str, str]) -> dict[str, str]:
+    """Spark Kafka options from a connector option map (either spelling).
+
+    Options without a Spark counterpart (format, version, sink-side
+    settings) are left out.
+    """
+    out = {}
+    for k, v in props.items():
+        target = CONNECTOR_OPTIONS.get(k)
+        if target == "startingOffsets":
+            v = STARTUP_MODES.get(v, v)
+        if target:
+            out[target] = v
+    return out
+
+
 def decode_json(raw: DataFrame, schema: T.StructType, value_col: str = "value",
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode a string/binary column of JSON objects into typed columns.

@@ -25,3 +25,17 @@ def test_kafka_options():
     o = kafka_options("t", "kafka:9092", "g", "latest-offset")
     assert o == {"subscribe": "t", "kafka.bootstrap.servers": "kafka:9092", "startingOffsets": "latest",
                  "kafka.group.id": "g"}
+
+
+def test_kafka_options_from_connector_both_spellings():
+    from rillet.sources import kafka_options_from_connector
+
+    current = {"connector": "kafka", "topic": "signal", "properties.bootstrap.servers": "kafka:9092",
+               "properties.group.id": "g1", "scan.startup.mode": "latest-offset", "value.format": "json"}
+    legacy = {"connector.type": "kafka", "connector.version": "universal", "connector.topic": "signal",
+              "connector.properties.bootstrap.servers": "kafka:9092", "connector.properties.group.id": "g1",
+              "connector.startup-mode": "latest-offset", "format.type": "json"}
+    expect = {"subscribe": "signal", "kafka.bootstrap.servers": "kafka:9092", "kafka.group.id": "g1",
+              "startingOffsets": "latest"}
+    assert kafka_options_from_connector(current) == expect
+    assert kafka_options_from_connector(legacy) == expect
