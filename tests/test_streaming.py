@@ -206,3 +206,30 @@ def test_json_messages_with_quarantine(spark, tmp_path):
     got = sorted((r.window_start.second, r.n_elements) for r in spark.read.parquet(out).collect())
     assert got == [(0, 2), (15, 1)]  # the window at 15:00:30 is still open
     assert spark.read.parquet(qdir).count() == 2
+
+
+def test_restart_on_failure_retries_from_checkpoint():
+    from rillet.streaming.queries import restart_on_failure
+
+    class _Query:
+        def __init__(self, fail):
+            self.fail = fail
+
+        def awaitTermination(self, timeout=None):
+            if self.fail:
+                raise RuntimeError("executor lost")
+
+        def exception(self):
+            return None
+
+    starts = []
+
+    def start():
+        starts.append(1)
+        return _Query(fail=len(starts) < 3)
+
+    q = restart_on_failure(start, attempts=5, delay_s=0)
+    assert len(starts) == 3 and not q.fail
+    starts.clear()
+    with pytest.raises(RuntimeError):
+        restart_on_failure(lambda: _Query(fail=True), attempts=2, delay_s=0)
