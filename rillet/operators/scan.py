@@ -112,7 +112,7 @@ def _key_surrogate(df: DataFrame, keys: list[str]) -> Column:
 # origin and width when there are at most this many (there are at most
 # rows/rows_per_chunk of them).
 MAX_HOT_KEYS = 200_000
-_HOT_COUNTS: dict[tuple, int] = {}
+_HOT_KEYS: dict[tuple, list] = {}
 _MIN_CHUNK = -(2 ** 63)
 
 
@@ -146,15 +146,22 @@ def chunking(df: DataFrame, key, order: Sequence[str], width: float | None = Non
     if width is None:
         hot = hot_keys(keyed, rows_per_chunk)
         memo = (hot.semanticHash(), MAX_HOT_KEYS)
-        if memo not in _HOT_COUNTS:
-            _HOT_COUNTS[memo] = hot.limit(MAX_HOT_KEYS + 1).count()
-        n_hot = _HOT_COUNTS[memo]
-        if n_hot == 0:
+        if memo not in _HOT_KEYS:
+            # One statistics job; at most MAX_HOT_KEYS + 1 small rows come back
+            # (what a broadcast would collect anyway), so the statistics are
+            # not recomputed inside the query.
+            _HOT_KEYS[memo] = hot.limit(MAX_HOT_KEYS + 1).collect()
+        found = _HOT_KEYS[memo]
+        if not found:
             return keyed.withColumn(C, F.lit(0).cast("long")).drop("__x"), False
         # Up to MAX_HOT_KEYS the table is broadcast; beyond, Spark picks the
         # join from its own size estimate (sort-merge, with AQE splitting the
         # hot keys' partitions).
-        rows = keyed.join(F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot, [K], "left")
+        if len(found) <= MAX_HOT_KEYS:
+            side = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+        else:
+            side = hot
+        rows = keyed.join(side, [K], "left")
         chunk = F.when(F.col("__w").isNull(), F.lit(0)) \
             .otherwise(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")))
         return rows.withColumn(C, F.coalesce(chunk.cast("long"), F.lit(_MIN_CHUNK))) \

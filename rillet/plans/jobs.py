@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rillet.functions.text import WHITESPACE_JAVA
 from rillet.operators.aggregates import MONEY, changelog, keyed_sum, window_summary, word_count
 from rillet.operators.lookup import lookup
-from rillet.operators.scan import chunk_width
+from rillet.operators.scan import DEFAULT_ROWS_PER_CHUNK, chunk_width
 from rillet.operators.sequences import flag_runs, latest_by_key, pair_average, record_runs
 
 SIGNAL_ORDER = ["ts", "event_id"]
@@ -24,25 +24,26 @@ def word_count_job(lines: DataFrame) -> DataFrame:
     return word_count(lines, "line")
 
 
-DOCS_PER_CHUNK = 10_000
-
-
 def word_count_changelog(docs: DataFrame, doc_id: str = "doc_id", line: str = "line",
-                         docs_per_chunk: int = DOCS_PER_CHUNK) -> DataFrame:
+                         docs_per_chunk: int | None = None,
+                         rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """J1 with the change-record sink (K2): every word occurrence, in
     (document, position) order, changes its word's count; the first
     occurrence inserts it (``+I``), each later one retracts the old count
     (``-U``) and adds the new one (``+U``). Columns: word, op, count, doc_id,
     pos, change_seq.
 
-    Computed chunk-parallel, so a very frequent word is not one task. Chunks
-    are ranges of ``docs_per_chunk`` documents, sized from the document ids
-    alone (one column), not from the tokens (which would tokenise twice).
+    Computed chunk-parallel: a word with more occurrences than
+    ``rows_per_chunk`` is cut into document ranges of its own, every other
+    word stays whole, so neither a very frequent word nor a large vocabulary
+    makes a big task or a big summary. ``docs_per_chunk`` instead cuts every
+    word by the same document ranges.
     """
-    width = chunk_width(docs.select(doc_id), doc_id, docs_per_chunk)
+    width = chunk_width(docs.select(doc_id), doc_id, docs_per_chunk) if docs_per_chunk else None
     tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
     tokens = tokens.where(F.col("word") != F.lit(""))
-    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count", width=width)
+    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count", width=width,
+                     rows_per_chunk=rows_per_chunk)
 
 
 def team_spend(payments: DataFrame, teams: DataFrame) -> DataFrame:

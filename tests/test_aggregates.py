@@ -79,13 +79,14 @@ def test_team_lookup(spark):
     assert got == {"Hippo": 1.5, "ORCA": 2.0, "NZAPP": 3.0, None: 15.0}
 
 
-def test_word_count_changelog_across_chunks(spark):
+@pytest.mark.parametrize("chunking", [{"docs_per_chunk": 1}, {"rows_per_chunk": 2}])
+def test_word_count_changelog_across_chunks(spark, chunking):
     from rillet.plans.jobs import word_count_changelog
 
     docs = [(1, "a b a"), (2, " b  c "), (3, "a"), (5, ""), (6, "c c b")]
     df = spark.createDataFrame(docs, "doc_id long, line string")
     got = sorted((r.doc_id, r.pos, r.change_seq, r.op, r.word, r["count"])
-                 for r in word_count_changelog(df, docs_per_chunk=1).collect())
+                 for r in word_count_changelog(df, **chunking).collect())
     expect, counts = [], {}
     for doc_id, line in docs:
         for pos, w in enumerate(__import__("re").split(r"\s+", line)):
