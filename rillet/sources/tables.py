@@ -18,6 +18,21 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def register_views(spark: SparkSession, folder: str, names=TABLES) -> list[str]:
+    """Register each ``<name>.parquet`` of ``folder`` as a temporary view (S7), so
+    jobs can look tables up by name (``spark.table``) or in SQL. Returns the
+    names registered; missing tables are skipped."""
+    import os
+
+    done = []
+    for name in names:
+        path = f"{folder.rstrip('/')}/{name}.parquet"
+        if "://" in path or os.path.exists(path):
+            spark.read.parquet(path).createOrReplaceTempView(name)
+            done.append(name)
+    return done
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan over all cores when it has fewer partitions than cores.
 

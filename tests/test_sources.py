@@ -39,3 +39,12 @@ def test_kafka_options_from_connector_both_spellings():
               "startingOffsets": "latest"}
     assert kafka_options_from_connector(current) == expect
     assert kafka_options_from_connector(legacy) == expect
+
+
+def test_register_views(spark):
+    from rillet.sources import register_views
+
+    names = register_views(spark, "/root/testdata/sf0.001", ["nation", "events", "missing_table"])
+    assert names == ["nation", "events"]
+    assert spark.table("nation").count() == 25
+    assert spark.sql("SELECT count(*) AS n FROM events").first().n == 1000
