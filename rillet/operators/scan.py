@@ -301,8 +301,3 @@ def _finish(rows: DataFrame, value: str | None) -> DataFrame:
             "__pn": F.when(F.col("__lrn") == 1, F.col("__cl")).otherwise(F.col("__pln") + prev_carry),
         })
     return rows.withColumns(cols)
-
-
-def strip(df: DataFrame) -> DataFrame:
-    """Drop the scan's internal ``__`` columns."""
-    return df.drop(*[c for c in df.columns if c.startswith("__")])

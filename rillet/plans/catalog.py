@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.text import WHITESPACE_RE2
 from rillet.functions.udtf import split_words
-from rillet.operators.aggregates import changelog, keyed_sum, running_aggregate
+from rillet.operators.aggregates import changelog, running_aggregate
 from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
 from rillet.session import scratch_path
@@ -57,7 +57,7 @@ def q_team_spend(spark, d):
 
 
 def q_keyed_sum(spark, d):
-    return keyed_sum(_signal(spark, d), "user_id", "value", "total")
+    return J.keyed_spend(_signal(spark, d))
 
 
 def q_running_count(spark, d):

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rillet.functions.time import to_ntz
 from rillet.operators.aggregates import window_summary, word_count
 from rillet.operators.scan import _as_list
 from rillet.schemas import EVENTS
@@ -163,9 +162,3 @@ def restart_on_failure(start: Callable[[], StreamingQuery], attempts: int = 60,
             last = e
         time.sleep(delay_s)
     raise RuntimeError(f"query failed {attempts} times: {last}")
-
-
-def to_ntz_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, to_ntz(F.col(c)))
-    return df
