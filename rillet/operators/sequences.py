@@ -35,6 +35,7 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     that straddle a chunk border are merged by a small second aggregation.
     """
     keys = _as_list(key)
+    df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
     rows = scan(df, key, order, None, width, rows_per_chunk, keep=[value, time_col])
     rows = rows.withColumn("__g", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("long"))
     # Ordered by the global row number (a long): fixed-width buffers keep
@@ -72,7 +73,8 @@ def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     the candidates alone.
     """
     keys = _as_list(key)
-    rows = scan(df, key, order, value, width, rows_per_chunk, keep=[time_col]).where(F.col(value).isNotNull())
+    df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
+    rows = scan(df, key, order, value, width, rows_per_chunk, keep=[time_col])
     in_chunk = Window.partitionBy(K, C, value).orderBy(*[F.col(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, -1)
     cand = rows.withColumn("__pm", F.max("__n").over(in_chunk)) \
@@ -93,6 +95,7 @@ def flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str
     first row has flag 0 emits a run of length 0 (the reference's behaviour).
     """
     keys = _as_list(key)
+    df = df.where(F.col(flag).isin(0, 1))  # other flag values (and NULL) change nothing
     rows = scan(df, key, order, flag, width, rows_per_chunk, keep=[time_col])
     first = F.col("__rn") == 1
     after_run = ~first & (F.col("__pv") == 1)

@@ -159,3 +159,32 @@ def test_many_hot_keys_join_without_forced_broadcast(spark, monkeypatch):
     assert got == _expected(rows, brute.record_runs)
     got = {tuple(r) for r in pair_average(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=30).collect()}
     assert got == _expected(rows, brute.pair_average)
+
+
+def test_nulls_and_other_flags_are_not_part_of_the_sequence(spark):
+    """Batch and streaming agree: NULL values and flags other than 0/1 are skipped."""
+    import pandas as pd
+
+    from rillet.streaming.processors import FlagRunProcessor, RecordRunProcessor
+    from tests.test_processors import _Handle
+
+    vals = [1, 1, None, 1, 0, 2, 0, 1, None, 1, 1, 0]
+    df = spark.createDataFrame([(i, 1, i, v) for i, v in enumerate(vals)], SCHEMA)
+    clean = [(i, v) for i, v in enumerate(vals) if v is not None]
+    expect_flags = sorted(brute.flag_runs([(i, v) for i, v in clean if v in (0, 1)]))
+    batch = sorted((r.n_samples, r.end_time) for r in flag_runs(df, "k", ["t", "seq"], "v", "seq").collect())
+    assert batch == expect_flags
+    batch = sorted((r.create_time, r.value, r.run_length) for r in record_runs(df, "k", ["t", "seq"], "v", "seq").collect())
+    assert batch == sorted(brute.record_runs(clean))
+
+    pdf = pd.DataFrame({"seq": range(len(vals)), "t": range(len(vals)), "v": pd.array(vals, dtype="Int64")})
+    p = FlagRunProcessor(["k"], ["t", "seq"], "v", "t")
+    p.init(_Handle())
+    got = sorted((r.n_samples, r.end_time) for out in p.handleInputRows((1,), iter([pdf]), None)
+                 for r in out.itertuples())
+    assert got == expect_flags
+    p = RecordRunProcessor(["k"], ["t", "seq"], "v", "t")
+    p.init(_Handle())
+    got = sorted((r.create_time, r.value, r.run_length) for out in p.handleInputRows((1,), iter([pdf]), None)
+                 for r in out.itertuples())
+    assert got == sorted(brute.record_runs(clean))
