@@ -104,11 +104,15 @@ def q_signal_qa(spark, d):
 
 
 def q_dash_d1(spark, d):
-    return D.current_flag_panel(J.signal_current(_signal(spark, d)))
+    # Every signal key has a current flag: the top keys come from the signal.
+    signal = _signal(spark, d)
+    return D.current_flag_panel(J.signal_current(signal), keys_from=signal)
 
 
 def q_dash_d2(spark, d):
-    return D.signal_panel(J.signal_summary(_signal(spark, d)))
+    # Every signal row lands in a window: the top keys come from the signal.
+    signal = _signal(spark, d)
+    return D.signal_panel(J.signal_summary(signal), keys_from=signal)
 
 
 def q_dash_d3(spark, d):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.flags import status_level
 from rillet.functions.time import last_interval, second_bucket
-from rillet.operators.topk import restrict_to_top_keys, top_by_metric
+from rillet.operators.topk import restrict_to_top_keys, top_by_metric, top_keys
 
 TOP_KEYS = 5
 TOP_TEAMS = 7
@@ -23,16 +23,27 @@ def _range(df: DataFrame, ts: str, as_of, minutes: int) -> DataFrame:
     return df if as_of is None else last_interval(df, ts, as_of, minutes)
 
 
-def current_flag_panel(current: DataFrame, key: str = "user_id") -> DataFrame:
+def _top(df: DataFrame, key: str, keys_from: DataFrame | None) -> DataFrame:
+    """Rows of ``df`` of the 5 largest keys. ``keys_from`` is a cheaper table
+    with the same key set (e.g. the job's input when every input key has an
+    output row): the keys are then found without recomputing ``df``."""
+    if keys_from is None:
+        return restrict_to_top_keys(df, key, TOP_KEYS)
+    return df.join(F.broadcast(top_keys(keys_from, key, TOP_KEYS)), key, "left_semi")
+
+
+def current_flag_panel(current: DataFrame, key: str = "user_id", keys_from: DataFrame | None = None) -> DataFrame:
     """Max current flag of the 5 largest keys, with a two-level status."""
-    top = restrict_to_top_keys(current, key, TOP_KEYS)
+    top = _top(current, key, keys_from)
     g = top.groupBy(key).agg(F.max("flag").alias("max_flag"))
     return g.select(key, "max_flag", status_level(F.col("max_flag")).alias("status"))
 
 
-def signal_panel(summary: DataFrame, key: str = "user_id", as_of=None, minutes: int = 15) -> DataFrame:
-    """Per (top-5 key, second of window start): max of window max, mean and min."""
-    s = restrict_to_top_keys(_range(summary, "window_start", as_of, minutes), key, TOP_KEYS)
+def signal_panel(summary: DataFrame, key: str = "user_id", as_of=None, minutes: int = 15,
+                 keys_from: DataFrame | None = None) -> DataFrame:
+    """Per (top-5 key, second of window start): max of window max, mean and min.
+    ``keys_from`` (the signal) applies to the whole history only."""
+    s = _top(_range(summary, "window_start", as_of, minutes), key, keys_from if as_of is None else None)
     return (s.groupBy(key, second_bucket("window_start").alias("second"))
              .agg(F.max("max").alias("max_signal"), F.max("mean").alias("mean_signal"),
                   F.max("min").alias("min_signal")))
