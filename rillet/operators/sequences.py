@@ -105,6 +105,22 @@ def flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str
                                    F.col(time_col).alias("end_time"))
 
 
+def keys_with_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str,
+                        emit_empty_first: bool = True) -> DataFrame:
+    """The keys for which :func:`flag_runs` emits at least one row, from one
+    partial/final aggregate (no ordering of the rows): with ``emit_empty_first``
+    every key that has a 0 flag; otherwise every key where some 1 precedes
+    some 0."""
+    keys = _as_list(key)
+    flags = df.where(F.col(flag).isin(0, 1))
+    if emit_empty_first:
+        return flags.where(F.col(flag) == 0).select(*keys).distinct()
+    o = _order_struct(order)
+    agg = flags.groupBy(*keys).agg(F.min(F.when(F.col(flag) == 1, o)).alias("__first1"),
+                                   F.max(F.when(F.col(flag) == 0, o)).alias("__last0"))
+    return agg.where(F.col("__first1") < F.col("__last0")).select(*keys)
+
+
 def latest_by_key(df: DataFrame, key, order: Sequence[str], value: str, out: str | None = None) -> DataFrame:
     """Last value per key by ``order`` (T4). A partial/final aggregate, so a
     hot key is pre-reduced on every map task."""
@@ -112,4 +128,4 @@ def latest_by_key(df: DataFrame, key, order: Sequence[str], value: str, out: str
     return df.groupBy(*keys).agg(F.max_by(F.col(value), _order_struct(order)).alias(out or value))
 
 
-__all__ = ["pair_average", "record_runs", "flag_runs", "latest_by_key"]
+__all__ = ["pair_average", "record_runs", "flag_runs", "keys_with_flag_runs", "latest_by_key"]

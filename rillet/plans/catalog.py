@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rillet.functions.text import WHITESPACE_RE2
 from rillet.functions.udtf import split_words
 from rillet.operators.aggregates import changelog, running_aggregate
+from rillet.operators.sequences import keys_with_flag_runs
 from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
 from rillet.session import scratch_path
@@ -116,7 +117,11 @@ def q_dash_d2(spark, d):
 
 
 def q_dash_d3(spark, d):
-    return D.run_panel(J.signal_runs(_signal(spark, d)))
+    # The keys that have runs come from one aggregate of the signal; the runs
+    # are then computed for the 5 largest of them only (runs are per key).
+    signal = _signal(spark, d)
+    with_runs = keys_with_flag_runs(signal, "user_id", J.SIGNAL_ORDER, "flag")
+    return D.run_panel(J.signal_runs(D.top_key_rows(signal, "user_id", with_runs)), keys_from=with_runs)
 
 
 def q_dash_d4_sum(spark, d):

@@ -49,9 +49,16 @@ def signal_panel(summary: DataFrame, key: str = "user_id", as_of=None, minutes:
                   F.max("min").alias("min_signal")))
 
 
-def run_panel(runs: DataFrame, key: str = "user_id", as_of=None, minutes: int = 15) -> DataFrame:
-    """D3: longest finished flag run per (top-5 key, second of its end)."""
-    r = restrict_to_top_keys(_range(runs, "end_time", as_of, minutes), key, TOP_KEYS)
+def top_key_rows(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is among the 5 largest of ``keys``."""
+    return df.join(F.broadcast(top_keys(keys, key, TOP_KEYS)), key, "left_semi")
+
+
+def run_panel(runs: DataFrame, key: str = "user_id", as_of=None, minutes: int = 15,
+              keys_from: DataFrame | None = None) -> DataFrame:
+    """D3: longest finished flag run per (top-5 key, second of its end).
+    ``keys_from``: the keys that have runs (whole history only)."""
+    r = _top(_range(runs, "end_time", as_of, minutes), key, keys_from if as_of is None else None)
     return r.groupBy(key, second_bucket("end_time").alias("second")) \
         .agg(F.max("n_samples").alias("max_samples"))
 

@@ -188,3 +188,15 @@ def test_nulls_and_other_flags_are_not_part_of_the_sequence(spark):
     got = sorted((r.create_time, r.value, r.run_length) for out in p.handleInputRows((1,), iter([pdf]), None)
                  for r in out.itertuples())
     assert got == sorted(brute.record_runs(clean))
+
+
+@pytest.mark.parametrize("emit_empty_first", [True, False])
+def test_keys_with_flag_runs_matches_output(spark, emit_empty_first):
+    from rillet.operators import keys_with_flag_runs
+
+    rows = _random_rows(7)
+    rows += [(10_000 + i, 100 + i // 3, i, v) for i, v in enumerate([1, 1, 1, 0, 0, 0, 1, 0, 0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.k for r in keys_with_flag_runs(df, "k", ["t", "seq"], "v", emit_empty_first).collect()}
+    out = {r.k for r in flag_runs(df, "k", ["t", "seq"], "v", "seq", emit_empty_first).collect()}
+    assert got == out
