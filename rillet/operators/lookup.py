@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+_BOUNDED: dict[tuple, bool] = {}
+
+
 def bounded_rows(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
-    return df.limit(limit + 1).count() <= limit
+    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows),
+    remembered per plan."""
+    memo = (df.semanticHash(), limit)
+    if memo not in _BOUNDED:
+        _BOUNDED[memo] = df.limit(limit + 1).count() <= limit
+    return _BOUNDED[memo]
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
