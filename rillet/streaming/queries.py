@@ -8,6 +8,7 @@ back as a table; :func:`run_available` runs a query over everything present
 
 from __future__ import annotations
 
+import os
 import time
 from collections.abc import Callable, Sequence
 
@@ -28,11 +29,18 @@ GLOBAL_KEY = "__all"
 
 def stream_table(spark: SparkSession, folder: str, name: str, schema: T.StructType = EVENTS,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet table folder as a stream: files are taken oldest first."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    """Table ``name`` of a folder as a stream; files are taken oldest first.
+
+    The table is either a directory ``<name>.parquet/`` of part files (as
+    Spark writes it) or files ``<name>*.parquet`` directly in ``folder``.
+    """
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(folder)
+    table_dir = f"{folder.rstrip('/')}/{name}.parquet"
+    if os.path.isdir(table_dir):
+        return r.parquet(table_dir)
+    return r.option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
 
 
 def _keyed(df: DataFrame, key):

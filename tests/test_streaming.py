@@ -233,3 +233,12 @@ def test_restart_on_failure_retries_from_checkpoint():
     starts.clear()
     with pytest.raises(RuntimeError):
         restart_on_failure(lambda: _Query(fail=True), attempts=2, delay_s=0)
+
+
+def test_stream_table_reads_spark_written_table(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+    spark.read.parquet(f"{SF}/events.parquet").write.parquet(f"{folder}/events.parquet")
+    ev = stream_table(spark, folder, "events", EVENTS)
+    out = str(tmp_path / "out")
+    run_available(append_sink(ev.select("event_id"), out, str(tmp_path / "ck"), trigger={"availableNow": True}))
+    assert spark.read.parquet(out).count() == 1000
