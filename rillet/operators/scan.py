@@ -207,6 +207,13 @@ def _before(w):
 def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
          width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
          keep: Sequence[str] = ()) -> DataFrame:
+    """See :func:`scan_chunks`; returns the rows only."""
+    return scan_chunks(df, key, order, value, width, rows_per_chunk, keep)[0]
+
+
+def scan_chunks(df: DataFrame, key, order: Sequence[str], value: str | None = None,
+                width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                keep: Sequence[str] = ()) -> tuple[DataFrame, bool]:
     """Rows of ``df`` with global sequence columns, computed chunk-parallel.
 
     Adds ``__rn`` (1-based position within the key). With ``value`` also
@@ -215,7 +222,8 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
     key, NULL for the key's first row). Keeps ``__k``/``__c``; callers drop
     every ``__`` column. Only the key, order, value and ``keep`` columns
     pass through (the caller must use them all, so that the summary and the
-    rows read the same columns and share one shuffle).
+    rows read the same columns and share one shuffle). Also says whether any
+    key has more than one chunk.
     """
     order = list(order)
     cols = list(dict.fromkeys(_as_list(key) + order + ([value] if value else []) + list(keep)))
@@ -246,7 +254,7 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
         if value is not None:
             carry.update({"__cv": F.lit(None).cast(df.schema[value].dataType),
                           "__cl": F.lit(None).cast("long")})
-        return _finish(rows.withColumns(carry), value)
+        return _finish(rows.withColumns(carry), value), False
 
     # One summary row per chunk, then prefix windows over the summaries of
     # each key (a few rows per key).
@@ -284,7 +292,7 @@ def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
     # Only chunks after a key's first carry anything; with per-key chunks
     # those are the hot keys' chunks, a table small enough to broadcast.
     rows = rows.join(s.where(F.col("__off") > 0).select(*keep), [K, C], "left")
-    return _finish(rows, value)
+    return _finish(rows, value), True
 
 
 def _finish(rows: DataFrame, value: str | None) -> DataFrame:

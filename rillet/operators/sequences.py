@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.flags import truncating_mean
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan, scan_chunks
 
 
 def _order_struct(order: Sequence[str]):
@@ -36,7 +36,7 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     """
     keys = _as_list(key)
     df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
-    rows = scan(df, key, order, None, width, rows_per_chunk, keep=[value, time_col])
+    rows, multi = scan_chunks(df, key, order, None, width, rows_per_chunk, keep=[value, time_col])
     rows = rows.withColumn("__g", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("long"))
     # Ordered by the global row number (a long): fixed-width buffers keep
     # both aggregates hash-based, with no extra sort of the rows.
@@ -47,6 +47,9 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
                      F.max("__rn").alias("__hi"),
                      F.max_by(F.col(time_col), F.col("__rn")).alias("__t")))
     whole = part.where(F.col("__cnt") == size)
+    cols = keys + [F.col("__t").alias(time_alias), truncating_mean(F.col("__sum"), size).alias(out)]
+    if not multi:  # no chunk borders: an incomplete group is a key's unreported tail
+        return whole.select(*cols)
     merged = (part.where(F.col("__cnt") < size)
                   .groupBy(K, "__g")
                   .agg(*[F.first(k).alias(k) for k in keys],
@@ -54,7 +57,6 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
                        F.sum("__sum").alias("__sum"),
                        F.max_by("__t", "__hi").alias("__t"))
                   .where(F.col("__cnt") == size))
-    cols = keys + [F.col("__t").alias(time_alias), truncating_mean(F.col("__sum"), size).alias(out)]
     return whole.select(*cols).unionByName(merged.select(*cols))
 
 
