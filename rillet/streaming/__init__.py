@@ -6,7 +6,7 @@ from rillet.streaming.queries import (
     stream_record_runs, stream_table, stream_window_summary, stream_word_count, upsert_to_table,
 )
 from rillet.streaming.sinks import (
-    append_sink, as_text_lines, changelog_records, console_sink, fan_out, progress_report, read_upserted, upsert_batch,
+    append_sink, as_text_lines, changelog_records, compact_upserts, console_sink, fan_out, progress_report, read_upserted, upsert_batch,
     upsert_sink, text_rows_sink, write_changelog_json, write_text_rows,
 )
 
@@ -14,7 +14,7 @@ __all__ = [
     "FlagRunProcessor", "PairAverageProcessor", "RecordRunProcessor", "append_to_table", "restart_on_failure",
     "run_available", "stream_flag_runs", "stream_latest", "stream_pair_average", "stream_record_runs",
     "stream_table", "stream_window_summary", "stream_word_count", "upsert_to_table", "append_sink",
-    "as_text_lines", "text_rows_sink", "write_text_rows",
+    "as_text_lines", "text_rows_sink", "write_text_rows", "compact_upserts",
     "changelog_records", "console_sink", "fan_out", "progress_report", "read_upserted", "upsert_batch",
     "upsert_sink", "write_changelog_json",
 ]

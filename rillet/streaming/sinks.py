@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -77,23 +78,77 @@ def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: Sequence[str],
 
 
 def upsert_sink(df: DataFrame, path: str, checkpoint: str, key: Sequence[str], order: Sequence[str],
-                mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
-    """Last write per key wins (K5). Read the current table with :func:`read_upserted`."""
+                mode: str = "update", trigger: dict | None = None,
+                compact_every: int | None = 100) -> StreamingQuery:
+    """Last write per key wins (K5). Read the current table with :func:`read_upserted`.
+
+    Every ``compact_every`` batches the earlier batches (all committed by
+    then) are compacted, so readers never merge more than that many folders.
+    A replayed batch repeats the same compaction, which changes nothing.
+    """
     key, order = list(key), list(order)
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda b, i: upsert_batch(b, i, path, key, order))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(batch, batch_id, path, key, order)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_upserts(batch.sparkSession, path, key, order, upto=batch_id - 1)
+
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _start(w, trigger)
 
 
+COMPACTED = "_compacted"
+
+
+def _compacted_upto(spark: SparkSession, path: str) -> int | None:
+    """Batch id of the latest compaction of an upsert table, if any."""
+    try:
+        marks = spark.read.text(f"{path}/{COMPACTED}").collect()  # one short line per compaction
+    except AnalysisException:  # no compaction yet
+        return None
+    return max(int(r.value) for r in marks) if marks else None
+
+
 def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The current state of an upsert table: per key the row of the latest batch
-    (then greatest ``order``). Merge-on-read as one aggregate; no rewrite of
-    earlier batches is needed."""
-    raw = spark.read.parquet(path)
+    (then greatest ``order``). Merge-on-read as one aggregate. Folders older
+    than the last compaction are pruned by the partition filter, so they are
+    neither listed nor read."""
+    raw = spark.read.option("basePath", path).parquet(f"{path}/{BATCH_COL}=*")
+    upto = _compacted_upto(spark, path)
+    if upto is not None:
+        raw = raw.where(F.col(BATCH_COL) >= upto)
     merged = latest_per_key(raw, list(key), [BATCH_COL] + list(order))
     return merged.drop(BATCH_COL)
 
 
+def compact_upserts(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
+                    upto: int) -> None:
+    """Fold every batch up to ``upto`` (a batch the query has committed) into
+    batch ``upto``'s folder, then record ``upto`` so readers skip the older
+    folders.
+
+    The rewritten folder holds each key's latest row as of ``upto`` (a
+    superset of that batch's own rows), so newer batches still win and a
+    reader sees the same table before and after. The merged rows are
+    materialised in the checkpoint folder first, because a folder cannot be
+    overwritten while it is being read.
+    """
+    from rillet.session import scratch_path
+
+    raw = spark.read.option("basePath", path).parquet(f"{path}/{BATCH_COL}=*")
+    base = _compacted_upto(spark, path)
+    raw = raw.where(F.col(BATCH_COL) <= upto)
+    if base is not None:
+        raw = raw.where(F.col(BATCH_COL) >= base)
+    merged = latest_per_key(raw, list(key), [BATCH_COL] + list(order)).drop(BATCH_COL)
+    staged = scratch_path(spark, "upsert-compaction")
+    merged.write.parquet(staged)
+    spark.read.parquet(staged).write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={upto}")
+    spark.createDataFrame([(str(upto),)], "value string").coalesce(1) \
+        .write.mode("append").text(f"{path}/{COMPACTED}")
+
+
 def fan_out(df: DataFrame, writers: dict[str, Callable[[DataFrame, int], None]], checkpoint: str,
             mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
     """One source read, many per-batch sinks (K9): each micro-batch is persisted

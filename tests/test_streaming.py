@@ -242,3 +242,34 @@ def test_stream_table_reads_spark_written_table(spark, tmp_path):
     out = str(tmp_path / "out")
     run_available(append_sink(ev.select("event_id"), out, str(tmp_path / "ck"), trigger={"availableNow": True}))
     assert spark.read.parquet(out).count() == 1000
+
+
+def test_upsert_compaction_keeps_the_table(spark, tmp_path):
+    from rillet.streaming import compact_upserts
+
+    path = str(tmp_path / "t")
+    schema = "k long, v long, seq long"
+    batches = [[(1, 10, 0), (2, 20, 1)], [(1, 11, 2)], [(3, 30, 3), (2, 21, 4)], [(1, 12, 5)]]
+    for i, rows in enumerate(batches[:3]):
+        upsert_batch(spark.createDataFrame(rows, schema), i, path, ["k"], ["seq"])
+    before = _rows(read_upserted(spark, path, ["k"], ["seq"]).select("k", "v"))
+    compact_upserts(spark, path, ["k"], ["seq"], upto=1)
+    assert _rows(read_upserted(spark, path, ["k"], ["seq"]).select("k", "v")) == before
+    upsert_batch(spark.createDataFrame(batches[3], schema), 3, path, ["k"], ["seq"])
+    compact_upserts(spark, path, ["k"], ["seq"], upto=3)
+    got = _rows(read_upserted(spark, path, ["k"], ["seq"]).select("k", "v"))
+    assert got == [(1, 12), (2, 21), (3, 30)]
+
+
+def test_upsert_sink_compacts_as_it_goes(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    folder = str(tmp_path / "ev")
+    _write_slices(spark, events, folder, 5)
+    ev = stream_table(spark, folder, "events", EVENTS, max_files_per_trigger=1)
+    out = str(tmp_path / "latest")
+    q = upsert_sink(stream_latest(role_signal(ev), "user_id", ORDER, "flag"), out, str(tmp_path / "ckpt"),
+                    ["user_id"], ORDER, trigger={"availableNow": True}, compact_every=2)
+    run_available(q)
+    assert (tmp_path / "latest" / "_compacted").exists()
+    got = read_upserted(spark, out, ["user_id"], ORDER).select("user_id", "flag")
+    assert _rows(got) == _rows(J.signal_current(role_signal(events)))
