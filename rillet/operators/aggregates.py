@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.functions.text import WHITESPACE_JAVA
+from rillet.functions.text import split_blanks
 from rillet.functions.time import to_ntz
 from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, chunking
 
@@ -33,9 +33,9 @@ def word_count(lines: DataFrame, line: str = "line") -> DataFrame:
     ``explode`` stays in the JVM; the count is pre-aggregated per task, so a
     very frequent word costs one row per task in the shuffle.
     """
-    words = lines.select(F.explode(F.split(F.col(line), WHITESPACE_JAVA)).alias("word"))
-    # Empty strings appear only around leading/trailing whitespace; a plain
-    # filter after explode stays in generated code (a lambda filter would not).
+    words = lines.select(F.explode(split_blanks(line)).alias("word"))
+    # A plain filter after explode stays in generated code (a lambda filter
+    # would not).
     words = words.where(F.col("word") != F.lit(""))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 

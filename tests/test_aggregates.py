@@ -100,3 +100,21 @@ def test_word_count_changelog_across_chunks(spark, chunking):
                 expect.append((doc_id, pos, 1, "+I", w, 1))
             counts[w] = c + 1
     assert got == sorted(expect)
+
+
+def test_whitespace_sets_agree():
+    import re
+
+    from rillet.functions.text import WHITESPACE_CHARS, WHITESPACE_JAVA
+
+    assert len(WHITESPACE_CHARS) == 29
+    # Java's \s is exactly [\t\n\x0b\f\r ]; spell it out (Python's \s is wider).
+    java_class = re.compile(WHITESPACE_JAVA.replace("\\s", "\\t\\n\\x0b\\x0c\\r "))
+    assert {c for c in map(chr, range(0x10000)) if java_class.fullmatch(c)} == set(WHITESPACE_CHARS)
+
+
+def test_tokenize_array(spark):
+    from rillet.functions import tokenize
+
+    df = spark.createDataFrame([(" a　b  c\x1c",), (None,)], "line string")
+    assert [r.t for r in df.select(tokenize("line").alias("t")).collect()] == [["a", "b", "c"], None]
