@@ -76,7 +76,7 @@ class PairAverageProcessor(_Ordered):
         self.acc = handle.getValueState("acc", "n int, total long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n0, total0 = self.acc.get() if self.acc.exists() else (0, 0)
+        n0, total0 = self.acc.get() or (0, 0)  # get() is None when absent: one state call
         pdf = self._batch(rows, self.value)
         v = pdf[self.value].to_numpy(dtype=np.int64)
         m = len(v)
@@ -110,7 +110,7 @@ class RecordRunProcessor(_Ordered):
         self.best = handle.getMapState("best", f"v {self.value_type}", "len int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        prev, length = self.run.get() if self.run.exists() else (None, 0)
+        prev, length = self.run.get() or (None, 0)
         pdf = self._batch(rows, self.value)
         if pdf.empty:
             return
@@ -120,8 +120,8 @@ class RecordRunProcessor(_Ordered):
         # maximum over this batch's earlier rows of the same value.
         base = {}
         for val in pd.unique(v):
-            k = (val.item() if hasattr(val, "item") else val,)
-            base[val] = self.best.getValue(k)[0] if self.best.containsKey(k) else 1
+            best = self.best.getValue((val.item() if hasattr(val, "item") else val,))
+            base[val] = best[0] if best else 1
         earlier = pdf.groupby(self.value, sort=False)["__n"].cummax().groupby(pdf[self.value], sort=False).shift(1)
         bar = np.maximum(pdf[self.value].map(base).to_numpy(dtype=np.int64),
                          earlier.fillna(0).to_numpy(dtype=np.int64))
@@ -148,8 +148,9 @@ class FlagRunProcessor(_Ordered):
         self.run = handle.getValueState("run", "prev int, len int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        has_prev = self.run.exists()
-        prev, length = self.run.get() if has_prev else (None, 0)
+        state = self.run.get()
+        has_prev = state is not None
+        prev, length = state or (None, 0)
         pdf = self._batch(rows, self.flag)
         f = pdf[self.flag].to_numpy(dtype=np.int64)
         keep = (f == 0) | (f == 1)  # other flag values change nothing
