@@ -57,6 +57,13 @@ def q_team_spend(spark, d):
     return J.team_spend(role_payments(load(spark, d, "customer")), role_teams(load(spark, d, "nation")))
 
 
+def q_team_spend_changelog(spark, d):
+    payments = load(spark, d, "customer").select(F.col("c_nationkey").alias("team_id"),
+                                                  F.col("c_acctbal").alias("pay_amount"),
+                                                  F.col("c_custkey").alias("order_id"))
+    return J.team_spend_changelog(payments, role_teams(load(spark, d, "nation")))
+
+
 def q_keyed_sum(spark, d):
     return J.keyed_spend(_signal(spark, d))
 
@@ -227,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_udtf": q_word_count_udtf,
     "word_count_changelog": q_word_count_changelog,
     "team_spend": q_team_spend,
+    "team_spend_changelog": q_team_spend_changelog,
     "keyed_sum": q_keyed_sum,
     "running_count": q_running_count,
     "changelog": q_changelog,
@@ -278,6 +286,20 @@ FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name
 """
 
+_TEAM_CHANGES = """
+WITH p AS (SELECT n.n_name AS team, c.c_custkey AS order_id, CAST(c.c_acctbal AS DECIMAL(18,2)) AS amt
+           FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+r AS (SELECT team, order_id, amt,
+             sum(amt) OVER (PARTITION BY team ORDER BY order_id ROWS UNBOUNDED PRECEDING) AS cur,
+             row_number() OVER (PARTITION BY team ORDER BY order_id) AS pos
+      FROM p)
+SELECT team, '+I' AS op, CAST(cur AS DOUBLE) AS pay_amount, order_id, 1 AS change_seq FROM r WHERE pos = 1
+UNION ALL
+SELECT team, '-U' AS op, CAST(cur - amt AS DOUBLE) AS pay_amount, order_id, 0 AS change_seq FROM r WHERE pos > 1
+UNION ALL
+SELECT team, '+U' AS op, CAST(cur AS DOUBLE) AS pay_amount, order_id, 1 AS change_seq FROM r WHERE pos > 1
+"""
+
 _SUMMARY = f"""
 SELECT user_id,
        CAST(avg(CAST(value AS FLOAT)) AS FLOAT) AS mean,
@@ -365,6 +387,7 @@ ORACLE_SQL: dict[str, str] = {
     "word_count_udtf": _WORDS,
     "word_count_changelog": _WORD_CHANGES,
     "team_spend": _TEAM_SPEND,
+    "team_spend_changelog": _TEAM_CHANGES,
     "keyed_sum": "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total "
                  "FROM events GROUP BY user_id",
     "running_count": _RUNNING_COUNT,

@@ -58,6 +58,20 @@ def team_spend(payments: DataFrame, teams: DataFrame) -> DataFrame:
     return named.groupBy("team").agg(F.sum("amt").cast("double").alias("pay_amount"))
 
 
+def team_spend_changelog(payments: DataFrame, teams: DataFrame, order: str = "order_id") -> DataFrame:
+    """J2 as the upsert stream it emits: each payment, in ``order``, changes
+    its team's running spend (``+I`` first, then ``-U`` old / ``+U`` new).
+
+    The lookup is a broadcast join per payment (the dimension is checked
+    small); sums run in exact decimals, so the values do not depend on
+    how rows are grouped into tasks.
+    """
+    named = lookup(payments, teams, "team_id").select(
+        "team", order, F.col("pay_amount").cast(MONEY).alias("amount"))
+    ch = changelog(named, "team", [order], "amount", "sum", "pay_amount")
+    return ch.withColumn("pay_amount", F.col("pay_amount").cast("double"))
+
+
 def keyed_spend(signal: DataFrame) -> DataFrame:
     """A1 on the signal: exact total of the value per key."""
     return keyed_sum(signal, "user_id", "value", "total")
