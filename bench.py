@@ -30,30 +30,38 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="rillet-bench")
+    errors: dict[str, str] = {}
+
+    def timed(name, fn, runs):
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            out = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                out.append(time.perf_counter() - t0)
+            return round(statistics.median(out), 3)
+        except Exception as e:  # report and go on with the other queries
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            return None
+
     times: dict[str, float] = {}
     for name, fn in QUERIES.items():
-        if only and name not in only:
-            continue
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 3)
+        if not only or name in only:
+            t = timed(name, fn, repeat)
+            if t is not None:
+                times[name] = t
     stream_times: dict[str, float] = {}
     if os.environ.get("BENCH_STREAMS", "1") != "0":
         for name, fn in STREAM_QUERIES.items():
-            if only and name not in only:
-                continue
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            stream_times[name] = round(time.perf_counter() - t0, 3)
+            if not only or name in only:
+                t = timed(name, fn, 1)
+                if t is not None:
+                    stream_times[name] = t
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "stream_queries": stream_times,
-                      "sf": sf, "cpus": cpus, "repeat": repeat}))
+                      "errors": errors, "sf": sf, "cpus": cpus, "repeat": repeat}))
     spark.stop()
 
 
