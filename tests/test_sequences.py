@@ -219,3 +219,27 @@ def test_chunked_equals_whole_on_skewed_events(spark):
         whole, cut = op(), op(rows_per_chunk=2000)
         assert whole.count() == cut.count()
         assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
+
+
+def test_chunked_without_aqe_or_broadcasts(spark):
+    """With AQE off and no automatic broadcasts the summaries are joined by
+    sort-merge; results stay the same as with every key whole."""
+    from rillet.operators import running_aggregate
+    from rillet.sources.tables import load, role_bits, role_signal
+
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = load(spark, "/root/testdata/sf0.001", "events")
+        bits, sig, o = role_bits(ev), role_signal(ev), ["ts", "event_id"]
+        for op in (lambda **kw: pair_average(bits, "user_id", o, "bit", "ts", **kw),
+                   lambda **kw: record_runs(bits, None, o, "bit", "ts", **kw),
+                   lambda **kw: flag_runs(sig, "user_id", o, "flag", "ts", **kw),
+                   lambda **kw: running_aggregate(ev.select("event_id", "ts", "event_type"), "event_type", o,
+                                                  None, "count", "n", **kw)):
+            whole, cut = op(), op(rows_per_chunk=9)
+            assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
