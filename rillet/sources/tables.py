@@ -34,15 +34,17 @@ def register_views(spark: SparkSession, folder: str, names=TABLES) -> list[str]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it reads fewer files than there are cores.
-
-    A large table is many files, so its scan is already parallel and this is
-    a no-op; a table stored as one or a few files may be read by as many
-    tasks, which matters before CPU-heavy per-row work (tokenising). The
-    check lists the input files (metadata only; no job runs).
+    """Spread a scan over all cores when it has fewer input splits than cores.
+
+    A large table has many splits (files and row groups), so its scan is
+    already parallel and this is a no-op; a table stored as one row group is
+    read by one task, which matters before CPU-heavy per-row work
+    (tokenising). The check reads the planned split count of the scan
+    (metadata only; no job runs). A file count would not do: a few huge
+    files are many splits.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
