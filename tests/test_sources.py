@@ -48,3 +48,26 @@ def test_register_views(spark):
     assert names == ["nation", "events"]
     assert spark.table("nation").count() == 25
     assert spark.sql("SELECT count(*) AS n FROM events").first().n == 1000
+
+
+def test_spread_only_small_scans(spark):
+    from rillet.sources import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert spread(one).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(wide) is wide
+
+
+def test_decode_kafka_shaped_records(spark):
+    from rillet.schemas import BITS
+
+    raw = spark.createDataFrame([
+        (bytearray(b'{"createTime":"2024-01-01 00:00:01","binaryInt":1}'), 0, 10),
+        (bytearray(b'not json'), 0, 11),
+    ], "value binary, partition int, offset long")
+    df = decode_json(raw, BITS, "value", keep=("partition", "offset"))
+    rows = sorted(df.collect(), key=lambda r: r.offset)
+    assert (rows[0].binaryInt, rows[0].offset, rows[0]._corrupt_record) == (1, 10, None)
+    assert rows[1]._corrupt_record == "not json"
