@@ -109,12 +109,19 @@ def _compacted_upto(spark: SparkSession, path: str) -> int | None:
     return max(int(r.value) for r in marks) if marks else None
 
 
-def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
+                  schema=None) -> DataFrame:
     """The current state of an upsert table: per key the row of the latest batch
     (then greatest ``order``). Merge-on-read as one aggregate. Folders older
     than the last compaction are pruned by the partition filter, so they are
-    neither listed nor read."""
-    raw = spark.read.option("basePath", path).parquet(f"{path}/{BATCH_COL}=*")
+    neither listed nor read. With ``schema``, a table no batch has written
+    yet reads as empty."""
+    try:
+        raw = spark.read.option("basePath", path).parquet(f"{path}/{BATCH_COL}=*")
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
     upto = _compacted_upto(spark, path)
     if upto is not None:
         raw = raw.where(F.col(BATCH_COL) >= upto)

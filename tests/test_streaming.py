@@ -273,3 +273,10 @@ def test_upsert_sink_compacts_as_it_goes(spark, tmp_path):
     assert (tmp_path / "latest" / "_compacted").exists()
     got = read_upserted(spark, out, ["user_id"], ORDER).select("user_id", "flag")
     assert _rows(got) == _rows(J.signal_current(role_signal(events)))
+
+
+def test_read_upserted_before_any_batch(spark, tmp_path):
+    got = read_upserted(spark, str(tmp_path / "none"), ["k"], ["seq"], schema="k long, v long, seq long")
+    assert got.count() == 0 and got.columns == ["k", "v", "seq"]
+    with pytest.raises(Exception):
+        read_upserted(spark, str(tmp_path / "none"), ["k"], ["seq"])
