@@ -1,7 +1,7 @@
 """Run a job from the command line, batch or streaming.
 
     python -m rillet <job> --input DIR --output DIR [--stream] [--checkpoint DIR]
-                           [--available-now] [--trigger-seconds N]
+                           [--available-now] [--trigger-seconds N] [--restarts N]
 
 ``<job>`` is one of the registered batch queries (``python -m rillet list``).
 The streaming jobs are word_count, team_spend, pair_average, record_runs
@@ -55,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", help="checkpoint folder (default: spark.checkpoint.dir)")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--trigger-seconds", type=float, default=1.0)
+    p.add_argument("--restarts", type=int, default=0,
+                   help="streaming: restart the job's queries from their checkpoints up to N times")
+    p.add_argument("--restart-delay", type=float, default=2.0, help="seconds between restarts")
     p.add_argument("--master", help="Spark master when not under spark-submit, e.g. local[8]")
     a = p.parse_args(argv)
     if a.job == "list":
@@ -71,13 +74,36 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     trigger = {"availableNow": True} if a.available_now else {"processingTime": f"{a.trigger_seconds} seconds"}
     ckpt = a.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/rillet-{a.job}"
-    queries = _start_stream(spark, a.job, a.input, a.output, ckpt, trigger)
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            print(q.exception(), file=sys.stderr)
-            return 1
-    return 0
+    return run_with_restarts(lambda: _start_stream(spark, a.job, a.input, a.output, ckpt, trigger),
+                             a.restarts, a.restart_delay)
+
+
+def run_with_restarts(start, restarts: int, delay_s: float) -> int:
+    """Run a job's queries; when one fails, stop the others and start them all
+    again from their checkpoints (fixed delay, at most ``restarts`` times)."""
+    import time
+
+    for attempt in range(restarts + 1):
+        queries = start()
+        failed = None
+        for q in queries:
+            try:
+                q.awaitTermination()
+            except Exception as e:  # the query failed
+                failed = e
+            if failed is None and q.exception() is not None:
+                failed = q.exception()
+            if failed is not None:
+                break
+        if failed is None:
+            return 0
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        print(f"attempt {attempt + 1} failed: {failed}", file=sys.stderr)
+        if attempt < restarts:
+            time.sleep(delay_s)
+    return 1
 
 
 if __name__ == "__main__":
