@@ -86,15 +86,17 @@ def run_with_restarts(start, restarts: int, delay_s: float) -> int:
     for attempt in range(restarts + 1):
         queries = start()
         failed = None
-        for q in queries:
-            try:
-                q.awaitTermination()
-            except Exception as e:  # the query failed
-                failed = e
-            if failed is None and q.exception() is not None:
-                failed = q.exception()
-            if failed is not None:
-                break
+        # Poll every query, so a failure of any one is seen while the others run.
+        while failed is None and any(q.isActive for q in queries):
+            for q in queries:
+                try:
+                    q.awaitTermination(0.5)
+                except Exception as e:  # the query failed
+                    failed = e
+                if failed is None and q.exception() is not None:
+                    failed = q.exception()
+                if failed is not None:
+                    break
         if failed is None:
             return 0
         for q in queries:
