@@ -61,7 +61,8 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "stream_queries": stream_times,
-                      "errors": errors, "sf": sf, "cpus": cpus, "repeat": repeat}))
+                      "errors": errors, "sf": sf, "cpus": cpus, "repeat": repeat,
+                      "spark": spark.version}))
     spark.stop()
 
 
