@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillet.session import scratch_path
@@ -145,3 +145,48 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def per_row(row: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
     """Counts (or sums of weights) by row number, as int64."""
     return np.bincount(row, weights, minlength=n).astype(np.int64)
+
+
+def span_sums(mask: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Number of true values between neighbouring offsets."""
+    total = np.zeros(len(mask) + 1, np.int64)
+    np.cumsum(mask, out=total[1:])
+    return total[offs[1:]] - total[offs[:-1]]
+
+
+def add_columns(df: DataFrame, columns: dict[str, str], fn, text_col: str = "text") -> DataFrame:
+    """``df`` with columns {name: Spark type} that ``fn(data, offsets)`` computes.
+
+    ``fn`` gets the bytes and offsets of a slice of texts and returns one array
+    for each column; it runs once per slice of an Arrow batch."""
+    small_batches(df.sparkSession)
+    names = df.columns
+    at = names.index(text_col)
+    schema = df.limit(0).select("*", *(F.lit(None).cast(t).alias(c) for c, t in columns.items())).schema
+
+    def run(batches):
+        for b in batches:
+            parts = [[] for _ in columns]
+            for _, _, data, offs in text_slices(b.column(at)):
+                for p, x in zip(parts, fn(data, offs), strict=True):
+                    p.append(x)
+            new = [pa.array(np.concatenate(p) if p else np.zeros(0, np.int64)) for p in parts]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*names, *columns])
+
+    return df.mapInArrow(run, schema)
+
+
+def count_words(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
+    _, _, row = word_bounds(data, offs)
+    return [per_row(row, len(offs) - 1)]
+
+
+def numbered_chunks(df: DataFrame, group: list[str], chunk: str, weight: Column | str, out: str) -> DataFrame:
+    """``df`` with the running total of ``weight`` before each row's chunk.
+
+    Two levels, so that no task holds a whole group: totals of (group, chunk)
+    first, then a window over those totals only."""
+    w = Window.partitionBy(*group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(*group, chunk).agg(F.sum(weight).alias("_sum"))
+    before = sums.select(*group, chunk, F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias(out))
+    return df.join(before, [*group, chunk])

@@ -4,18 +4,38 @@ from __future__ import annotations
 
 from rillet.llm.common import tables
 from rillet.llm.exact_dedup import exact_groups
+from rillet.llm.mixing import mix_table
+from rillet.llm.packing import pack_table
+from rillet.llm.quality_rules import quality_table
 from rillet.llm.sharding import shard_table
+from rillet.llm.token_counts import token_table
+
+
+def op2_token_counts(spark, d):
+    return token_table(tables(spark, d, "documents"))
 
 
 def op3_sharding(spark, d):
     return shard_table(tables(spark, d, "documents"), 24)
 
 
+def op6_packing(spark, d):
+    return pack_table(tables(spark, d, "documents"))
+
+
 def op7_exact_dedup(spark, d):
     return exact_groups(tables(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op7_exact_dedup)}
+def op8_mixing(spark, d):
+    return mix_table(tables(spark, d, "documents"))
+
+
+def op9_quality_rules(spark, d):
+    return quality_table(tables(spark, d, "documents"), tables(spark, d, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_sharding, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
