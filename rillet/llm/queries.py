@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rillet.llm.common import tables
 from rillet.llm.exact_dedup import exact_groups
+from rillet.llm.minhash import near_groups
 from rillet.llm.mixing import mix_table
 from rillet.llm.packing import pack_table
 from rillet.llm.quality_rules import quality_table
@@ -35,7 +36,11 @@ def op9_quality_rules(spark, d):
     return quality_table(tables(spark, d, "documents"), tables(spark, d, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_sharding, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules)}
+def op10_minhash(spark, d):
+    return near_groups(tables(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_sharding, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
