@@ -7,9 +7,15 @@ from rillet.llm.exact_dedup import exact_groups
 from rillet.llm.minhash import near_groups
 from rillet.llm.mixing import mix_table
 from rillet.llm.packing import pack_table
+from rillet.llm.quality_gam import quality_scores
 from rillet.llm.quality_rules import quality_table
 from rillet.llm.sharding import shard_table
 from rillet.llm.token_counts import token_table
+from rillet.llm.url_filter import url_verdicts
+
+
+def op1_url_filters(spark, d):
+    return url_verdicts(tables(spark, d, "pages"))
 
 
 def op2_token_counts(spark, d):
@@ -20,6 +26,10 @@ def op3_sharding(spark, d):
     return shard_table(tables(spark, d, "documents"), 24)
 
 
+def op5_quality_classifier(spark, d):
+    return quality_scores(tables(spark, d, "documents"), tables(spark, d, "labels"))
+
+
 def op6_packing(spark, d):
     return pack_table(tables(spark, d, "documents"))
 
@@ -40,7 +50,7 @@ def op10_minhash(spark, d):
     return near_groups(tables(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_sharding, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
