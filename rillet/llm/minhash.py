@@ -89,10 +89,10 @@ def fast_sketch(sets: list[np.ndarray], t: int = T) -> np.ndarray:
     return out
 
 
-def _sketch_rows(batches):
+def _sketch_rows(batches, width):
     for b in batches:
         for i, j, data, offs in text_slices(b.column(1), lower=True):
-            sets = shingle_sets(data, offs)
+            sets = shingle_sets(data, offs, width)
             sketch = fast_sketch(sets)
             band = np.zeros((len(sets), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
             for r in range(BAND_ROWS):
@@ -110,7 +110,7 @@ def _sketch_rows(batches):
 SET = ["_n", "_f1", "_f2"]
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(_id, _set: sorted shingle hashes as bytes) of the classes in ``wanted`` (_id and SET)."""
     joined = docs.join(wanted, "_id").select("_id", "_text", *SET)
 
@@ -118,7 +118,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             n, f1 = b.column(2).to_numpy(), b.column(3).to_numpy().view(np.uint64)
             for i, j, data, offs in text_slices(b.column(1), lower=True):
-                sets = shingle_sets(data, offs)
+                sets = shingle_sets(data, offs, width)
                 # rows that share an identifier but not the text were joined crosswise: only the right ones stay
                 own = [k for k, s in enumerate(sets) if len(s) == n[i + k] and s.sum(dtype=np.uint64) == f1[i + k]]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(own, pa.int64())),
@@ -203,16 +203,17 @@ def _plausible(members: DataFrame, least: int) -> DataFrame:
             .mapInArrow(run, "a long, b long").distinct())
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, class_size.
 
-    A document without words is linked with nothing and is its own component. Rows
+    Sets are of ``width``-word shingles (a text of fewer words is one shingle). A
+    document without words is linked with nothing and is its own component. Rows
     that share an identifier are one document for linking. A row without
     identifier can't be named as anybody's partner: its component is null and it is kept.
     ``class_size`` counts the documents with an equal set."""
     small_batches(docs.sparkSession)
     given = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    rows = written(given.mapInArrow(_sketch_rows, "_id long, _n long, _f1 long, _f2 long, _sketch binary, _bands array<long>"), "sketches")
+    rows = written(given.mapInArrow(lambda batches: _sketch_rows(batches, width), "_id long, _n long, _f1 long, _f2 long, _sketch binary, _bands array<long>"), "sketches")
     # equal sets: the least identifier stands for the class
     reps = written(rows.where("_n > 0 and _id is not null").groupBy(*SET).agg(
         F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_size"), F.first("_sketch").alias("_sketch"), F.first("_bands").alias("_bands")), "classes")
@@ -220,7 +221,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = bands.groupBy("_key").agg(F.min("_id").alias("_pivot"), F.max("_id").alias("_last")).where("_pivot <> _last")
     buckets = written(bands.join(shared.select("_key", "_pivot"), "_key"), "buckets")
     wanted = reps.select("_id", *SET).join(buckets.select("_id").distinct(), "_id", "left_semi")
-    sets = written(_sets(given, wanted), "shingle-sets")
+    sets = written(_sets(given, wanted, width), "shingle-sets")
 
     best = (buckets.where("_id <> _pivot").groupBy("_id", "_pivot").agg(F.count(F.lit(1)).alias("_c"))
             .groupBy("_id").agg(F.max_by("_pivot", F.struct("_c", -F.col("_pivot"))).alias("_pivot")))
@@ -244,7 +245,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("_id").eqNullSafe(F.col("_component")).alias("kept"), "class_size")
 
 
-def dedup_near(docs: DataFrame, percent: int = 80) -> DataFrame:
+def dedup_near(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: of each component the smallest identifier."""
-    gone = near_groups(docs, percent=percent).where("not kept").select(F.col("doc_id").cast("long").alias("_gone")).distinct()
+    gone = near_groups(docs, percent=percent, width=width).where("not kept").select(F.col("doc_id").cast("long").alias("_gone")).distinct()
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

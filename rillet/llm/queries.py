@@ -10,6 +10,7 @@ from rillet.llm.packing import pack_table
 from rillet.llm.quality_gam import quality_scores
 from rillet.llm.quality_rules import quality_table
 from rillet.llm.sharding import shard_table
+from rillet.llm.suffix_dedup import repeat_table
 from rillet.llm.token_counts import token_table
 from rillet.llm.url_filter import url_verdicts
 
@@ -26,6 +27,10 @@ def op3_sharding(spark, d):
     return shard_table(tables(spark, d, "documents"), 24)
 
 
+def op4_suffix_dedup(spark, d):
+    return repeat_table(tables(spark, d, "documents"))
+
+
 def op5_quality_classifier(spark, d):
     return quality_scores(tables(spark, d, "documents"), tables(spark, d, "labels"))
 
@@ -50,7 +55,7 @@ def op10_minhash(spark, d):
     return near_groups(tables(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op4_suffix_dedup, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
