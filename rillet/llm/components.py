@@ -37,4 +37,5 @@ def components(edges: DataFrame) -> DataFrame:
         now = written(_small_star(_large_star(now)), "components")
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == then:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("label"))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionAll(roots)

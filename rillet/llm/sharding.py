@@ -116,7 +116,7 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     per_shard = max(RANGES_PER_SHARD, -(-rows // (ROWS_PER_RANGE * shards)))
     starts, shard_of = splitters(keys, total or 0, shards, per_shard, tolerance) if rows else ([0], [0])
     found = _range_of(F.col("_key"), starts, 0, len(starts))
-    counts = dict(map(tuple, keys.groupBy(found).count().collect()))  # one row per range
+    counts = dict(map(tuple, keys.withColumn("_range", found).groupBy("_range").count().collect()))  # one row per range
     first, seen = [], {}
     for r, s in enumerate(shard_of):
         first.append(seen.get(s, 0))

@@ -83,7 +83,7 @@ def lexical(pages: DataFrame) -> DataFrame:
     }
     return pages.select("*", *(c.cast("double").alias(f"_x_{n}") for n, c in cols.items()),
                         F.element_at(labels, -1).alias("_suffix"), F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)).alias("_domain"),
-                        F.concat_ws("/", F.element_at(labels, -1), first).alias("_section"))
+                        first.alias("_section"))
 
 
 def suffix_statistics(labelled: DataFrame, key: str) -> DataFrame:
