@@ -11,10 +11,11 @@ the concentration of T independent draws.
 
 Equal sets are one class from the start. Classes that agree on all rows of a band
 share a bucket. First every class is checked against one smaller class, the one with which it
-shares most bands, and the links found are contracted. Then, in buckets
-that still hold several components, the classes outside the largest
-component are compared by sketch with all others of the bucket, in blocks, and the plausible
-pairs are verified. Verification intersects the full shingle sets.
+shares most bands, and the links found are contracted. Buckets that still hold
+several components are open; those that share a component form a cluster. In
+a cluster, the classes outside its largest component are compared with all others, in
+blocks: first by sketch, and where that allows it by intersecting the full shingle sets, which
+also confirms every link of the first step.
 
 Bounds: a pair of similarity 0.8 misses all bands with probability
 (1 - 0.8^5)^40 = 1.3e-7; a sketch that shows less than ``LEAST_AGREE`` of T
@@ -35,8 +36,10 @@ BANDS, BAND_ROWS = 40, 5
 T = BANDS * BAND_ROWS
 LEAST_AGREE = 126
 #: Classes of a bucket compared in one block, and members verified in one group.
-BLOCK = 1000
-VERIFY = 500
+BLOCK = 300
+VERIFY = 200
+#: Shingles sketched at once.
+SKETCHED = 150_000
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = 2) -> list[np.ndarray]:
@@ -89,22 +92,30 @@ def fast_sketch(sets: list[np.ndarray], t: int = T) -> np.ndarray:
     return out
 
 
+def _sketched(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+    sketch = fast_sketch(sets)
+    band = np.zeros((len(sets), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
+    for r in range(BAND_ROWS):
+        band = mix64(band * np.uint64(0x9E3779B97F4A7C15) + sketch[:, r::BAND_ROWS])
+    n = np.array([len(s) for s in sets], np.int64)
+    fp = np.array([[s.sum(dtype=np.uint64), mix64(s).sum(dtype=np.uint64)] for s in sets], np.uint64).reshape(-1, 2)
+    small = (mix64(sketch) >> np.uint64(48)).astype("<u2")
+    return pa.RecordBatch.from_arrays([
+        ids, pa.array(n), pa.array(fp[:, 0].view(np.int64)), pa.array(fp[:, 1].view(np.int64)),
+        pa.array([r.tobytes() for r in small], pa.binary()),
+        pa.ListArray.from_arrays(np.arange(0, len(sets) * BANDS + 1, BANDS, dtype=np.int32), pa.array(band.reshape(-1).view(np.int64))),
+    ], names=["_id", "_n", "_f1", "_f2", "_sketch", "_bands"])
+
+
 def _sketch_rows(batches, width):
     for b in batches:
-        for i, j, data, offs in text_slices(b.column(1), lower=True):
-            sets = shingle_sets(data, offs, width)
-            sketch = fast_sketch(sets)
-            band = np.zeros((len(sets), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
-            for r in range(BAND_ROWS):
-                band = mix64(band * np.uint64(0x9E3779B97F4A7C15) + sketch[:, r::BAND_ROWS])
-            n = np.array([len(s) for s in sets], np.int64)
-            fp = np.array([[s.sum(dtype=np.uint64), mix64(s).sum(dtype=np.uint64)] for s in sets], np.uint64).reshape(-1, 2)
-            small = (mix64(sketch) >> np.uint64(48)).astype("<u2")
-            yield pa.RecordBatch.from_arrays([
-                b.column(0).slice(i, j - i), pa.array(n), pa.array(fp[:, 0].view(np.int64)), pa.array(fp[:, 1].view(np.int64)),
-                pa.array([r.tobytes() for r in small], pa.binary()),
-                pa.ListArray.from_arrays(np.arange(0, len(sets) * BANDS + 1, BANDS, dtype=np.int32), pa.array(band.reshape(-1).view(np.int64))),
-            ], names=["_id", "_n", "_f1", "_f2", "_sketch", "_bands"])
+        sets, first = [], 0
+        for _, j, data, offs in text_slices(b.column(1), lower=True):
+            sets += shingle_sets(data, offs, width)
+            # many texts per sketching, but a bounded number of shingles
+            if j == b.num_rows or sum(map(len, sets)) >= SKETCHED:
+                yield _sketched(b.column(0).slice(first, j - first), sets)
+                sets, first = [], j
 
 
 SET = ["_n", "_f1", "_f2"]
@@ -127,6 +138,18 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return joined.mapInArrow(run, "_id long, _set binary")
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < percent * len(b):
+        return False
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    both = int((b[at] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union, as (u, v)."""
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / VERIFY).alias("_parts"))
@@ -146,61 +169,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if not role[i]:
                     heads.append(s.copy())
                     continue
-                for h in heads:
-                    if 100 * min(len(h), len(s)) >= percent * max(len(h), len(s)):
-                        both = len(np.intersect1d(h, s, assume_unique=True))
-                        if 100 * both >= percent * (len(h) + len(s) - both):
-                            us.append(a[i])
-                            vs.append(b[i])
-                            break
+                if any(similar(h, s, percent) for h in heads):
+                    us.append(a[i])
+                    vs.append(b[i])
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     return (heads.unionAll(rest).repartition("a", "_part").sortWithinPartitions("a", "_part", "_role")
             .mapInArrow(run, "u long, v long"))
 
 
-def _plausible(members: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) of different labels of a bucket whose sketches agree in ``least`` coordinates.
+def _last_links(members: DataFrame, percent: int, least: int) -> DataFrame:
+    """Links (u, v) between different labels of a cluster of open buckets.
 
-    ``members``: (_key, _id, _label, _sketch) of buckets with several labels. Members
-    outside the bucket's commonest label meet all others; both sides are dealt
-    to blocks, so a large bucket is many groups and no pair is made that the sketches rule out."""
-    main = members.groupBy("_key").agg(F.mode("_label", True).alias("_main"), F.count(F.lit(1)).alias("_m"))
-    seen = members.join(main, "_key").withColumn("_ask", F.col("_label") != F.col("_main"))
-    asks = seen.where("_ask").groupBy("_key").agg(F.count(F.lit(1)).alias("_q"))
-    seen = seen.join(asks, "_key")
+    ``members``: (_cluster, _id, _label, _sketch, _set). Members outside the cluster's
+    commonest label ask all others. Both sides are dealt to blocks, so a
+    large cluster is many groups; inside a block, an asker's candidates are those whose
+    sketch allows the similarity, the likeliest first, and their full sets are
+    intersected until it has a link to each label or none is left. Only links come out."""
+    main = members.groupBy("_cluster").agg(F.mode("_label", True).alias("_main"), F.count(F.lit(1)).alias("_m"))
+    seen = members.join(main, "_cluster").withColumn("_ask", F.col("_label") != F.col("_main"))
+    asks = seen.where("_ask").groupBy("_cluster").agg(F.count(F.lit(1)).alias("_q"))
+    seen = seen.join(asks, "_cluster")
     blocks, turns = F.ceil(F.col("_m") / BLOCK), F.ceil(F.col("_q") / BLOCK)
     own = lambda n: F.pmod(F.xxhash64("_id"), n)
-    base = seen.select("_key", own(blocks).alias("_block"), F.explode(F.sequence(F.lit(0).cast("long"), turns - 1)).alias("_turn"),
-                       F.lit(0).alias("_role"), "_id", "_label", "_sketch")
-    ask = seen.where("_ask").select("_key", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_block"), own(turns).alias("_turn"),
-                                    F.lit(1).alias("_role"), "_id", "_label", "_sketch")
+    base = seen.select("_cluster", own(blocks).alias("_block"), F.explode(F.sequence(F.lit(0).cast("long"), turns - 1)).alias("_turn"),
+                       F.lit(0).alias("_role"), "_id", "_label", "_sketch", "_set")
+    ask = seen.where("_ask").select("_cluster", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_block"), own(turns).alias("_turn"),
+                                    F.lit(1).alias("_role"), "_id", "_label", "_sketch", "_set")
 
     def run(batches):
-        key, ids, labels, rows = None, [], [], []
+        key, held, table = None, [], None
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(6)]
             us, vs = [], []
-            for i, (k, bl, tu, role, x, label) in enumerate(zip(*cols, strict=True)):
-                if (k, bl, tu) != key:
-                    key, ids, labels, rows, table = (k, bl, tu), [], [], [], None
-                s = np.frombuffer(batch.column(6)[i].as_buffer(), "<u2")
+            cols = [batch.column(i).to_pylist() for i in range(6)]
+            for i, (cluster, block, turn, role, x, label) in enumerate(zip(*cols, strict=True)):
+                if (cluster, block, turn) != key:
+                    key, held, table = (cluster, block, turn), [], None
+                sketch = np.frombuffer(batch.column(6)[i].as_buffer(), "<u2")
+                full = np.frombuffer(batch.column(7)[i].as_buffer(), np.uint64)
                 if not role:
-                    ids.append(x)
-                    labels.append(label)
-                    rows.append(s.copy())
+                    held.append((x, label, sketch.copy(), full.copy()))
+                    continue
+                if not held:
                     continue
                 if table is None:
-                    table = (np.array(ids), np.array(labels), np.array(rows).reshape(len(rows), -1))
-                if len(table[0]):
-                    hit = ((table[2] == s).sum(axis=1) >= least) & (table[1] != label)
-                    for y in table[0][hit].tolist():
-                        us.append(min(x, y))
-                        vs.append(max(x, y))
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["a", "b"])
+                    table = np.array([h[2] for h in held]), np.array([h[1] for h in held])
+                agree = (table[0] == sketch).sum(axis=1)
+                hits = np.flatnonzero((agree >= least) & (table[1] != label))
+                linked = set()
+                for k in hits[np.argsort(-agree[hits], kind="stable")].tolist():
+                    y, other, _, theirs = held[k]
+                    if other not in linked and similar(full, theirs, percent):
+                        linked.add(other)
+                        us.append(x)
+                        vs.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    return (base.unionAll(ask).repartition("_key", "_block", "_turn").sortWithinPartitions("_key", "_block", "_turn", "_role")
-            .mapInArrow(run, "a long, b long").distinct())
+    return (base.unionAll(ask).repartition("_cluster", "_block", "_turn").sortWithinPartitions("_cluster", "_block", "_turn", "_role")
+            .mapInArrow(run, "u long, v long"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 2) -> DataFrame:
@@ -230,9 +256,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = buckets.select("_key", "_id").join(label, F.col("_id") == F.col("node"), "left").select(
         "_key", "_id", F.coalesce("label", "_id").alias("_label"))
-    mixed = named.groupBy("_key").agg(F.min("_label").alias("_l0"), F.max("_label").alias("_l1")).where("_l0 <> _l1").select("_key")
-    members = written(named.join(mixed, "_key").join(reps.select("_id", "_sketch"), "_id"), "open-buckets")
-    second = _verified(written(_plausible(members, LEAST_AGREE), "pairs"), sets, percent)
+    mixed = named.groupBy("_key").agg(F.min("_label").alias("_l0"), F.max("_label").alias("_l1")).where("_l0 <> _l1")
+    still = written(named.join(mixed.select("_key", "_l0"), "_key").select("_id", "_label", "_l0").distinct(), "open-buckets")
+    # open buckets that share a label are one cluster, so a class stands in one place only
+    cluster = components(still.select(F.col("_label").alias("u"), F.col("_l0").alias("v")).distinct())
+    members = (still.select("_id", "_label").distinct().join(cluster.select(F.col("node").alias("_label"), F.col("label").alias("_cluster")), "_label")
+               .join(reps.select("_id", "_sketch"), "_id").join(sets, "_id"))
+    second = _last_links(written(members, "open-classes"), percent, LEAST_AGREE)
     links = written(first.unionAll(second), "links")
     label = components(links)
 
