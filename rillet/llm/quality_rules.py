@@ -186,6 +186,9 @@ def quality_table(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns."""
-    labelled = docs.select("doc_id", "lang", "text").join(_good(labels), F.col("doc_id") == F.col("_good_id"), "left_semi")
-    cuts = written(thresholds(with_stats(labelled), "lang", risk, delta), "quality-cutoffs")
+    # the statistics of all documents, without the texts, meet the labels; then a second pass
+    # over the texts applies the cutoffs: counting twice is cheaper than shuffling the texts
+    stats = written(with_stats(docs.select("doc_id", "lang", "text")).drop("text"), "quality-stats")
+    good = stats.join(_good(labels), F.col("doc_id") == F.col("_good_id"), "left_semi")
+    cuts = written(thresholds(good, "lang", risk, delta), "quality-cutoffs")
     return with_verdict(with_stats(docs), cuts, "lang").where("_kept").select(*docs.columns)
