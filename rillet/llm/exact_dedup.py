@@ -69,11 +69,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radix: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, all columns, one of each group of equal texts.
 
-    Of repeated rows (same identifier, same text) one stays."""
-    kept = exact_groups(docs, id_col, text_col, radix).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    Of repeated rows (same identifier, same text) one stays. The texts are
+    shuffled once: the join on (identifier, digest) leaves them where
+    repeated rows meet."""
+    name = lambda ident, sha: F.concat_ws(":", F.coalesce(F.col(ident).cast("string"), F.lit("null")), sha)
+    kept = exact_groups(docs, id_col, text_col, radix).where("kept").select(name("doc_id", F.col("text_sha256")).alias("_row_name"))
     sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)
-    cols = docs.columns
-    found = docs.withColumn("_kept_sha2", sha).join(
-        kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_kept_sha2") == F.col("_kept_sha")), "left_semi")
-    return found.dropDuplicates([id_col, "_kept_sha2"]).select(*cols)
+    found = docs.withColumn("_row_name", name(id_col, sha)).join(kept, "_row_name", "left_semi")
+    return found.dropDuplicates(["_row_name"]).select(*docs.columns)
