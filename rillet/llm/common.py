@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from rillet.session import scratch_path
 
 #: Rows per Arrow batch handed to Python: long texts must not add up to gigabytes.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 #: Bytes of text handled at once inside a batch (a longer text is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

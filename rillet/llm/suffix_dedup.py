@@ -40,7 +40,7 @@ LENGTH = 400
 CELL = 16
 #: Suffixes of a bucket (about 40 bytes each), and positions of a text handled at once.
 BUCKET_ROWS = 250_000
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _LOW = np.uint64((1 << 24) - 1)
 
 
