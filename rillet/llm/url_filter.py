@@ -86,12 +86,12 @@ def lexical(pages: DataFrame) -> DataFrame:
                         first.alias("_section"))
 
 
-def suffix_statistics(labelled: DataFrame, key: str) -> DataFrame:
-    """(key, share of blocked, log count) of the values of a suffix key among labelled URLs."""
+def suffix_statistics(labelled: DataFrame, key: str, share: float) -> DataFrame:
+    """(key, share of blocked, log count) of the values of a suffix key among labelled
+    URLs, of which ``share`` is blocked."""
     name = key[1:]
-    share = labelled.agg(F.avg("_label").alias("_all"))
-    found = labelled.groupBy(key).agg(F.sum("_label").alias("_b"), F.count(F.lit(1)).alias("_n")).join(F.broadcast(share))
-    return found.select(key, ((F.col("_b") + PRIOR * F.col("_all")) / (F.col("_n") + PRIOR)).alias(f"_x_{name}_rate"),
+    found = labelled.groupBy(key).agg(F.sum("_label").alias("_b"), F.count(F.lit(1)).alias("_n"))
+    return found.select(key, ((F.col("_b") + PRIOR * share) / (F.col("_n") + PRIOR)).alias(f"_x_{name}_rate"),
                         F.log1p("_n").alias(f"_x_{name}_count"))
 
 
@@ -122,7 +122,7 @@ def url_verdicts(pages: DataFrame, rules=RULES, sample: int = SAMPLE, id_col: st
     decided = F.coalesce(F.col("_verdict"), F.when(F.col("_p") >= 0.5, F.lit("block")).otherwise(F.lit("allow")))
     if 0 < blocked < n:
         share = blocked / n
-        stats = {k: written(suffix_statistics(labelled, k), "suffixes") for k in ("_suffix", "_domain", "_section")}
+        stats = {k: written(suffix_statistics(labelled, k, share), "suffixes") for k in ("_suffix", "_domain", "_section")}
         fitted = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=TREES, maxDepth=DEPTH, seed=7,
                                predictionCol="_pred").setProbabilityCol("_prob").setRawPredictionCol("_raw")
         model = fitted.fit(_assembled(_with_statistics(labelled, stats, share)).select("_features", "_label"))
