@@ -40,46 +40,50 @@ def word_count(lines: DataFrame, line: str = "line") -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-_FOLDS = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
-
-
-def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tuple[str, str | None]],
-                  width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
-    """Several running folds in one pass: ``folds = {out: (fn, value)}``.
-
-    Each is the fold of a row with all earlier rows of its key, for ``fn`` in
-    ``sum``/``count``/``max``/``min``. A running window inside each chunk plus
-    the fold of all earlier chunks (a prefix over per-chunk totals, a few
-    rows per key), so a hot key is never one task.
+def _both(f):
+    """Combine two folds of which either may be NULL (nothing folded yet)."""
+    return lambda before, here: F.coalesce(f(before, here), before, here)
+
+
+#: name: (fold of rows, fold of folds, combination of the fold before a chunk with the one inside it)
+FOLDS = {
+    "sum": (F.sum, F.sum, _both(lambda a, b: a + b)),
+    "count": (F.count, F.sum, _both(lambda a, b: a + b)),
+    "max": (F.max, F.max, F.greatest),
+    "min": (F.min, F.min, F.least),
+}
+
+
+def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tuple],
+                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, chunk: Column | None = None) -> DataFrame:
+    """Several running folds in one pass: ``folds = {out: (fold, value)}``.
+
+    Each is the fold of a row with all earlier rows of its key. ``fold`` is a name of
+    FOLDS or a triple like its values, so any fold that merges can be run: two
+    aggregate functions and how to combine two of their results. A running
+    window inside each chunk plus the fold of all earlier chunks (a prefix over
+    per-chunk totals, a few rows per key), so a hot key is never one task. The
+    type is that of the plain aggregate, however the rows are chunked.
     """
     order = list(order)
-    chunked, multi = chunking(df, key, order, width, rows_per_chunk)
+    chunked = chunking(df, key, order, rows_per_chunk, chunk)
     w = Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ws = Window.partitionBy(K).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
-    locs, tots, pres = {}, [], []
-    for i, (name, (fn, value)) in enumerate(folds.items()):
+    locs, tots, pres, ends = {}, [], [], []
+    for i, (fold, value) in enumerate(folds.values()):
+        inner, outer, combine = FOLDS[fold] if isinstance(fold, str) else fold
         val = F.lit(1) if value is None else F.col(value)
-        locs[f"__loc{i}"] = _FOLDS[fn](val).over(w)
-        tots.append(_FOLDS[fn](val).alias(f"__tot{i}"))
-        outer = F.sum if fn in ("sum", "count") else _FOLDS[fn]
+        locs[f"__loc{i}"] = inner(val).over(w)
+        tots.append(inner(val).alias(f"__tot{i}"))
         pres.append(outer(f"__tot{i}").over(ws).alias(f"__pre{i}"))
+        ends.append(combine)
     rows = chunked.withColumns(locs)
-    if multi:
-        rows = _with_prefix(rows, chunked, tots, pres)
-    for i, (name, (fn, _)) in enumerate(folds.items()):
-        pre, loc = F.col(f"__pre{i}"), F.col(f"__loc{i}")
-        if not multi:  # every key is one chunk: nothing comes before it
-            res = loc
-        elif fn in ("sum", "count"):
-            res = F.coalesce(pre, F.lit(0)) + loc
-        elif fn == "max":
-            res = F.coalesce(F.greatest(pre, loc), loc)
-        else:
-            res = F.coalesce(F.least(pre, loc), loc)
-        rows = rows.withColumn(name, res)
-    internal = [K, C] + [f"__{p}{i}" for i in range(len(folds)) for p in ("loc", "pre")]
-    return rows.drop(*[c for c in internal if c in rows.columns])
+    kinds = [rows.schema[f"__loc{i}"].dataType for i in range(len(folds))]
+    rows = _with_prefix(rows, chunked, tots, pres)
+    rows = rows.withColumns({name: combine(F.col(f"__pre{i}").cast(kind), F.col(f"__loc{i}")).cast(kind)
+                             for i, (name, combine, kind) in enumerate(zip(folds, ends, kinds, strict=True))})
+    return rows.drop(K, C, *(f"__{p}{i}" for i in range(len(folds)) for p in ("loc", "pre")))
 
 
 def _with_prefix(rows: DataFrame, chunked: DataFrame, tots, pres) -> DataFrame:
@@ -93,17 +97,15 @@ def _with_prefix(rows: DataFrame, chunked: DataFrame, tots, pres) -> DataFrame:
     return rows.join(tot.where(F.col("__has")).drop("__has"), [K, C], "left")
 
 
-def running_aggregate(df: DataFrame, key, order: Sequence[str], value: str | None, fn: str = "sum",
-                      out: str = "running", width: float | None = None,
-                      rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+def running_aggregate(df: DataFrame, key, order: Sequence[str], value: str | None, fn="sum",
+                      out: str = "running", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """The running fold of ``value`` per key in ``order`` (A3, the reference's
     ``key_by(...).reduce(...)`` emitting every intermediate value)."""
-    return running_folds(df, key, order, {out: (fn, value)}, width, rows_per_chunk)
+    return running_folds(df, key, order, {out: (fn, value)}, rows_per_chunk)
 
 
 def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: str = "count",
-              out: str = "value", width: float | None = None,
-              rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+              out: str = "value", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, chunk: Column | None = None) -> DataFrame:
     """The change stream of a keyed running ``sum``/``count`` (A5).
 
     The first row of a key inserts its value (``+I``); every later row
@@ -111,16 +113,23 @@ def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: s
     Columns: ``key..., op, out, order..., change_seq`` (0 for a retraction,
     1 for a new value) so consumers replay changes in order. The previous
     value is the current one minus the row's own contribution, so no
-    look-back across chunks is needed.
+    look-back across chunks is needed; a sum is NULL until a value came.
     """
     if fn not in ("sum", "count"):
         raise ValueError("changelog supports sum and count")
     keys = _as_list(key)
     order = list(order)
-    runs = running_folds(df, key, order, {"__cur": (fn, value), "__pos": ("count", None)},
-                         width, rows_per_chunk)
-    contrib = F.lit(1) if value is None or fn == "count" else F.col(value)
-    prev = F.col("__cur") - contrib
+    folds = {"__cur": (fn, value), "__pos": ("count", None)}
+    summed = fn == "sum" and value is not None
+    if summed:
+        folds["__seen"] = ("count", value)
+    runs = running_folds(df, key, order, folds, rows_per_chunk, chunk)
+    if summed:
+        had = F.col("__seen") - F.col(value).isNotNull().cast("long")
+        prev = F.when(had > 0, F.col("__cur") - F.coalesce(F.col(value), F.lit(0)))
+    else:
+        prev = F.col("__cur") - (F.lit(1) if value is None or fn == "sum" else F.col(value).isNotNull().cast("long"))
+    prev = prev.cast(runs.schema["__cur"].dataType)
     entry = lambda op, v, seq: F.struct(F.lit(op).alias("op"), v.alias("v"), F.lit(seq).alias("change_seq"))
     entries = F.when(F.col("__pos") == 1, F.array(entry("+I", F.col("__cur"), 1))) \
         .otherwise(F.array(entry("-U", prev, 0), entry("+U", F.col("__cur"), 1)))

@@ -5,35 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to have at most this many
-# rows; above it the join is a shuffle join and AQE may still pick a
-# broadcast from measured sizes.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Left join ``df`` to ``dim`` on an id: unknown, negative or NULL ids get
     NULL attributes and never fail the job.
 
-    The dimension is reduced to one attribute row per id and broadcast only
-    after a bounded count shows it is small.
+    The dimension is reduced to one attribute row per id. Spark broadcasts it when
+    its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` (or AQE
+    measures it so); beyond, it is a shuffle join that AQE splits where skewed.
     """
     dim_key = dim_key or key
-    # Checked on the raw dimension: the count stops after max+1 rows, and the
-    # deduplicated table is never larger.
-    small = bounded_rows(dim, max_broadcast_rows)
     # One attribute row per id, chosen deterministically (the smallest), so
     # a recomputed task picks the same row.
     others = [c for c in dim.columns if c != dim_key]
     d = dim.groupBy(dim_key).agg(F.min(F.struct(*others)).alias("_a")).select(dim_key, "_a.*")
     if dim_key != key:
         d = d.withColumnRenamed(dim_key, key)
-    if small:
-        d = F.broadcast(d)
     return df.join(d, key, "left")

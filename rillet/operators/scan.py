@@ -2,11 +2,16 @@
 
 A window ``partitionBy(key).orderBy(seq)`` puts a whole key into one task,
 and a constant key (the reference's ``key_by(lambda row: 1)``) puts the whole
-input there. Here hot keys are cut into *chunks*: consecutive ranges of the
-first order column holding about ``rows_per_chunk`` rows each, sized from
-the key's own span. A key holding a third of all rows then spreads over as
-many tasks as it has chunks; a key below ``rows_per_chunk`` stays whole.
-
+input there. Here a key is cut into *chunks* of about ``rows_per_chunk``
+consecutive rows; a key with fewer rows is one chunk. There is one path for all
+inputs: what differs with the data is only where chunks end, never the result.
+
+0. Rows are counted per key (partial aggregation). For keys above
+   ``rows_per_chunk``, quantiles of the first order column (a mergeable sketch)
+   give the cuts, so bursts split evenly. Rows tied on a repeated cut are cut the
+   same way by the second order column. Both are aggregates inside the plan; the
+   table of cuts holds at most about two numbers per ``rows_per_chunk`` rows of
+   input, which is what bounds its broadcast.
 1. Rows are shuffled once, by (key, chunk), and numbered inside their chunk
    by window functions (run ids, position in run).
 2. Each chunk is summarised in one row: count, first and last value, length
@@ -17,13 +22,10 @@ many tasks as it has chunks; a key below ``rows_per_chunk`` stays whole.
 4. The summaries of chunks that follow another chunk are joined back on
    (key, chunk): a small side, while the big side is already partitioned by
    (key, chunk), so the big side is not shuffled again.
-
-When no key is hot, every key is one chunk and steps 2-4 fall away.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,54 +46,41 @@ def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+#: Chunks a key is cut into at most, by each of two order columns.
+MAX_CHUNKS = 1000
+_SUB = 4096  # chunk = first-column chunk * _SUB + second-column chunk
+_DAY = 86_400_000_000
+
+
 def order_number(df: DataFrame, col: str) -> Column:
-    """A number that grows with ``col`` (timestamps as microseconds)."""
+    """A double that never falls as ``col`` grows (timestamps as microseconds,
+    independent of the session's time zone); NULL, which sorts first, is minus infinity."""
     dt = df.schema[col].dataType
     c = F.col(col)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        # Session time zone is UTC (rillet.session), so this is monotone.
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dt, _NUMERIC):
-        return c.cast("double")
-    raise TypeError(f"first order column {col!r} must be numeric, date or timestamp, not {dt}")
-
-
-_WIDTHS: dict[tuple, float] = {}
-
-
-def chunk_width(df: DataFrame, order_col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> float:
-    """Width of the first order column that holds ~``rows_per_chunk`` rows
-    (``inf`` when all rows fit one chunk).
-
-    One small aggregate job (count, min, max of one column), remembered per
-    input plan. Any width gives the same results; it only sets how rows are
-    spread over tasks, so a remembered width for grown data costs speed only.
-    """
-    memo = (df.semanticHash(), order_col, rows_per_chunk)
-    if memo not in _WIDTHS:
-        _WIDTHS[memo] = _measure_width(df, order_col, rows_per_chunk)
-    return _WIDTHS[memo]
-
-
-def _measure_width(df: DataFrame, order_col: str, rows_per_chunk: int) -> float:
-    x = order_number(df, order_col)
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-    n, lo, hi = r["n"], r["lo"], r["hi"]
-    if not n or lo is None or hi is None or hi <= lo or n <= rows_per_chunk:
-        return math.inf  # everything fits one chunk
-    return max(float(hi - lo) * rows_per_chunk / n, 1.0)
+    if isinstance(dt, T.TimestampNTZType):
+        seconds = F.hour(c) * 3600 + F.minute(c) * 60
+        x = (F.unix_date(c.cast("date")).cast("long") * F.lit(_DAY) + seconds.cast("long") * 1_000_000
+             + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+    elif isinstance(dt, T.TimestampType):
+        x = F.unix_micros(c)
+    elif isinstance(dt, T.DateType):
+        x = F.unix_date(c)
+    elif isinstance(dt, _NUMERIC):
+        x = c
+    else:
+        raise TypeError(f"order column {col!r} must be numeric, date or timestamp, not {dt}")
+    return F.coalesce(x.cast("double"), F.lit(float("-inf")))
 
 
-def _key_surrogate(df: DataFrame, keys: list[str]) -> Column:
+def _key_surrogate(df: DataFrame, keys: list[str], order: str) -> Column:
     """A never-NULL grouping value for ``keys``: NULL keys form their own group.
 
     Plain equality on it lets the join-back reuse the (key, chunk)
     partitioning; a null-safe join would re-shuffle on rewritten keys.
     """
     if not keys:
-        return F.lit(0)
+        # always 0, but not a literal: Spark would drop the join key
+        return F.pmod(F.xxhash64(F.col(order)), F.lit(1))
     parts = []
     for k in keys:
         dt = df.schema[k].dataType
@@ -108,72 +97,55 @@ def _key_surrogate(df: DataFrame, keys: list[str]) -> Column:
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
-# Hot keys (more than rows_per_chunk rows) are broadcast with their own chunk
-# origin and width when there are at most this many (there are at most
-# rows/rows_per_chunk of them).
-MAX_HOT_KEYS = 200_000
-_HOT_KEYS: dict[tuple, list] = {}
-_MIN_CHUNK = -(2 ** 63)
-
-
-def hot_keys(keyed: DataFrame, rows_per_chunk: int) -> DataFrame:
-    """``(__k, __lo, __w)`` for every key with more than ``rows_per_chunk`` rows:
-    where its chunks start and how wide they are, from the key's own span.
-    ``keyed`` has the key surrogate ``__k`` and the order number ``__x``; a
-    partial/final aggregate of two columns."""
-    st = keyed.groupBy(K).agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"),
-                              F.max("__x").alias("__hi"))
-    width = F.greatest((F.col("__hi") - F.col("__lo")) * F.lit(float(rows_per_chunk)) / F.col("__n"), F.lit(1.0))
-    return st.where(F.col("__n") > rows_per_chunk).select(K, "__lo", width.alias("__w"))
-
-
-def chunking(df: DataFrame, key, order: Sequence[str], width: float | None = None,
-             rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> tuple[DataFrame, bool]:
-    """Add the (key, chunk) columns ``__k``, ``__c``; also say whether any key
-    has more than one chunk.
-
-    By default chunks are per key: a key with at most ``rows_per_chunk`` rows
-    is one chunk; a hotter key is cut into ranges of its first order column
-    holding about ``rows_per_chunk`` of its rows. The hot keys are a small
-    table (counted up to a bound, then broadcast), so no shuffle is added.
-    When no key is hot every key is one chunk and nothing crosses a chunk
-    border. A fixed ``width`` (in order units) cuts every key the same way.
-    """
-    order = list(order)
-    keyed = df.withColumns({K: _key_surrogate(df, _as_list(key)), "__x": order_number(df, order[0])})
-    if width is not None and math.isinf(width):
-        return keyed.withColumn(C, F.lit(0).cast("long")).drop("__x"), False
-    if width is None:
-        hot = hot_keys(keyed, rows_per_chunk)
-        memo = (hot.semanticHash(), MAX_HOT_KEYS)
-        if memo not in _HOT_KEYS:
-            # One statistics job; at most MAX_HOT_KEYS + 1 small rows come back
-            # (what a broadcast would collect anyway), so the statistics are
-            # not recomputed inside the query.
-            _HOT_KEYS[memo] = hot.limit(MAX_HOT_KEYS + 1).collect()
-        found = _HOT_KEYS[memo]
-        if not found:
-            return keyed.withColumn(C, F.lit(0).cast("long")).drop("__x"), False
-        # Up to MAX_HOT_KEYS the table is broadcast; beyond, Spark picks the
-        # join from its own size estimate (sort-merge, with AQE splitting the
-        # hot keys' partitions).
-        if len(found) <= MAX_HOT_KEYS:
-            side = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-        else:
-            side = hot
-        rows = keyed.join(side, [K], "left")
-        chunk = F.when(F.col("__w").isNull(), F.lit(0)) \
-            .otherwise(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")))
-        return rows.withColumn(C, F.coalesce(chunk.cast("long"), F.lit(_MIN_CHUNK))) \
-            .drop("__x", "__lo", "__w"), True
-    chunk = F.floor(F.col("__x") / F.lit(float(width))).cast("long")
-    return keyed.withColumn(C, F.coalesce(chunk, F.lit(_MIN_CHUNK))).drop("__x"), True
+def _cuts(rows: DataFrame, by: list[str], number: str, rows_per_chunk: int) -> DataFrame:
+    """(by..., __cuts, __ties) of the groups with more than ``rows_per_chunk`` rows.
+
+    ``__cuts``: quantiles of ``number`` that part the group into chunks of that many
+    rows; ``__ties``: the values that are several quantiles at once."""
+    large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__m")).where(F.col("__m") > rows_per_chunk)
+    marks = ",".join(str(i / MAX_CHUNKS) for i in range(1, MAX_CHUNKS + 1))  # one literal: a small plan
+    sketch = rows.join(F.broadcast(large), by).groupBy(*by).agg(
+        F.expr(f"percentile_approx({number}, cast(split('{marks}', ',') as array<double>), 10000)").alias("__q"), F.first("__m").alias("__m"))
+    picks = (f"transform(sequence(1, __n - 1), i -> element_at(__q, cast(floor(i * {MAX_CHUNKS} / __n) as int)))")
+    return (sketch.selectExpr(*by, "__q", f"cast(least({MAX_CHUNKS}, ceil(__m / {int(rows_per_chunk)})) as int) AS __n")
+            .selectExpr(*by, f"{picks} AS __p")
+            .selectExpr(*by, "array_distinct(__p) AS __cuts",
+                        "filter(array_distinct(__p), v -> size(filter(__p, p -> p = v)) > 1) AS __ties"))
 
 
-def with_chunks(df: DataFrame, key, order: Sequence[str], width: float | None = None,
-                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
-    """:func:`chunking` without the flag."""
-    return chunking(df, key, order, width, rows_per_chunk)[0]
+def _rank(cuts: str, x: str) -> str:
+    """SQL for how many of the ascending cuts are at most x (binary search, 10 steps); 0 for no cuts."""
+    bits = ", ".join(str(1 << i) for i in range(9, -1, -1))
+    step = f"IF(at + bit <= size({cuts}) AND get({cuts}, at + bit - 1) <= {x}, at + bit, at)"
+    return f"IF({cuts} IS NULL, 0, aggregate(array({bits}), 0, (at, bit) -> {step}))"
+
+
+def chunking(df: DataFrame, key, order: Sequence[str], rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+             chunk: Column | None = None) -> DataFrame:
+    """Add the (key, chunk) columns ``__k``, ``__c``.
+
+    Chunks follow each other in the order of the rows. A caller that knows a
+    chunk number which never falls along ``order`` passes it as ``chunk``; no
+    statistics are taken then."""
+    order = list(order)
+    keyed = df.withColumn(K, _key_surrogate(df, _as_list(key), order[0]))
+    if chunk is not None:
+        return keyed.withColumn(C, chunk.cast("long"))
+    x = order_number(df, order[0])
+    second = order[1:2] if len(order) > 1 and not isinstance(df.schema[order[1]].dataType, (T.StringType, T.BinaryType, T.BooleanType)) else []
+    numbers = keyed.select(K, x.alias("__x"), *(order_number(df, y).alias("__y") for y in second))
+    first = F.broadcast(_cuts(numbers, [K], "__x", rows_per_chunk))
+    rows = keyed.withColumn("__x", x).join(first, [K], "left")
+    c1 = _rank("__cuts", "__x")
+    if not second:
+        return rows.withColumn(C, F.expr(f"cast({c1} * {_SUB} as bigint)")).drop("__x", "__cuts", "__ties")
+    tied = numbers.join(first, [K]).where("array_contains(__ties, __x)").select(K, "__x", "__y")
+    finer = _cuts(tied, [K, "__x"], "__y", rows_per_chunk).select(K, "__x", F.col("__cuts").alias("__finer"))
+    rows = rows.withColumn("__y", order_number(df, second[0])).join(F.broadcast(finer), [K, "__x"], "left")
+    # rows of the chunk that are not tied come after the tied ones
+    c2 = f"IF(__cuts IS NULL, 0, IF(array_contains(__ties, __x), {_rank('__finer', '__y')}, {_SUB - 1}))"
+    return (rows.withColumn(C, F.expr(f"cast({c1} * {_SUB} + {c2} as bigint)"))
+            .drop("__x", "__y", "__cuts", "__ties", "__finer"))
 
 
 def last_row(columns: Sequence[str]) -> Column:
@@ -205,15 +177,14 @@ def _before(w):
 
 
 def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
-         width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-         keep: Sequence[str] = ()) -> DataFrame:
-    """See :func:`scan_chunks`; returns the rows only."""
-    return scan_chunks(df, key, order, value, width, rows_per_chunk, keep)[0]
+         rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, keep: Sequence[str] = ()) -> DataFrame:
+    """See :func:`scan_from`; the sequence starts with ``df``."""
+    return scan_from(df, key, order, value, rows_per_chunk, keep)[0]
 
 
-def scan_chunks(df: DataFrame, key, order: Sequence[str], value: str | None = None,
-                width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                keep: Sequence[str] = ()) -> tuple[DataFrame, bool]:
+def scan_from(df: DataFrame, key, order: Sequence[str], value: str | None = None,
+              rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, keep: Sequence[str] = (),
+              carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of ``df`` with global sequence columns, computed chunk-parallel.
 
     Adds ``__rn`` (1-based position within the key). With ``value`` also
@@ -222,14 +193,17 @@ def scan_chunks(df: DataFrame, key, order: Sequence[str], value: str | None = No
     key, NULL for the key's first row). Keeps ``__k``/``__c``; callers drop
     every ``__`` column. Only the key, order, value and ``keep`` columns
     pass through (the caller must use them all, so that the summary and the
-    rows read the same columns and share one shuffle). Also says whether any
-    key has more than one chunk.
+    rows read the same columns and share one shuffle).
+
+    ``carry`` is where earlier rows left each key: ``(key..., seen)`` and, with
+    ``value``, also ``last``, ``open`` (rows so far, last value, length of the run that is open).
+    The second result is that table after ``df``, for the keys of ``df``.
     """
+    keys = _as_list(key)
     order = list(order)
     cols = list(dict.fromkeys(_as_list(key) + order + ([value] if value else []) + list(keep)))
     df = df.select(*cols)
-    chunked, multi = chunking(df, key, order, width, rows_per_chunk)
-    rows = chunked
+    rows = chunked = chunking(df, key, order, rows_per_chunk)
     w = _local_window(order)
     # withColumns: one analysis per step; steps only where a window reads
     # the output of another window.
@@ -248,20 +222,12 @@ def scan_chunks(df: DataFrame, key, order: Sequence[str], value: str | None = No
         })
         rows = rows.withColumns({"__pln": F.lag("__ln").over(w), "__plisl": F.lag("__lisl").over(w)})
 
-    if not multi:
-        # Every key is one chunk: no offsets, nothing carried in.
-        carry = {"__off": F.lit(0).cast("long")}
-        if value is not None:
-            carry.update({"__cv": F.lit(None).cast(df.schema[value].dataType),
-                          "__cl": F.lit(None).cast("long")})
-        return _finish(rows.withColumns(carry), value), False
-
     # One summary row per chunk, then prefix windows over the summaries of
     # each key (a few rows per key).
     if value is None:
         # Counts need no order: a partial/final hash aggregate straight off
         # the input shuffles one row per chunk and task, not the rows.
-        s = chunked.groupBy(K, C).agg(F.count(F.lit(1)).alias("__cnt"))
+        s = chunked.groupBy(K, C).agg(F.count(F.lit(1)).alias("__cnt"), *(F.first(k).alias(k) for k in keys))
     else:
         # Run lengths need the ordered rows: group on the window's own
         # partitioning (no exchange; the row shuffle is reused).
@@ -270,7 +236,15 @@ def scan_chunks(df: DataFrame, key, order: Sequence[str], value: str | None = No
             F.min_by(value, "__lrn").alias("__first"),
             F.max_by(value, "__lrn").alias("__last"),
             F.max_by("__ln", "__lrn").alias("__trail"),
-            F.max("__lisl").alias("__nisl")))
+            F.max("__lisl").alias("__nisl"), *(F.first(k).alias(k) for k in keys)))
+    if carry is not None:
+        # what came before is one more chunk in front of a key's first
+        known = carry.withColumn("__kk", _key_surrogate(carry, keys, carry.columns[0])) if keys else carry.withColumn("__kk", F.lit(0).cast("long"))
+        front = {"__cnt": F.col("seen")}
+        if value is not None:
+            front |= {"__first": F.col("last"), "__last": F.col("last"), "__trail": F.col("open"), "__nisl": F.lit(1).cast("long")}
+        s = s.unionByName(known.select(F.col("__kk").alias(K), F.lit(-1).cast("long").alias(C), *keys,
+                                       *(v.cast(s.schema[n].dataType).alias(n) for n, v in front.items())))
     ws = Window.partitionBy(K).orderBy(C)
     off = F.coalesce(F.sum("__cnt").over(_before(ws)), F.lit(0)).cast("long")
     keep = [K, C, "__off"]
@@ -289,10 +263,15 @@ def scan_chunks(df: DataFrame, key, order: Sequence[str], value: str | None = No
                          .over(_running(ws)))
         s = s.withColumn("__cl", F.lag(F.col("__tin") - F.col("__base")).over(ws))
         keep += ["__cv", "__cl"]
-    # Only chunks after a key's first carry anything; with per-key chunks
-    # those are the hot keys' chunks, a table small enough to broadcast.
+    end = {"seen": F.col("__off") + F.col("__cnt")}
+    if value is not None:
+        end |= {"last": F.col("__last"), "open": F.col("__tin") - F.col("__base")}
+    left = s.where(F.col(C) >= 0).groupBy(K).agg(*(F.first(k).alias(k) for k in keys), F.max_by(
+        F.struct(*(v.alias(n) for n, v in end.items())), C).alias("__end")).select(*keys, "__end.*")
+    # Only chunks after a key's first carry anything: the later chunks of
+    # large keys, a small table on the rows' own partitioning.
     rows = rows.join(s.where(F.col("__off") > 0).select(*keep), [K, C], "left")
-    return _finish(rows, value), True
+    return _finish(rows, value), left
 
 
 def _finish(rows: DataFrame, value: str | None) -> DataFrame:

@@ -15,16 +15,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.flags import truncating_mean
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, scan, scan_chunks
+from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, _key_surrogate, keep_last_row, last_row, scan_from
 
 
 def _order_struct(order: Sequence[str]):
     return F.struct(*[F.col(o) for o in order])
 
 
+def _front(carry: DataFrame, keys: list[str]) -> DataFrame:
+    """``carry`` with the key surrogate of the scan."""
+    return carry.withColumn(K, _key_surrogate(carry, keys, carry.columns[0]) if keys else F.lit(0).cast("long"))
+
+
 def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
-                 size: int = 2, width: float | None = None,
-                 rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                 size: int = 2, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                  time_alias: str = "create_time", out: str = "average") -> DataFrame:
     """Tumbling count window (T1): each run of ``size`` consecutive rows of a key
     gives one row (time of its last row, ``int(sum / size)``); pairs do not
@@ -34,9 +38,18 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     chunk partitioning, no exchange); only the at most two groups per chunk
     that straddle a chunk border are merged by a small second aggregation.
     """
+    return pair_average_from(df, key, order, value, time_col, size, rows_per_chunk, time_alias, out)[0]
+
+
+def pair_average_from(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
+                      size: int = 2, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                      time_alias: str = "create_time", out: str = "average",
+                      carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`pair_average` that goes on from ``carry`` (key..., seen, group, n, total, at:
+    the rows so far and the group still open), and that table after ``df``."""
     keys = _as_list(key)
     df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
-    rows, multi = scan_chunks(df, key, order, None, width, rows_per_chunk, keep=[value, time_col])
+    rows, left = scan_from(df, key, order, None, rows_per_chunk, [value, time_col], carry.select(*keys, "seen") if carry is not None else None)
     rows = rows.withColumn("__g", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("long"))
     # Ordered by the global row number (a long): fixed-width buffers keep
     # both aggregates hash-based, with no extra sort of the rows.
@@ -48,20 +61,23 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
                      F.max_by(F.col(time_col), F.col("__rn")).alias("__t")))
     whole = part.where(F.col("__cnt") == size)
     cols = keys + [F.col("__t").alias(time_alias), truncating_mean(F.col("__sum"), size).alias(out)]
-    if not multi:  # no chunk borders: an incomplete group is a key's unreported tail
-        return whole.select(*cols)
-    merged = (part.where(F.col("__cnt") < size)
-                  .groupBy(K, "__g")
-                  .agg(*[F.first(k).alias(k) for k in keys],
-                       F.sum("__cnt").alias("__cnt"),
-                       F.sum("__sum").alias("__sum"),
-                       F.max_by("__t", "__hi").alias("__t"))
-                  .where(F.col("__cnt") == size))
-    return whole.select(*cols).unionByName(merged.select(*cols))
+    broken = part.where(F.col("__cnt") < size).select(K, "__g", *keys, "__cnt", "__sum", "__hi", "__t")
+    if carry is not None:
+        opened = _front(carry, keys).where("n > 0")
+        broken = broken.unionByName(opened.select(K, F.col("group").alias("__g"), *keys, F.col("n").alias("__cnt"), F.col("total").alias("__sum"),
+                                                  F.lit(0).cast("long").alias("__hi"), F.col("at").alias("__t")))
+    merged = broken.groupBy(K, "__g").agg(*[F.first(k).alias(k) for k in keys], F.sum("__cnt").alias("__cnt"),
+                                          F.sum("__sum").alias("__sum"), F.max_by("__t", "__hi").alias("__t"))
+    result = whole.select(*cols).unionByName(merged.where(F.col("__cnt") == size).select(*cols))
+    still = merged.where(F.col("__cnt") < size).select(*(F.col(k).alias(f"__o_{k}") for k in keys), F.col("__g").alias("group"), F.col("__cnt").alias("n"),
+                                                       F.col("__sum").alias("total"), F.col("__t").alias("at"))
+    match = [left[k].eqNullSafe(still[f"__o_{k}"]) for k in keys]
+    state = (left.join(still, match, "left") if keys else left.join(still, F.col("seen") >= F.col("n"), "left"))
+    return result, state.select(*keys, "seen", "group", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "total", "at")
 
 
 def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
-                width: float | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                 time_alias: str = "create_time") -> DataFrame:
     """Record-setting runs (T2): a row each time a run of equal values becomes
     longer than every earlier run of that value in the key (one value alone is
@@ -69,42 +85,67 @@ def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col:
 
     A row at run position ``n`` is a record when ``n >= 2`` and ``n`` exceeds
     every earlier position of its value in the key. Inside its chunk that is
-    a running max (a window on the chunk partitioning, no exchange); the rows
-    that pass it are few, and the longest run of their value in earlier
-    chunks is the largest such candidate there, found by a range window over
-    the candidates alone.
+    a running max (a window on the chunk partitioning, no exchange). The longest run
+    of a value in earlier chunks is a prefix max over one row per (key, chunk, value),
+    joined back on the rows' own partitioning, so no task ever gathers the
+    rows of a value.
     """
+    return record_runs_from(df, key, order, value, time_col, rows_per_chunk, time_alias)[0]
+
+
+def record_runs_from(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
+                     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, time_alias: str = "create_time",
+                     carry: DataFrame | None = None, records: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`record_runs` that goes on from ``carry`` (key..., seen, last, open) and
+    ``records`` (key..., value, longest), and those two tables after ``df``."""
     keys = _as_list(key)
     df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
-    rows = scan(df, key, order, value, width, rows_per_chunk, keep=[time_col])
+    rows, left = scan_from(df, key, order, value, rows_per_chunk, [time_col], carry)
     in_chunk = Window.partitionBy(K, C, value).orderBy(*[F.col(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, -1)
     cand = rows.withColumn("__pm", F.max("__n").over(in_chunk)) \
         .where((F.col("__n") >= 2) & (F.col("__n") > F.coalesce(F.col("__pm"), F.lit(1))))
-    earlier = Window.partitionBy(K, value).orderBy(C).rangeBetween(Window.unboundedPreceding, -1)
-    rec = cand.withColumn("__mb", F.max("__n").over(earlier)) \
-        .where(F.col("__n") > F.coalesce(F.col("__mb"), F.lit(1)))
+    # reads the columns that the rows have, so both hang off one shuffle (see scan.last_row)
+    longest = keep_last_row(rows.groupBy(K, C, value).agg(
+        F.max("__n").alias("__max"), last_row([*keys, *order, value, time_col]), *(F.first(k).alias(k) for k in keys)))
+    if records is not None:
+        kind = longest.schema["__max"].dataType
+        longest = longest.unionByName(_front(records, keys).select(K, F.lit(-1).cast("long").alias(C), F.col("value").alias(value),
+                                                                   F.col("longest").cast(kind).alias("__max"), *keys))
+    after = longest.groupBy(K, value).agg(*(F.first(k).alias(k) for k in keys), F.max("__max").alias("longest")) \
+        .select(*keys, F.col(value).alias("value"), "longest")
+    earlier = Window.partitionBy(K, value).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
+    before = (longest.withColumn("__mb", F.max("__max").over(earlier)).where(F.col("__mb").isNotNull())
+              .select(F.col(K).alias("__bk"), F.col(C).alias("__bc"), F.col(value).alias("__bv"), "__mb"))
+    on = (F.col(K) == F.col("__bk")) & (F.col(C) == F.col("__bc")) & (F.col(value) == F.col("__bv"))
+    rec = cand.join(before, on, "left").where(F.col("__n") > F.coalesce(F.col("__mb"), F.lit(1)))
     return rec.select(*keys, F.col(time_col).alias(time_alias), F.col(value).alias("value"),
-                      F.col("__n").cast("int").alias("run_length"))
+                      F.col("__n").cast("int").alias("run_length")), left, after
 
 
 def flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
-              emit_empty_first: bool = True, width: float | None = None,
-              rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+              emit_empty_first: bool = True, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Completed flag runs (T3): when the flag falls to 0 after a run of 1s, emit
     the run's length with the time of the 0 row. A run still open is not
     emitted; 0 after 0 emits nothing. With ``emit_empty_first`` a key whose
     first row has flag 0 emits a run of length 0 (the reference's behaviour).
     """
+    return flag_runs_from(df, key, order, flag, time_col, emit_empty_first, rows_per_chunk)[0]
+
+
+def flag_runs_from(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
+                   emit_empty_first: bool = True, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                   carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`flag_runs` that goes on from ``carry`` (key..., seen, last, open), and that table after ``df``."""
     keys = _as_list(key)
     df = df.where(F.col(flag).isin(0, 1))  # other flag values (and NULL) change nothing
-    rows = scan(df, key, order, flag, width, rows_per_chunk, keep=[time_col])
+    rows, left = scan_from(df, key, order, flag, rows_per_chunk, [time_col], carry)
     first = F.col("__rn") == 1
     after_run = ~first & (F.col("__pv") == 1)
     ends = (F.col(flag) == 0) & (after_run | (first & F.lit(emit_empty_first)))
     length = F.when(first, F.lit(0)).otherwise(F.col("__pn"))
     return rows.where(ends).select(*keys, length.cast("int").alias("n_samples"),
-                                   F.col(time_col).alias("end_time"))
+                                   F.col(time_col).alias("end_time")), left
 
 
 def keys_with_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str,

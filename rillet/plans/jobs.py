@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from rillet.functions.text import WHITESPACE_JAVA
 from rillet.operators.aggregates import MONEY, changelog, keyed_sum, window_summary, word_count
 from rillet.operators.lookup import lookup
-from rillet.operators.scan import DEFAULT_ROWS_PER_CHUNK, chunk_width
 from rillet.operators.sequences import flag_runs, latest_by_key, pair_average, record_runs
 
 SIGNAL_ORDER = ["ts", "event_id"]
@@ -25,25 +24,21 @@ def word_count_job(lines: DataFrame) -> DataFrame:
 
 
 def word_count_changelog(docs: DataFrame, doc_id: str = "doc_id", line: str = "line",
-                         docs_per_chunk: int | None = None,
-                         rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+                         docs_per_chunk: int = 100_000) -> DataFrame:
     """J1 with the change-record sink (K2): every word occurrence, in
     (document, position) order, changes its word's count; the first
     occurrence inserts it (``+I``), each later one retracts the old count
     (``-U``) and adds the new one (``+U``). Columns: word, op, count, doc_id,
     pos, change_seq.
 
-    Computed chunk-parallel: a word with more occurrences than
-    ``rows_per_chunk`` is cut into document ranges of its own, every other
-    word stays whole, so neither a very frequent word nor a large vocabulary
-    makes a big task or a big summary. ``docs_per_chunk`` instead cuts every
-    word by the same document ranges.
+    Every word is cut into the same ranges of document ids, so no statistics
+    are needed and a very frequent word spreads over as many tasks as there
+    are ranges.
     """
-    width = chunk_width(docs.select(doc_id), doc_id, docs_per_chunk) if docs_per_chunk else None
     tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
     tokens = tokens.where(F.col("word") != F.lit(""))
-    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count", width=width,
-                     rows_per_chunk=rows_per_chunk)
+    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count",
+                     chunk=F.floor(F.col(doc_id) / F.lit(docs_per_chunk)))
 
 
 def team_spend(payments: DataFrame, teams: DataFrame) -> DataFrame:
@@ -116,7 +111,11 @@ def signal_qa(signal: DataFrame, size: str = WINDOW) -> dict[str, DataFrame]:
 
 def signal_qa_union(signal: DataFrame, size: str = WINDOW) -> DataFrame:
     """The three J5 outputs in one table, tagged by ``metric``."""
-    outs = signal_qa(signal, size)
+    return tag_outputs(signal_qa(signal, size))
+
+
+def tag_outputs(outs: dict[str, DataFrame]) -> DataFrame:
+    """Outputs of J5 in one table, tagged by ``metric``."""
     tagged = [df.withColumn("metric", F.lit(name)) for name, df in outs.items()]
     u = tagged[0]
     for t in tagged[1:]:

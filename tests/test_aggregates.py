@@ -30,7 +30,7 @@ def test_tokenize_unicode_whitespace_matches_python(spark):
 
 
 @pytest.mark.parametrize("fn,op", [("sum", lambda a, b: a + b), ("max", max), ("min", min)])
-@pytest.mark.parametrize("chunking", [{"width": 4.0}, {"width": 1e12}, {"rows_per_chunk": 13}])
+@pytest.mark.parametrize("chunking", [{"rows_per_chunk": 4}, {"rows_per_chunk": 10**9}, {"rows_per_chunk": 13}])
 def test_running_aggregate(spark, fn, op, chunking):
     rnd = random.Random(7)
     rows = [(i, rnd.randint(0, 2), i, rnd.randint(-5, 9)) for i in range(300)]
@@ -46,7 +46,7 @@ def test_running_aggregate(spark, fn, op, chunking):
 
 def test_changelog_fixture(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("a", 2)], "word string, seq long")
-    got = changelog(df, "word", ["seq"], None, "count", "cnt", width=1.0)
+    got = changelog(df, "word", ["seq"], None, "count", "cnt", rows_per_chunk=1)
     rows = sorted((r.seq, r.change_seq, r.op, r.word, r.cnt) for r in got.collect())
     assert [(op, w, c) for _, _, op, w, c in rows] == [("+I", "a", 1), ("+I", "b", 1), ("-U", "a", 1), ("+U", "a", 2)]
 
@@ -79,7 +79,7 @@ def test_team_lookup(spark):
     assert got == {"Hippo": 1.5, "ORCA": 2.0, "NZAPP": 3.0, None: 15.0}
 
 
-@pytest.mark.parametrize("chunking", [{"docs_per_chunk": 1}, {"rows_per_chunk": 2}])
+@pytest.mark.parametrize("chunking", [{"docs_per_chunk": 1}, {"docs_per_chunk": 2}])
 def test_word_count_changelog_across_chunks(spark, chunking):
     from rillet.plans.jobs import word_count_changelog
 

@@ -43,7 +43,7 @@ def _sequence_plans(spark):
     return {
         "record_runs": (record_runs(bits, "user_id", o, "bit", "ts", **kw), 1),
         "flag_runs": (flag_runs(sig, "user_id", o, "flag", "ts", **kw), 1),
-        "record_runs_global": (record_runs(bits, None, o, "bit", "ts", rows_per_chunk=1000), 1),
+        "record_runs_global": (record_runs(bits, None, o, "bit", "ts", rows_per_chunk=1000), 2),
         "pair_average": (pair_average(bits, "user_id", o, "bit", "ts", **kw), 2),
         "running_count": (running_aggregate(ev.select("event_id", "ts", "event_type"), "event_type", o, None,
                                             "count", "n", rows_per_chunk=500), 2),
@@ -61,16 +61,26 @@ def test_sequence_queries_shuffle_rows_once(spark, name):
     df, row_shuffles = _sequence_plans(spark)[name]
     df.collect()  # run this DataFrame's own plan, so explain shows AQE's final plan
     plan = _plan(df)
-    by_chunk = [a for a in _final_exchanges(plan) if re.match(r"hashpartitioning\((__k#\d+, )?__c#\d+L", a)]
+    by_chunk = [a for a in _final_exchanges(plan) if re.match(r"hashpartitioning\((__k#\d+L?, )?__c#\d+L", a)]
     assert len(by_chunk) == row_shuffles, by_chunk
     if row_shuffles == 1:
         assert "ReusedExchange" in plan
 
 
-def test_single_chunk_inputs_skip_the_summary(spark):
-    """No key above rows_per_chunk: one window per key, no summary join."""
-    plan = _plan(QUERIES["flag_runs"](spark, SF))
-    assert "Join" not in plan
+def test_no_nested_loop_joins(spark):
+    for df, _ in _sequence_plans(spark).values():
+        assert "NestedLoopJoin" not in _plan(df) and "CartesianProduct" not in _plan(df)
+
+
+def test_record_runs_of_one_value_spread_over_tasks(spark):
+    """A constant bit: no stage gathers the rows of the value."""
+    from rillet.operators import record_runs
+
+    df = spark.range(40_000).selectExpr("id AS t", "id AS seq", "1 AS v")
+    rows = record_runs(df, None, ["t", "seq"], "v", "seq", rows_per_chunk=1000)
+    plan = _plan(rows)
+    assert not [a for a in _final_exchanges(plan) if re.match(r"hashpartitioning\((__k#\d+L?, )?v#\d+", a) and "__max" not in plan]
+    assert rows.count() == 39_999
 
 
 def test_word_count_pre_aggregates_and_prunes(spark):

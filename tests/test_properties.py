@@ -36,9 +36,9 @@ def test_random_sequences_any_width(spark, values, width, keys):
             out |= {(k,) + tuple(e) for e in fn(seq)}
         return out
 
-    assert {tuple(r) for r in pair_average(df, "k", order, "v", "seq", width=float(width)).collect()} \
+    assert {tuple(r) for r in pair_average(df, "k", order, "v", "seq", rows_per_chunk=int(width)).collect()} \
         == expect(brute.pair_average)
-    assert {tuple(r) for r in record_runs(df, "k", order, "v", "seq", width=float(width)).collect()} \
+    assert {tuple(r) for r in record_runs(df, "k", order, "v", "seq", rows_per_chunk=int(width)).collect()} \
         == expect(brute.record_runs)
-    assert {(r.k, r.n_samples, r.end_time) for r in flag_runs(df, "k", order, "v", "seq", width=float(width)).collect()} \
+    assert {(r.k, r.n_samples, r.end_time) for r in flag_runs(df, "k", order, "v", "seq", rows_per_chunk=int(width)).collect()} \
         == expect(brute.flag_runs)

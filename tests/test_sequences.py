@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillet.operators import flag_runs, latest_by_key, pair_average, record_runs
-from rillet.operators.scan import with_chunks
+from rillet.operators.scan import chunking
 from tests import brute
 
 SCHEMA = "seq long, k long, t long, v int"
@@ -20,7 +20,7 @@ def _df(spark, values, key=1):
 
 def test_pairs_fixture(spark):
     df = _df(spark, [1, 1, 0, 1, 0, 0, 1])
-    got = sorted(tuple(r) for r in pair_average(df, "k", ["t", "seq"], "v", "seq", width=2.0).collect())
+    got = sorted(tuple(r) for r in pair_average(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=2).collect())
     assert got == [(1, 1, 1), (1, 3, 0), (1, 5, 0)]
 
 
@@ -32,13 +32,13 @@ def test_pairs_truncate_toward_zero(spark):
 def test_record_runs_fixture(spark):
     df = _df(spark, [0, 0, 1, 1, 1, 0, 0, 0, 1, 1, 1, 1, 0, 0])
     got = sorted((r.create_time, r.value, r.run_length)
-                 for r in record_runs(df, "k", ["t", "seq"], "v", "seq", width=3.0).collect())
+                 for r in record_runs(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=3).collect())
     assert got == [(1, 0, 2), (3, 1, 2), (4, 1, 3), (7, 0, 3), (11, 1, 4)]
 
 
 def test_flag_runs_fixture(spark):
     df = _df(spark, [1, 1, 0, 0, 1, 0, 1, 1])
-    got = sorted(tuple(r)[1:] for r in flag_runs(df, "k", ["t", "seq"], "v", "seq", width=2.0).collect())
+    got = sorted(tuple(r)[1:] for r in flag_runs(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=2).collect())
     assert got == [(1, 5), (2, 2)]
     df = _df(spark, [0, 0, 1, 0])
     got = sorted(tuple(r)[1:] for r in flag_runs(df, "k", ["t", "seq"], "v", "seq").collect())
@@ -88,11 +88,11 @@ def test_random_equivalence(spark, width, seed):
     rows = _random_rows(seed)
     df = spark.createDataFrame(rows, SCHEMA)
     order = ["t", "seq"]
-    got = {tuple(r) for r in pair_average(df, "k", order, "v", "seq", width=width).collect()}
+    got = {tuple(r) for r in pair_average(df, "k", order, "v", "seq", rows_per_chunk=int(width)).collect()}
     assert got == _expected(rows, brute.pair_average)
-    got = {tuple(r) for r in record_runs(df, "k", order, "v", "seq", width=width).collect()}
+    got = {tuple(r) for r in record_runs(df, "k", order, "v", "seq", rows_per_chunk=int(width)).collect()}
     assert got == _expected(rows, brute.record_runs)
-    got = {(r.k, r.n_samples, r.end_time) for r in flag_runs(df, "k", order, "v", "seq", width=width).collect()}
+    got = {(r.k, r.n_samples, r.end_time) for r in flag_runs(df, "k", order, "v", "seq", rows_per_chunk=int(width)).collect()}
     assert got == _expected(rows, brute.flag_runs)
 
 
@@ -115,7 +115,7 @@ def test_random_equivalence_per_key_chunks(spark, rows_per_chunk):
 def test_per_key_chunks_split_only_hot_keys(spark):
     rows = _random_rows(4)
     df = spark.createDataFrame(rows, SCHEMA)
-    ch = with_chunks(df, "k", ["t", "seq"], rows_per_chunk=300)
+    ch = chunking(df, "k", ["t", "seq"], rows_per_chunk=300)
     per_key = {r.k: r.n for r in ch.groupBy("k").agg(F.countDistinct("__c").alias("n")).collect()}
     assert per_key[0] >= 3  # the hot key (900 rows) is cut by its own span
     assert all(n == 1 for k, n in per_key.items() if k != 0)  # the others stay whole
@@ -125,16 +125,16 @@ def test_per_key_chunks_split_only_hot_keys(spark):
 def test_global_sequence(spark, width):
     rows = _random_rows(3)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {tuple(r) for r in pair_average(df, None, ["t", "seq"], "v", "seq", width=width).collect()}
+    got = {tuple(r) for r in pair_average(df, None, ["t", "seq"], "v", "seq", rows_per_chunk=int(width)).collect()}
     assert got == _expected(rows, brute.pair_average, key=False)
-    got = {tuple(r) for r in record_runs(df, None, ["t", "seq"], "v", "seq", width=width).collect()}
+    got = {tuple(r) for r in record_runs(df, None, ["t", "seq"], "v", "seq", rows_per_chunk=int(width)).collect()}
     assert got == _expected(rows, brute.record_runs, key=False)
 
 
 def test_hot_key_is_split_into_chunks(spark):
     rows = _random_rows(4)
     df = spark.createDataFrame(rows, SCHEMA)
-    ch = with_chunks(df, "k", ["t", "seq"], rows_per_chunk=100)
+    ch = chunking(df, "k", ["t", "seq"], rows_per_chunk=100)
     per_chunk = ch.groupBy("__k", "__c").count()
     assert per_chunk.agg(F.max("count")).first()[0] <= 250
     assert ch.where("k = 0").select("__c").distinct().count() > 5
@@ -147,18 +147,21 @@ def test_null_keys_form_their_own_group(spark):
     assert got == [(False, 3), (True, 1)]
 
 
-def test_many_hot_keys_join_without_forced_broadcast(spark, monkeypatch):
-    """Above MAX_HOT_KEYS the hot-key table is joined without a broadcast hint."""
-    import importlib
-
-    scan_mod = importlib.import_module("rillet.operators.scan")
-    monkeypatch.setattr(scan_mod, "MAX_HOT_KEYS", 1)
-    rows = _random_rows(6)
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = {tuple(r) for r in record_runs(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=30).collect()}
-    assert got == _expected(rows, brute.record_runs)
-    got = {tuple(r) for r in pair_average(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=30).collect()}
-    assert got == _expected(rows, brute.pair_average)
+@pytest.mark.parametrize("shape", ["burst", "ties", "nulls", "constant"])
+def test_bursts_and_ties_are_split(spark, shape):
+    """99 % of the rows at nearly one instant, at exactly one, or without a time: no chunk is far above its target."""
+    n = 6000
+    t = {"burst": lambda i: i if i < 60 else 10 ** 6 + i % 50, "ties": lambda i: i if i < 60 else 10 ** 6,
+         "nulls": lambda i: i if i < 60 else None, "constant": lambda i: 5}[shape]
+    rows = [(t(i), 1, i, int(shape != "constant" and i % 3 == 0)) for i in range(n)]
+    df = spark.createDataFrame(rows, "t long, k int, seq long, v int")
+    sizes = [r["count"] for r in chunking(df, "k", ["t", "seq"], rows_per_chunk=200).groupBy("__k", "__c").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 440
+    got = {tuple(r) for r in record_runs(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=200).collect()}
+    whole = {tuple(r) for r in record_runs(df, "k", ["t", "seq"], "v", "seq").collect()}
+    assert got == whole
+    got = {tuple(r) for r in pair_average(df, None, ["t", "seq"], "v", "seq", rows_per_chunk=200).collect()}
+    assert got == {tuple(r) for r in pair_average(df, None, ["t", "seq"], "v", "seq").collect()}
 
 
 def test_nulls_and_other_flags_are_not_part_of_the_sequence(spark):
