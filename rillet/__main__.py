@@ -2,13 +2,14 @@
 
     python -m rillet <job> --input DIR --output DIR [--stream] [--checkpoint DIR]
                            [--available-now] [--trigger-seconds N] [--restarts N]
+                           [--messages DIR]
 
 ``<job>`` is one of the registered batch queries (``python -m rillet list``).
 The streaming jobs are word_count, team_spend, pair_average, record_runs
 and signal_qa. Batch mode writes the query's result as parquet to
 ``OUTPUT/<job>``. Streaming mode starts the job's streaming queries over the
-table folder and runs until stopped; with ``--available-now`` it processes
-what is there and exits. Under ``spark-submit`` the submitter's master and
+table folder and runs until stopped; with ``--available-now`` it
+processes what is there and exits. Under ``spark-submit`` the submitter's master and
 settings are used.
 """
 
@@ -17,16 +18,48 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
+from rillet.functions.time import to_ntz
 from rillet.plans.catalog import QUERIES
+from rillet.schemas import BITS, SIGNAL
 from rillet.session import build_session, checkpoint_dir
+from rillet.sources.json_stream import read_json_stream, split_quarantine, with_event_time
 from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams
 from rillet.streaming import jobs as SJ
-from rillet.streaming.queries import stream_table
+from rillet.streaming.queries import run_with_restarts, stream_table
+from rillet.streaming.sinks import append_sink
 
 STREAM_JOBS = ("word_count", "team_spend", "pair_average", "record_runs", "signal_qa")
+#: A signal message above this value is flagged.
+FLAG_ABOVE = 80.0
+
 
+def _messages(spark, job: str, folder: str, out: str, ckpt: str, trigger: dict):
+    """Rows of a job's messages, and the query that writes the bad ones aside."""
+    schema, needed = (SIGNAL, ("ts", "baselineId")) if job == "signal_qa" else (BITS, ("ts",))
+    rows = with_event_time(read_json_stream(spark, schema, "text", folder), "createTime")
+    good, bad = split_quarantine(rows, needed)
+    aside = append_sink(bad, f"{out}/{job}-quarantine", f"{ckpt}/{job}-quarantine", trigger)
+    ts = to_ntz(F.col("ts"))
+    if job == "signal_qa":
+        value = F.col("signalValue")
+        return good.select(ts.alias("ts"), F.xxhash64("createTime", "baselineId", value).alias("event_id"), F.col("baselineId").alias("user_id"),
+                           value.alias("value"), (value > FLAG_ABOVE).cast("int").alias("flag")), aside
+    return good.select(ts.alias("ts"), F.xxhash64("createTime").alias("event_id"), F.lit(0).cast("long").alias("user_id"), F.col("binaryInt").alias("bit")), aside
+
+
+def _start_stream(spark, job: str, src: str, out: str, ckpt: str, trigger: dict, messages: str | None = None):
+    if messages:
+        if job not in ("pair_average", "record_runs", "signal_qa"):
+            raise SystemExit(f"{job} takes no messages")
+        rows, aside = _messages(spark, job, messages, out.rstrip("/"), ckpt.rstrip("/"), trigger)
+        to, at = f"{out.rstrip('/')}/{job}", f"{ckpt.rstrip('/')}/{job}"
+        if job == "signal_qa":
+            return [aside, *SJ.start_signal_qa(rows, to, at, trigger=trigger).values()]
+        start = SJ.start_pair_average if job == "pair_average" else SJ.start_record_runs
+        return [aside, start(rows, to, at, None, trigger)]
 
-def _start_stream(spark, job: str, src: str, out: str, ckpt: str, trigger: dict):
     def table(name):
         return stream_table(spark, src, name, load(spark, src, name).schema)
 
@@ -52,6 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--input", help="folder of input parquet tables")
     p.add_argument("--output", help="folder for results")
     p.add_argument("--stream", action="store_true", help="run the streaming form")
+    p.add_argument("--messages", help="streaming: folder of JSON text lines to read instead of a table")
     p.add_argument("--checkpoint", help="checkpoint folder (default: spark.checkpoint.dir)")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--trigger-seconds", type=float, default=1.0)
@@ -64,8 +98,8 @@ def main(argv: list[str] | None = None) -> int:
         print("batch:", " ".join(QUERIES))
         print("stream:", " ".join(STREAM_JOBS))
         return 0
-    if not a.input or not a.output:
-        p.error("--input and --output are required")
+    if not (a.input or a.messages) or not a.output:
+        p.error("--input (or --messages) and --output are required")
     spark = build_session(a.master)
     if not a.stream:
         if a.job not in QUERIES:
@@ -74,39 +108,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     trigger = {"availableNow": True} if a.available_now else {"processingTime": f"{a.trigger_seconds} seconds"}
     ckpt = a.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/rillet-{a.job}"
-    return run_with_restarts(lambda: _start_stream(spark, a.job, a.input, a.output, ckpt, trigger),
+    return run_with_restarts(lambda: _start_stream(spark, a.job, a.input, a.output, ckpt, trigger, a.messages),
                              a.restarts, a.restart_delay)
 
 
-def run_with_restarts(start, restarts: int, delay_s: float) -> int:
-    """Run a job's queries; when one fails, stop the others and start them all
-    again from their checkpoints (fixed delay, at most ``restarts`` times)."""
-    import time
-
-    for attempt in range(restarts + 1):
-        queries = start()
-        failed = None
-        # Poll every query, so a failure of any one is seen while the others run.
-        while failed is None and any(q.isActive for q in queries):
-            for q in queries:
-                try:
-                    q.awaitTermination(0.5)
-                except Exception as e:  # the query failed
-                    failed = e
-                if failed is None and q.exception() is not None:
-                    failed = q.exception()
-                if failed is not None:
-                    break
-        if failed is None:
-            return 0
-        for q in queries:
-            if q.isActive:
-                q.stop()
-        print(f"attempt {attempt + 1} failed: {failed}", file=sys.stderr)
-        if attempt < restarts:
-            time.sleep(delay_s)
-    return 1
-
-
 if __name__ == "__main__":
     sys.exit(main())

@@ -11,18 +11,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rillet.functions.text import WHITESPACE_RE2
 from rillet.functions.udtf import split_words
-from rillet.operators.aggregates import changelog, running_aggregate
+from rillet.functions.flags import document_id
+from rillet.functions.time import epoch_millis, to_ntz
+from rillet.operators.aggregates import changelog, running_aggregate, running_folds
 from rillet.operators.sequences import keys_with_flag_runs
 from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
 from rillet.session import scratch_path
-from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams, spread
+from rillet.sources.files import read_csv_lines, read_text_lines
+from rillet.sources.json_stream import decode_json, read_json_stream, split_quarantine, with_event_time
+from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams
 from rillet.streaming import jobs as SJ
-from rillet.streaming.queries import run_available, stream_flag_runs, stream_latest, stream_table
-from rillet.streaming.sinks import append_sink, read_upserted, upsert_sink
+from rillet.streaming.queries import run_available, stream_latest, stream_table
+from rillet.streaming.sequences import flag_runs_sink
+from rillet.streaming.sinks import changelog_records, read_batches, read_upserted, upsert_sink, write_changelog_json, write_text_rows
 
 AVAILABLE = {"availableNow": True}
 
@@ -40,16 +46,16 @@ def _bits(spark, d):
 
 
 def q_word_count(spark, d):
-    return J.word_count_job(role_lines(spread(load(spark, d, "documents"))))
+    return J.word_count_job(role_lines(load(spark, d, "documents")))
 
 
 def q_word_count_udtf(spark, d):
-    return split_words(role_lines(spread(load(spark, d, "documents")))) \
+    return split_words(role_lines(load(spark, d, "documents"))) \
         .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def q_word_count_changelog(spark, d):
-    docs = spread(load(spark, d, "documents")).select("doc_id", F.col("text").alias("line"))
+    docs = load(spark, d, "documents").select("doc_id", F.col("text").alias("line"))
     return J.word_count_changelog(docs)
 
 
@@ -165,8 +171,7 @@ def _run(spark, name, start):
 
 def q_stream_word_count(spark, d):
     lines = role_lines(_stream(spark, d, "documents"))
-    cores = spark.sparkContext.defaultParallelism
-    out = _run(spark, "stream_word_count", lambda o, c: SJ.start_word_count(lines, o, c, AVAILABLE, cores))
+    out = _run(spark, "stream_word_count", lambda o, c: SJ.start_word_count(lines, o, c, AVAILABLE))
     return read_upserted(spark, out, ["word"], ["count"]).select("word", "count")
 
 
@@ -177,37 +182,217 @@ def q_stream_team_spend(spark, d):
     return read_upserted(spark, out, ["team"], ["pay_amount"]).select("team", "pay_amount")
 
 
+def _pair_stream(spark, d, key):
+    bits = role_bits(_stream(spark, d, "events"))
+    out = _run(spark, "stream_pair_average", lambda o, c: SJ.start_pair_average(bits, o, c, key, AVAILABLE))
+    return read_batches(spark, out)
+
+
 def q_stream_pair_average(spark, d):
+    return _pair_stream(spark, d, "user_id").select("user_id", "create_time", "average")
+
+
+def q_stream_pair_average_global(spark, d):
+    return _pair_stream(spark, d, None).select("create_time", "average")
+
+
+def _record_stream(spark, d, key):
     bits = role_bits(_stream(spark, d, "events"))
-    out = _run(spark, "stream_pair_average", lambda o, c: SJ.start_pair_average(bits, o, c, "user_id", AVAILABLE))
-    return spark.read.parquet(out).select("user_id", "create_time", "average")
+    out = _run(spark, "stream_record_runs", lambda o, c: SJ.start_record_runs(bits, o, c, key, AVAILABLE))
+    return read_batches(spark, out)
 
 
 def q_stream_record_runs(spark, d):
-    bits = role_bits(_stream(spark, d, "events"))
-    out = _run(spark, "stream_record_runs", lambda o, c: SJ.start_record_runs(bits, o, c, "user_id", AVAILABLE))
-    return spark.read.parquet(out).select("user_id", "create_time", "value", "run_length")
+    return _record_stream(spark, d, "user_id").select("user_id", "create_time", "value", "run_length")
+
+
+def q_stream_record_runs_global(spark, d):
+    return _record_stream(spark, d, None).select("create_time", "value", "run_length")
+
+
+def q_stream_window_summary(spark, d):
+    signal = role_signal(_stream(spark, d, "events"))
+    out = _run(spark, "stream_window_summary", lambda o, c: SJ.start_signal_qa(signal, o, c, trigger=AVAILABLE, only="summary")["summary"])
+    return spark.read.parquet(f"{out}/summary")
 
 
 def q_stream_signal_qa(spark, d):
+    """All three outputs of J5 from one run: the event sinks share one read."""
     signal = role_signal(_stream(spark, d, "events"))
     out, ckpt = scratch_path(spark, "stream_signal_qa"), scratch_path(spark, "stream_signal_qa-ckpt")
     for q in SJ.start_signal_qa(signal, out, ckpt, trigger=AVAILABLE).values():
         run_available(q)
-    return out
-
-
-def q_stream_window_summary(spark, d):
-    out = q_stream_signal_qa(spark, d)
-    return spark.read.parquet(f"{out}/summary")
+    return J.tag_outputs({"summary": spark.read.parquet(f"{out}/summary"), "runs": read_batches(spark, f"{out}/runs"),
+                          "current": read_upserted(spark, f"{out}/current", ["user_id"], J.SIGNAL_ORDER).select("user_id", "flag")})
 
 
 def q_stream_flag_runs(spark, d):
     signal = role_signal(_stream(spark, d, "events"))
     out = _run(spark, "stream_flag_runs",
-               lambda o, c: append_sink(stream_flag_runs(signal, "user_id", J.SIGNAL_ORDER, "flag", "ts"),
-                                        o, c, AVAILABLE))
-    return spark.read.parquet(out).select("user_id", "n_samples", "end_time")
+               lambda o, c: flag_runs_sink(signal, "user_id", J.SIGNAL_ORDER, "flag", "ts", o, c, trigger=AVAILABLE))
+    return read_batches(spark, out).select("user_id", "n_samples", "end_time")
+
+
+def q_stream_word_count_changelog(spark, d):
+    """The change records of the streaming word count, replayed: inserts less deletions of each word's counts."""
+    lines = role_lines(_stream(spark, d, "documents"))
+    out = _run(spark, "stream_word_changes", lambda o, c: SJ.start_word_changes(lines, o, c, AVAILABLE))
+    text = scratch_path(spark, "stream_word_changes-json")
+    write_changelog_json(read_batches(spark, out).select("op", "word", "count"), text)
+    record = F.from_json("value", "data array<struct<word string, count bigint>>, type string").alias("r")
+    rows = spark.read.text(text).select(record).select(F.col("r.data")[0].alias("x"), F.col("r.type").alias("kind"))
+    signed = F.when(F.col("kind") == "INSERT", F.col("x.count")).otherwise(-F.col("x.count"))
+    return rows.groupBy("x.word").agg(F.sum(signed).alias("count"))
+
+
+# Messages: the events as JSON text lines, some of them cut off.
+
+CUT_OFF = 50  # every 50th message is cut
+
+
+def _messages(spark, d):
+    events = _events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_time"), "user_id", "event_type", "value")
+    text = F.to_json(F.struct("*"))
+    cut = F.when(F.col("event_id") % CUT_OFF == 0, F.expr("substring(value, 1, length(value) - 3)")).otherwise(F.col("value"))
+    path = scratch_path(spark, "messages")
+    events.select("event_id", text.alias("value")).select(cut.alias("value")).write.text(path)
+    return path
+
+
+MESSAGE = "event_id bigint, event_time string, user_id bigint, event_type string, value double"
+
+
+def _decoded(spark, d, streaming):
+    schema = StructType.fromDDL(MESSAGE)
+    raw = read_json_stream(spark, schema, "text", _messages(spark, d), streaming=streaming)
+    return with_event_time(raw, "event_time")
+
+
+def q_json_quarantine(spark, d):
+    """Messages of each kind that decode, and those set aside."""
+    good, bad = split_quarantine(_decoded(spark, d, False), ("event_id",))
+    ok = good.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max(to_ntz(F.col("ts"))).alias("last"))
+    return ok.unionByName(bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("(bad)").alias("event_type"), "n", F.lit(None).cast("timestamp_ntz").alias("last")))
+
+
+def q_json_decode(spark, d):
+    props = _events(spark, d).select("event_id", F.col("props").alias("value"))
+    return decode_json(props, StructType.fromDDL("k bigint"), keep=("event_id",)).select("event_id", "k", F.col("_corrupt_record").isNull().alias("ok"))
+
+
+def q_stream_signal_qa_json(spark, d):
+    """J5's event outputs from JSON messages: quarantine, event time, flag, runs and current flag."""
+    good, _ = split_quarantine(_decoded(spark, d, True), ("event_id", "event_time"))
+    signal = role_signal(good.withColumn("ts", to_ntz(F.col("ts"))))
+    out, ckpt = scratch_path(spark, "stream_signal_qa_json"), scratch_path(spark, "stream_signal_qa_json-ckpt")
+    run_available(SJ.start_signal_qa(signal, out, ckpt, trigger=AVAILABLE, only="events")["events"])
+    runs = read_batches(spark, f"{out}/runs").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_runs"), F.max("n_samples").alias("longest"))
+    current = read_upserted(spark, f"{out}/current", ["user_id"], J.SIGNAL_ORDER).select("user_id", "flag")
+    return current.join(runs, "user_id", "left")
+
+
+# Small chunks: the same results when every key is cut into many.
+
+SMALL = 500
+
+
+def q_pair_average_chunked(spark, d):
+    return J.pair_average_job(_bits(spark, d), "user_id", rows_per_chunk=7)
+
+
+def q_record_runs_chunked(spark, d):
+    return J.record_runs_job(_bits(spark, d), "user_id", rows_per_chunk=7)
+
+
+def q_record_runs_global_chunked(spark, d):
+    return J.record_runs_job(_bits(spark, d), None, rows_per_chunk=SMALL)
+
+
+def q_pair_average_global_chunked(spark, d):
+    return J.pair_average_job(_bits(spark, d), None, rows_per_chunk=SMALL)
+
+
+def q_flag_runs_chunked(spark, d):
+    return J.signal_runs(_signal(spark, d), rows_per_chunk=7)
+
+
+def _with_nulls(spark, d):
+    ev = _events(spark, d)
+    amount = F.when(F.col("event_id") % 3 != 0, F.col("event_id").cast("decimal(18,2)"))
+    return ev.select("event_id", "ts", "event_type", F.when(F.col("user_id") % 5 != 0, amount).alias("amount"))
+
+
+def q_running_sum_nulls(spark, d):
+    r = running_aggregate(_with_nulls(spark, d), "event_type", J.SIGNAL_ORDER, "amount", "sum", "running", rows_per_chunk=SMALL)
+    return r.select("event_id", F.col("running").cast("double").alias("running"))
+
+
+def q_changelog_sum_nulls(spark, d):
+    c = changelog(_with_nulls(spark, d), "event_type", J.SIGNAL_ORDER, "amount", "sum", "total", rows_per_chunk=SMALL)
+    return c.select("event_type", "op", F.col("total").cast("double").alias("total"), "event_id", "change_seq")
+
+
+def q_running_xor(spark, d):
+    """A fold of the caller's own: the running bitwise exclusive or."""
+    xor = (F.bit_xor, F.bit_xor, lambda a, b: F.coalesce(a.bitwiseXOR(b), a, b))
+    r = running_folds(_events(spark, d).select("event_id", "ts", "event_type"), "event_type", J.SIGNAL_ORDER, {"folded": (xor, "event_id")}, rows_per_chunk=SMALL)
+    return r.select("event_type", "event_id", "folded")
+
+
+# Sources, sinks and helpers by themselves.
+
+
+def q_document_ids(spark, d):
+    ev = _events(spark, d)
+    return ev.select("event_id", document_id("user_id", "event_type", F.when(F.col("event_id") % 2 == 0, F.col("event_id"))).alias("id"))
+
+
+def q_epoch_millis(spark, d):
+    ev = _events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("t"))
+    return ev.select("event_id", epoch_millis(F.when(F.col("event_id") % 7 == 0, F.lit("no time")).otherwise(F.col("t"))).alias("ms"))
+
+
+def _as_of(spark, d):
+    return _events(spark, d).agg(F.max("ts")).scalar()
+
+
+def q_dash_d2_recent(spark, d):
+    return D.signal_panel(J.signal_summary(_signal(spark, d)), as_of=_as_of(spark, d), minutes=15)
+
+
+def q_dash_d3_recent(spark, d):
+    return D.run_panel(J.signal_runs(_signal(spark, d)), as_of=_as_of(spark, d), minutes=15)
+
+
+def q_dash_d6_recent(spark, d):
+    return D.record_run_panel(J.record_runs_job(_bits(spark, d), "user_id"), as_of=_as_of(spark, d), minutes=15)
+
+
+def q_text_lines(spark, d):
+    """Part names written as text lines, read back and counted by word."""
+    path = scratch_path(spark, "lines")
+    load(spark, d, "part").select("p_name").write.text(path)
+    return J.word_count_job(read_text_lines(spark, path))
+
+
+def q_csv_lines(spark, d):
+    """Lines with commas, quoted as CSV, read back whole (S3)."""
+    path = scratch_path(spark, "csv")
+    line = F.concat_ws(", ", "p_name", F.lit('a "quoted" word'), F.col("p_partkey").cast("string"))
+    load(spark, d, "part").select(line.alias("line")).write.option("quoteAll", True).option("escape", '"').csv(path)
+    return read_csv_lines(spark, path)
+
+
+def q_text_rows(spark, d):
+    """Spend per team through the row file (K3)."""
+    path = scratch_path(spark, "rows")
+    write_text_rows(J.team_spend(role_payments(load(spark, d, "customer")), role_teams(load(spark, d, "nation"))).select("team"), path)
+    return spark.read.text(path)
+
+
+def q_changelog_json(spark, d):
+    ch = q_changelog(spark, d).select("op", "event_type", "value")
+    return changelog_records(ch)
 
 
 def q_stream_latest_flag(spark, d):
@@ -226,6 +411,11 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_flag_runs": q_stream_flag_runs,
     "stream_latest_flag": q_stream_latest_flag,
     "stream_window_summary": q_stream_window_summary,
+    "stream_pair_average_global": q_stream_pair_average_global,
+    "stream_record_runs_global": q_stream_record_runs_global,
+    "stream_signal_qa": q_stream_signal_qa,
+    "stream_signal_qa_json": q_stream_signal_qa_json,
+    "stream_word_count_changelog": q_stream_word_count_changelog,
 }
 
 
@@ -253,6 +443,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dash_d4_max": q_dash_d4_max,
     "dash_d5": q_dash_d5,
     "dash_d6": q_dash_d6,
+    "pair_average_chunked": q_pair_average_chunked,
+    "pair_average_global_chunked": q_pair_average_global_chunked,
+    "record_runs_chunked": q_record_runs_chunked,
+    "record_runs_global_chunked": q_record_runs_global_chunked,
+    "flag_runs_chunked": q_flag_runs_chunked,
+    "running_sum_nulls": q_running_sum_nulls,
+    "changelog_sum_nulls": q_changelog_sum_nulls,
+    "running_xor": q_running_xor,
+    "changelog_json": q_changelog_json,
+    "json_decode": q_json_decode,
+    "json_quarantine": q_json_quarantine,
+    "document_ids": q_document_ids,
+    "epoch_millis": q_epoch_millis,
+    "text_lines": q_text_lines,
+    "csv_lines": q_csv_lines,
+    "text_rows": q_text_rows,
+    "dash_d2_recent": q_dash_d2_recent,
+    "dash_d3_recent": q_dash_d3_recent,
+    "dash_d6_recent": q_dash_d6_recent,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -465,3 +674,92 @@ SELECT * FROM ({_SUMMARY})
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 3 SECOND
 """,
 })
+
+_NULLS = """
+SELECT event_id, ts, event_type,
+       CASE WHEN user_id % 5 <> 0 AND event_id % 3 <> 0 THEN CAST(event_id AS DECIMAL(18,2)) END AS amount
+FROM events
+"""
+_RUNNING_NULLS = f"""
+SELECT *, sum(amount) OVER w AS cur, count(amount) OVER w AS seen, count(*) OVER w AS pos
+FROM ({_NULLS}) WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+"""
+_CUT = f"event_id % {CUT_OFF} = 0"
+
+
+def _recent(sql: str, ts: str) -> str:
+    return f"(SELECT * FROM ({sql}) WHERE {ts} > (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE AND {ts} <= (SELECT max(ts) FROM events))"
+
+
+_JSON_RUNS = (_FLAG_RUNS.replace("FROM events", f"FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events) WHERE NOT ({_CUT})"))
+_JSON_LATEST = (_LATEST.replace("FROM events", f"FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events) WHERE NOT ({_CUT})"))
+
+ORACLE_SQL.update({
+    "pair_average_chunked": _pairs("user_id"),
+    "pair_average_global_chunked": _pairs(""),
+    "record_runs_chunked": _records("user_id"),
+    "record_runs_global_chunked": _records(""),
+    "flag_runs_chunked": _FLAG_RUNS,
+    "stream_pair_average_global": _pairs(""),
+    "stream_record_runs_global": _records(""),
+    "stream_word_count_changelog": _WORDS,
+    "running_sum_nulls": f"SELECT event_id, CAST(cur AS DOUBLE) AS running FROM ({_RUNNING_NULLS})",
+    "changelog_sum_nulls": f"""
+WITH r AS ({_RUNNING_NULLS}),
+p AS (SELECT *, lag(cur) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev FROM r)
+SELECT event_type, '+I' AS op, CAST(cur AS DOUBLE) AS total, event_id, 1 AS change_seq FROM p WHERE pos = 1
+UNION ALL
+SELECT event_type, '-U' AS op, CAST(prev AS DOUBLE) AS total, event_id, 0 AS change_seq FROM p WHERE pos > 1
+UNION ALL
+SELECT event_type, '+U' AS op, CAST(cur AS DOUBLE) AS total, event_id, 1 AS change_seq FROM p WHERE pos > 1
+""",
+    "running_xor": """
+SELECT event_type, event_id, bit_xor(event_id) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS folded
+FROM events
+""",
+    "changelog_json": f"""
+SELECT '{{"data":[{{"event_type":"' || event_type || '","value":' || value || '}}],"type":"'
+       || CASE WHEN op = '-U' THEN 'DELETE' ELSE 'INSERT' END || '"}}' AS value
+FROM ({_CHANGELOG})
+""",
+    "json_decode": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, true AS ok FROM events",
+    "json_quarantine": f"""
+SELECT event_type, count(*) AS n, max(date_trunc('second', ts)) AS last FROM events WHERE NOT ({_CUT}) GROUP BY event_type
+UNION ALL
+SELECT '(bad)' AS event_type, count(*) AS n, NULL AS last FROM events WHERE {_CUT}
+""",
+    "document_ids": """
+SELECT event_id, coalesce(CAST(user_id AS VARCHAR), 'n/a') || '$' || coalesce(event_type, 'n/a') || '$'
+       || CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE 'n/a' END AS id FROM events
+""",
+    "epoch_millis": "SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN epoch_ms(date_trunc('second', ts)) END AS ms FROM events",
+    "text_lines": f"""
+SELECT word, count(*) AS count FROM (SELECT unnest(regexp_split_to_array(p_name, '{WHITESPACE_RE2}')) AS word FROM part)
+WHERE word <> '' GROUP BY word
+""",
+    "csv_lines": """SELECT p_name || ', a "quoted" word, ' || CAST(p_partkey AS VARCHAR) AS line FROM part""",
+    "text_rows": f"SELECT '(' || coalesce(team, 'null') || ')' AS value FROM ({_TEAM_SPEND})",
+    "dash_d2_recent": f"""
+WITH s AS {_recent(_SUMMARY, "window_start")}
+SELECT user_id, date_trunc('second', window_start) AS second,
+       max("max") AS max_signal, max(mean) AS mean_signal, max("min") AS min_signal
+FROM s WHERE user_id IN {_top_keys('s')} GROUP BY user_id, date_trunc('second', window_start)
+""",
+    "dash_d3_recent": f"""
+WITH r AS {_recent(_FLAG_RUNS, "end_time")}
+SELECT user_id, date_trunc('second', end_time) AS second, max(n_samples) AS max_samples
+FROM r WHERE user_id IN {_top_keys('r')} GROUP BY user_id, date_trunc('second', end_time)
+""",
+    "dash_d6_recent": f"""
+WITH r AS {_recent(_records("user_id"), "create_time")}
+SELECT value, date_trunc('second', create_time) AS second, max(run_length) AS max_run_length
+FROM r WHERE value IN (0, 1) GROUP BY value, date_trunc('second', create_time)
+""",
+    "stream_signal_qa": ORACLE_SQL["signal_qa"].replace(
+        f"SELECT 'summary' AS metric, * FROM ({_SUMMARY})",
+        f"SELECT 'summary' AS metric, * FROM ({ORACLE_SQL['stream_window_summary']})"),
+    "stream_signal_qa_json": f"""
+WITH r AS (SELECT user_id, count(*) AS n_runs, max(n_samples) AS longest FROM ({_JSON_RUNS}) GROUP BY user_id)
+SELECT c.user_id, c.flag, r.n_runs, r.longest FROM ({_JSON_LATEST}) c LEFT JOIN r ON c.user_id = r.user_id
+""",
+})

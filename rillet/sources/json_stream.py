@@ -74,13 +74,13 @@ def decode_json(raw: DataFrame, schema: T.StructType, value_col: str = "value",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     out = raw.select(*keep, parsed.alias("_m"), F.col(value_col).cast("string").alias("_raw"))
     cols = [F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields]
-    # from_json yields an all-null struct (not a corrupt record) for some
-    # truncated inputs; treat an all-null decode of a non-empty text as bad.
+    # from_json yields an all-null struct (not a corrupt record) for some truncated
+    # inputs; a message whose fields are all NULL is bad only if it isn't a JSON object.
     all_null = F.lit(True)
     for f in schema.fields:
         all_null = all_null & F.col(f"_m.{f.name}").isNull()
     bad = F.when(F.col(f"_m.{CORRUPT}").isNotNull(), F.col(f"_m.{CORRUPT}")) \
-        .when(all_null, F.col("_raw"))
+        .when(all_null & F.json_object_keys("_raw").isNull(), F.col("_raw"))
     return out.select(*keep, *cols, bad.alias(CORRUPT))
 
 

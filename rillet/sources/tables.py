@@ -22,31 +22,22 @@ def register_views(spark: SparkSession, folder: str, names=TABLES) -> list[str]:
     """Register each ``<name>.parquet`` of ``folder`` as a temporary view (S7), so
     jobs can look tables up by name (``spark.table``) or in SQL. Returns the
     names registered; missing tables are skipped."""
-    import os
-
     done = []
     for name in names:
         path = f"{folder.rstrip('/')}/{name}.parquet"
-        if "://" in path or os.path.exists(path):
+        if path_kind(spark, path):
             spark.read.parquet(path).createOrReplaceTempView(name)
             done.append(name)
     return done
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer input splits than cores.
-
-    A large table has many splits (files and row groups), so its scan is
-    already parallel and this is a no-op; a table stored as one row group is
-    read by one task, which matters before CPU-heavy per-row work
-    (tokenising). The check reads the planned split count of the scan
-    (metadata only; no job runs). A file count would not do: a few huge
-    files are many splits.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """``"dir"``, ``"file"`` or None (nothing there), asked of the file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return "dir" if fs.getFileStatus(p).isDirectory() else "file"
 
 
 def role_signal(events: DataFrame) -> DataFrame:

@@ -13,19 +13,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rillet.operators.aggregates import word_count
 from rillet.operators.lookup import lookup
 from rillet.plans.jobs import SIGNAL_ORDER, WINDOW
-from rillet.streaming.queries import (
-    stream_flag_runs, stream_latest, stream_pair_average, stream_record_runs, stream_window_summary,
-    stream_word_count,
-)
-from rillet.streaming.sinks import append_sink, upsert_sink
+from rillet.streaming.queries import stream_window_summary, stream_word_count
+from rillet.streaming.sequences import changes_sink, flag_runs_writer, pair_average_sink, record_runs_sink
+from rillet.streaming.sinks import append_sink, fan_out, upsert_batch, upsert_sink
 
 
-def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                     spread_to: int | None = None) -> StreamingQuery:
+def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Running word counts, upserted by word."""
-    return upsert_sink(stream_word_count(lines, spread_to), out, checkpoint, ["word"], ["count"], trigger=trigger)
+    return upsert_sink(stream_word_count(lines), out, checkpoint, ["word"], ["count"], trigger=trigger)
+
+
+def start_word_changes(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """J1 with the change-record sink: each micro-batch's changes of the words it holds."""
+    return changes_sink(lines, ["word"], "count", word_count, out, checkpoint, trigger)
 
 
 def start_team_spend(payments: DataFrame, teams: DataFrame, out: str, checkpoint: str,
@@ -44,30 +47,35 @@ def start_team_spend(payments: DataFrame, teams: DataFrame, out: str, checkpoint
 def start_pair_average(bits: DataFrame, out: str, checkpoint: str, key: str | None = None,
                        trigger: dict | None = None) -> StreamingQuery:
     """Pair averages appended as they complete (``key=None``: one sequence)."""
-    return append_sink(stream_pair_average(bits, key, SIGNAL_ORDER, "bit", "ts"), out, checkpoint, trigger)
+    return pair_average_sink(bits, key, SIGNAL_ORDER, "bit", "ts", out, checkpoint, trigger=trigger)
 
 
 def start_record_runs(bits: DataFrame, out: str, checkpoint: str, key: str | None = None,
                       trigger: dict | None = None) -> StreamingQuery:
     """Record-setting runs appended as they happen."""
-    return append_sink(stream_record_runs(bits, key, SIGNAL_ORDER, "bit", "ts"), out, checkpoint, trigger)
+    return record_runs_sink(bits, key, SIGNAL_ORDER, "bit", "ts", out, checkpoint, trigger=trigger)
 
 
 def start_signal_qa(signal: DataFrame, out: str, checkpoint: str, size: str = WINDOW,
-                    delay: str = "3 seconds", trigger: dict | None = None) -> dict[str, StreamingQuery]:
-    """The three outputs of the QA job from one flagged stream.
+                    delay: str = "3 seconds", trigger: dict | None = None, only: str | None = None) -> dict[str, StreamingQuery]:
+    """The three outputs of the QA job from the flagged stream, as two queries.
 
-    The flag is a deterministic column, so the three queries (each with its
-    own checkpoint) see identical flags: window summaries (append, watermark
-    ``delay``), completed flag runs (append, keyed state) and the current
-    flag per key (update mode, upserted).
+    ``summary``: window summaries (append, watermark ``delay``), whose state Spark keeps.
+    ``events``: one read whose micro-batches feed two sinks: completed flag runs
+    (read them with ``read_batches``) and the current flag per key (upserted). ``only``
+    names one of the two.
     """
     out, checkpoint = out.rstrip("/"), checkpoint.rstrip("/")
-    return {
-        "summary": append_sink(stream_window_summary(signal, "user_id", "ts", "value", "flag", size, delay),
-                               f"{out}/summary", f"{checkpoint}/summary", trigger),
-        "runs": append_sink(stream_flag_runs(signal, "user_id", SIGNAL_ORDER, "flag", "ts"),
-                            f"{out}/runs", f"{checkpoint}/runs", trigger),
-        "current": upsert_sink(stream_latest(signal, "user_id", SIGNAL_ORDER, "flag"), f"{out}/current",
-                               f"{checkpoint}/current", ["user_id"], SIGNAL_ORDER, trigger=trigger),
+    order = list(SIGNAL_ORDER)
+
+    def current(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("user_id", "flag", *order)
+        upsert_batch(rows, batch_id, f"{out}/current", ["user_id"], order)
+
+    start = {
+        "summary": lambda: append_sink(stream_window_summary(signal, "user_id", "ts", "value", "flag", size, delay),
+                                       f"{out}/summary", f"{checkpoint}/summary", trigger),
+        "events": lambda: fan_out(signal, {"runs": flag_runs_writer("user_id", order, "flag", "ts", f"{out}/runs"), "current": current},
+                                  f"{checkpoint}/events", trigger=trigger),
     }
+    return {name: begin() for name, begin in start.items() if only in (None, name)}

@@ -8,7 +8,7 @@ back as a table; :func:`run_available` runs a query over everything present
 
 from __future__ import annotations
 
-import os
+import sys
 import time
 from collections.abc import Callable, Sequence
 
@@ -21,26 +21,35 @@ from rillet.operators.aggregates import window_summary, word_count
 from rillet.operators.scan import _as_list
 from rillet.schemas import EVENTS
 from rillet.session import scratch_path
+from rillet.sources.tables import path_kind
 from rillet.streaming.processors import FlagRunProcessor, PairAverageProcessor, RecordRunProcessor
 from rillet.streaming.sinks import append_sink, read_upserted, upsert_sink
 
 GLOBAL_KEY = "__all"
 
 
+#: Files a micro-batch takes unless the caller says otherwise, so a backfill is many bounded batches.
+FILES_PER_TRIGGER = 64
+
+
 def stream_table(spark: SparkSession, folder: str, name: str, schema: T.StructType = EVENTS,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Table ``name`` of a folder as a stream; files are taken oldest first.
 
-    The table is either a directory ``<name>.parquet/`` of part files (as
-    Spark writes it) or files ``<name>*.parquet`` directly in ``folder``.
+    The table is a directory ``<name>.parquet/`` of part files (as Spark writes it),
+    or the file ``<name>.parquet`` and files ``<name>-*.parquet`` in ``folder``. Any
+    path Spark can read will do; if nothing is there, an error is raised.
     """
-    r = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    table_dir = f"{folder.rstrip('/')}/{name}.parquet"
-    if os.path.isdir(table_dir):
-        return r.parquet(table_dir)
-    return r.option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+    folder = folder.rstrip("/")
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger))
+    table = f"{folder}/{name}.parquet"
+    if path_kind(spark, table) == "dir":
+        return r.parquet(table)
+    pattern = f"{{{name},{name}-*}}.parquet"
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p):
+        raise FileNotFoundError(f"no table {name!r} in {folder}")
+    return r.option("pathGlobFilter", pattern).parquet(folder)
 
 
 def _keyed(df: DataFrame, key):
@@ -60,8 +69,9 @@ def _drop_global(out: DataFrame, keys_out: list[str]) -> DataFrame:
 
 def stream_pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
                         size: int = 2) -> DataFrame:
-    """T1 on a stream (append). ``key=None`` is one global sequence: one state
-    key, so one task per micro-batch (the batch form has no such limit)."""
+    """T1 on a stream (append), low latency: keyed state in the state store, so a
+    micro-batch's rows of one key meet in one task. For hot keys or ``key=None`` use
+    :func:`rillet.streaming.sequences.pair_average_sink`, which has no such limit."""
     df, keys, keys_out = _keyed(df, key)
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("create_time", df.schema[time_col].dataType),
                                                   T.StructField("average", T.IntegerType())])
@@ -111,20 +121,15 @@ def stream_latest(df: DataFrame, key, order: Sequence[str], value: str, out: str
         .select(*keys, F.col("__l.v").alias(out or value), *[F.col(f"__l.o.{c}").alias(c) for c in order])
 
 
-def stream_word_count(lines: DataFrame, spread_to: int | None = None) -> DataFrame:
-    """J1 on a stream: running counts per word (update mode).
-
-    ``spread_to`` spreads each micro-batch's lines over that many tasks
-    before tokenising, for sources with fewer partitions than cores (one
-    file, a topic with few partitions); counts are unchanged.
-    """
-    if spread_to:
-        lines = lines.repartition(spread_to)
+def stream_word_count(lines: DataFrame) -> DataFrame:
+    """J1 on a stream: running counts per word (update mode). Only partial counts are
+    shuffled; how many tasks tokenise a micro-batch follows from the source's splits."""
     return word_count(lines)
 
 
-def run_available(query: StreamingQuery, timeout_s: float = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to finish; raise its error if it failed."""
+def run_available(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish; raise its error if it failed.
+    Only a caller's own ``timeout_s`` stops it earlier."""
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
@@ -154,19 +159,29 @@ def upsert_to_table(spark: SparkSession, df: DataFrame, name: str, key: Sequence
     return read_upserted(spark, path, key, order)
 
 
-def restart_on_failure(start: Callable[[], StreamingQuery], attempts: int = 60, delay_s: float = 2.0,
-                       timeout_s: float | None = None) -> StreamingQuery:
-    """Fixed-delay restart (W14): start the query, and after a failure start it
-    again from its checkpoint, at most ``attempts`` times."""
-    last = None
-    for _ in range(attempts):
-        q = start()
-        try:
-            q.awaitTermination(timeout_s)
-            if q.exception() is None:
-                return q
-            last = q.exception()
-        except Exception as e:  # the query failed
-            last = e
-        time.sleep(delay_s)
-    raise RuntimeError(f"query failed {attempts} times: {last}")
+def run_with_restarts(start: Callable[[], list[StreamingQuery]], restarts: int, delay_s: float) -> int:
+    """Run a job's queries; when one fails, stop the others and start them all
+    again from their checkpoints (W14: fixed delay, at most ``restarts`` times). Returns 0, or 1 when the last attempt failed."""
+    for attempt in range(restarts + 1):
+        queries = start()
+        failed = None
+        # Poll every query, so a failure of any one is seen while the others run.
+        while failed is None and any(q.isActive for q in queries):
+            for q in queries:
+                try:
+                    q.awaitTermination(0.5)
+                except Exception as e:  # the query failed
+                    failed = e
+                if failed is None and q.exception() is not None:
+                    failed = q.exception()
+                if failed is not None:
+                    break
+        if failed is None:
+            return 0
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        print(f"attempt {attempt + 1} failed: {failed}", file=sys.stderr)
+        if attempt < restarts:
+            time.sleep(delay_s)
+    return 1

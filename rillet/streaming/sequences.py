@@ -1,0 +1,162 @@
+"""Sequence operators on a stream, without one task per key.
+
+Each micro-batch runs the chunked batch operator, which goes on from what the
+earlier batches left of every key: a small state table (rows seen, last value, open
+run or group), kept as an upsert table beside the output. A hot key, or the one
+key of a global sequence, spreads over as many tasks as it has chunks. The order
+inside a micro-batch is ``order``; across micro-batches it is arrival.
+
+Batch ``n`` reads the state as of batch ``n - 1`` and writes its rows and the new
+state to its own folders, so a replayed batch replaces itself. Read the rows with
+:func:`rillet.streaming.sinks.read_batches`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from rillet.operators.scan import DEFAULT_ROWS_PER_CHUNK, _as_list
+from rillet.operators.sequences import flag_runs_from, pair_average_from, record_runs_from
+from rillet.streaming.sinks import _start, compact_upserts, read_upserted, upsert_batch, write_batch
+
+#: Key column of a state table whose sequence is global.
+ONE = "_sequence"
+COMPACT_EVERY = 50
+
+
+def _field(name: str, kind) -> T.StructField:
+    return T.StructField(name, kind)
+
+
+class _State:
+    """A state table: the rows of batch ``n`` win over those of earlier batches."""
+
+    def __init__(self, path: str, keys: list[str], more: Sequence[str] = ()):
+        self.path, self.keys = path, keys
+        self.by = (keys or [ONE]) + list(more)
+
+    def before(self, batch: DataFrame, batch_id: int, fields: list[T.StructField]) -> DataFrame:
+        own = [batch.schema[k] for k in self.keys] or [_field(ONE, T.IntegerType())]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in own] + fields)
+        return read_upserted(batch.sparkSession, self.path, self.by, [schema.fieldNames()[-1]], schema, upto=batch_id - 1)
+
+    def put(self, state: DataFrame, batch_id: int) -> None:
+        state = state if self.keys else state.withColumn(ONE, F.lit(0))
+        upsert_batch(state, batch_id, self.path, self.by, [state.columns[-1]])
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            compact_upserts(state.sparkSession, self.path, self.by, [state.columns[-1]], upto=batch_id - 1)
+
+
+def _held(step: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+    return run
+
+
+def pair_average_writer(key, order: Sequence[str], value: str, time_col: str, path: str, size: int = 2,
+                        rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> Callable[[DataFrame, int], None]:
+    """T1 as a per-batch writer (for ``foreachBatch`` or :func:`~rillet.streaming.sinks.fan_out`)."""
+    keys = _as_list(key)
+    state = _State(f"{path}-state", keys)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        long = T.LongType()
+        carry = state.before(batch, batch_id, [_field("group", long), _field("n", long), _field("total", long),
+                                               _field("at", batch.schema[time_col].dataType), _field("seen", long)])
+        rows, left = pair_average_from(batch, key, order, value, time_col, size, rows_per_chunk, carry=carry)
+        write_batch(rows, batch_id, path)
+        state.put(left.select(*keys, "group", "n", "total", "at", "seen"), batch_id)
+    return _held(step)
+
+
+def record_runs_writer(key, order: Sequence[str], value: str, time_col: str, path: str,
+                       rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> Callable[[DataFrame, int], None]:
+    """T2 as a per-batch writer."""
+    keys = _as_list(key)
+    state, best = _State(f"{path}-state", keys), _State(f"{path}-records", keys, ["value"])
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        kind = batch.schema[value].dataType
+        carry = state.before(batch, batch_id, [_field("last", kind), _field("open", T.LongType()), _field("seen", T.LongType())])
+        records = best.before(batch, batch_id, [_field("value", kind), _field("longest", T.LongType())])
+        rows, left, after = record_runs_from(batch, key, order, value, time_col, rows_per_chunk, carry=carry, records=records)
+        write_batch(rows, batch_id, path)
+        state.put(left.select(*keys, "last", "open", "seen"), batch_id)
+        best.put(after.select(*keys, "value", F.col("longest").cast("long").alias("longest")), batch_id)
+    return _held(step)
+
+
+def flag_runs_writer(key, order: Sequence[str], flag: str, time_col: str, path: str, emit_empty_first: bool = True,
+                     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> Callable[[DataFrame, int], None]:
+    """T3 as a per-batch writer."""
+    keys = _as_list(key)
+    state = _State(f"{path}-state", keys)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        carry = state.before(batch, batch_id, [_field("last", batch.schema[flag].dataType), _field("open", T.LongType()), _field("seen", T.LongType())])
+        rows, left = flag_runs_from(batch, key, order, flag, time_col, emit_empty_first, rows_per_chunk, carry=carry)
+        write_batch(rows, batch_id, path)
+        state.put(left.select(*keys, "last", "open", "seen"), batch_id)
+    return _held(step)
+
+
+def _sink(df: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    return _start(df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(writer), trigger)
+
+
+def pair_average_sink(df: DataFrame, key, order: Sequence[str], value: str, time_col: str, path: str, checkpoint: str,
+                      size: int = 2, trigger: dict | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> StreamingQuery:
+    """T1 on a stream, for any distribution of keys (``key=None``: one sequence)."""
+    return _sink(df, pair_average_writer(key, order, value, time_col, path, size, rows_per_chunk), checkpoint, trigger)
+
+
+def record_runs_sink(df: DataFrame, key, order: Sequence[str], value: str, time_col: str, path: str, checkpoint: str,
+                     trigger: dict | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> StreamingQuery:
+    """T2 on a stream, for any distribution of keys."""
+    return _sink(df, record_runs_writer(key, order, value, time_col, path, rows_per_chunk), checkpoint, trigger)
+
+
+def flag_runs_sink(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str, path: str, checkpoint: str,
+                   emit_empty_first: bool = True, trigger: dict | None = None,
+                   rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> StreamingQuery:
+    """T3 on a stream, for any distribution of keys."""
+    return _sink(df, flag_runs_writer(key, order, flag, time_col, path, emit_empty_first, rows_per_chunk), checkpoint, trigger)
+
+
+def change_writer(key: Sequence[str], value: str, count: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
+    """Streaming change records (A5, K2): each batch's counts (``count(batch)``: key...,
+    value) are added to the state; a key that was there retracts its old value and
+    adds the new one, a new key inserts. Rows: key..., op, value, change_seq."""
+    keys = list(key)
+    state = _State(f"{path}-state", keys)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        new = count(batch)
+        old = state.before(new, batch_id, [T.StructField(value, T.LongType())]).select(
+            *(F.col(k).alias(f"__o_{k}") for k in keys), F.col(value).alias("__old"))
+        on = [new[k].eqNullSafe(old[f"__o_{k}"]) for k in keys]
+        both = new.join(old, on, "left").withColumn("__new", F.coalesce("__old", F.lit(0)) + F.col(value))
+        entry = lambda op, v, seq: F.struct(F.lit(op).alias("op"), F.col(v).alias("v"), F.lit(seq).alias("change_seq"))
+        entries = F.when(F.col("__old").isNull(), F.array(entry("+I", "__new", 1))).otherwise(
+            F.array(entry("-U", "__old", 0), entry("+U", "__new", 1)))
+        changes = both.select(*keys, F.explode(entries).alias("__e"))
+        write_batch(changes.select(*keys, F.col("__e.op").alias("op"), F.col("__e.v").alias(value), F.col("__e.change_seq").alias("change_seq")),
+                    batch_id, path)
+        state.put(both.select(*keys, F.col("__new").alias(value)), batch_id)
+    return _held(step)
+
+
+def changes_sink(df: DataFrame, key: Sequence[str], value: str, count: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                 trigger: dict | None = None) -> StreamingQuery:
+    """The change stream of a streaming count (see :func:`change_writer`)."""
+    return _sink(df, change_writer(key, value, count, path), checkpoint, trigger)

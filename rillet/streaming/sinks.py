@@ -2,8 +2,9 @@
 
 Every sink writes under a checkpoint location so a restarted query resumes
 where it stopped. ``foreachBatch`` may replay a micro-batch after a failure;
-the upsert sink writes each batch to its own ``batch_id`` folder with
-overwrite, so a replay replaces the earlier attempt instead of adding to it.
+the sinks here write each batch to its own ``_batch=<id>`` folder with
+overwrite, so a replay replaces the earlier attempt instead of adding to it. A folder
+counts once its marker file is there, which is written last.
 """
 
 from __future__ import annotations
@@ -11,10 +12,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from rillet.schemas import CHANGE_OPS
 
@@ -39,14 +39,9 @@ def as_text_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")")).alias("value"))
 
 
-def write_text_rows(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
-    """Row file sink (K3): one record per line. ``single_file`` gathers the
-    (already small, e.g. aggregated) result into one part file, as the
-    reference's parallelism-1 sink did; leave it off for large outputs."""
-    out = as_text_lines(df)
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode(mode).text(path)
+def write_text_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Row file sink (K3): one record per line, in as many part files as the result has partitions."""
+    as_text_lines(df).write.mode(mode).text(path)
 
 
 def text_rows_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -71,10 +66,53 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return agg.select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
+DONE = "_COMMITTED"
+MERGED = "_merged"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def commit_folder(spark: SparkSession, folder: str) -> None:
+    """Mark a written folder as complete (the last thing a writer does)."""
+    fs, p = _fs(spark, f"{folder}/{DONE}")
+    fs.create(p, True).close()
+
+
+def committed(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Numbers of the complete folders of an output, by kind."""
+    fs, p = _fs(spark, path)
+    found: dict[str, list[int]] = {BATCH_COL: [], MERGED: []}
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        kind, _, number = st.getPath().getName().partition("=")
+        if kind in found and fs.exists(_fs(spark, f"{st.getPath()}/{DONE}")[1]):
+            found[kind].append(int(number))
+    return found
+
+
+def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """One micro-batch's rows in the batch's own folder, replacing an earlier attempt of it."""
+    folder = f"{path}/{BATCH_COL}={batch_id}"
+    df.write.mode("overwrite").parquet(folder)
+    commit_folder(df.sparkSession, folder)
+
+
+def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """All rows of the complete batches that :func:`write_batch` left."""
+    ids = sorted(committed(spark, path)[BATCH_COL])
+    if not ids:
+        if schema is None:
+            raise FileNotFoundError(f"no complete batch in {path}")
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(*(f"{path}/{BATCH_COL}={i}" for i in ids))
+
+
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: Sequence[str], order: Sequence[str]) -> None:
     """Write one micro-batch of an upsert sink (K5): last row per key, into the
     batch's own folder, replacing any earlier attempt of the same batch."""
-    latest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={batch_id}")
+    write_batch(latest_per_key(batch, key, order), batch_id, path)
 
 
 def upsert_sink(df: DataFrame, path: str, checkpoint: str, key: Sequence[str], order: Sequence[str],
@@ -82,10 +120,8 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, key: Sequence[str], o
                 compact_every: int | None = 100) -> StreamingQuery:
     """Last write per key wins (K5). Read the current table with :func:`read_upserted`.
 
-    Every ``compact_every`` batches the earlier batches (all committed by
-    then) are compacted, so readers never merge more than that many folders.
-    A replayed batch repeats the same compaction, which changes nothing.
-    """
+    Every ``compact_every`` batches the earlier ones (all complete by then) are
+    compacted, so readers never merge more than about that many folders."""
     key, order = list(key), list(order)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -97,63 +133,60 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, key: Sequence[str], o
     return _start(w, trigger)
 
 
-COMPACTED = "_compacted"
-
-
-def _compacted_upto(spark: SparkSession, path: str) -> int | None:
-    """Batch id of the latest compaction of an upsert table, if any."""
-    try:
-        marks = spark.read.text(f"{path}/{COMPACTED}").collect()  # one short line per compaction
-    except AnalysisException:  # no compaction yet
+def _versions(spark: SparkSession, path: str, upto: int | None) -> DataFrame | None:
+    """The rows to merge, with the batch they came in: the latest compaction and the batches after it."""
+    found = committed(spark, path)
+    fits = [n for n in found[MERGED] if upto is None or n <= upto]
+    base = max(fits, default=None)
+    later = [n for n in found[BATCH_COL] if (base is None or n > base) and (upto is None or n <= upto)]
+    parts = []
+    if base is not None:
+        parts.append(spark.read.parquet(f"{path}/{MERGED}={base}").withColumn(BATCH_COL, F.lit(base).cast("long")))
+    if later:
+        folders = [f"{path}/{BATCH_COL}={n}" for n in sorted(later)]
+        parts.append(spark.read.option("basePath", path).parquet(*folders).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")))
+    if not parts:
         return None
-    return max(int(r.value) for r in marks) if marks else None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
-                  schema=None) -> DataFrame:
-    """The current state of an upsert table: per key the row of the latest batch
-    (then greatest ``order``). Merge-on-read as one aggregate. Folders older
-    than the last compaction are pruned by the partition filter, so they are
-    neither listed nor read. With ``schema``, a table no batch has written
-    yet reads as empty."""
-    try:
-        raw = spark.read.option("basePath", path).parquet(f"{path}/{BATCH_COL}=*")
-    except AnalysisException:
+                  schema=None, upto: int | None = None) -> DataFrame:
+    """The state of an upsert table (as of batch ``upto``): per key the row of the latest
+    batch, then greatest ``order``. Merge-on-read as one aggregate over the latest
+    compaction and the batches after it; older folders are not read. With
+    ``schema``, a table no batch has written yet reads as empty."""
+    raw = _versions(spark, path, upto)
+    if raw is None:
         if schema is None:
-            raise
+            raise FileNotFoundError(f"no complete batch in {path}")
         return spark.createDataFrame([], schema)
-    upto = _compacted_upto(spark, path)
-    if upto is not None:
-        raw = raw.where(F.col(BATCH_COL) >= upto)
-    merged = latest_per_key(raw, list(key), [BATCH_COL] + list(order))
-    return merged.drop(BATCH_COL)
-
-
-def compact_upserts(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
-                    upto: int) -> None:
-    """Fold every batch up to ``upto`` (a batch the query has committed) into
-    batch ``upto``'s folder, then record ``upto`` so readers skip the older
-    folders.
-
-    The rewritten folder holds each key's latest row as of ``upto`` (a
-    superset of that batch's own rows), so newer batches still win and a
-    reader sees the same table before and after. The merged rows are
-    materialised in the checkpoint folder first, because a folder cannot be
-    overwritten while it is being read.
-    """
-    from rillet.session import scratch_path
-
-    raw = spark.read.option("basePath", path).parquet(f"{path}/{BATCH_COL}=*")
-    base = _compacted_upto(spark, path)
-    raw = raw.where(F.col(BATCH_COL) <= upto)
-    if base is not None:
-        raw = raw.where(F.col(BATCH_COL) >= base)
-    merged = latest_per_key(raw, list(key), [BATCH_COL] + list(order)).drop(BATCH_COL)
-    staged = scratch_path(spark, "upsert-compaction")
-    merged.write.parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={upto}")
-    spark.createDataFrame([(str(upto),)], "value string").coalesce(1) \
-        .write.mode("append").text(f"{path}/{COMPACTED}")
+    return latest_per_key(raw, list(key), [BATCH_COL] + list(order)).drop(BATCH_COL)
+
+
+def compact_upserts(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str], upto: int) -> None:
+    """Merge every batch up to ``upto`` into the new folder ``_merged=<upto>``.
+
+    No complete folder is ever touched: the merged rows are written once, to a
+    folder readers don't look at before its marker is there, and the marker comes
+    last. An attempt that was interrupted is written anew; a replayed one finds the
+    marker and does nothing. Folders that the compaction before this one
+    replaced are deleted only now, one compaction late, so a reader that
+    planned with them has had a whole round to finish."""
+    found = committed(spark, path)
+    if upto not in found[MERGED]:
+        raw = _versions(spark, path, upto)
+        if raw is None:
+            return
+        folder = f"{path}/{MERGED}={upto}"
+        latest_per_key(raw, list(key), [BATCH_COL] + list(order)).drop(BATCH_COL).write.mode("overwrite").parquet(folder)
+        commit_folder(spark, folder)
+    before = max((n for n in found[MERGED] if n < upto), default=None)
+    if before is not None:
+        old = [f"{path}/{BATCH_COL}={n}" for n in found[BATCH_COL] if n <= before]
+        for folder in old + [f"{path}/{MERGED}={n}" for n in found[MERGED] if n < before]:
+            fs, p = _fs(spark, folder)
+            fs.delete(p, True)
 
 
 def fan_out(df: DataFrame, writers: dict[str, Callable[[DataFrame, int], None]], checkpoint: str,
@@ -190,14 +223,36 @@ def write_changelog_json(changes: DataFrame, path: str, op_col: str = "op",
     changelog_records(changes, op_col, data_cols).write.mode(mode).text(path)
 
 
+class ProgressTotals(StreamingQueryListener):
+    """Rows read and rows dropped as late over the whole life of a session's queries.
+
+    Add it with ``spark.streams.addListener`` before the queries start: Spark itself
+    keeps the progress of the latest batches only. ``totals[name or id]`` is
+    (rows read, rows dropped by the watermark)."""
+
+    def __init__(self):
+        self.totals: dict[str, tuple[int, int]] = {}
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        at = p.name or str(p.id)
+        rows, late = self.totals.get(at, (0, 0))
+        self.totals[at] = (rows + p.numInputRows, late + sum(op.numRowsDroppedByWatermark for op in p.stateOperators))
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def progress_report(query: StreamingQuery) -> dict:
-    """Rows in, rows dropped as late by the watermark, and the watermark, from
-    the last progress of a query (W6)."""
+    """Rows in, rows dropped as late by the watermark, and the watermark, of a
+    query's latest batch (totals: :class:`ProgressTotals`)."""
     p = query.lastProgress or {}
-    dropped = lambda pr: sum(op.get("numRowsDroppedByWatermark", 0) for op in pr.get("stateOperators", []))
-    recent = query.recentProgress or []
-    return {"batch_id": p.get("batchId"), "input_rows": p.get("numInputRows"),
-            "dropped_by_watermark": dropped(p),
-            "dropped_total": sum(dropped(pr) for pr in recent),
-            "input_rows_total": sum(pr.get("numInputRows", 0) for pr in recent),
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+    return {"batch_id": p.get("batchId"), "input_rows": p.get("numInputRows"), "dropped_by_watermark": dropped,
             "watermark": (p.get("eventTime") or {}).get("watermark")}

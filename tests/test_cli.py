@@ -14,7 +14,7 @@ def test_cli_batch_job(spark, tmp_path):
 
 
 def test_run_with_restarts():
-    from rillet.__main__ import run_with_restarts
+    from rillet.streaming import run_with_restarts
 
     class _Q:
         def __init__(self, fail):

@@ -50,16 +50,6 @@ def test_register_views(spark):
     assert spark.sql("SELECT count(*) AS n FROM events").first().n == 1000
 
 
-def test_spread_only_small_scans(spark):
-    from rillet.sources import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert spread(one).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(wide) is wide
-
-
 def test_decode_kafka_shaped_records(spark):
     from rillet.schemas import BITS
 

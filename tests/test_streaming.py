@@ -4,6 +4,7 @@ from the checkpoint in between; watermark behaviour on late rows; sinks."""
 import datetime as dt
 import json
 import os
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from rillet.plans import jobs as J
 from rillet.sources.tables import role_bits, role_signal
 from rillet.streaming import (
-    append_sink, changelog_records, fan_out, progress_report, read_upserted, run_available, stream_flag_runs,
+    ProgressTotals, append_sink, changelog_records, fan_out, progress_report, read_upserted, run_available, stream_flag_runs,
     stream_latest, stream_pair_average, stream_record_runs, stream_table, stream_window_summary, upsert_batch,
     upsert_sink,
 )
@@ -81,7 +82,7 @@ def test_stateful_streams_equal_batch_across_restart(spark, tmp_path):
     for name, b in builds.items():  # restart from the same checkpoint
         q, _ = start(name, b)
         run_available(q)
-        assert progress_report(q)["input_rows_total"] > 0
+        assert progress_report(q)["input_rows"] > 0
 
     expect = {
         "pairs": J.pair_average_job(role_bits(events)),
@@ -121,6 +122,8 @@ def test_window_watermark_late_rows(spark, tmp_path, batches, mean, n, dropped):
     _signal_files(folder, batches)
     src = spark.readStream.schema(SIG_SCHEMA).option("maxFilesPerTrigger", "1").parquet(folder)
     out = str(tmp_path / "out")
+    totals = ProgressTotals()
+    spark.streams.addListener(totals)
     q = append_sink(stream_window_summary(src, "user_id", "ts", "value", "flag"), out,
                     str(tmp_path / "ckpt"), trigger={"availableNow": True})
     run_available(q)
@@ -129,7 +132,13 @@ def test_window_watermark_late_rows(spark, tmp_path, batches, mean, n, dropped):
     r = rows[0]
     assert r.window_start == dt.datetime(2024, 1, 1, 15, 0, 0)
     assert r.n_elements == n and r.mean == pytest.approx(mean, rel=1e-6)
-    assert progress_report(q)["dropped_total"] == dropped
+    read = sum(len(b) for b in batches)
+    for _ in range(50):  # the listener hears of a batch a little later
+        if totals.totals.get(str(q.id)) == (read, dropped):
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(totals)
+    assert totals.totals[str(q.id)] == (read, dropped)
 
 
 def test_latest_stream_upsert(spark, tmp_path):
@@ -208,33 +217,6 @@ def test_json_messages_with_quarantine(spark, tmp_path):
     assert spark.read.parquet(qdir).count() == 2
 
 
-def test_restart_on_failure_retries_from_checkpoint():
-    from rillet.streaming.queries import restart_on_failure
-
-    class _Query:
-        def __init__(self, fail):
-            self.fail = fail
-
-        def awaitTermination(self, timeout=None):
-            if self.fail:
-                raise RuntimeError("executor lost")
-
-        def exception(self):
-            return None
-
-    starts = []
-
-    def start():
-        starts.append(1)
-        return _Query(fail=len(starts) < 3)
-
-    q = restart_on_failure(start, attempts=5, delay_s=0)
-    assert len(starts) == 3 and not q.fail
-    starts.clear()
-    with pytest.raises(RuntimeError):
-        restart_on_failure(lambda: _Query(fail=True), attempts=2, delay_s=0)
-
-
 def test_stream_table_reads_spark_written_table(spark, tmp_path):
     folder = str(tmp_path / "tables")
     spark.read.parquet(f"{SF}/events.parquet").write.parquet(f"{folder}/events.parquet")
@@ -270,7 +252,9 @@ def test_upsert_sink_compacts_as_it_goes(spark, tmp_path):
     q = upsert_sink(stream_latest(role_signal(ev), "user_id", ORDER, "flag"), out, str(tmp_path / "ckpt"),
                     ["user_id"], ORDER, trigger={"availableNow": True}, compact_every=2)
     run_available(q)
-    assert (tmp_path / "latest" / "_compacted").exists()
+    folders = {p.name for p in (tmp_path / "latest").iterdir()}
+    assert "_merged=3" in folders and "_merged=1" in folders
+    assert "_batch=0" not in folders and "_batch=4" in folders
     got = read_upserted(spark, out, ["user_id"], ORDER).select("user_id", "flag")
     assert _rows(got) == _rows(J.signal_current(role_signal(events)))
 
@@ -280,3 +264,103 @@ def test_read_upserted_before_any_batch(spark, tmp_path):
     assert got.count() == 0 and got.columns == ["k", "v", "seq"]
     with pytest.raises(Exception):
         read_upserted(spark, str(tmp_path / "none"), ["k"], ["seq"])
+
+
+@pytest.mark.parametrize("stop_at", ["write", "commit", "delete"])
+def test_interrupted_compaction_loses_nothing(spark, tmp_path, monkeypatch, stop_at):
+    from rillet.streaming import sinks
+
+    path, schema = str(tmp_path / "t"), "k long, v long, seq long"
+    for i, rows in enumerate([[(1, 10, 0), (2, 20, 1)], [(1, 11, 2)], [(3, 30, 3)], [(2, 21, 4)], [(1, 12, 5)]]):
+        upsert_batch(spark.createDataFrame(rows, schema), i, path, ["k"], ["seq"])
+        if i == 1:
+            sinks.compact_upserts(spark, path, ["k"], ["seq"], upto=0)
+    want = [(1, 12), (2, 21), (3, 30)]
+
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        if stop_at == "write":
+            m.setattr(sinks, "latest_per_key", broken)
+        elif stop_at == "commit":
+            m.setattr(sinks, "commit_folder", broken)
+        else:
+            real, calls = sinks._fs, []
+
+            def failing(sp, p):
+                if calls and "_batch=" in p and "_COMMITTED" not in p:
+                    raise RuntimeError("lost")
+                return real(sp, p)
+            m.setattr(sinks, "_fs", failing)
+            calls.append(1)
+        with pytest.raises(RuntimeError):
+            sinks.compact_upserts(spark, path, ["k"], ["seq"], upto=3)
+    read = lambda **k: _rows(read_upserted(spark, path, ["k"], ["seq"], **k).select("k", "v"))
+    assert read() == want
+    sinks.compact_upserts(spark, path, ["k"], ["seq"], upto=3)  # the replay
+    assert read() == want and read(upto=3) == [(1, 11), (2, 21), (3, 30)]
+    left = {p.name for p in (tmp_path / "t").iterdir()}
+    assert left == {"_merged=0", "_merged=3", "_batch=1", "_batch=2", "_batch=3", "_batch=4"}
+
+
+@pytest.mark.parametrize("key", ["user_id", None])
+def test_chunked_streams_equal_batch_across_restart(spark, tmp_path, key):
+    """Several micro-batches, a restart and a replayed batch, with chunks of 40 rows."""
+    from rillet.streaming import flag_runs_sink, pair_average_sink, read_batches, record_runs_sink
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    staging, live = str(tmp_path / "staging"), str(tmp_path / "live")
+    paths = _write_slices(spark, events, staging, 3)
+    os.makedirs(live)
+    now = {"trigger": {"availableNow": True}, "rows_per_chunk": 40}
+
+    def start(name):
+        ev = stream_table(spark, live, "events", EVENTS, max_files_per_trigger=1)
+        out, ck = str(tmp_path / name), str(tmp_path / f"{name}-ckpt")
+        if name == "pairs":
+            return pair_average_sink(role_bits(ev), key, ORDER, "bit", "ts", out, ck, **now)
+        if name == "records":
+            return record_runs_sink(role_bits(ev), key, ORDER, "bit", "ts", out, ck, **now)
+        return flag_runs_sink(role_signal(ev), key, ORDER, "flag", "ts", out, ck, **now)
+
+    for p in paths[:2]:
+        os.replace(p, os.path.join(live, os.path.basename(p)))
+    for name in ("pairs", "records", "flags"):
+        run_available(start(name))
+        for left in ("1", ".1.crc"):  # batch 1 is replayed
+            os.remove(str(tmp_path / f"{name}-ckpt" / "commits" / left))
+    os.replace(paths[2], os.path.join(live, os.path.basename(paths[2])))
+    for name in ("pairs", "records", "flags"):
+        run_available(start(name))
+    bits = role_bits(events)
+    expect = {"pairs": J.pair_average_job(bits, key), "records": J.record_runs_job(bits, key)}
+    if key:
+        expect["flags"] = J.signal_runs(role_signal(events))
+    for name, exp in expect.items():
+        assert _rows(read_batches(spark, str(tmp_path / name)).select(*exp.columns)) == _rows(exp), name
+
+
+def test_stream_table_takes_only_its_table(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = spark.range(5)
+    for name in ("part", "partsupp", "part-1"):
+        rows.toPandas().to_parquet(f"{folder}/{name}.parquet")
+    for i, where in enumerate((folder, f"file://{folder}")):
+        out = str(tmp_path / f"out{i}")
+        run_available(append_sink(stream_table(spark, where, "part", rows.schema), out, str(tmp_path / f"ck{i}"), trigger={"availableNow": True}))
+        assert spark.read.parquet(out).count() == 10
+    with pytest.raises(FileNotFoundError):
+        stream_table(spark, folder, "lineitem", rows.schema)
+    spark.range(7).write.parquet(f"{folder}/dir.parquet")
+    out = str(tmp_path / "outd")
+    run_available(append_sink(stream_table(spark, f"file://{folder}", "dir", rows.schema), out, str(tmp_path / "ckd"), trigger={"availableNow": True}))
+    assert spark.read.parquet(out).count() == 7
+
+
+def test_message_with_null_fields_is_not_corrupt(spark):
+    from rillet.sources import decode_json
+
+    raw = spark.createDataFrame([('{"a":null}',), ("{}",), ("[1]",), ('{"a":',), ("nonsense",)], "value string")
+    assert [r._corrupt_record is None for r in decode_json(raw, __import__("pyspark").sql.types.StructType.fromDDL("a int")).collect()] \
+        == [True, True, False, False, False]
