@@ -2,7 +2,8 @@
 
 Rules are host suffixes with a path prefix. URLs that a rule decides are the
 labelled ones; boosted trees learn from lexical features of a bounded sample of
-them and decide the rest. DataFrame functions and Spark ML throughout.
+them and decide the rest. The suffix statistics among the features cover all
+labelled URLs. DataFrame functions and Spark ML throughout.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from rillet.llm.common import ascii_lower, written
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-#: Labelled URLs the trees are fitted to (those with the smallest hash of their URL).
+#: Labelled URLs the trees are fitted to (those with the smallest hash of URL and page_id,
+#: so that a URL of many pages doesn't fill the sample).
 SAMPLE = 20_000
 TREES, DEPTH = 10, 4
 #: A suffix seen less often among the labelled URLs leans to the share of all.
@@ -109,23 +111,23 @@ def url_verdicts(pages: DataFrame, rules=RULES, sample: int = SAMPLE, id_col: st
     """page_id, host, path, rule, verdict, block_probability of every page.
 
     ``block_probability`` is null where a rule decides. The trees learn from at
-    most ``sample`` rule-decided URLs. With rule-decided URLs of one kind only, that
+    most ``sample`` rule-decided URLs, the suffix statistics from all. With rule-decided URLs of one kind only, that
     kind is the verdict of all others; with none at all it is ``allow``."""
     given = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"))
     host, path = host_and_path(F.col("_url"))
     named = given.withColumn("_host", host).withColumn("_path", path)
     rule, verdict = matched_rule(F.col("_host"), F.col("_path"), rules)
     rows = written(lexical(named.withColumn("_rule", rule).withColumn("_verdict", verdict)), "urls")
-    labelled = written(rows.where("_verdict is not null").withColumn("_label", (F.col("_verdict") == "block").cast("double"))
-                       .orderBy(F.xxhash64("_url"), "_url", "page_id").limit(sample).coalesce(4), "labelled-urls")
+    labelled = rows.where("_verdict is not null").withColumn("_label", (F.col("_verdict") == "block").cast("double"))
     n, blocked = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("_label"), F.lit(0.0))).first()
     decided = F.coalesce(F.col("_verdict"), F.when(F.col("_p") >= 0.5, F.lit("block")).otherwise(F.lit("allow")))
     if 0 < blocked < n:
         share = blocked / n
         stats = {k: written(suffix_statistics(labelled, k, share), "suffixes") for k in ("_suffix", "_domain", "_section")}
+        fit_rows = written(labelled.orderBy(F.xxhash64("_url", "page_id"), "_url", "page_id").limit(sample).coalesce(4), "labelled-urls")
         fitted = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=TREES, maxDepth=DEPTH, seed=7,
                                predictionCol="_pred").setProbabilityCol("_prob").setRawPredictionCol("_raw")
-        model = fitted.fit(_assembled(_with_statistics(labelled, stats, share)).select("_features", "_label"))
+        model = fitted.fit(_assembled(_with_statistics(fit_rows, stats, share)).select("_features", "_label"))
         scored = model.transform(_assembled(_with_statistics(rows, stats, share)))
         scored = scored.withColumn("_p", F.when(F.col("_verdict").isNull(), F.element_at(vector_to_array("_prob"), 2)))
     else:

@@ -402,6 +402,21 @@ def test_url_trees_learn(spark):
     assert len(got) == 40 and all(r.verdict == ("block" if r.page_id % 2 else "allow") for r in got)
 
 
+def test_url_statistics_cover_all_labelled_urls(spark):
+    # 40 domains of one kind each; the fit's sample misses many of them, the statistics none
+    rules = [("block" if d % 2 else "allow", f"d{d:02}.com/a") for d in range(40)]
+    df = spark.createDataFrame([(100 * d + i, f"http://d{d:02}.com/a/{i:02}") for d in range(40) for i in range(30)]
+                               + [(100 * d + 50, f"http://d{d:02}.com/b/50") for d in range(40)], "page_id long, url string")
+    got = url_filter.url_verdicts(df, rules=rules, sample=60).where("rule is null").collect()
+    assert len(got) == 40 and all(r.verdict == ("block" if r.page_id // 100 % 2 else "allow") for r in got)
+
+
+def test_url_sample_of_one_kind(spark):
+    df = spark.createDataFrame([(i, f"http://s.example.com/{'de' if i else 'fr'}/{i}") for i in range(50)] + [(99, "http://s.example.net/x")],
+                               "page_id long, url string")
+    assert url_filter.url_verdicts(df, sample=1).where("verdict is not null").count() == 51
+
+
 def test_url_without_labels(spark):
     df = spark.createDataFrame([(1, "http://a.net/x"), (2, None)], "page_id long, url string")
     assert {(r.page_id, r.verdict) for r in url_filter.url_verdicts(df).collect()} == {(1, "allow"), (2, "allow")}
