@@ -1,15 +1,18 @@
 """Quality rules with risk-controlled thresholds.
 
 Whole-text statistics feed one-sided rules (reject above, or below, a
-cutoff). A rule's cutoff is chosen apart for every stratum (language): labelled
-good documents are the holdout, and the cutoffs of a fixed grid are tested from
-the most lenient to the strictest. A cutoff passes when the exact binomial tail
-shows that the rule rejects less than its share of the allowed false-rejection
-rate; the first that fails ends the sequence, so the grid costs no correction.
-Strata and rules are corrected for by Bonferroni, and a stratum's risk is
-divided among its rules, so with probability ``1 - delta`` no stratum loses more
-than ``risk`` of its good documents. A stratum with too few labels to prove
-anything rejects nothing by these rules.
+cutoff). Cutoffs are chosen apart for every stratum (language), with labelled
+good documents as the holdout. A third of them, dealt by hash, plans a path: the
+cutoffs of all rules in the order of the good documents they lose there, lenient
+before strict, so each step makes one rule stricter. The other two thirds
+test the path from its start: a step passes when the exact binomial tail shows that
+all rules together reject less than the allowed false-rejection rate, and the first that
+fails ends the sequence. The path doesn't depend on the documents that test it,
+so neither its length nor the number of rules costs a correction. Strata are corrected
+for by Bonferroni, so with probability ``1 - delta`` no stratum loses more than
+``risk`` of its good documents. A stratum with too few labels to prove anything
+rejects nothing by these rules: ``log(delta / strata) / log(1 - risk)`` testing
+documents without a loss are needed (144 for four strata, about 216 in all).
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ from rillet.llm.common import (
 
 #: False rejections of good documents allowed in a stratum, and the chance that the guarantee fails.
 RISK, DELTA = 0.03, 0.05
+#: One in so many labelled good documents plans the path, the others test it.
+PLAN_ONE_IN = 3
+SEED = 9_001
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 SYMBOL = np.zeros(256, bool)
@@ -122,33 +128,59 @@ def certified(rejected: list[int], n: int, risk: float, delta: float) -> int:
     return len(rejected)
 
 
+def planned_path(lost: list[list[int]]) -> list[list[int]]:
+    """Step of each rule's cutoffs on the path; lost[r][i]: planning documents that cutoff i of rule r loses."""
+    order = sorted((k, (i + 1) / len(own), r, i) for r, own in enumerate(lost) for i, k in enumerate(own))
+    out = [[0] * len(own) for own in lost]
+    for step, (_, _, r, i) in enumerate(order):
+        out[r][i] = step
+    return out
+
+
 def thresholds(good: DataFrame, stratum: str, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row per stratum of labelled good documents: (stratum, cutoff of each rule).
 
-    A null cutoff means that the rule rejects nothing there. ``good`` has STATS.
-    The counts behind it are sums per (stratum, rule, cutoffs exceeded)."""
-    level = [F.size(F.filter(F.lit(cuts), (lambda v, up: lambda c: v > c if up else v < c)(_share(value), up)))
-             for value, up, cuts in RULES.values()]
-    levels = good.select(F.col(stratum).alias("_stratum"), F.posexplode(F.array(*level)).alias("_rule", "_level"))
-    counts = levels.groupBy("_stratum", "_rule", "_level").agg(F.count(F.lit(1)).alias("_n"))
-    strata = max(1, good.select(stratum).distinct().count())
+    A null cutoff means that the rule rejects nothing there. ``good`` has doc_id and STATS.
+    The counts behind it are sums per (stratum, rule, first rejecting cutoff) and per (stratum, step)."""
     names, grids = list(RULES), [cuts for _, _, cuts in RULES.values()]
-    per_rule, each = risk / len(RULES), delta / (len(RULES) * strata)
-
-    def choose(frame: pd.DataFrame) -> pd.DataFrame:
-        out = {"_stratum": [frame["_stratum"].iloc[0]]}
-        for r, (name, cuts) in enumerate(zip(names, grids, strict=True)):
+    # cutoffs go from lenient to strict, so those that reject a document are the last ones of the grid
+    first = [F.lit(len(cuts)) - F.size(F.filter(F.lit(cuts), (lambda v, up: lambda c: v > c if up else v < c)(_share(value), up)))
+             for value, up, cuts in RULES.values()]
+    plans = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(PLAN_ONE_IN)) == 0
+    held = written(good.select(F.col(stratum).alias("_stratum"), plans.alias("_plans"), F.array(*first).alias("_first")), "quality-holdout")
+    strata = max(1, held.select("_stratum").distinct().count())
+    counts = (held.select("_stratum", "_plans", F.posexplode("_first").alias("_rule", "_at"))
+              .groupBy("_stratum", "_rule", "_at").agg(F.count_if("_plans").alias("_n")))
+    steps = sum(map(len, grids))
+
+    def plan(frame: pd.DataFrame) -> pd.DataFrame:
+        lost = []
+        for r, cuts in enumerate(grids):
             n_at = np.zeros(len(cuts) + 1, np.int64)
             own = frame[frame["_rule"] == r]
-            np.add.at(n_at, own["_level"].to_numpy(), own["_n"].to_numpy())
-            lost = n_at[::-1].cumsum()[::-1][1:]  # good documents beyond cutoff i
-            i = certified([int(x) for x in lost], int(n_at.sum()), per_rule, each)
-            out[f"_cut_{name}"] = [cuts[i - 1] if i else None]
-        return pd.DataFrame(out).astype({f"_cut_{name}": "float64" for name in names})
+            np.add.at(n_at, own["_at"].to_numpy(), own["_n"].to_numpy())
+            lost.append([int(x) for x in n_at.cumsum()[:-1]])
+        # a document that no cutoff of a rule rejects is past the rule's last step
+        path = {f"_steps_{name}": [[*own, steps]] for name, own in zip(names, planned_path(lost), strict=True)}
+        return pd.DataFrame({"_stratum": [frame["_stratum"].iloc[0]]} | path)
+
+    def test(frame: pd.DataFrame) -> pd.DataFrame:
+        n_at = np.zeros(steps + 1, np.int64)
+        np.add.at(n_at, frame["_step"].to_numpy(), frame["_n"].to_numpy())
+        lost = [int(x) for x in n_at.cumsum()[:-1]]  # good documents that any rule loses after the step
+        return pd.DataFrame({"_tested": [frame["_stratum"].iloc[0]], "_passed": [certified(lost, int(n_at.sum()), risk, delta / strata)]})
 
     kind = good.schema[stratum].dataType.simpleString()
-    return counts.groupBy("_stratum").applyInPandas(
-        choose, f"_stratum {kind}, " + ", ".join(f"_cut_{n} double" for n in names))
+    paths = written(counts.groupBy("_stratum").applyInPandas(
+        plan, f"_stratum {kind}, " + ", ".join(f"_steps_{n} array<int>" for n in names)), "quality-paths")
+    step = F.least(*(F.get(f"_steps_{name}", F.get("_first", F.lit(r))) for r, name in enumerate(names)))
+    joined = held.where("not _plans").withColumnRenamed("_stratum", "_own").join(paths, F.col("_own").eqNullSafe(F.col("_stratum")))
+    passed = (joined.groupBy("_stratum", step.alias("_step")).agg(F.count(F.lit(1)).alias("_n"))
+              .groupBy("_stratum").applyInPandas(test, f"_tested {kind}, _passed int"))
+    cut = {name: F.get(F.lit(cuts), F.size(F.filter(f"_steps_{name}", lambda s: s < F.coalesce("_passed", F.lit(0)))) - 1)
+           for name, cuts in zip(names, grids, strict=True)}
+    return paths.join(passed, F.col("_stratum").eqNullSafe(F.col("_tested")), "left").select(
+        "_stratum", *(c.cast("double").alias(f"_cut_{name}") for name, c in cut.items()))
 
 
 def with_verdict(stats: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:

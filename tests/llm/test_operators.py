@@ -152,6 +152,28 @@ def test_risk_is_kept_and_bad_is_rejected(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.kept}
 
 
+def test_small_strata_keep_the_rules(spark):
+    # 330 good documents a language, a tenth of them with a few symbols; the bad ones hold symbols only
+    rng = random.Random(4)
+    word = lambda: rng.choice(["lorem", "ipsum", "dolor"]) + str(rng.randint(0, 10 ** 6))
+    good = [(1000 * k + i, " ".join([word() for _ in range(30)] + ["#"] * (i % 10 == 0)), lang)
+            for k, lang in enumerate(["en", "de", "fr", None]) for i in range(330)]
+    bad = [(10_000 + 1000 * k + i, " ".join("###$$" + str(rng.randint(0, 10 ** 6)) for _ in range(30)), lang)
+           for k, lang in enumerate(["en", "de", "fr", None]) for i in range(5)]
+    few = [(20_000 + i, " ".join(word() for _ in range(30)), "xx") for i in range(50)] + [(20_100, bad[0][1], "xx")]
+    df = spark.createDataFrame(good + bad + few, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, *_ in good + few[:-1]] + [(i, 0) for i, *_ in bad], "doc_id long, quality int")
+    got = quality_rules.quality_table(df, labels).collect()
+    assert not any(r.kept for r in got if 10_000 <= r.doc_id < 20_000)
+    assert all(sum(not r.kept for r in got if r.doc_id // 1000 == k) <= quality_rules.RISK * 330 for k in range(4))
+    # 50 labels prove nothing
+    assert all(r.kept for r in got if r.doc_id >= 20_000)
+
+
+def test_path_is_lenient_first():
+    assert quality_rules.planned_path([[0, 0, 5], [0, 2]]) == [[0, 2, 4], [1, 3]]
+
+
 # ------------------------------------------------------------------ 10 near-duplicates
 
 @pytest.mark.parametrize("block", [1000, 3])
