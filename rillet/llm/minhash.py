@@ -50,7 +50,8 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = 2) -> list[np.
     first = np.searchsorted(row, np.arange(len(offs)))
     gram = h.copy()
     for k in range(1, width):
-        gram[:len(gram) - k] = mix64(gram[:len(gram) - k] * np.uint64(0x9E3779B97F4A7C15) + h[k:])
+        stop = max(len(gram) - k, 0)  # a slice may hold fewer words than a shingle
+        gram[:stop] = mix64(gram[:stop] * np.uint64(0x9E3779B97F4A7C15) + h[k:])
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):
         if b - a >= width:

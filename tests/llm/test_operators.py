@@ -191,6 +191,14 @@ def test_near_dedup_rows(spark):
     assert sorted((r.doc_id or 0) for r in minhash.dedup_near(df).collect()) == [0, 1, 3, 4]
 
 
+def test_wide_shingles_of_few_words():
+    import numpy as np
+    for n in range(8):
+        data = np.frombuffer(" ".join("abcdefgh"[:n]).encode(), np.uint8)
+        [own] = minhash.shingle_sets(data, np.array([0, len(data)]), 5)
+        assert len(own) == (max(n - 4, 1) if n else 0)
+
+
 def test_sketch_estimates_similarity():
     import numpy as np
     rng = np.random.default_rng(0)
