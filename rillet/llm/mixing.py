@@ -1,7 +1,7 @@
 """Mixing sources to target weights by blocks and index permutations.
 
 The words of a source, its documents one after the other, are cut into blocks of
-a fixed number of words. A source's target says how many block slots it fills in
+a fixed number of words, fewer in a source that would have few blocks. A source's target says how many block slots it fills in
 the mix. Output shards draw their source counts one after the other from a
 multinomial whose probabilities are what each source is still owed, so a shard
 looks like an independent draw while the totals meet the targets exactly. A
@@ -25,6 +25,8 @@ WEIGHTS = (5, 2, 1)
 #: A source is repeated at most this often.
 MAX_REPEAT = 3
 BLOCK_WORDS = 256
+#: A source is cut into at least so many blocks, or into single words: its share is rounded to whole blocks.
+LEAST_BLOCKS = 64
 SHARD_SLOTS = 1 << 16
 #: Documents per chunk of a source when offsets are summed up.
 CHUNK_DOCS = 4000
@@ -113,10 +115,11 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     sizes = {r[0]: int(r[1] or 0) for r in per}
     want = targets(sizes)
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    blocks = [-(-sizes[s] // block_words) for s in order]
+    words = [max(1, min(block_words, sizes[s] // LEAST_BLOCKS)) for s in order]
+    blocks = [-(-sizes[s] // w) for s, w in zip(order, words, strict=True)]
     slots = [min(MAX_REPEAT * n, round(want[s] * n / sizes[s])) if n else 0 for s, n in zip(order, blocks, strict=True)]
-    known = spark.createDataFrame([(s, i, sizes[s], want[s]) for i, s in enumerate(order)],
-                                  "_source string, _s int, source_size long, target double")
+    known = spark.createDataFrame([(s, i, sizes[s], want[s], words[i]) for i, s in enumerate(order)],
+                                  "_source string, _s int, source_size long, target double, _words long")
     chunks = max(1, -(-sum(r[2] for r in per) // CHUNK_DOCS))
     chunk = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(chunks))
     slim = docs.select(F.col(id_col).alias("_id"), "_row", "_size", F.col(source_col).cast("string").alias("_src"), chunk.alias("_chunk"))
@@ -129,9 +132,9 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     plan = spark.createDataFrame(draw_shards(slots, max(SHARD_SLOTS, sum(slots) // 4096), seed),
                                  "_shard long, _s int, _first long, _count long")
     uses = _block_uses(plan.repartition(max(1, spark.sparkContext.defaultParallelism)), blocks, seed)
-    b = F.lit(block_words)
+    b = F.col("_words")
     parts = placed.where("_size > 0").select(
-        "_row", "_s", "_off", "_size", F.explode(F.sequence(F.floor(F.col("_off") / b), F.floor((F.col("_off") + F.col("_size") - 1) / b))).alias("_block"))
+        "_row", "_s", "_off", "_size", "_words", F.explode(F.sequence(F.floor(F.col("_off") / b), F.floor((F.col("_off") + F.col("_size") - 1) / b))).alias("_block"))
     lo, hi = F.greatest("_off", F.col("_block") * b), F.least(F.col("_off") + F.col("_size"), (F.col("_block") + 1) * b)
     pieces = parts.join(uses, ["_s", "_block"]).select("_row", "_uses", (lo - F.col("_off")).alias("_from"), (hi - F.col("_off")).alias("_to"))
     return placed, pieces

@@ -321,6 +321,16 @@ def test_mix(spark, docs, rows):
     assert {k: v for k, v in want.items() if v} == taken
 
 
+def test_mix_of_tiny_sources(spark):
+    df = spark.createDataFrame([(10 * k + i, " ".join(f"w{j}" for j in range(20)), s) for k, s in enumerate("abc") for i in range(5)],
+                               "doc_id long, text string, source string")
+    taken = [0, 0, 0]
+    for r in mixing.mix_table(df).collect():
+        taken[r.doc_id // 10] += r.taken
+    assert all(abs(x - y) <= 1 for x, y in zip(taken, [187.5, 75, 37.5], strict=True))
+    assert [sum(len(B.words(r.text)) for r in mixing.mix(df).collect() if r.doc_id // 10 == k) for k in range(3)] == taken
+
+
 # ------------------------------------------------------------------ 6 packing
 
 def test_boundaries_are_optimal():
