@@ -122,10 +122,10 @@ def text_slices(col: pa.Array, lower: bool = False) -> Iterator[tuple[int, int,
         i = j
 
 
-def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word; ``offs`` are the rows' offsets."""
+def word_bounds(data: np.ndarray, offs: np.ndarray, member: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word (maximal run of bytes in ``member``); ``offs`` are the rows' offsets."""
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = IS_WORD[data]
+    inside[:-1] = member[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = inside[:-1]
     cut = offs[1:-1]

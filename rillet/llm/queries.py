@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rillet.llm.common import tables
 from rillet.llm.exact_dedup import exact_groups
+from rillet.llm.lexical_search import search
 from rillet.llm.minhash import near_groups
 from rillet.llm.mixing import mix_table
 from rillet.llm.packing import pack_table
@@ -55,14 +56,34 @@ def op10_minhash(spark, d):
     return near_groups(tables(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op4_suffix_dedup, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash)}
+def op11_lexical_search(spark, d):
+    return search(tables(spark, d, "documents"), tables(spark, d, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op4_suffix_dedup, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash,
+                                   op11_lexical_search)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
     "op7_exact_dedup": f"""
 WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM d JOIN g USING (t)""",
+    "op11_lexical_search": f"""
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM documents),
+tf AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM words GROUP BY doc_id, term),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS terms FROM tf GROUP BY doc_id),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(terms) AS BIGINT) AS total FROM size),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, corpus),
+m AS (SELECT doc_id, 100 - 50 + ((50 * terms * docs) // total) AS m FROM size, corpus),
+item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+           FROM item JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50""",
 }

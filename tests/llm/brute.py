@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -95,3 +96,26 @@ def best_padding(histogram: list[tuple[int, int]], buckets: int) -> int:
             cost = sum(n * (next(b for b in bounds if b >= x) - x) for x, n in histogram)
             best = cost if best is None else min(best, cost)
     return best or 0
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(docs: list[tuple], items: list[tuple], top: int = 50) -> list[tuple]:
+    """(item_id, rank, doc_id, score) from (doc_id, text) and (item_id, text) rows."""
+    counts = [(i, Counter(TERM.findall(low(t)))) for i, t in docs]
+    n_docs = sum(1 for _, c in counts if c)
+    total = sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c in counts:
+            m = 100 - 50 + (50 * sum(c.values()) * n_docs) // max(total, 1)
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m))
+                    for t in set(TERM.findall(low(text))) if t in c)
+            if s > 0:
+                scored.append((-s, i is None, i, s))
+        scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, r + 1, i, s) for r, (_, _, i, s) in enumerate(scored[:top])]
+    return out
