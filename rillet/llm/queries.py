@@ -11,6 +11,7 @@ from rillet.llm.packing import pack_table
 from rillet.llm.quality_gam import quality_scores
 from rillet.llm.quality_rules import quality_table
 from rillet.llm.sharding import shard_table
+from rillet.llm.spelling_variants import variant_table
 from rillet.llm.suffix_dedup import repeat_table
 from rillet.llm.token_counts import token_table
 from rillet.llm.url_filter import url_verdicts
@@ -60,8 +61,12 @@ def op11_lexical_search(spark, d):
     return search(tables(spark, d, "documents"), tables(spark, d, "benchmark"))
 
 
+def op13_spelling_variants(spark, d):
+    return variant_table(tables(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op4_suffix_dedup, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash,
-                                   op11_lexical_search)}
+                                   op11_lexical_search, op13_spelling_variants)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

