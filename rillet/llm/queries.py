@@ -8,6 +8,7 @@ from rillet.llm.lexical_search import search
 from rillet.llm.minhash import near_groups
 from rillet.llm.mixing import mix_table
 from rillet.llm.packing import pack_table
+from rillet.llm.pii_tagger import pii_table
 from rillet.llm.quality_gam import quality_scores
 from rillet.llm.quality_rules import quality_table
 from rillet.llm.sharding import shard_table
@@ -61,12 +62,16 @@ def op11_lexical_search(spark, d):
     return search(tables(spark, d, "documents"), tables(spark, d, "benchmark"))
 
 
+def op12_pii_tagger(spark, d):
+    return pii_table(tables(spark, d, "documents"))
+
+
 def op13_spelling_variants(spark, d):
     return variant_table(tables(spark, d, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_counts, op3_sharding, op4_suffix_dedup, op5_quality_classifier, op6_packing, op7_exact_dedup, op8_mixing, op9_quality_rules, op10_minhash,
-                                   op11_lexical_search, op13_spelling_variants)}
+                                   op11_lexical_search, op12_pii_tagger, op13_spelling_variants)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

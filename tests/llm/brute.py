@@ -149,3 +149,25 @@ def variants(docs: list[tuple]) -> dict:
             w = form[w]
         return w
     return {w: (form[w], root(w), k, out[w], n.get(form[w])) for w, k in n.items()}
+
+
+PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+       "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def pii(text: str | None) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the base spans, by the patterns themselves."""
+    out = []
+    for k, (kind, pattern) in enumerate(PII.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = [int(c) for c in m.group() if c in "0123456789"]
+            if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")):
+                continue
+            if kind == "card":
+                twice = [sum(divmod(2 * d, 10)) for d in digits[::-1][1::2]]
+                if not 14 <= len(digits) <= 19 or (sum(digits[::-1][::2]) + sum(twice)) % 10:
+                    continue
+            if kind == "phone" and not 10 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
