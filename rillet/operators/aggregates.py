@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.text import split_blanks
 from rillet.functions.time import to_ntz
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, chunking
+from rillet.operators.scan import C, Cuts, DEFAULT_ROWS_PER_CHUNK, K, _as_list, chunking
 
 # Exact money: sums of two-decimal amounts are taken as decimals, so the
 # result does not depend on the order rows are added in.
@@ -55,7 +55,7 @@ FOLDS = {
 
 
 def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tuple],
-                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, chunk: Column | None = None) -> DataFrame:
+                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, cuts: Cuts | None = None) -> DataFrame:
     """Several running folds in one pass: ``folds = {out: (fold, value)}``.
 
     Each is the fold of a row with all earlier rows of its key. ``fold`` is a name of
@@ -66,7 +66,7 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
     type is that of the plain aggregate, however the rows are chunked.
     """
     order = list(order)
-    chunked = chunking(df, key, order, rows_per_chunk, chunk)
+    chunked, cut = chunking(df, key, order, rows_per_chunk, cuts)
     w = Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ws = Window.partitionBy(K).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,23 +80,20 @@ def running_folds(df: DataFrame, key, order: Sequence[str], folds: dict[str, tup
         ends.append(combine)
     rows = chunked.withColumns(locs)
     kinds = [rows.schema[f"__loc{i}"].dataType for i in range(len(folds))]
-    rows = _with_prefix(rows, chunked, tots, pres)
-    rows = rows.withColumns({name: combine(F.col(f"__pre{i}").cast(kind), F.col(f"__loc{i}")).cast(kind)
-                             for i, (name, combine, kind) in enumerate(zip(folds, ends, kinds, strict=True))})
+    if cut:
+        # Chunk totals need no order: a partial/final hash aggregate straight off
+        # the input shuffles one row per chunk and task, not the rows. Only
+        # chunks after a key's first carry a prefix.
+        has_prev = F.lag(C).over(Window.partitionBy(K).orderBy(C)).isNotNull()
+        tot = chunked.groupBy(K, C).agg(*tots).select(K, C, *pres, has_prev.alias("__has"))
+        rows = rows.join(tot.where(F.col("__has")).drop("__has"), [K, C], "left")
+        ends = [combine(F.col(f"__pre{i}").cast(kind), F.col(f"__loc{i}")).cast(kind) for i, (combine, kind) in enumerate(zip(ends, kinds, strict=True))]
+    else:
+        ends = [F.col(f"__loc{i}") for i in range(len(folds))]
+    rows = rows.withColumns(dict(zip(folds, ends, strict=True)))
     return rows.drop(K, C, *(f"__{p}{i}" for i in range(len(folds)) for p in ("loc", "pre")))
 
 
-def _with_prefix(rows: DataFrame, chunked: DataFrame, tots, pres) -> DataFrame:
-    """Join each chunk the fold of all earlier chunks of its key.
-
-    Chunk totals need no order: a partial/final hash aggregate straight off
-    the input shuffles one row per chunk and task, not the rows."""
-    has_prev = F.lag(C).over(Window.partitionBy(K).orderBy(C)).isNotNull()
-    tot = chunked.groupBy(K, C).agg(*tots).select(K, C, *pres, has_prev.alias("__has"))
-    # Only chunks after a key's first carry a prefix (see scan.scan).
-    return rows.join(tot.where(F.col("__has")).drop("__has"), [K, C], "left")
-
-
 def running_aggregate(df: DataFrame, key, order: Sequence[str], value: str | None, fn="sum",
                       out: str = "running", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """The running fold of ``value`` per key in ``order`` (A3, the reference's
@@ -105,7 +102,7 @@ def running_aggregate(df: DataFrame, key, order: Sequence[str], value: str | Non
 
 
 def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: str = "count",
-              out: str = "value", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, chunk: Column | None = None) -> DataFrame:
+              out: str = "value", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, cuts: Cuts | None = None) -> DataFrame:
     """The change stream of a keyed running ``sum``/``count`` (A5).
 
     The first row of a key inserts its value (``+I``); every later row
@@ -123,7 +120,7 @@ def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: s
     summed = fn == "sum" and value is not None
     if summed:
         folds["__seen"] = ("count", value)
-    runs = running_folds(df, key, order, folds, rows_per_chunk, chunk)
+    runs = running_folds(df, key, order, folds, rows_per_chunk, cuts)
     if summed:
         had = F.col("__seen") - F.col(value).isNotNull().cast("long")
         prev = F.when(had > 0, F.col("__cur") - F.coalesce(F.col(value), F.lit(0)))

@@ -1,27 +1,28 @@
-"""Chunked prefix scan: ordered per-key analytics without one task per key.
+"""Segmented prefix scan: ordered per-key analytics without one task per key.
 
 A window ``partitionBy(key).orderBy(seq)`` puts a whole key into one task,
 and a constant key (the reference's ``key_by(lambda row: 1)``) puts the whole
-input there. Here a key is cut into *chunks* of about ``rows_per_chunk``
-consecutive rows; a key with fewer rows is one chunk. There is one path for all
-inputs: what differs with the data is only where chunks end, never the result.
-
-0. Rows are counted per key (partial aggregation). For keys above
-   ``rows_per_chunk``, quantiles of the first order column (a mergeable sketch)
-   give the cuts, so bursts split evenly. Rows tied on a repeated cut are cut the
-   same way by the second order column. Both are aggregates inside the plan; the
-   table of cuts holds at most about two numbers per ``rows_per_chunk`` rows of
-   input, which is what bounds its broadcast.
+input there. Here the rows are range-partitioned: a key with many rows is cut into *chunks* of
+about ``rows_per_chunk`` consecutive rows, a smaller key is one chunk.
+
+0. One pass over key and order columns takes the same sample that a range partitioner
+   takes: one row in ``rows_per_chunk / SAMPLES``, chosen by hash. Inside Spark, every
+   ``SAMPLES``-th sampled row of a key becomes a cut; only those come to the
+   driver, at most about one per ``rows_per_chunk`` rows. There is no other limit on their
+   number. The cuts are a literal of the plan, so every branch and every recomputed task agrees on them.
 1. Rows are shuffled once, by (key, chunk), and numbered inside their chunk
    by window functions (run ids, position in run).
-2. Each chunk is summarised in one row: count, first and last value, length
-   of its trailing run, whether the whole chunk is a single run.
+2. Each chunk is summarised in one row: its first and last segment (count, first and last
+   value, length of its trailing run, whether the whole chunk is a single run).
 3. Window functions over the summaries (a few rows per key) give each chunk
    its offset (rows in earlier chunks of the key) and its carry-in (the run
    still open at the end of the previous chunk, with its global length).
 4. The summaries of chunks that follow another chunk are joined back on
    (key, chunk): a small side, while the big side is already partitioned by
    (key, chunk), so the big side is not shuffled again.
+
+Without a cut (no key is large) steps 2 to 4 fall away: the plan is one scan, one shuffle and
+windows. What differs with the data is only where chunks end, never the result.
 """
 
 from __future__ import annotations
@@ -32,12 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 K = "__k"
 C = "__c"
 DEFAULT_ROWS_PER_CHUNK = 1_000_000
+#: Sampled rows per chunk: a chunk's size is off by about a fifth.
+SAMPLES = 20
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+# microseconds, so that cuts keep what the order columns hold
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def _as_list(cols) -> list[str]:
@@ -46,32 +50,6 @@ def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-#: Chunks a key is cut into at most, by each of two order columns.
-MAX_CHUNKS = 1000
-_SUB = 4096  # chunk = first-column chunk * _SUB + second-column chunk
-_DAY = 86_400_000_000
-
-
-def order_number(df: DataFrame, col: str) -> Column:
-    """A double that never falls as ``col`` grows (timestamps as microseconds,
-    independent of the session's time zone); NULL, which sorts first, is minus infinity."""
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, T.TimestampNTZType):
-        seconds = F.hour(c) * 3600 + F.minute(c) * 60
-        x = (F.unix_date(c.cast("date")).cast("long") * F.lit(_DAY) + seconds.cast("long") * 1_000_000
-             + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
-    elif isinstance(dt, T.TimestampType):
-        x = F.unix_micros(c)
-    elif isinstance(dt, T.DateType):
-        x = F.unix_date(c)
-    elif isinstance(dt, _NUMERIC):
-        x = c
-    else:
-        raise TypeError(f"order column {col!r} must be numeric, date or timestamp, not {dt}")
-    return F.coalesce(x.cast("double"), F.lit(float("-inf")))
-
-
 def _key_surrogate(df: DataFrame, keys: list[str], order: str) -> Column:
     """A never-NULL grouping value for ``keys``: NULL keys form their own group.
 
@@ -97,55 +75,51 @@ def _key_surrogate(df: DataFrame, keys: list[str], order: str) -> Column:
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
-def _cuts(rows: DataFrame, by: list[str], number: str, rows_per_chunk: int) -> DataFrame:
-    """(by..., __cuts, __ties) of the groups with more than ``rows_per_chunk`` rows.
+class Cuts:
+    """Cuts of a table: ascending points, as one literal.
+
+    With ``key`` a point is a key (column ``K``) and its order columns, and every key is cut for
+    itself; without, it is the order columns alone, and the table is cut as one sequence."""
 
-    ``__cuts``: quantiles of ``number`` that part the group into chunks of that many
-    rows; ``__ties``: the values that are several quantiles at once."""
-    large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__m")).where(F.col("__m") > rows_per_chunk)
-    marks = ",".join(str(i / MAX_CHUNKS) for i in range(1, MAX_CHUNKS + 1))  # one literal: a small plan
-    sketch = rows.join(F.broadcast(large), by).groupBy(*by).agg(
-        F.expr(f"percentile_approx({number}, cast(split('{marks}', ',') as array<double>), 10000)").alias("__q"), F.first("__m").alias("__m"))
-    picks = (f"transform(sequence(1, __n - 1), i -> element_at(__q, cast(floor(i * {MAX_CHUNKS} / __n) as int)))")
-    return (sketch.selectExpr(*by, "__q", f"cast(least({MAX_CHUNKS}, ceil(__m / {int(rows_per_chunk)})) as int) AS __n")
-            .selectExpr(*by, f"{picks} AS __p")
-            .selectExpr(*by, "array_distinct(__p) AS __cuts",
-                        "filter(array_distinct(__p), v -> size(filter(__p, p -> p = v)) > 1) AS __ties"))
+    def __init__(self, df: DataFrame, order: Sequence[str], rows_per_chunk: int, key: bool = True):
+        self.by = [K] * key + list(order)
+        per = max(1, min(SAMPLES, rows_per_chunk))
+        rate = max(1, rows_per_chunk // per)
+        rows = df.select(*self.by)
+        if rate > 1:
+            rows = rows.where(F.pmod(F.xxhash64(*self.by), F.lit(rate)) == 0)
+        nth = F.row_number().over(Window.partitionBy(*[K] * key).orderBy(*order))
+        marks = rows.withColumn("__i", nth).where(F.col("__i") % per == 0).select(self._point().alias("p"))
+        self.kind = T.ArrayType(marks.schema["p"].dataType)
+        found = marks.agg(F.array_sort(F.collect_set("p")).alias("p")).select(F.size("p"), F.to_json("p", _JSON)).first()
+        self.n, self.text = int(found[0]), found[1]
 
+    def _point(self) -> Column:
+        return F.struct(*(F.col(c).alias(f"p{i}") for i, c in enumerate(self.by)))
 
-def _rank(cuts: str, x: str) -> str:
-    """SQL for how many of the ascending cuts are at most x (binary search, 10 steps); 0 for no cuts."""
-    bits = ", ".join(str(1 << i) for i in range(9, -1, -1))
-    step = f"IF(at + bit <= size({cuts}) AND get({cuts}, at + bit - 1) <= {x}, at + bit, at)"
-    return f"IF({cuts} IS NULL, 0, aggregate(array({bits}), 0, (at, bit) -> {step}))"
+    def __bool__(self) -> bool:
+        return self.n > 0
+
+    def rank(self) -> Column:
+        """How many cuts are at or before the row (binary search): a number that never falls along key and order."""
+        cuts, here = F.from_json(F.lit(self.text), self.kind, _JSON), self._point()
+        bits = F.array(*(F.lit(1 << i) for i in reversed(range(self.n.bit_length()))))
+
+        def step(at, bit):
+            return F.when((at + bit <= self.n) & (F.get(cuts, at + bit - 1) <= here), at + bit).otherwise(at)
+        return F.aggregate(bits, F.lit(0), step)
 
 
 def chunking(df: DataFrame, key, order: Sequence[str], rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-             chunk: Column | None = None) -> DataFrame:
-    """Add the (key, chunk) columns ``__k``, ``__c``.
+             cuts: Cuts | None = None) -> tuple[DataFrame, bool]:
+    """``df`` with the (key, chunk) columns ``__k``, ``__c``, and whether any key has a second chunk.
 
-    Chunks follow each other in the order of the rows. A caller that knows a
-    chunk number which never falls along ``order`` passes it as ``chunk``; no
-    statistics are taken then."""
+    Chunks follow each other in the order of the rows. A caller that has cuts along
+    ``order`` already (the same for all keys, say) passes them; no sample is taken then."""
     order = list(order)
     keyed = df.withColumn(K, _key_surrogate(df, _as_list(key), order[0]))
-    if chunk is not None:
-        return keyed.withColumn(C, chunk.cast("long"))
-    x = order_number(df, order[0])
-    second = order[1:2] if len(order) > 1 and not isinstance(df.schema[order[1]].dataType, (T.StringType, T.BinaryType, T.BooleanType)) else []
-    numbers = keyed.select(K, x.alias("__x"), *(order_number(df, y).alias("__y") for y in second))
-    first = F.broadcast(_cuts(numbers, [K], "__x", rows_per_chunk))
-    rows = keyed.withColumn("__x", x).join(first, [K], "left")
-    c1 = _rank("__cuts", "__x")
-    if not second:
-        return rows.withColumn(C, F.expr(f"cast({c1} * {_SUB} as bigint)")).drop("__x", "__cuts", "__ties")
-    tied = numbers.join(first, [K]).where("array_contains(__ties, __x)").select(K, "__x", "__y")
-    finer = _cuts(tied, [K, "__x"], "__y", rows_per_chunk).select(K, "__x", F.col("__cuts").alias("__finer"))
-    rows = rows.withColumn("__y", order_number(df, second[0])).join(F.broadcast(finer), [K, "__x"], "left")
-    # rows of the chunk that are not tied come after the tied ones
-    c2 = f"IF(__cuts IS NULL, 0, IF(array_contains(__ties, __x), {_rank('__finer', '__y')}, {_SUB - 1}))"
-    return (rows.withColumn(C, F.expr(f"cast({c1} * {_SUB} + {c2} as bigint)"))
-            .drop("__x", "__y", "__cuts", "__ties", "__finer"))
+    cuts = Cuts(keyed, order, rows_per_chunk) if cuts is None else cuts
+    return keyed.withColumn(C, cuts.rank().cast("long") if cuts else F.lit(0).cast("long")), bool(cuts)
 
 
 def last_row(columns: Sequence[str]) -> Column:
@@ -164,127 +138,88 @@ def keep_last_row(summary: DataFrame) -> DataFrame:
     return summary.where(F.col("__lastrow").isNotNull()).drop("__lastrow")
 
 
-def _local_window(order: Sequence[str]):
+def in_chunk(order: Sequence[str]):
+    """The window over a chunk's rows in their order."""
     return Window.partitionBy(K, C).orderBy(*[F.col(o) for o in order])
 
 
-def _running(w):
+def running(w):
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _before(w):
+def before(w):
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def scan(df: DataFrame, key, order: Sequence[str], value: str | None = None,
-         rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, keep: Sequence[str] = ()) -> DataFrame:
-    """See :func:`scan_from`; the sequence starts with ``df``."""
-    return scan_from(df, key, order, value, rows_per_chunk, keep)[0]
+def run_columns(rows: DataFrame, order: Sequence[str], value: str) -> DataFrame:
+    """Columns of the runs inside each chunk: ``__lrn`` row number, ``__lisl`` run number,
+    ``__ln`` position in the run; ``__plv``, ``__pln``, ``__plisl`` the same of the row before."""
+    w, v = in_chunk(order), F.col(value)
+    # withColumns: one analysis per step; steps only where a window reads the output of another
+    rows = rows.withColumns({
+        "__lrn": F.row_number().over(w),
+        "__st": (F.row_number().over(w) == 1) | ~F.lag(v).over(w).eqNullSafe(v),
+        "__plv": F.lag(v).over(w)})
+    rows = rows.withColumns({
+        "__lisl": F.sum(F.col("__st").cast("int")).over(running(w)),
+        "__ln": F.col("__lrn") - F.max(F.when(F.col("__st"), F.col("__lrn"))).over(running(w)) + 1})
+    return rows.withColumns({"__pln": F.lag("__ln").over(w), "__plisl": F.lag("__lisl").over(w)})
 
 
-def scan_from(df: DataFrame, key, order: Sequence[str], value: str | None = None,
-              rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, keep: Sequence[str] = (),
-              carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``df`` with global sequence columns, computed chunk-parallel.
+def run_summary(value: str) -> list[Column]:
+    """What a chunk's summary says of its runs (aggregates over :func:`run_columns`)."""
+    return [F.count(F.lit(1)).alias("__cnt"), F.min_by(value, "__lrn").alias("__first"), F.max_by(value, "__lrn").alias("__last"),
+            F.max_by("__ln", "__lrn").alias("__trail"), F.max("__lisl").alias("__nisl")]
 
-    Adds ``__rn`` (1-based position within the key). With ``value`` also
-    ``__n`` (position within the run of equal values the row belongs to),
-    ``__pv``/``__pn`` (value and run position of the previous row of the
-    key, NULL for the key's first row). Keeps ``__k``/``__c``; callers drop
-    every ``__`` column. Only the key, order, value and ``keep`` columns
-    pass through (the caller must use them all, so that the summary and the
-    rows read the same columns and share one shuffle).
 
-    ``carry`` is where earlier rows left each key: ``(key..., seen)`` and, with
-    ``value``, also ``last``, ``open`` (rows so far, last value, length of the run that is open).
-    The second result is that table after ``df``, for the keys of ``df``.
-    """
-    keys = _as_list(key)
+def carried(summary: DataFrame) -> DataFrame:
+    """``summary`` (:func:`run_summary` per key and chunk) with ``__off`` rows before the chunk and the run open
+    at its start: ``__cv`` its value, ``__cl`` its length."""
+    ws = Window.partitionBy(K).orderBy(C)
+    # A chunk that is one run continuing the previous chunk's last value
+    # extends that run; any other chunk starts a new segment. The run open
+    # at a chunk's start is the sum of trailing run lengths
+    # since the start of the previous chunk's segment.
+    cont = (F.lag("__cnt").over(ws).isNotNull() & (F.col("__nisl") == 1) & F.col("__first").eqNullSafe(F.lag("__last").over(ws)))
+    s = summary.withColumns({"__off": F.coalesce(F.sum("__cnt").over(before(ws)), F.lit(0)).cast("long"),
+                             "__cv": F.lag("__last").over(ws), "__cont": cont, "__tin": F.sum("__trail").over(running(ws))})
+    s = s.withColumn("__base", F.max(F.when(~F.col("__cont"), F.col("__tin") - F.col("__trail"))).over(running(ws)))
+    return s.withColumn("__cl", F.lag(F.col("__tin") - F.col("__base")).over(ws))
+
+
+def global_columns(rows: DataFrame, value: str) -> DataFrame:
+    """Positions in the whole key from those in the chunk and what the chunk carries in: ``__rn`` row number,
+    ``__n`` position in the run, ``__pv`` / ``__pn`` value and run position of the row before (NULL for the first)."""
+    if "__cl" not in rows.columns:
+        return rows.withColumns({"__rn": F.col("__lrn"), "__n": F.col("__ln"), "__pv": F.col("__plv"), "__pn": F.col("__pln")})
+
+    def carry(run, v):
+        ok = (F.col(run) == 1) & F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col(v))
+        return F.when(ok, F.col("__cl")).otherwise(F.lit(0))
+    first = F.col("__lrn") == 1
+    return rows.withColumns({
+        "__rn": F.coalesce(F.col("__off"), F.lit(0)) + F.col("__lrn"),
+        "__n": F.col("__ln") + carry("__lisl", value),
+        "__pv": F.when(first, F.col("__cv")).otherwise(F.col("__plv")),
+        "__pn": F.when(first, F.col("__cl")).otherwise(F.col("__pln") + carry("__plisl", "__plv"))})
+
+
+def scan(df: DataFrame, key, order: Sequence[str], value: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+         keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``df`` with the columns of :func:`global_columns`, computed chunk-parallel.
+
+    Keeps ``__k``/``__c``; callers drop every ``__`` column. Only the key, order, value and
+    ``keep`` columns pass through (the caller must use them all, so that the summary and the
+    rows read the same columns and share one shuffle)."""
     order = list(order)
-    cols = list(dict.fromkeys(_as_list(key) + order + ([value] if value else []) + list(keep)))
-    df = df.select(*cols)
-    rows = chunked = chunking(df, key, order, rows_per_chunk)
-    w = _local_window(order)
-    # withColumns: one analysis per step; steps only where a window reads
-    # the output of another window.
-    if value is None:
-        rows = rows.withColumn("__lrn", F.row_number().over(w))
-    else:
-        v = F.col(value)
-        rows = rows.withColumns({
-            "__lrn": F.row_number().over(w),
-            "__st": (F.row_number().over(w) == 1) | ~F.lag(v).over(w).eqNullSafe(v),
-            "__plv": F.lag(v).over(w),
-        })
-        rows = rows.withColumns({
-            "__lisl": F.sum(F.col("__st").cast("int")).over(_running(w)),
-            "__ln": F.col("__lrn") - F.max(F.when(F.col("__st"), F.col("__lrn"))).over(_running(w)) + 1,
-        })
-        rows = rows.withColumns({"__pln": F.lag("__ln").over(w), "__plisl": F.lag("__lisl").over(w)})
-
-    # One summary row per chunk, then prefix windows over the summaries of
-    # each key (a few rows per key).
-    if value is None:
-        # Counts need no order: a partial/final hash aggregate straight off
-        # the input shuffles one row per chunk and task, not the rows.
-        s = chunked.groupBy(K, C).agg(F.count(F.lit(1)).alias("__cnt"), *(F.first(k).alias(k) for k in keys))
-    else:
+    df = df.select(*dict.fromkeys([*_as_list(key), *order, value, *keep]))
+    chunked, cut = chunking(df, key, order, rows_per_chunk)
+    rows = run_columns(chunked, order, value)
+    if cut:
         # Run lengths need the ordered rows: group on the window's own
         # partitioning (no exchange; the row shuffle is reused).
-        s = keep_last_row(rows.groupBy(K, C).agg(
-            F.count(F.lit(1)).alias("__cnt"), last_row(df.columns),
-            F.min_by(value, "__lrn").alias("__first"),
-            F.max_by(value, "__lrn").alias("__last"),
-            F.max_by("__ln", "__lrn").alias("__trail"),
-            F.max("__lisl").alias("__nisl"), *(F.first(k).alias(k) for k in keys)))
-    if carry is not None:
-        # what came before is one more chunk in front of a key's first
-        known = carry.withColumn("__kk", _key_surrogate(carry, keys, carry.columns[0])) if keys else carry.withColumn("__kk", F.lit(0).cast("long"))
-        front = {"__cnt": F.col("seen")}
-        if value is not None:
-            front |= {"__first": F.col("last"), "__last": F.col("last"), "__trail": F.col("open"), "__nisl": F.lit(1).cast("long")}
-        s = s.unionByName(known.select(F.col("__kk").alias(K), F.lit(-1).cast("long").alias(C), *keys,
-                                       *(v.cast(s.schema[n].dataType).alias(n) for n, v in front.items())))
-    ws = Window.partitionBy(K).orderBy(C)
-    off = F.coalesce(F.sum("__cnt").over(_before(ws)), F.lit(0)).cast("long")
-    keep = [K, C, "__off"]
-    if value is None:
-        s = s.withColumn("__off", off)
-    else:
-        # A chunk that is one run continuing the previous chunk's last value
-        # extends that run; any other chunk starts a new segment. The run open
-        # at a chunk's start (carry-in) is the sum of trailing run lengths
-        # since the start of the previous chunk's segment.
-        cont = (F.lag("__cnt").over(ws).isNotNull() & (F.col("__nisl") == 1)
-                & F.col("__first").eqNullSafe(F.lag("__last").over(ws)))
-        s = s.withColumns({"__off": off, "__cv": F.lag("__last").over(ws), "__cont": cont,
-                           "__tin": F.sum("__trail").over(_running(ws))})
-        s = s.withColumn("__base", F.max(F.when(~F.col("__cont"), F.col("__tin") - F.col("__trail")))
-                         .over(_running(ws)))
-        s = s.withColumn("__cl", F.lag(F.col("__tin") - F.col("__base")).over(ws))
-        keep += ["__cv", "__cl"]
-    end = {"seen": F.col("__off") + F.col("__cnt")}
-    if value is not None:
-        end |= {"last": F.col("__last"), "open": F.col("__tin") - F.col("__base")}
-    left = s.where(F.col(C) >= 0).groupBy(K).agg(*(F.first(k).alias(k) for k in keys), F.max_by(
-        F.struct(*(v.alias(n) for n, v in end.items())), C).alias("__end")).select(*keys, "__end.*")
-    # Only chunks after a key's first carry anything: the later chunks of
-    # large keys, a small table on the rows' own partitioning.
-    rows = rows.join(s.where(F.col("__off") > 0).select(*keep), [K, C], "left")
-    return _finish(rows, value), left
-
-
-def _finish(rows: DataFrame, value: str | None) -> DataFrame:
-    """Global positions from chunk-local ones plus what the chunk carries in."""
-    cols = {"__rn": F.coalesce(F.col("__off"), F.lit(0)) + F.col("__lrn")}
-    if value is not None:
-        carry_ok = F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col(value))
-        carry = F.when((F.col("__lisl") == 1) & carry_ok, F.col("__cl")).otherwise(F.lit(0))
-        prev_carry_ok = F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col("__plv"))
-        prev_carry = F.when((F.col("__plisl") == 1) & prev_carry_ok, F.col("__cl")).otherwise(F.lit(0))
-        cols.update({
-            "__n": F.col("__ln") + carry,
-            "__pv": F.when(F.col("__lrn") == 1, F.col("__cv")).otherwise(F.col("__plv")),
-            "__pn": F.when(F.col("__lrn") == 1, F.col("__cl")).otherwise(F.col("__pln") + prev_carry),
-        })
-    return rows.withColumns(cols)
+        s = carried(keep_last_row(rows.groupBy(K, C).agg(last_row(df.columns), *run_summary(value))))
+        # Only chunks after a key's first carry anything: the later chunks of
+        # large keys, a small table on the rows' own partitioning.
+        rows = rows.join(s.where(F.col("__off") > 0).select(K, C, "__off", "__cv", "__cl"), [K, C], "left")
+    return global_columns(rows, value)

@@ -1,6 +1,6 @@
 """Order-sensitive keyed sequence operators (the reference's state machines).
 
-Batch forms over the chunked prefix scan of :mod:`rillet.operators.scan`;
+Batch forms over the segmented prefix scan of :mod:`rillet.operators.scan`;
 the streaming forms are in :mod:`rillet.streaming.processors`. Order is
 given explicitly (``order``, e.g. ``[ts, event_id]``) because event times
 tie; ``key=None`` treats the whole input as one sequence without putting it
@@ -15,18 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.flags import truncating_mean
-from rillet.operators.scan import C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, _key_surrogate, keep_last_row, last_row, scan_from
+from rillet.operators.scan import (
+    C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, before, carried, chunking, global_columns, in_chunk, keep_last_row, last_row,
+    run_columns, scan,
+)
 
 
 def _order_struct(order: Sequence[str]):
     return F.struct(*[F.col(o) for o in order])
 
 
-def _front(carry: DataFrame, keys: list[str]) -> DataFrame:
-    """``carry`` with the key surrogate of the scan."""
-    return carry.withColumn(K, _key_surrogate(carry, keys, carry.columns[0]) if keys else F.lit(0).cast("long"))
-
-
 def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
                  size: int = 2, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                  time_alias: str = "create_time", out: str = "average") -> DataFrame:
@@ -34,46 +32,33 @@ def pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col:
     gives one row (time of its last row, ``int(sum / size)``); pairs do not
     overlap and an incomplete tail is never emitted.
 
-    Groups are closed inside their chunk where possible (grouping on the
-    chunk partitioning, no exchange); only the at most two groups per chunk
-    that straddle a chunk border are merged by a small second aggregation.
+    A group's row comes from its last row: the sum of the ``size`` rows up to it, by a window
+    inside the chunk. Of a group that began in an earlier chunk the chunk carries
+    in the sum, from the last ``size - 1`` values of the chunks before it.
     """
-    return pair_average_from(df, key, order, value, time_col, size, rows_per_chunk, time_alias, out)[0]
-
-
-def pair_average_from(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
-                      size: int = 2, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                      time_alias: str = "create_time", out: str = "average",
-                      carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """:func:`pair_average` that goes on from ``carry`` (key..., seen, group, n, total, at:
-    the rows so far and the group still open), and that table after ``df``."""
-    keys = _as_list(key)
+    keys, order = _as_list(key), list(order)
     df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
-    rows, left = scan_from(df, key, order, None, rows_per_chunk, [value, time_col], carry.select(*keys, "seen") if carry is not None else None)
-    rows = rows.withColumn("__g", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("long"))
-    # Ordered by the global row number (a long): fixed-width buffers keep
-    # both aggregates hash-based, with no extra sort of the rows.
-    part = (rows.groupBy(K, C, "__g")
-                .agg(*[F.first(k).alias(k) for k in keys],
-                     F.count(F.lit(1)).alias("__cnt"),
-                     F.sum(F.col(value).cast("long")).alias("__sum"),
-                     F.max("__rn").alias("__hi"),
-                     F.max_by(F.col(time_col), F.col("__rn")).alias("__t")))
-    whole = part.where(F.col("__cnt") == size)
-    cols = keys + [F.col("__t").alias(time_alias), truncating_mean(F.col("__sum"), size).alias(out)]
-    broken = part.where(F.col("__cnt") < size).select(K, "__g", *keys, "__cnt", "__sum", "__hi", "__t")
-    if carry is not None:
-        opened = _front(carry, keys).where("n > 0")
-        broken = broken.unionByName(opened.select(K, F.col("group").alias("__g"), *keys, F.col("n").alias("__cnt"), F.col("total").alias("__sum"),
-                                                  F.lit(0).cast("long").alias("__hi"), F.col("at").alias("__t")))
-    merged = broken.groupBy(K, "__g").agg(*[F.first(k).alias(k) for k in keys], F.sum("__cnt").alias("__cnt"),
-                                          F.sum("__sum").alias("__sum"), F.max_by("__t", "__hi").alias("__t"))
-    result = whole.select(*cols).unionByName(merged.where(F.col("__cnt") == size).select(*cols))
-    still = merged.where(F.col("__cnt") < size).select(*(F.col(k).alias(f"__o_{k}") for k in keys), F.col("__g").alias("group"), F.col("__cnt").alias("n"),
-                                                       F.col("__sum").alias("total"), F.col("__t").alias("at"))
-    match = [left[k].eqNullSafe(still[f"__o_{k}"]) for k in keys]
-    state = (left.join(still, match, "left") if keys else left.join(still, F.col("seen") >= F.col("n"), "left"))
-    return result, state.select(*keys, "seen", "group", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "total", "at")
+    df = df.select(*dict.fromkeys([*keys, *order, value, time_col]))
+    chunked, cut = chunking(df, key, order, rows_per_chunk)
+    w = in_chunk(order)
+    v = F.col(value).cast("long")
+    rows = chunked.withColumns({"__lrn": F.row_number().over(w), "__sum": F.sum(v).over(w.rowsBetween(1 - size, Window.currentRow)),
+                                "__tail": F.lead(F.lit(1), max(size - 1, 1)).over(w).isNull()})
+    position, total = F.col("__lrn"), F.col("__sum")
+    if cut:
+        tail = F.transform(F.array_sort(F.collect_list(F.when(F.col("__tail") & F.lit(size > 1), F.struct(F.col("__lrn"), v.alias("v"))))), lambda x: x["v"])
+        s = keep_last_row(rows.groupBy(K, C).agg(F.count(F.lit(1)).alias("__cnt"), last_row(df.columns), tail.alias("__end")))
+        ws = Window.partitionBy(K).orderBy(C)
+        # every chunk has a row, so the open group's rows lie in the size - 1 chunks before
+        s = s.withColumns({"__off": F.coalesce(F.sum("__cnt").over(before(ws)), F.lit(0)).cast("long"),
+                           "__ends": F.flatten(F.collect_list("__end").over(ws.rowsBetween(1 - max(size, 2), -1)))})
+        n_open = (F.col("__off") % size).cast("int")
+        opened = F.aggregate(F.slice("__ends", F.size("__ends") - n_open + 1, n_open), F.lit(0).cast("long"), lambda a, x: a + x)
+        s = s.where(F.col("__off") > 0).select(K, C, "__off", F.when(n_open > 0, opened).otherwise(0).alias("__open"))
+        rows = rows.join(s, [K, C], "left")
+        position = F.coalesce("__off", F.lit(0)) + F.col("__lrn")
+        total = total + F.when(F.col("__lrn") < size, F.coalesce("__open", F.lit(0))).otherwise(0)
+    return rows.where(position % size == 0).select(*keys, F.col(time_col).alias(time_alias), truncating_mean(total, size).alias(out))
 
 
 def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
@@ -85,42 +70,43 @@ def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col:
 
     A row at run position ``n`` is a record when ``n >= 2`` and ``n`` exceeds
     every earlier position of its value in the key. Inside its chunk that is
-    a running max (a window on the chunk partitioning, no exchange). The longest run
-    of a value in earlier chunks is a prefix max over one row per (key, chunk, value),
-    joined back on the rows' own partitioning, so no task ever gathers the
-    rows of a value.
+    a running max (a window on the chunk partitioning, no exchange). A chunk's summary
+    lists the longest run of each of its values; what it carries in, and the longest run of a value
+    in earlier chunks, are prefix windows over such summaries, joined back on the
+    rows' own partitioning, so no task ever gathers the rows of a value.
     """
-    return record_runs_from(df, key, order, value, time_col, rows_per_chunk, time_alias)[0]
-
-
-def record_runs_from(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
-                     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, time_alias: str = "create_time",
-                     carry: DataFrame | None = None, records: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """:func:`record_runs` that goes on from ``carry`` (key..., seen, last, open) and
-    ``records`` (key..., value, longest), and those two tables after ``df``."""
-    keys = _as_list(key)
+    keys, order = _as_list(key), list(order)
     df = df.where(F.col(value).isNotNull())  # a NULL value is not part of the sequence
-    rows, left = scan_from(df, key, order, value, rows_per_chunk, [time_col], carry)
-    in_chunk = Window.partitionBy(K, C, value).orderBy(*[F.col(o) for o in order]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    cand = rows.withColumn("__pm", F.max("__n").over(in_chunk)) \
-        .where((F.col("__n") >= 2) & (F.col("__n") > F.coalesce(F.col("__pm"), F.lit(1))))
-    # reads the columns that the rows have, so both hang off one shuffle (see scan.last_row)
-    longest = keep_last_row(rows.groupBy(K, C, value).agg(
-        F.max("__n").alias("__max"), last_row([*keys, *order, value, time_col]), *(F.first(k).alias(k) for k in keys)))
-    if records is not None:
-        kind = longest.schema["__max"].dataType
-        longest = longest.unionByName(_front(records, keys).select(K, F.lit(-1).cast("long").alias(C), F.col("value").alias(value),
-                                                                   F.col("longest").cast(kind).alias("__max"), *keys))
-    after = longest.groupBy(K, value).agg(*(F.first(k).alias(k) for k in keys), F.max("__max").alias("longest")) \
-        .select(*keys, F.col(value).alias("value"), "longest")
-    earlier = Window.partitionBy(K, value).orderBy(C).rowsBetween(Window.unboundedPreceding, -1)
-    before = (longest.withColumn("__mb", F.max("__max").over(earlier)).where(F.col("__mb").isNotNull())
-              .select(F.col(K).alias("__bk"), F.col(C).alias("__bc"), F.col(value).alias("__bv"), "__mb"))
-    on = (F.col(K) == F.col("__bk")) & (F.col(C) == F.col("__bc")) & (F.col(value) == F.col("__bv"))
-    rec = cand.join(before, on, "left").where(F.col("__n") > F.coalesce(F.col("__mb"), F.lit(1)))
-    return rec.select(*keys, F.col(time_col).alias(time_alias), F.col(value).alias("value"),
-                      F.col("__n").cast("int").alias("run_length")), left, after
+    df = df.select(*dict.fromkeys([*keys, *order, value, time_col]))
+    chunked, cut = chunking(df, key, order, rows_per_chunk)
+    rows = run_columns(chunked, order, value)
+    bar = F.lit(1)
+    if cut:
+        # one row per chunk and value, on the rows' own partitioning; then one per chunk with its values
+        per_value = keep_last_row(rows.groupBy(K, C, value).agg(last_row(df.columns), F.max("__ln").alias("__max"), *(
+            F.max(x).alias(y) for x, y in ((F.struct("__lrn", "__ln", F.col(value).alias("v")), "__lastrun"), ("__lisl", "__isl"))),
+            F.min("__lrn").alias("__from"), F.count(F.lit(1)).alias("__rows"),
+            F.max(F.when(F.col("__lisl") == 1, F.col("__ln"))).alias("__lead")))
+        end = F.max("__lastrun")
+        s = carried(per_value.groupBy(K, C).agg(
+            F.sum("__rows").alias("__cnt"), F.min_by(value, "__from").alias("__first"), end["v"].alias("__last"),
+            end["__ln"].alias("__trail"), F.max("__isl").alias("__nisl"),
+            F.collect_list(F.struct(F.col(value).alias("v"), F.col("__max").alias("n"), F.col("__lead").alias("lead"))).alias("__values")))
+        flat = s.select(K, C, "__off", "__cv", "__cl", F.explode("__values").alias("__v"))
+        # the chunk's first run goes on from the run that is open at its start
+        longer = F.when(F.col("__v.lead").isNotNull() & F.col("__cl").isNotNull() & F.col("__cv").eqNullSafe(F.col("__v.v")),
+                        F.col("__v.lead") + F.col("__cl"))
+        longest = F.greatest(F.col("__v.n"), longer)
+        earlier = before(Window.partitionBy(K, "__w").orderBy(C))
+        info = flat.select(K, C, "__off", "__cv", "__cl", F.col("__v.v").alias("__w"), longest.alias("__l")).withColumn("__best", F.max("__l").over(earlier))
+        info = info.where(F.col("__off") > 0).select(F.col(K).alias("__ik"), F.col(C).alias("__ic"), "__w", "__off", "__cv", "__cl", "__best")
+        rows = rows.join(info, (F.col(K) == F.col("__ik")) & (F.col(C) == F.col("__ic")) & (F.col(value) == F.col("__w")), "left")
+        bar = F.coalesce("__best", bar)
+    rows = global_columns(rows, value)
+    in_value = before(Window.partitionBy(K, C, value).orderBy(*[F.col(o) for o in order]))
+    rows = rows.withColumn("__pm", F.max("__n").over(in_value))
+    return (rows.where((F.col("__n") >= 2) & (F.col("__n") > F.coalesce("__pm", F.lit(1))) & (F.col("__n") > bar))
+            .select(*keys, F.col(time_col).alias(time_alias), F.col(value).alias("value"), F.col("__n").cast("int").alias("run_length")))
 
 
 def flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
@@ -130,22 +116,14 @@ def flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str
     emitted; 0 after 0 emits nothing. With ``emit_empty_first`` a key whose
     first row has flag 0 emits a run of length 0 (the reference's behaviour).
     """
-    return flag_runs_from(df, key, order, flag, time_col, emit_empty_first, rows_per_chunk)[0]
-
-
-def flag_runs_from(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
-                   emit_empty_first: bool = True, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                   carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """:func:`flag_runs` that goes on from ``carry`` (key..., seen, last, open), and that table after ``df``."""
     keys = _as_list(key)
     df = df.where(F.col(flag).isin(0, 1))  # other flag values (and NULL) change nothing
-    rows, left = scan_from(df, key, order, flag, rows_per_chunk, [time_col], carry)
+    rows = scan(df, key, order, flag, rows_per_chunk, [time_col])
     first = F.col("__rn") == 1
     after_run = ~first & (F.col("__pv") == 1)
     ends = (F.col(flag) == 0) & (after_run | (first & F.lit(emit_empty_first)))
     length = F.when(first, F.lit(0)).otherwise(F.col("__pn"))
-    return rows.where(ends).select(*keys, length.cast("int").alias("n_samples"),
-                                   F.col(time_col).alias("end_time")), left
+    return rows.where(ends).select(*keys, length.cast("int").alias("n_samples"), F.col(time_col).alias("end_time"))
 
 
 def keys_with_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str,

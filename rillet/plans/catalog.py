@@ -23,12 +23,15 @@ from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
 from rillet.session import scratch_path
 from rillet.sources.files import read_csv_lines, read_text_lines
-from rillet.sources.json_stream import decode_json, read_json_stream, split_quarantine, with_event_time
-from rillet.sources.tables import load, role_bits, role_lines, role_payments, role_signal, role_teams
+from rillet.sources.json_stream import ARRIVAL, decode_json, kafka_options_from_connector, read_json_stream, split_quarantine, with_event_time
+from rillet.sources.tables import load, register_views, role_bits, role_lines, role_payments, role_signal, role_teams
 from rillet.streaming import jobs as SJ
-from rillet.streaming.queries import run_available, stream_latest, stream_table
-from rillet.streaming.sequences import flag_runs_sink
-from rillet.streaming.sinks import changelog_records, read_batches, read_upserted, upsert_sink, write_changelog_json, write_text_rows
+from rillet.streaming.queries import (
+    run_available, stream_changes, stream_flag_runs, stream_latest, stream_pair_average, stream_table, stream_window_summary,
+)
+from rillet.streaming.sinks import (
+    append_sink, changelog_records, observed, read_batches, read_upserted, upsert_sink, write_changelog_json, write_text_rows,
+)
 
 AVAILABLE = {"availableNow": True}
 
@@ -184,8 +187,7 @@ def q_stream_team_spend(spark, d):
 
 def _pair_stream(spark, d, key):
     bits = role_bits(_stream(spark, d, "events"))
-    out = _run(spark, "stream_pair_average", lambda o, c: SJ.start_pair_average(bits, o, c, key, AVAILABLE))
-    return read_batches(spark, out)
+    return spark.read.parquet(_run(spark, "stream_pair_average", lambda o, c: SJ.start_pair_average(bits, o, c, key, AVAILABLE)))
 
 
 def q_stream_pair_average(spark, d):
@@ -198,8 +200,7 @@ def q_stream_pair_average_global(spark, d):
 
 def _record_stream(spark, d, key):
     bits = role_bits(_stream(spark, d, "events"))
-    out = _run(spark, "stream_record_runs", lambda o, c: SJ.start_record_runs(bits, o, c, key, AVAILABLE))
-    return read_batches(spark, out)
+    return spark.read.parquet(_run(spark, "stream_record_runs", lambda o, c: SJ.start_record_runs(bits, o, c, key, AVAILABLE)))
 
 
 def q_stream_record_runs(spark, d):
@@ -229,20 +230,114 @@ def q_stream_signal_qa(spark, d):
 def q_stream_flag_runs(spark, d):
     signal = role_signal(_stream(spark, d, "events"))
     out = _run(spark, "stream_flag_runs",
-               lambda o, c: flag_runs_sink(signal, "user_id", J.SIGNAL_ORDER, "flag", "ts", o, c, trigger=AVAILABLE))
-    return read_batches(spark, out).select("user_id", "n_samples", "end_time")
+               lambda o, c: append_sink(stream_flag_runs(signal, "user_id", J.SIGNAL_ORDER, "flag", "ts"), o, c, trigger=AVAILABLE))
+    return spark.read.parquet(out).select("user_id", "n_samples", "end_time")
+
+
+class _Slices:
+    """A table handed to a stream slice by slice: each :meth:`add` writes the next rows to the
+    stream's folder and runs the query, from its checkpoint, over them (one micro-batch)."""
+
+    def __init__(self, spark, table: DataFrame, name: str):
+        self.spark, self.table = spark, table
+        self.folder, self.out, self.ckpt = (scratch_path(spark, f"{name}-{x}") for x in ("in", "out", "ckpt"))
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.table.schema).parquet(self.folder)
+
+    def add(self, rows, start):
+        self.table.where(rows).write.mode("append").parquet(self.folder)
+        return run_available(start(self.stream(), self.out, self.ckpt))
+
+
+def _at(events: DataFrame, quarters: int):
+    """The time after so many quarters of the events' time span, as a literal."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    return F.lit(first + (last - first) * quarters // 4)
+
+
+CHANGELOG_CHECKPOINTS = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+
+def q_stream_recovery(spark, d):
+    """Record runs over two runs of one query: it stops after the first half and starts again from its
+    checkpoint (RocksDB changelog checkpoints); runs that are open at the stop go on (W13)."""
+    events = _events(spark, d)
+    mid, slices = _at(events, 2), _Slices(spark, events, "stream_recovery")
+    start = lambda s, o, c: SJ.start_record_runs(role_bits(s), o, c, "user_id", AVAILABLE)
+    before = spark.conf.get(CHANGELOG_CHECKPOINTS, "false")
+    spark.conf.set(CHANGELOG_CHECKPOINTS, "true")
+    try:
+        slices.add(F.col("ts") < mid, start)
+        slices.add(F.col("ts") >= mid, start)
+    finally:
+        spark.conf.set(CHANGELOG_CHECKPOINTS, before)
+    return spark.read.parquet(slices.out).select("user_id", "create_time", "value", "run_length")
+
+
+LATE = "event_id % 97 = 0"  # these events arrive after all others
+
+
+def q_stream_late_rows(spark, d):
+    """Window summaries of three ordered micro-batches, the third of late rows: those of closed windows are
+    dropped, those of open ones count. Two more rows hold what was observed: rows in, (key, window) groups dropped (W6)."""
+    events = _events(spark, d)
+    mid, slices = _at(events, 2), _Slices(spark, events, "stream_late_rows")
+
+    def start(stream, out, ckpt):
+        seen = role_signal(stream).observe("seen", F.count(F.lit(1)).alias("rows"))
+        return append_sink(stream_window_summary(seen, "user_id", "ts", "value", "flag"), out, ckpt, AVAILABLE)
+
+    totals = {"rows": 0, "dropped": 0}
+    for rows in ((F.col("ts") < mid) & ~F.expr(LATE), (F.col("ts") >= mid) & ~F.expr(LATE), F.expr(LATE)):
+        for k, v in observed(slices.add(rows, start), "seen").items():
+            totals[k] += v
+    windows = spark.read.parquet(slices.out).select(F.lit("window").alias("kind"), "user_id", "window_start", "n_elements", "n_flags")
+    noted = spark.createDataFrame([(k, None, None, v, None) for k, v in totals.items()], windows.schema)
+    return windows.unionByName(noted)
+
+
+def _idle(spark, d, policy):
+    events = _events(spark, d)
+    early = _at(events, 1)
+    key = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(key)
+    spark.conf.set(key, policy)
+    try:
+        parts = []
+        for name, rows in (("busy", F.col("user_id") % 2 == 0), ("idle", (F.col("user_id") % 2 == 1) & (F.col("ts") < early))):
+            one = _Slices(spark, events.where(rows), f"stream_idle-{name}")
+            one.table.write.parquet(one.folder)
+            parts.append(role_signal(one.stream()).withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", "0 seconds"))
+        counts = parts[0].unionByName(parts[1]).groupBy("user_id", F.window("ets", J.WINDOW).alias("w")).agg(F.count(F.lit(1)).alias("n_elements"))
+        rows = counts.select(F.lit(policy).alias("policy"), "user_id", to_ntz(F.col("w.start")).alias("window_start"), "n_elements")
+        return spark.read.parquet(_run(spark, "stream_idle", lambda o, c: append_sink(rows, o, c, AVAILABLE)))
+    finally:
+        spark.conf.set(key, before)
+
+
+def q_stream_idle_sources(spark, d):
+    """Two sources, one of which falls silent early: with the policy ``max`` the busy one's time closes windows, with ``min`` the
+    idle one holds them open (W2, W3)."""
+    return _idle(spark, d, "max").unionByName(_idle(spark, d, "min"))
 
 
 def q_stream_word_count_changelog(spark, d):
-    """The change records of the streaming word count, replayed: inserts less deletions of each word's counts."""
-    lines = role_lines(_stream(spark, d, "documents"))
-    out = _run(spark, "stream_word_changes", lambda o, c: SJ.start_word_changes(lines, o, c, AVAILABLE))
-    text = scratch_path(spark, "stream_word_changes-json")
-    write_changelog_json(read_batches(spark, out).select("op", "word", "count"), text)
-    record = F.from_json("value", "data array<struct<word string, count bigint>>, type string").alias("r")
-    rows = spark.read.text(text).select(record).select(F.col("r.data")[0].alias("x"), F.col("r.type").alias("kind"))
-    signed = F.when(F.col("kind") == "INSERT", F.col("x.count")).otherwise(-F.col("x.count"))
-    return rows.groupBy("x.word").agg(F.sum(signed).alias("count"))
+    """Every change record of the streaming word count over three micro-batches, in order (A5, K2)."""
+    docs = load(spark, d, "documents").select("doc_id", F.col("text").alias("line"))
+    a, b = (F.lit(x) for x in docs.agg(F.percentile_approx("doc_id", [0.3, 0.7])).first()[0])
+    slices, at = _Slices(spark, docs, "stream_word_changes"), F.col("doc_id")
+    for rows in (at < a, (at >= a) & (at < b), at >= b):
+        slices.add(rows, lambda s, o, c: SJ.start_word_changes(s, o, c, AVAILABLE))
+    return spark.read.parquet(slices.out).select("word", "op", "count", "doc_id", "pos", "change_seq")
+
+
+def q_stream_changelog_json(spark, d):
+    """The streaming change records as the CDC file's JSON lines, read back (K2)."""
+    signal = role_signal(_stream(spark, d, "events"))
+    out = _run(spark, "stream_changelog_json", lambda o, c: append_sink(
+        changelog_records(stream_changes(signal, "user_id", J.SIGNAL_ORDER).select("op", "user_id", "count")), o, c, AVAILABLE, fmt="text"))
+    return spark.read.text(out)
 
 
 # Messages: the events as JSON text lines, some of them cut off.
@@ -268,6 +363,27 @@ def _decoded(spark, d, streaming):
     return with_event_time(raw, "event_time")
 
 
+def _segments(spark, d):
+    """The events as JSON messages in the files of a log, in an arrival order that is neither time nor identifier."""
+    events = _events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_time"), "user_id", "event_type", "value")
+    path = scratch_path(spark, "segments")
+    mixed = F.md5(F.col("event_id").cast("string").cast("binary"))
+    (events.select(F.to_json(F.struct("*")).alias("value"), mixed.alias("m")).repartitionByRange(8, "m").sortWithinPartitions("m")
+     .select("value").write.parquet(path))
+    return path
+
+
+def q_stream_arrival_order(spark, d):
+    """J3 over JSON messages in arrival order: file and row of the file, from the source's metadata, with the
+    connector's start mode under its legacy name (S5, S6)."""
+    options = kafka_options_from_connector({"connector.startup-mode": "earliest-offset", "connector.topic": "signal"})
+    rows = read_json_stream(spark, StructType.fromDDL(MESSAGE), "segments", _segments(spark, d), options)
+    bits = rows.select("user_id", *ARRIVAL, F.col("event_id").alias("last_event"), (F.col("event_type") == "error").cast("int").alias("bit"))
+    out = _run(spark, "stream_arrival_order", lambda o, c: append_sink(
+        stream_pair_average(bits, "user_id", list(ARRIVAL), "bit", "last_event"), o, c, AVAILABLE))
+    return spark.read.parquet(out).select("user_id", F.col("create_time").alias("last_event"), "average")
+
+
 def q_json_quarantine(spark, d):
     """Messages of each kind that decode, and those set aside."""
     good, bad = split_quarantine(_decoded(spark, d, False), ("event_id",))
@@ -352,6 +468,10 @@ def q_epoch_millis(spark, d):
     return ev.select("event_id", epoch_millis(F.when(F.col("event_id") % 7 == 0, F.lit("no time")).otherwise(F.col("t"))).alias("ms"))
 
 
+#: The panels' range over runs and records: their saved 15 minutes hold no run of the given tables.
+RECENT_MINUTES = 3 * 24 * 60
+
+
 def _as_of(spark, d):
     return _events(spark, d).agg(F.max("ts")).scalar()
 
@@ -361,11 +481,11 @@ def q_dash_d2_recent(spark, d):
 
 
 def q_dash_d3_recent(spark, d):
-    return D.run_panel(J.signal_runs(_signal(spark, d)), as_of=_as_of(spark, d), minutes=15)
+    return D.run_panel(J.signal_runs(_signal(spark, d)), as_of=_as_of(spark, d), minutes=RECENT_MINUTES)
 
 
 def q_dash_d6_recent(spark, d):
-    return D.record_run_panel(J.record_runs_job(_bits(spark, d), "user_id"), as_of=_as_of(spark, d), minutes=15)
+    return D.record_run_panel(J.record_runs_job(_bits(spark, d), "user_id"), as_of=_as_of(spark, d), minutes=RECENT_MINUTES)
 
 
 def q_text_lines(spark, d):
@@ -384,12 +504,35 @@ def q_csv_lines(spark, d):
 
 
 def q_text_rows(spark, d):
-    """Spend per team through the row file (K3)."""
+    """Spend per team in whole cents through the row file, all columns (K3)."""
     path = scratch_path(spark, "rows")
-    write_text_rows(J.team_spend(role_payments(load(spark, d, "customer")), role_teams(load(spark, d, "nation"))).select("team"), path)
+    spend = J.team_spend(role_payments(load(spark, d, "customer")), role_teams(load(spark, d, "nation")))
+    write_text_rows(spend.select("team", F.round(F.col("pay_amount") * 100).cast("long").alias("cents")), path)
     return spark.read.text(path)
 
 
+#: J2 as a user of the catalog writes it: tables declared by DDL, the lookup by name, the job as SQL text.
+TEAM_SPEND_DDL = {
+    "payments_source": "CREATE OR REPLACE TEMPORARY VIEW payments_source (c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE) USING parquet OPTIONS (path '{d}/customer.parquet')",
+    "teams_source": "CREATE OR REPLACE TEMPORARY VIEW teams_source (n_nationkey INT, n_name STRING) USING parquet OPTIONS (path '{d}/nation.parquet')"}
+TEAM_SPEND_SQL = """
+SELECT t.n_name AS team, CAST(sum(CAST(p.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS pay_amount
+FROM payments_source p LEFT JOIN teams_source t ON p.c_nationkey = t.n_nationkey GROUP BY t.n_name"""
+
+
+def q_sql_team_spend(spark, d):
+    """J2 as DDL and SQL text over declared tables."""
+    for ddl in TEAM_SPEND_DDL.values():
+        spark.sql(ddl.format(d=d.rstrip("/")))
+    return spark.sql(TEAM_SPEND_SQL)
+
+
+def q_table_by_name(spark, d):
+    """The current flag from a table looked up by name."""
+    register_views(spark, d, ["events"])
+    return J.signal_current(role_signal(spark.table("events")))
+
+
 def q_changelog_json(spark, d):
     ch = q_changelog(spark, d).select("op", "event_type", "value")
     return changelog_records(ch)
@@ -416,6 +559,11 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_signal_qa": q_stream_signal_qa,
     "stream_signal_qa_json": q_stream_signal_qa_json,
     "stream_word_count_changelog": q_stream_word_count_changelog,
+    "stream_changelog_json": q_stream_changelog_json,
+    "stream_recovery": q_stream_recovery,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_idle_sources": q_stream_idle_sources,
+    "stream_arrival_order": q_stream_arrival_order,
 }
 
 
@@ -459,6 +607,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_lines": q_text_lines,
     "csv_lines": q_csv_lines,
     "text_rows": q_text_rows,
+    "sql_team_spend": q_sql_team_spend,
+    "table_by_name": q_table_by_name,
     "dash_d2_recent": q_dash_d2_recent,
     "dash_d3_recent": q_dash_d3_recent,
     "dash_d6_recent": q_dash_d6_recent,
@@ -687,8 +837,8 @@ FROM ({_NULLS}) WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS
 _CUT = f"event_id % {CUT_OFF} = 0"
 
 
-def _recent(sql: str, ts: str) -> str:
-    return f"(SELECT * FROM ({sql}) WHERE {ts} > (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE AND {ts} <= (SELECT max(ts) FROM events))"
+def _recent(sql: str, ts: str, minutes: int = 15) -> str:
+    return f"(SELECT * FROM ({sql}) WHERE {ts} > (SELECT max(ts) FROM events) - INTERVAL {minutes} MINUTE AND {ts} <= (SELECT max(ts) FROM events))"
 
 
 _JSON_RUNS = (_FLAG_RUNS.replace("FROM events", f"FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events) WHERE NOT ({_CUT})"))
@@ -702,7 +852,41 @@ ORACLE_SQL.update({
     "flag_runs_chunked": _FLAG_RUNS,
     "stream_pair_average_global": _pairs(""),
     "stream_record_runs_global": _records(""),
-    "stream_word_count_changelog": _WORDS,
+    "stream_word_count_changelog": _WORD_CHANGES,
+    "stream_changelog_json": f"""
+WITH r AS (SELECT user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS c FROM events)
+SELECT '{{"data":[{{"user_id":' || user_id || ',"count":' || n || '}}],"type":"' || kind || '"}}' AS value
+FROM (SELECT user_id, c AS n, 'INSERT' AS kind FROM r UNION ALL SELECT user_id, c - 1 AS n, 'DELETE' AS kind FROM r WHERE c > 1)
+""",
+    "stream_recovery": _records("user_id"),
+    "stream_late_rows": f"""
+WITH e AS (SELECT user_id, ts, {_FLAG} AS flag, {LATE} AS late,
+                  time_bucket(INTERVAL 15 SECOND, ts, TIMESTAMP '1970-01-01') AS w FROM events),
+closed AS (SELECT max(ts) - INTERVAL 3 SECOND AS t FROM e WHERE NOT late),
+last AS (SELECT max(ts) - INTERVAL 3 SECOND AS t FROM e),
+kept AS (SELECT e.* FROM e, closed WHERE NOT late OR w + INTERVAL 15 SECOND > closed.t)
+SELECT 'window' AS kind, user_id, w AS window_start, count(*) AS n_elements, CAST(sum(flag) AS BIGINT) AS n_flags
+FROM kept, last GROUP BY user_id, w, last.t HAVING w + INTERVAL 15 SECOND <= last.t
+UNION ALL SELECT 'rows', NULL, NULL, count(*), NULL FROM e
+UNION ALL SELECT 'dropped', NULL, NULL, count(DISTINCT (user_id, w)), NULL FROM e, closed WHERE late AND w + INTERVAL 15 SECOND <= closed.t
+""",
+    "stream_idle_sources": """
+WITH early AS (SELECT make_timestamp(epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 4) AS t FROM events),
+e AS (SELECT user_id, ts, time_bucket(INTERVAL 15 SECOND, ts, TIMESTAMP '1970-01-01') AS w, user_id % 2 AS idle FROM events, early
+      WHERE user_id % 2 = 0 OR ts < early.t),
+p AS (SELECT 'max' AS policy, max(m) AS t FROM (SELECT max(ts) AS m FROM e GROUP BY idle)
+      UNION ALL SELECT 'min', min(m) FROM (SELECT max(ts) AS m FROM e GROUP BY idle))
+SELECT policy, user_id, w AS window_start, count(*) AS n_elements FROM e, p
+WHERE w + INTERVAL 15 SECOND <= p.t GROUP BY policy, user_id, w
+""",
+    "stream_arrival_order": """
+WITH b AS (SELECT user_id, event_id, CAST(event_type = 'error' AS INTEGER) AS bit,
+                  row_number() OVER (PARTITION BY user_id ORDER BY md5(CAST(event_id AS VARCHAR))) AS rn FROM events)
+SELECT user_id, arg_max(event_id, rn) AS last_event, CAST(trunc(sum(bit) / 2) AS INTEGER) AS average
+FROM b GROUP BY user_id, (rn - 1) // 2 HAVING count(*) = 2
+""",
+    "sql_team_spend": _TEAM_SPEND,
+    "table_by_name": _LATEST,
     "running_sum_nulls": f"SELECT event_id, CAST(cur AS DOUBLE) AS running FROM ({_RUNNING_NULLS})",
     "changelog_sum_nulls": f"""
 WITH r AS ({_RUNNING_NULLS}),
@@ -738,7 +922,7 @@ SELECT word, count(*) AS count FROM (SELECT unnest(regexp_split_to_array(p_name,
 WHERE word <> '' GROUP BY word
 """,
     "csv_lines": """SELECT p_name || ', a "quoted" word, ' || CAST(p_partkey AS VARCHAR) AS line FROM part""",
-    "text_rows": f"SELECT '(' || coalesce(team, 'null') || ')' AS value FROM ({_TEAM_SPEND})",
+    "text_rows": f"SELECT '(' || coalesce(team, 'null') || ',' || CAST(round(pay_amount * 100) AS BIGINT) || ')' AS value FROM ({_TEAM_SPEND})",
     "dash_d2_recent": f"""
 WITH s AS {_recent(_SUMMARY, "window_start")}
 SELECT user_id, date_trunc('second', window_start) AS second,
@@ -746,12 +930,12 @@ SELECT user_id, date_trunc('second', window_start) AS second,
 FROM s WHERE user_id IN {_top_keys('s')} GROUP BY user_id, date_trunc('second', window_start)
 """,
     "dash_d3_recent": f"""
-WITH r AS {_recent(_FLAG_RUNS, "end_time")}
+WITH r AS {_recent(_FLAG_RUNS, "end_time", RECENT_MINUTES)}
 SELECT user_id, date_trunc('second', end_time) AS second, max(n_samples) AS max_samples
 FROM r WHERE user_id IN {_top_keys('r')} GROUP BY user_id, date_trunc('second', end_time)
 """,
     "dash_d6_recent": f"""
-WITH r AS {_recent(_records("user_id"), "create_time")}
+WITH r AS {_recent(_records("user_id"), "create_time", RECENT_MINUTES)}
 SELECT value, date_trunc('second', create_time) AS second, max(run_length) AS max_run_length
 FROM r WHERE value IN (0, 1) GROUP BY value, date_trunc('second', create_time)
 """,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rillet.functions.text import WHITESPACE_JAVA
 from rillet.operators.aggregates import MONEY, changelog, keyed_sum, window_summary, word_count
 from rillet.operators.lookup import lookup
+from rillet.operators.scan import Cuts
 from rillet.operators.sequences import flag_runs, latest_by_key, pair_average, record_runs
 
 SIGNAL_ORDER = ["ts", "event_id"]
@@ -31,14 +32,14 @@ def word_count_changelog(docs: DataFrame, doc_id: str = "doc_id", line: str = "l
     (``-U``) and adds the new one (``+U``). Columns: word, op, count, doc_id,
     pos, change_seq.
 
-    Every word is cut into the same ranges of document ids, so no statistics
-    are needed and a very frequent word spreads over as many tasks as there
-    are ranges.
+    Every word is cut into the same ranges of about ``docs_per_chunk`` documents, so a
+    very frequent word spreads over as many tasks as there are ranges. The ranges come
+    from a sample of the ids alone; the texts are not read for them.
     """
+    cuts = Cuts(docs, [doc_id], docs_per_chunk, key=False)
     tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
     tokens = tokens.where(F.col("word") != F.lit(""))
-    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count",
-                     chunk=F.floor(F.col(doc_id) / F.lit(docs_per_chunk)))
+    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count", cuts=cuts)
 
 
 def team_spend(payments: DataFrame, teams: DataFrame) -> DataFrame:

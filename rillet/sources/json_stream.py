@@ -7,6 +7,8 @@ shared and is what the tests cover.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,27 +86,46 @@ def decode_json(raw: DataFrame, schema: T.StructType, value_col: str = "value",
     return out.select(*keep, *cols, bad.alias(CORRUPT))
 
 
+#: Columns that say where a message stands in the arrival order.
+ARRIVAL = ("partition", "offset")
+
+
+def read_segments(spark: SparkSession, path: str, start: str = "earliest", since: str | None = None, streaming: bool = True,
+                  options: dict[str, str] | None = None) -> DataFrame:
+    """Messages kept as parquet files of one column ``value`` (the segments of a log), in arrival order.
+
+    ``partition`` is the name of a message's file and ``offset`` its row there, both from
+    the file source's metadata. ``start="latest"`` takes only files written after ``since`` (a timestamp;
+    default: now), ``"earliest"`` all of them."""
+    if start not in ("earliest", "latest"):
+        raise ValueError(f"start is earliest or latest, not {start!r}")
+    reader = (spark.readStream if streaming else spark.read).schema("value string")
+    raw = reader.options(**(options or {})).parquet(path)
+    if start == "latest":
+        when = F.lit(since).cast("timestamp") if since else F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp")
+        raw = raw.where(F.col("_metadata.file_modification_time") > when)
+    return raw.select("value", F.col("_metadata.file_name").alias("partition"), F.col("_metadata.row_index").alias("offset"))
+
+
 def read_json_stream(spark: SparkSession, schema: T.StructType, transport: str = "kafka",
                      path: str | None = None, options: dict[str, str] | None = None,
                      streaming: bool = True) -> DataFrame:
     """Read JSON messages into ``schema`` columns plus ``_corrupt_record``.
 
     ``transport="kafka"`` reads the ``value`` of each record (``options`` from
-    :func:`kafka_options`) and keeps ``partition``/``offset`` as ``seq``
-    columns; ``transport="text"`` reads one JSON object per line from files.
+    :func:`kafka_options`); ``"segments"`` reads parquet files of messages
+    (:func:`read_segments`; ``startingOffsets`` in ``options`` is its ``start``). Both keep
+    ``partition`` and ``offset``, the arrival order. ``"text"`` reads one JSON object per line from files.
     """
+    options = dict(options or {})
+    if transport == "segments":
+        start = STARTUP_MODES.get(options.get("startingOffsets"), options.get("startingOffsets", "earliest"))
+        known = {k: v for k, v in options.items() if k not in set(CONNECTOR_OPTIONS.values())}
+        return decode_json(read_segments(spark, path, start, streaming=streaming, options=known), schema, "value", keep=ARRIVAL)
     reader = spark.readStream if streaming else spark.read
     if transport == "kafka":
-        r = reader.format("kafka")
-        for k, v in (options or {}).items():
-            r = r.option(k, v)
-        raw = r.load()
-        return decode_json(raw, schema, "value", keep=("partition", "offset"))
-    r = reader.format("text")
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
-    raw = r.load(path)
-    return decode_json(raw, schema, "value")
+        return decode_json(reader.format("kafka").options(**options).load(), schema, "value", keep=ARRIVAL)
+    return decode_json(reader.format("text").options(**options).load(path), schema, "value")
 
 
 def with_event_time(df: DataFrame, src: str, dst: str = "ts", fmt: str = EVENT_TIME_FORMAT) -> DataFrame:

@@ -1,22 +1,22 @@
 """Structured Streaming: stateful processors, stream forms of the jobs, sinks."""
 
-from rillet.streaming.processors import FlagRunProcessor, PairAverageProcessor, RecordRunProcessor
+from rillet.streaming.processors import (
+    ChangeProcessor, FlagRunProcessor, PairAverageProcessor, RecordRunProcessor, SignalStateProcessor,
+)
 from rillet.streaming.queries import (
-    append_to_table, run_available, run_with_restarts, stream_flag_runs, stream_latest, stream_pair_average,
-    stream_record_runs, stream_table, stream_window_summary, stream_word_count, upsert_to_table,
+    append_to_table, run_available, run_with_restarts, stream_changes, stream_flag_runs, stream_latest, stream_pair_average,
+    stream_record_runs, stream_signal_state, stream_table, stream_window_summary, stream_word_count, upsert_to_table,
 )
-from rillet.streaming.sequences import changes_sink, flag_runs_sink, pair_average_sink, record_runs_sink
 from rillet.streaming.sinks import (
-    ProgressTotals, append_sink, as_text_lines, changelog_records, compact_upserts, console_sink, fan_out, progress_report, read_batches, read_upserted, upsert_batch, write_batch,
-    upsert_sink, text_rows_sink, write_changelog_json, write_text_rows,
+    ProgressTotals, append_sink, as_text_lines, changelog_records, console_sink, fan_out, observed, progress_report, read_batches,
+    read_upserted, text_rows_sink, upsert_batch, upsert_sink, write_batch, write_changelog_json, write_text_rows,
 )
 
 __all__ = [
-    "FlagRunProcessor", "PairAverageProcessor", "RecordRunProcessor", "append_to_table", "run_with_restarts",
-    "run_available", "stream_flag_runs", "stream_latest", "stream_pair_average", "stream_record_runs",
-    "stream_table", "stream_window_summary", "stream_word_count", "upsert_to_table", "append_sink",
-    "as_text_lines", "text_rows_sink", "write_text_rows", "compact_upserts",
-    "changelog_records", "console_sink", "fan_out", "progress_report", "read_upserted", "upsert_batch",
-    "upsert_sink", "write_changelog_json", "ProgressTotals", "read_batches", "write_batch", "changes_sink", "flag_runs_sink",
-    "pair_average_sink", "record_runs_sink",
+    "ChangeProcessor", "FlagRunProcessor", "PairAverageProcessor", "RecordRunProcessor", "SignalStateProcessor",
+    "append_to_table", "run_with_restarts", "run_available", "stream_changes", "stream_flag_runs", "stream_latest",
+    "stream_pair_average", "stream_record_runs", "stream_signal_state", "stream_table", "stream_window_summary",
+    "stream_word_count", "upsert_to_table", "append_sink", "as_text_lines", "text_rows_sink", "write_text_rows",
+    "changelog_records", "console_sink", "fan_out", "observed", "progress_report", "read_upserted", "upsert_batch",
+    "upsert_sink", "write_changelog_json", "ProgressTotals", "read_batches", "write_batch",
 ]

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rillet.operators.aggregates import word_count
+from rillet.functions.text import WHITESPACE_JAVA
 from rillet.operators.lookup import lookup
 from rillet.plans.jobs import SIGNAL_ORDER, WINDOW
-from rillet.streaming.queries import stream_window_summary, stream_word_count
-from rillet.streaming.sequences import changes_sink, flag_runs_writer, pair_average_sink, record_runs_sink
-from rillet.streaming.sinks import append_sink, fan_out, upsert_batch, upsert_sink
+from rillet.streaming.queries import (
+    stream_changes, stream_pair_average, stream_record_runs, stream_signal_state, stream_window_summary, stream_word_count,
+)
+from rillet.streaming.sinks import append_sink, fan_out, upsert_batch, upsert_sink, write_batch
 
 
 def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -26,9 +27,12 @@ def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict
     return upsert_sink(stream_word_count(lines), out, checkpoint, ["word"], ["count"], trigger=trigger)
 
 
-def start_word_changes(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """J1 with the change-record sink: each micro-batch's changes of the words it holds."""
-    return changes_sink(lines, ["word"], "count", word_count, out, checkpoint, trigger)
+def start_word_changes(docs: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                       doc_id: str = "doc_id", line: str = "line") -> StreamingQuery:
+    """J1 with the change-record sink: every change of every word's count, in (document, position) order
+    inside a micro-batch (``plans.jobs.word_count_changelog`` as a stream)."""
+    tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
+    return append_sink(stream_changes(tokens.where(F.col("word") != F.lit("")), "word", [doc_id, "pos"]), out, checkpoint, trigger)
 
 
 def start_team_spend(payments: DataFrame, teams: DataFrame, out: str, checkpoint: str,
@@ -47,35 +51,37 @@ def start_team_spend(payments: DataFrame, teams: DataFrame, out: str, checkpoint
 def start_pair_average(bits: DataFrame, out: str, checkpoint: str, key: str | None = None,
                        trigger: dict | None = None) -> StreamingQuery:
     """Pair averages appended as they complete (``key=None``: one sequence)."""
-    return pair_average_sink(bits, key, SIGNAL_ORDER, "bit", "ts", out, checkpoint, trigger=trigger)
+    return append_sink(stream_pair_average(bits, key, SIGNAL_ORDER, "bit", "ts"), out, checkpoint, trigger)
 
 
 def start_record_runs(bits: DataFrame, out: str, checkpoint: str, key: str | None = None,
                       trigger: dict | None = None) -> StreamingQuery:
     """Record-setting runs appended as they happen."""
-    return record_runs_sink(bits, key, SIGNAL_ORDER, "bit", "ts", out, checkpoint, trigger=trigger)
+    return append_sink(stream_record_runs(bits, key, SIGNAL_ORDER, "bit", "ts"), out, checkpoint, trigger)
 
 
 def start_signal_qa(signal: DataFrame, out: str, checkpoint: str, size: str = WINDOW,
                     delay: str = "3 seconds", trigger: dict | None = None, only: str | None = None) -> dict[str, StreamingQuery]:
     """The three outputs of the QA job from the flagged stream, as two queries.
 
-    ``summary``: window summaries (append, watermark ``delay``), whose state Spark keeps.
-    ``events``: one read whose micro-batches feed two sinks: completed flag runs
+    ``summary``: window summaries (append, watermark ``delay``).
+    ``events``: one read and one state; each micro-batch feeds two sinks, completed flag runs
     (read them with ``read_batches``) and the current flag per key (upserted). ``only``
     names one of the two.
     """
     out, checkpoint = out.rstrip("/"), checkpoint.rstrip("/")
-    order = list(SIGNAL_ORDER)
+    at = [F.col(f"o{i}").alias(c) for i, c in enumerate(SIGNAL_ORDER)]
+
+    def runs(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.where("kind = 'run'").select("user_id", "n_samples", "end_time"), batch_id, f"{out}/runs")
 
     def current(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("user_id", "flag", *order)
-        upsert_batch(rows, batch_id, f"{out}/current", ["user_id"], order)
+        upsert_batch(batch.where("kind = 'current'").select("user_id", "flag", *at), batch_id, f"{out}/current", ["user_id"], SIGNAL_ORDER)
 
     start = {
         "summary": lambda: append_sink(stream_window_summary(signal, "user_id", "ts", "value", "flag", size, delay),
                                        f"{out}/summary", f"{checkpoint}/summary", trigger),
-        "events": lambda: fan_out(signal, {"runs": flag_runs_writer("user_id", order, "flag", "ts", f"{out}/runs"), "current": current},
+        "events": lambda: fan_out(stream_signal_state(signal, "user_id", SIGNAL_ORDER, "flag", "ts"), {"runs": runs, "current": current},
                                   f"{checkpoint}/events", trigger=trigger),
     }
     return {name: begin() for name, begin in start.items() if only in (None, name)}

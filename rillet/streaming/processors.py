@@ -1,4 +1,4 @@
-"""Keyed state machines for Structured Streaming (T1-T3), Arrow-batched
+"""Keyed state machines for Structured Streaming (T1-T3, change streams), Arrow-batched
 ``transformWithStateInPandas``.
 
 Each call gets one key's rows of a micro-batch as pandas frames; the state
@@ -168,3 +168,64 @@ class FlagRunProcessor(_Ordered):
             yield self._out(key, {"n_samples": np.where(prev_flag == 1, prev_len, 0)[emit].astype(np.int32),
                                   "end_time": pdf[self.time_col].to_numpy()[emit]})
         self.run.update((int(f[-1]), int(ones_len[-1])))
+
+
+class SignalStateProcessor(FlagRunProcessor):
+    """T3 and T4 from one state: the finished runs, and one row with the key's latest flag for each micro-batch.
+
+    Rows: key..., kind (``run`` or ``current``), n_samples, end_time, flag, and the order
+    columns of the latest flag. The flag is the last in arrival: micro-batch, then ``order``."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        for runs in super().handleInputRows(key, iter(frames), timerValues):
+            n = len(runs)
+            yield self._out(key, {"kind": ["run"] * n, "n_samples": pd.array(runs["n_samples"], "Int32"), "end_time": runs["end_time"].to_numpy(),
+                                  "flag": pd.array([None] * n, "Int32"), **{f"o{i}": [None] * n for i in range(len(self.order))}})
+        pdf = self._batch(iter(frames), self.flag)
+        if len(pdf):
+            last = pdf.iloc[-1]
+            yield self._out(key, {"kind": ["current"], "n_samples": pd.array([None], "Int32"), "end_time": [None],
+                                  "flag": pd.array([int(last[self.flag])], "Int32"), **{f"o{i}": [last[c]] for i, c in enumerate(self.order)}})
+
+
+class ChangeProcessor(_Ordered):
+    """A5: the change stream of a keyed running count, in order: the first row of a key inserts its
+    count (``+I``), every later one retracts the old count (``-U``) and adds the new one (``+U``).
+
+    Grouped by a bucket of keys, whose counts are one map state: many rare keys are numbered in one call."""
+
+    def __init__(self, key_names, key_ddl: str, order, whole: Sequence[str] = ()):
+        super().__init__(key_names, order, order[0])
+        self.key_ddl = key_ddl
+        self.whole = list(whole)  # integer keys, which pandas makes floats when some are NULL
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", self.key_ddl, "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = self._batch(rows, self.order[0])
+        m = len(pdf)
+        if not m:
+            return
+        pdf = pdf.astype({k: "Int64" for k in self.whole})
+        groups = pdf.groupby(self.key_names, sort=False, dropna=False)
+        code, index = groups.ngroup().to_numpy(), groups.cumcount().to_numpy()
+        first = np.flatnonzero(index == 0)
+        names = [tuple(None if pd.isna(x) else getattr(x, "item", lambda x=x: x)() for x in row)
+                 for row in pdf.iloc[first][self.key_names].itertuples(index=False)]
+        found = [self.counts.getValue(n) for n in names]
+        base = np.zeros(len(names), np.int64)
+        base[code[first]] = [f[0] if f else 0 for f in found]
+        now = base[code] + index + 1
+        total = base + np.bincount(code)
+        for n, c in zip(names, code[first], strict=True):
+            self.counts.updateValue(n, (int(total[c]),))
+        at = np.repeat(np.arange(m), 2)
+        add = np.tile([False, True], m)
+        keep = (now[at] > 1) | add  # nothing to retract before the first
+        at, add = at[keep], add[keep]
+        op = np.where(add, np.where(now[at] == 1, "+I", "+U"), "-U")
+        same = {c: pdf[c].iloc[at].reset_index(drop=True) for c in (*self.key_names, *self.order)}
+        yield pd.DataFrame({**{k: same[k] for k in self.key_names}, "op": op, "count": np.where(add, now[at], now[at] - 1),
+                            **{c: same[c] for c in self.order}, "change_seq": add.astype(np.int32)})

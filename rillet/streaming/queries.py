@@ -22,7 +22,9 @@ from rillet.operators.scan import _as_list
 from rillet.schemas import EVENTS
 from rillet.session import scratch_path
 from rillet.sources.tables import path_kind
-from rillet.streaming.processors import FlagRunProcessor, PairAverageProcessor, RecordRunProcessor
+from rillet.streaming.processors import (
+    ChangeProcessor, FlagRunProcessor, PairAverageProcessor, RecordRunProcessor, SignalStateProcessor,
+)
 from rillet.streaming.sinks import append_sink, read_upserted, upsert_sink
 
 GLOBAL_KEY = "__all"
@@ -69,9 +71,9 @@ def _drop_global(out: DataFrame, keys_out: list[str]) -> DataFrame:
 
 def stream_pair_average(df: DataFrame, key, order: Sequence[str], value: str, time_col: str,
                         size: int = 2) -> DataFrame:
-    """T1 on a stream (append), low latency: keyed state in the state store, so a
-    micro-batch's rows of one key meet in one task. For hot keys or ``key=None`` use
-    :func:`rillet.streaming.sequences.pair_average_sink`, which has no such limit."""
+    """T1 on a stream (append): keyed value state in Spark's state store. The rows of one key in
+    one micro-batch meet in one task, also those of ``key=None``; the source's rate limit
+    (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds them."""
     df, keys, keys_out = _keyed(df, key)
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("create_time", df.schema[time_col].dataType),
                                                   T.StructField("average", T.IntegerType())])
@@ -81,7 +83,7 @@ def stream_pair_average(df: DataFrame, key, order: Sequence[str], value: str, ti
 
 
 def stream_record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col: str) -> DataFrame:
-    """T2 on a stream (append)."""
+    """T2 on a stream (append): the open run in value state, the longest run of each value in map state."""
     df, keys, keys_out = _keyed(df, key)
     vtype = df.schema[value].dataType
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("create_time", df.schema[time_col].dataType),
@@ -94,7 +96,7 @@ def stream_record_runs(df: DataFrame, key, order: Sequence[str], value: str, tim
 
 def stream_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
                      emit_empty_first: bool = True) -> DataFrame:
-    """T3 on a stream (append)."""
+    """T3 on a stream (append): the open run in value state."""
     df, keys, keys_out = _keyed(df, key)
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("n_samples", T.IntegerType()),
                                                   T.StructField("end_time", df.schema[time_col].dataType)])
@@ -103,6 +105,32 @@ def stream_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_c
     return _drop_global(out, keys_out)
 
 
+def stream_signal_state(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str) -> DataFrame:
+    """T3 and T4 of a signal in one stateful pass: see :class:`~rillet.streaming.processors.SignalStateProcessor`.
+    The order columns of the latest flag are named ``o0``, ``o1``, ..."""
+    keys = _as_list(key)
+    schema = T.StructType(_schema_of(df, keys) + [T.StructField("kind", T.StringType()), T.StructField("n_samples", T.IntegerType()),
+                                                  T.StructField("end_time", df.schema[time_col].dataType), T.StructField("flag", T.IntegerType())]
+                          + [T.StructField(f"o{i}", df.schema[c].dataType) for i, c in enumerate(order)])
+    return df.groupBy(*keys).transformWithStateInPandas(SignalStateProcessor(keys, order, flag, time_col), schema, "Append", "None")
+
+
+def stream_changes(df: DataFrame, key, order: Sequence[str], buckets: int = 64) -> DataFrame:
+    """A5 on a stream (append): every change of each key's running count, in ``order`` inside a micro-batch.
+    Columns: key..., op, count, order..., change_seq, as :func:`rillet.operators.changelog` has them.
+
+    Keys are dealt to ``buckets`` by hash; a bucket's counts are one map state, and its rows
+    of a micro-batch meet in one task."""
+    keys, order = _as_list(key), list(order)
+    own = T.StructType(_schema_of(df, keys))
+    schema = T.StructType([*own.fields, T.StructField("op", T.StringType()), T.StructField("count", T.LongType()),
+                           *_schema_of(df, order), T.StructField("change_seq", T.IntegerType())])
+    rows = df.select(*keys, *order, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__bucket"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+    whole = [f.name for f in own if isinstance(f.dataType, T.IntegralType)]
+    return rows.groupBy("__bucket").transformWithStateInPandas(ChangeProcessor(keys, ddl, order, whole), schema, "Append", "None")
+
+
 def stream_window_summary(df: DataFrame, key: str, ts: str, value: str, flag: str,
                           size: str = "15 seconds", delay: str = "3 seconds") -> DataFrame:
     """W1/W4 + A4: event-time windows closed by a bounded-out-of-orderness

@@ -2,9 +2,8 @@
 
 Every sink writes under a checkpoint location so a restarted query resumes
 where it stopped. ``foreachBatch`` may replay a micro-batch after a failure;
-the sinks here write each batch to its own ``_batch=<id>`` folder with
-overwrite, so a replay replaces the earlier attempt instead of adding to it. A folder
-counts once its marker file is there, which is written last.
+the sinks here write each batch as partition ``_batch=<id>`` of a parquet table with Spark's
+dynamic partition overwrite, so a replay replaces the earlier attempt instead of adding to it.
 """
 
 from __future__ import annotations
@@ -14,9 +13,11 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from rillet.schemas import CHANGE_OPS
+from rillet.sources.tables import path_kind
 
 BATCH_COL = "_batch"
 
@@ -66,127 +67,42 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return agg.select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
-DONE = "_COMMITTED"
-MERGED = "_merged"
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def commit_folder(spark: SparkSession, folder: str) -> None:
-    """Mark a written folder as complete (the last thing a writer does)."""
-    fs, p = _fs(spark, f"{folder}/{DONE}")
-    fs.create(p, True).close()
-
-
-def committed(spark: SparkSession, path: str) -> dict[str, list[int]]:
-    """Numbers of the complete folders of an output, by kind."""
-    fs, p = _fs(spark, path)
-    found: dict[str, list[int]] = {BATCH_COL: [], MERGED: []}
-    for st in fs.listStatus(p) if fs.exists(p) else []:
-        kind, _, number = st.getPath().getName().partition("=")
-        if kind in found and fs.exists(_fs(spark, f"{st.getPath()}/{DONE}")[1]):
-            found[kind].append(int(number))
-    return found
-
-
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """One micro-batch's rows in the batch's own folder, replacing an earlier attempt of it."""
-    folder = f"{path}/{BATCH_COL}={batch_id}"
-    df.write.mode("overwrite").parquet(folder)
-    commit_folder(df.sparkSession, folder)
+    """One micro-batch's rows as partition ``_batch`` of the table, replacing an earlier attempt of it."""
+    (df.withColumn(BATCH_COL, F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(path))
 
 
 def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """All rows of the complete batches that :func:`write_batch` left."""
-    ids = sorted(committed(spark, path)[BATCH_COL])
-    if not ids:
-        if schema is None:
-            raise FileNotFoundError(f"no complete batch in {path}")
+    """All rows that :func:`write_batch` left, with the micro-batch in ``_batch``. With
+    ``schema`` (of the rows), a table no batch has written yet reads as empty."""
+    if schema is None:
+        return spark.read.parquet(path).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+    schema = (T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))).add(BATCH_COL, "long")
+    if path_kind(spark, path) is None:
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(*(f"{path}/{BATCH_COL}={i}" for i in ids))
+    return spark.read.schema(schema).parquet(path)
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: Sequence[str], order: Sequence[str]) -> None:
-    """Write one micro-batch of an upsert sink (K5): last row per key, into the
-    batch's own folder, replacing any earlier attempt of the same batch."""
+    """Write one micro-batch of an upsert sink (K5): its last row per key."""
     write_batch(latest_per_key(batch, key, order), batch_id, path)
 
 
 def upsert_sink(df: DataFrame, path: str, checkpoint: str, key: Sequence[str], order: Sequence[str],
-                mode: str = "update", trigger: dict | None = None,
-                compact_every: int | None = 100) -> StreamingQuery:
-    """Last write per key wins (K5). Read the current table with :func:`read_upserted`.
-
-    Every ``compact_every`` batches the earlier ones (all complete by then) are
-    compacted, so readers never merge more than about that many folders."""
+                mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
+    """Last write per key wins (K5). Read the current table with :func:`read_upserted`."""
     key, order = list(key), list(order)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, path, key, order)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_upserts(batch.sparkSession, path, key, order, upto=batch_id - 1)
-
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, batch_id: upsert_batch(batch, batch_id, path, key, order))
     return _start(w, trigger)
 
 
-def _versions(spark: SparkSession, path: str, upto: int | None) -> DataFrame | None:
-    """The rows to merge, with the batch they came in: the latest compaction and the batches after it."""
-    found = committed(spark, path)
-    fits = [n for n in found[MERGED] if upto is None or n <= upto]
-    base = max(fits, default=None)
-    later = [n for n in found[BATCH_COL] if (base is None or n > base) and (upto is None or n <= upto)]
-    parts = []
-    if base is not None:
-        parts.append(spark.read.parquet(f"{path}/{MERGED}={base}").withColumn(BATCH_COL, F.lit(base).cast("long")))
-    if later:
-        folders = [f"{path}/{BATCH_COL}={n}" for n in sorted(later)]
-        parts.append(spark.read.option("basePath", path).parquet(*folders).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")))
-    if not parts:
-        return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
-                  schema=None, upto: int | None = None) -> DataFrame:
-    """The state of an upsert table (as of batch ``upto``): per key the row of the latest
-    batch, then greatest ``order``. Merge-on-read as one aggregate over the latest
-    compaction and the batches after it; older folders are not read. With
-    ``schema``, a table no batch has written yet reads as empty."""
-    raw = _versions(spark, path, upto)
-    if raw is None:
-        if schema is None:
-            raise FileNotFoundError(f"no complete batch in {path}")
-        return spark.createDataFrame([], schema)
-    return latest_per_key(raw, list(key), [BATCH_COL] + list(order)).drop(BATCH_COL)
-
-
-def compact_upserts(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str], upto: int) -> None:
-    """Merge every batch up to ``upto`` into the new folder ``_merged=<upto>``.
-
-    No complete folder is ever touched: the merged rows are written once, to a
-    folder readers don't look at before its marker is there, and the marker comes
-    last. An attempt that was interrupted is written anew; a replayed one finds the
-    marker and does nothing. Folders that the compaction before this one
-    replaced are deleted only now, one compaction late, so a reader that
-    planned with them has had a whole round to finish."""
-    found = committed(spark, path)
-    if upto not in found[MERGED]:
-        raw = _versions(spark, path, upto)
-        if raw is None:
-            return
-        folder = f"{path}/{MERGED}={upto}"
-        latest_per_key(raw, list(key), [BATCH_COL] + list(order)).drop(BATCH_COL).write.mode("overwrite").parquet(folder)
-        commit_folder(spark, folder)
-    before = max((n for n in found[MERGED] if n < upto), default=None)
-    if before is not None:
-        old = [f"{path}/{BATCH_COL}={n}" for n in found[BATCH_COL] if n <= before]
-        for folder in old + [f"{path}/{MERGED}={n}" for n in found[MERGED] if n < before]:
-            fs, p = _fs(spark, folder)
-            fs.delete(p, True)
+def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str], schema=None) -> DataFrame:
+    """The state of an upsert table: per key the row of the latest batch, then greatest ``order``, by
+    one partial/final aggregate over the changes. Like any table of changes it grows with them;
+    write what this returns to a new table to start afresh."""
+    return latest_per_key(read_batches(spark, path, schema), list(key), [BATCH_COL, *order]).drop(BATCH_COL)
 
 
 def fan_out(df: DataFrame, writers: dict[str, Callable[[DataFrame, int], None]], checkpoint: str,
@@ -249,6 +165,17 @@ class ProgressTotals(StreamingQueryListener):
         pass
 
 
+def observed(query: StreamingQuery, name: str) -> dict:
+    """Sums of the numbers that ``df.observe(name, ...)`` gave in a query's recent batches, and the rows dropped as late."""
+    out: dict = {"dropped": 0}
+    for p in query.recentProgress:
+        out["dropped"] += sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+        found = p.get("observedMetrics", {}).get(name)
+        for k, v in (found.asDict() if found else {}).items():
+            out[k] = out.get(k, 0) + (v or 0)
+    return out
+
+
 def progress_report(query: StreamingQuery) -> dict:
     """Rows in, rows dropped as late by the watermark, and the watermark, of a
     query's latest batch (totals: :class:`ProgressTotals`)."""

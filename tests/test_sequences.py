@@ -115,7 +115,8 @@ def test_random_equivalence_per_key_chunks(spark, rows_per_chunk):
 def test_per_key_chunks_split_only_hot_keys(spark):
     rows = _random_rows(4)
     df = spark.createDataFrame(rows, SCHEMA)
-    ch = chunking(df, "k", ["t", "seq"], rows_per_chunk=300)
+    ch, cut = chunking(df, "k", ["t", "seq"], rows_per_chunk=300)
+    assert cut
     per_key = {r.k: r.n for r in ch.groupBy("k").agg(F.countDistinct("__c").alias("n")).collect()}
     assert per_key[0] >= 3  # the hot key (900 rows) is cut by its own span
     assert all(n == 1 for k, n in per_key.items() if k != 0)  # the others stay whole
@@ -134,12 +135,31 @@ def test_global_sequence(spark, width):
 def test_hot_key_is_split_into_chunks(spark):
     rows = _random_rows(4)
     df = spark.createDataFrame(rows, SCHEMA)
-    ch = chunking(df, "k", ["t", "seq"], rows_per_chunk=100)
+    ch, _ = chunking(df, "k", ["t", "seq"], rows_per_chunk=100)
     per_chunk = ch.groupBy("__k", "__c").count()
     assert per_chunk.agg(F.max("count")).first()[0] <= 250
     assert ch.where("k = 0").select("__c").distinct().count() > 5
 
 
+@pytest.mark.parametrize("size,rows_per_chunk", [(1, 3), (3, 1), (3, 7), (5, 2), (7, 50)])
+def test_groups_over_many_chunks(spark, size, rows_per_chunk):
+    """Groups that span several chunks: the carried sum comes from all of them."""
+    rows = _random_rows(6)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(r.average for r in pair_average(df, None, ["t", "seq"], "v", "seq", size=size, rows_per_chunk=rows_per_chunk).collect())
+    values = [r[3] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
+    assert got == sorted(int(sum(values[i:i + size]) / size) for i in range(0, len(values) - size + 1, size))
+
+
+def test_cuts_have_no_limit(spark):
+    """One key of 3,000 rows in chunks of one row: thousands of cuts, by text and NULL order columns too."""
+    df = spark.range(3000).selectExpr("IF(id < 5, NULL, concat('t', lpad(cast(id div 2 as string), 5, '0'))) AS t", "id AS seq", "cast(id % 3 = 0 as int) AS v")
+    chunked, _ = chunking(df, None, ["t", "seq"], rows_per_chunk=1)
+    assert chunked.select("__c").distinct().count() >= 2999
+    small = record_runs(df, None, ["t", "seq"], "v", "seq", rows_per_chunk=50)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, record_runs(df, None, ["t", "seq"], "v", "seq").collect()))
+
+
 def test_null_keys_form_their_own_group(spark):
     rows = [(0, None, 0, 1), (1, None, 1, 1), (2, 1, 2, 1), (3, 1, 3, 1)]
     df = spark.createDataFrame(rows, SCHEMA)
@@ -155,7 +175,7 @@ def test_bursts_and_ties_are_split(spark, shape):
          "nulls": lambda i: i if i < 60 else None, "constant": lambda i: 5}[shape]
     rows = [(t(i), 1, i, int(shape != "constant" and i % 3 == 0)) for i in range(n)]
     df = spark.createDataFrame(rows, "t long, k int, seq long, v int")
-    sizes = [r["count"] for r in chunking(df, "k", ["t", "seq"], rows_per_chunk=200).groupBy("__k", "__c").count().collect()]
+    sizes = [r["count"] for r in chunking(df, "k", ["t", "seq"], rows_per_chunk=200)[0].groupBy("__k", "__c").count().collect()]
     assert sum(sizes) == n and max(sizes) <= 440
     got = {tuple(r) for r in record_runs(df, "k", ["t", "seq"], "v", "seq", rows_per_chunk=200).collect()}
     whole = {tuple(r) for r in record_runs(df, "k", ["t", "seq"], "v", "seq").collect()}

@@ -165,6 +165,75 @@ def test_upsert_replay_is_idempotent(spark, tmp_path):
     assert got == [(1, 11), (2, 21)]
 
 
+def test_signal_state_gives_runs_and_current_flag(spark, tmp_path):
+    """J5's event outputs from one state over several micro-batches, one of them replayed after a restart."""
+    from rillet.streaming import read_batches
+    from rillet.streaming.jobs import start_signal_qa
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    staging, live = str(tmp_path / "staging"), str(tmp_path / "live")
+    paths = _write_slices(spark, events, staging, 4)
+    os.makedirs(live)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def run():
+        ev = role_signal(stream_table(spark, live, "events", EVENTS, max_files_per_trigger=1))
+        run_available(start_signal_qa(ev, out, ckpt, trigger={"availableNow": True}, only="events")["events"])
+
+    for p in paths[:2]:
+        os.replace(p, os.path.join(live, os.path.basename(p)))
+    run()
+    last = max(int(f) for f in os.listdir(f"{ckpt}/events/commits") if f.isdigit())
+    for left in (str(last), f".{last}.crc"):  # the last batch is replayed
+        os.remove(os.path.join(ckpt, "events", "commits", left))
+    for p in paths[2:]:
+        os.replace(p, os.path.join(live, os.path.basename(p)))
+    run()
+    signal = role_signal(events)
+    assert _rows(read_batches(spark, f"{out}/runs").select("user_id", "n_samples", "end_time")) == _rows(J.signal_runs(signal))
+    got = read_upserted(spark, f"{out}/current", ["user_id"], ORDER).select("user_id", "flag")
+    assert _rows(got) == _rows(J.signal_current(signal))
+
+
+def test_changes_equal_batch_across_restart(spark, tmp_path):
+    from rillet.streaming import stream_changes
+
+    events = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "event_type", F.when(F.col("user_id") > 3, F.col("user_id")).alias("user_id"))
+    staging, live = str(tmp_path / "staging"), str(tmp_path / "live")
+    paths = _write_slices(spark, events.withColumns({"value": F.lit(0.0), "props": F.lit("")}).select(EVENTS.fieldNames()), staging, 3)
+    os.makedirs(live)
+    out = str(tmp_path / "out")
+    for p in paths:
+        os.replace(p, os.path.join(live, os.path.basename(p)))
+        ev = stream_table(spark, live, "events", EVENTS, max_files_per_trigger=1)
+        run_available(append_sink(stream_changes(ev, ["user_id", "event_type"], ORDER, buckets=3), out, str(tmp_path / "ckpt"), trigger={"availableNow": True}))
+    want = changelog(events, ["user_id", "event_type"], ORDER, None, "count", "count")
+    rows = lambda df: sorted((tuple(r) for r in df.select(*want.columns).collect()), key=str)
+    assert rows(spark.read.parquet(out)) == rows(want)
+
+
+def test_segments_arrival_order_and_start(spark, tmp_path):
+    from rillet.schemas import BITS
+    from rillet.sources import read_json_stream, read_segments
+
+    path = str(tmp_path / "log")
+    write = lambda xs: spark.createDataFrame([(f'{{"binaryInt":{x}}}',) for x in xs], "value string").coalesce(1).write.mode("append").parquet(path)
+    write([3, 1, 2])
+    old = [r["binaryInt"] for r in read_json_stream(spark, BITS, "segments", path, {"startingOffsets": "earliest-offset"}, streaming=False)
+           .orderBy("partition", "offset").collect()]
+    assert old == [3, 1, 2]
+    time.sleep(1.1)
+    from datetime import datetime, timezone
+    since = datetime.now(timezone.utc).isoformat()
+    time.sleep(1.1)
+    write([9])
+    assert read_segments(spark, path, "latest", since, streaming=False).count() == 1
+    assert read_segments(spark, path, "latest", streaming=False).count() == 0
+    assert read_segments(spark, path, streaming=False).count() == 4
+    with pytest.raises(ValueError):
+        read_segments(spark, path, "middle")
+
+
 def test_fan_out_one_read_many_sinks(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet")
     folder = str(tmp_path / "ev")
@@ -226,121 +295,15 @@ def test_stream_table_reads_spark_written_table(spark, tmp_path):
     assert spark.read.parquet(out).count() == 1000
 
 
-def test_upsert_compaction_keeps_the_table(spark, tmp_path):
-    from rillet.streaming import compact_upserts
-
-    path = str(tmp_path / "t")
-    schema = "k long, v long, seq long"
-    batches = [[(1, 10, 0), (2, 20, 1)], [(1, 11, 2)], [(3, 30, 3), (2, 21, 4)], [(1, 12, 5)]]
-    for i, rows in enumerate(batches[:3]):
-        upsert_batch(spark.createDataFrame(rows, schema), i, path, ["k"], ["seq"])
-    before = _rows(read_upserted(spark, path, ["k"], ["seq"]).select("k", "v"))
-    compact_upserts(spark, path, ["k"], ["seq"], upto=1)
-    assert _rows(read_upserted(spark, path, ["k"], ["seq"]).select("k", "v")) == before
-    upsert_batch(spark.createDataFrame(batches[3], schema), 3, path, ["k"], ["seq"])
-    compact_upserts(spark, path, ["k"], ["seq"], upto=3)
-    got = _rows(read_upserted(spark, path, ["k"], ["seq"]).select("k", "v"))
-    assert got == [(1, 12), (2, 21), (3, 30)]
-
-
-def test_upsert_sink_compacts_as_it_goes(spark, tmp_path):
-    events = spark.read.parquet(f"{SF}/events.parquet")
-    folder = str(tmp_path / "ev")
-    _write_slices(spark, events, folder, 5)
-    ev = stream_table(spark, folder, "events", EVENTS, max_files_per_trigger=1)
-    out = str(tmp_path / "latest")
-    q = upsert_sink(stream_latest(role_signal(ev), "user_id", ORDER, "flag"), out, str(tmp_path / "ckpt"),
-                    ["user_id"], ORDER, trigger={"availableNow": True}, compact_every=2)
-    run_available(q)
-    folders = {p.name for p in (tmp_path / "latest").iterdir()}
-    assert "_merged=3" in folders and "_merged=1" in folders
-    assert "_batch=0" not in folders and "_batch=4" in folders
-    got = read_upserted(spark, out, ["user_id"], ORDER).select("user_id", "flag")
-    assert _rows(got) == _rows(J.signal_current(role_signal(events)))
-
-
 def test_read_upserted_before_any_batch(spark, tmp_path):
     got = read_upserted(spark, str(tmp_path / "none"), ["k"], ["seq"], schema="k long, v long, seq long")
     assert got.count() == 0 and got.columns == ["k", "v", "seq"]
+    upsert_batch(spark.createDataFrame([], "k long, v long, seq long"), 0, str(tmp_path / "t"), ["k"], ["seq"])
+    assert read_upserted(spark, str(tmp_path / "t"), ["k"], ["seq"], schema="k long, v long, seq long").count() == 0
     with pytest.raises(Exception):
         read_upserted(spark, str(tmp_path / "none"), ["k"], ["seq"])
 
 
-@pytest.mark.parametrize("stop_at", ["write", "commit", "delete"])
-def test_interrupted_compaction_loses_nothing(spark, tmp_path, monkeypatch, stop_at):
-    from rillet.streaming import sinks
-
-    path, schema = str(tmp_path / "t"), "k long, v long, seq long"
-    for i, rows in enumerate([[(1, 10, 0), (2, 20, 1)], [(1, 11, 2)], [(3, 30, 3)], [(2, 21, 4)], [(1, 12, 5)]]):
-        upsert_batch(spark.createDataFrame(rows, schema), i, path, ["k"], ["seq"])
-        if i == 1:
-            sinks.compact_upserts(spark, path, ["k"], ["seq"], upto=0)
-    want = [(1, 12), (2, 21), (3, 30)]
-
-    def broken(*a, **k):
-        raise RuntimeError("lost")
-
-    with monkeypatch.context() as m:
-        if stop_at == "write":
-            m.setattr(sinks, "latest_per_key", broken)
-        elif stop_at == "commit":
-            m.setattr(sinks, "commit_folder", broken)
-        else:
-            real, calls = sinks._fs, []
-
-            def failing(sp, p):
-                if calls and "_batch=" in p and "_COMMITTED" not in p:
-                    raise RuntimeError("lost")
-                return real(sp, p)
-            m.setattr(sinks, "_fs", failing)
-            calls.append(1)
-        with pytest.raises(RuntimeError):
-            sinks.compact_upserts(spark, path, ["k"], ["seq"], upto=3)
-    read = lambda **k: _rows(read_upserted(spark, path, ["k"], ["seq"], **k).select("k", "v"))
-    assert read() == want
-    sinks.compact_upserts(spark, path, ["k"], ["seq"], upto=3)  # the replay
-    assert read() == want and read(upto=3) == [(1, 11), (2, 21), (3, 30)]
-    left = {p.name for p in (tmp_path / "t").iterdir()}
-    assert left == {"_merged=0", "_merged=3", "_batch=1", "_batch=2", "_batch=3", "_batch=4"}
-
-
-@pytest.mark.parametrize("key", ["user_id", None])
-def test_chunked_streams_equal_batch_across_restart(spark, tmp_path, key):
-    """Several micro-batches, a restart and a replayed batch, with chunks of 40 rows."""
-    from rillet.streaming import flag_runs_sink, pair_average_sink, read_batches, record_runs_sink
-
-    events = spark.read.parquet(f"{SF}/events.parquet")
-    staging, live = str(tmp_path / "staging"), str(tmp_path / "live")
-    paths = _write_slices(spark, events, staging, 3)
-    os.makedirs(live)
-    now = {"trigger": {"availableNow": True}, "rows_per_chunk": 40}
-
-    def start(name):
-        ev = stream_table(spark, live, "events", EVENTS, max_files_per_trigger=1)
-        out, ck = str(tmp_path / name), str(tmp_path / f"{name}-ckpt")
-        if name == "pairs":
-            return pair_average_sink(role_bits(ev), key, ORDER, "bit", "ts", out, ck, **now)
-        if name == "records":
-            return record_runs_sink(role_bits(ev), key, ORDER, "bit", "ts", out, ck, **now)
-        return flag_runs_sink(role_signal(ev), key, ORDER, "flag", "ts", out, ck, **now)
-
-    for p in paths[:2]:
-        os.replace(p, os.path.join(live, os.path.basename(p)))
-    for name in ("pairs", "records", "flags"):
-        run_available(start(name))
-        for left in ("1", ".1.crc"):  # batch 1 is replayed
-            os.remove(str(tmp_path / f"{name}-ckpt" / "commits" / left))
-    os.replace(paths[2], os.path.join(live, os.path.basename(paths[2])))
-    for name in ("pairs", "records", "flags"):
-        run_available(start(name))
-    bits = role_bits(events)
-    expect = {"pairs": J.pair_average_job(bits, key), "records": J.record_runs_job(bits, key)}
-    if key:
-        expect["flags"] = J.signal_runs(role_signal(events))
-    for name, exp in expect.items():
-        assert _rows(read_batches(spark, str(tmp_path / name)).select(*exp.columns)) == _rows(exp), name
-
-
 def test_stream_table_takes_only_its_table(spark, tmp_path):
     folder = str(tmp_path)
     rows = spark.range(5)
