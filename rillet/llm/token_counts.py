@@ -25,6 +25,10 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: can run on, so cutting a long text there leaves its tokens as they are.
 PIECE_CHARS = 1 << 16
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Runs of so many blanks are one pre-token, which needs no pattern. (The pattern's look-ahead goes one level
+#: deeper for every blank, so a run of a million would overflow its stack.) The class is what the pattern's ``\\s`` means.
+BLANKS = 4096
+_BLANK_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % BLANKS)
 #: Lengths per block of the two-level running sums.
 BLOCK = 1024
 
@@ -49,13 +53,25 @@ def pieces(text: str):
     yield text[at:] if at else text
 
 
+def n_tokens(encoding, text: str) -> int:
+    """Tokens of a text of any length. A long run of blanks is one pre-token but for its last
+    blank, which the pattern hands to what follows; at the end of the text it is one as a whole."""
+    count, at = 0, 0
+    for run in _BLANK_RUN.finditer(text):
+        a, end = run.start(), run.end() if run.end() == len(text) else run.end() - 1
+        count += sum(len(encoding.encode_ordinary(p)) for p in pieces(text[at:a]))
+        count += len(encoding._encode_single_piece(text[a:end]))
+        at = end
+    return count + sum(len(encoding.encode_ordinary(p)) for p in pieces(text[at:]))
+
+
 def with_token_counts(docs: DataFrame, out: str = "_tokens", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` with the number of tokens of each whole text (null: 0)."""
     def lengths(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
-        encode = encoder(vocabulary).encode_ordinary
+        encoding = encoder(vocabulary)
         raw = data.tobytes()
         texts = (raw[a:b].decode("utf-8", "replace") for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True))
-        return [np.array([sum(len(encode(p)) for p in pieces(t)) for t in texts], np.int64)]
+        return [np.array([n_tokens(encoding, t) for t in texts], np.int64)]
 
     return add_columns(docs, {out: "long"}, lengths, text_col)
 
