@@ -7,6 +7,7 @@ works on the bytes, for a whole slice of texts at once.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Columns of ``documents``; an operator's own names never equal these.
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def shielded(step):
+    """A step over documents whose caller's other columns can't clash with names inside it: they are
+    renamed for the step and get their names back in its result."""
+    @functools.wraps(step)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        named = {*DOCUMENT_COLUMNS, *(x for x in (*args, *options.values()) if isinstance(x, str))}
+        away = {c: f"given{i}__" for i, c in enumerate(docs.columns) if c not in named}
+        out = step(docs.withColumnsRenamed(away), *args, **options)
+        return out.withColumnsRenamed({v: k for k, v in away.items()})
+    return run
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     upper = "".join(map(chr, range(65, 91)))

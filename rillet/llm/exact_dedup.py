@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import ascii_lower, written
+from rillet.llm.common import ascii_lower, shielded, written
 
 KEY = ["_sha", "_len", "_check"]
 
@@ -66,6 +66,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (F.col("_row") == F.col("_keep._row")).alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
+@shielded
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radix: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, all columns, one of each group of equal texts.
 

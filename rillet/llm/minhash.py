@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import mix64, small_batches, text_slices, word_bounds, word_hashes, written
+from rillet.llm.common import mix64, shielded, small_batches, text_slices, word_bounds, word_hashes, written
 from rillet.llm.components import components
 
 BANDS, BAND_ROWS = 40, 5
@@ -276,6 +276,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("_id").eqNullSafe(F.col("_component")).alias("kept"), "class_size")
 
 
+@shielded
 def dedup_near(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: of each component the smallest identifier."""
     gone = near_groups(docs, percent=percent, width=width).where("not kept").select(F.col("doc_id").cast("long").alias("_gone")).distinct()

@@ -13,7 +13,7 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.llm.common import add_columns, count_words, numbered_chunks, written
+from rillet.llm.common import add_columns, count_words, numbered_chunks, shielded, written
 
 BUCKETS = 16
 #: Words (padding included) in a batch; a longer document is a batch of its own.
@@ -117,13 +117,20 @@ def pack_table(docs: DataFrame, buckets: int = BUCKETS, batch_words: int = BATCH
     return pack(table, "n_words", ["doc_id", "_row"], buckets, batch_words).drop("_row")
 
 
+#: Columns that packing adds to documents.
+MADE = ["n_words", "bucket", "padded_length", "padding", "batch", "slot"]
+
+
 def pack_documents(docs: DataFrame, buckets: int = BUCKETS, batch_words: int = BATCH_WORDS) -> DataFrame:
     """``docs`` with the columns of :func:`pack` (and ``n_words``, replacing a column of that name).
 
     The batches are planned on a written table of row numbers and lengths; the
     texts are read again and joined to their place."""
-    made = ["n_words", "bucket", "padded_length", "padding", "batch", "slot"]
-    given = docs.drop(*made)
-    table = written(add_columns(given, {"n_words": "long"}, count_words).withColumn("_row", F.monotonically_increasing_id()), "pack-docs")
+    return _placed_documents(docs.drop(*MADE), buckets, batch_words)
+
+
+@shielded
+def _placed_documents(docs: DataFrame, buckets: int, batch_words: int) -> DataFrame:
+    table = written(add_columns(docs, {"n_words": "long"}, count_words).withColumn("_row", F.monotonically_increasing_id()), "pack-docs")
     placed = pack(table.select("doc_id", "_row", "n_words"), "n_words", ["doc_id", "_row"], buckets, batch_words)
-    return table.drop("n_words").join(placed.select("_row", *made), "_row").drop("_row")
+    return table.drop("n_words").join(placed.select("_row", *MADE), "_row").drop("_row")

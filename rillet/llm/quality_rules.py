@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm.common import (
-    IS_WORD, add_columns, mix64, per_row, prefix_hash, span_hash, span_sums, word_bounds, written,
+    IS_WORD, add_columns, mix64, per_row, prefix_hash, shielded, span_hash, span_sums, word_bounds, written,
 )
 
 #: False rejections of good documents allowed in a stratum, and the chance that the guarantee fails.
@@ -216,6 +216,7 @@ def quality_table(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
         *(F.col(f"_{c}").alias(c) for c in ("base_failed", "kept", "rejected_by")))
 
 
+@shielded
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns."""
     # the statistics of all documents, without the texts, meet the labels; then a second pass
