@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.llm.common import add_columns, count_words, mix64, numbered_chunks, small_batches, word_bounds, text_buffers, written
+from rillet.llm.common import add_columns, count_words, mix64, numbered_chunks, shielded, small_batches, word_bounds, text_buffers, written
 
 WEIGHTS = (5, 2, 1)
 #: A source is repeated at most this often.
@@ -85,31 +85,35 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
     return out.astype(np.int64)
 
 
-def _block_uses(plan: DataFrame, blocks: list[int], seed: int) -> DataFrame:
-    """(_s, _block, _uses) of the blocks that the slots of the shard plan take."""
+def shard_slots(plan: DataFrame, blocks: list[int], seed: int) -> DataFrame:
+    """(shard, slot, _s, _block): what stands in each slot of each shard. A shard's slots are its sources' draws one
+    after the other; a source's draws go on through the permutation of its blocks where the shard before left off."""
     step = 10_000
-    # first pieces of a shard's slots, then the slots, so that no row grows a long array
-    pieces = plan.select("_s", F.col("_first").alias("_from"), (F.col("_first") + F.col("_count")).alias("_to")).select(
-        "_s", "_to", F.explode(F.sequence("_from", F.col("_to") - 1, F.lit(step).cast("long"))).alias("_a"))
-    slots = pieces.select("_s", F.explode(F.sequence("_a", F.least(F.col("_a") + step, F.col("_to")) - 1)).alias("_slot"))
+    # first pieces of a shard's draws, then the slots, so that no row grows a long array
+    pieces = plan.select("_shard", "_s", "_base", F.col("_first").alias("_from"), (F.col("_first") + F.col("_count")).alias("_to")).select(
+        "_shard", "_s", "_base", "_from", "_to", F.explode(F.sequence("_from", F.col("_to") - 1, F.lit(step).cast("long"))).alias("_a"))
+    slots = pieces.select("_shard", "_s", "_base", "_from", F.explode(F.sequence("_a", F.least(F.col("_a") + step, F.col("_to")) - 1)).alias("_n")).select(
+        "_shard", (F.col("_base") + F.col("_n") - F.col("_from")).alias("slot"), "_s", "_n")
 
     def run(batches):
         n = np.array(blocks, np.int64)
         for b in batches:
-            s, slot = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            s, taken = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
             size = n[s]
-            turn = (slot // size).astype(np.uint64)
+            turn = (taken // size).astype(np.uint64)
             key = mix64((s.astype(np.uint64) << np.uint64(8)) + turn + mix64(np.full(len(s), seed, np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(permuted(slot % size, size, key))], names=["_s", "_block"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array(permuted(taken % size, size, key))],
+                                             names=["shard", "slot", "_s", "_block"])
 
-    return slots.mapInArrow(run, "_s int, _block long").groupBy("_s", "_block").agg(F.count(F.lit(1)).alias("_uses"))
+    return slots.mapInArrow(run, "shard long, slot long, _s int, _block long")
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", block_words: int = BLOCK_WORDS,
-             seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+             seed: int = SEED, draw=draw_shards) -> tuple[DataFrame, DataFrame]:
     """From a written table with ``_row`` and ``_size``: (documents with source totals and
     ``_off``, the document's first word in its source; pieces of documents in blocks
-    with ``_uses``). One row per source comes to the driver."""
+    with ``_places``, the (shard, slot) of each use of the block in order, at most MAX_REPEAT).
+    One row per source comes to the driver, and one per shard and source, of at most 4,096 shards."""
     spark = docs.sparkSession
     per = docs.groupBy(source_col).agg(F.sum("_size"), F.count(F.lit(1))).collect()
     sizes = {r[0]: int(r[1] or 0) for r in per}
@@ -129,46 +133,65 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
               .withColumn("_off", F.col("_before") + F.coalesce(F.sum("_size").over(w), F.lit(0)))
               .drop("_before", "_chunk"))
     placed = written(placed, "mix-documents")
-    plan = spark.createDataFrame(draw_shards(slots, max(SHARD_SLOTS, sum(slots) // 4096), seed),
-                                 "_shard long, _s int, _first long, _count long")
-    uses = _block_uses(plan.repartition(max(1, spark.sparkContext.defaultParallelism)), blocks, seed)
+    rows, base = [], {}
+    for shard, s, first, count in draw(slots, max(SHARD_SLOTS, sum(slots) // 4096), seed):
+        rows.append((shard, s, first, count, base.get(shard, 0)))
+        base[shard] = base.get(shard, 0) + count
+    plan = spark.createDataFrame(rows, "_shard long, _s int, _first long, _count long, _base long")
+    uses = (shard_slots(plan.repartition(max(1, spark.sparkContext.defaultParallelism)), blocks, seed)
+            .groupBy("_s", "_block").agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("_places")))
     b = F.col("_words")
     parts = placed.where("_size > 0").select(
         "_row", "_s", "_off", "_size", "_words", F.explode(F.sequence(F.floor(F.col("_off") / b), F.floor((F.col("_off") + F.col("_size") - 1) / b))).alias("_block"))
     lo, hi = F.greatest("_off", F.col("_block") * b), F.least(F.col("_off") + F.col("_size"), (F.col("_block") + 1) * b)
-    pieces = parts.join(uses, ["_s", "_block"]).select("_row", "_uses", (lo - F.col("_off")).alias("_from"), (hi - F.col("_off")).alias("_to"))
+    pieces = parts.join(uses, ["_s", "_block"]).select("_row", "_places", (lo - F.col("_off")).alias("_from"), (hi - F.col("_off")).alias("_to"))
     return placed, pieces
 
 
-def mix_table(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row of ``docs``.
+def mix_table(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, draw=draw_shards) -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_shard, first_slot, n_places of every row of ``docs``.
 
-    Texts without words (null, empty) take part with size 0 and give nothing;
+    ``first_shard`` and ``first_slot``: where the first of its words stand in the mix (null if none is taken);
+    ``n_places``: the slots that hold words of it. Texts without words (null, empty) take part with size 0 and give nothing;
     repeated rows count as documents of their own; a null source is a source."""
     sized = add_columns(docs.select("doc_id", "source", "text"), {"_size": "long"}, count_words)
     table = written(sized.select("doc_id", "source", "_size").withColumn("_row", F.monotonically_increasing_id()), "mix-sizes")
-    placed, pieces = mix_plan(table, block_words=block_words, seed=seed)
-    taken = pieces.groupBy("_row").agg(F.sum(F.col("_uses") * (F.col("_to") - F.col("_from"))).alias("taken"))
+    placed, pieces = mix_plan(table, block_words=block_words, seed=seed, draw=draw)
+    taken = pieces.groupBy("_row").agg(F.sum(F.size("_places") * (F.col("_to") - F.col("_from"))).alias("taken"),
+                                       F.min(F.get("_places", F.lit(0))).alias("_at"), F.sum(F.size("_places")).alias("n_places"))
     return placed.join(taken, "_row", "left").select(
         F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("_at.shard").alias("first_shard"), F.col("_at.slot").alias("first_slot"),
+        F.coalesce("n_places", F.lit(0)).cast("long").alias("n_places"))
 
 
+def mix_slots(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, draw=draw_shards) -> DataFrame:
+    """The mix slot by slot: (shard, slot, doc_id, source, from_word, to_word), one row per piece of a
+    document in a slot. A reader of one shard takes its rows in the order of slot and from_word."""
+    sized = add_columns(docs.select("doc_id", "source", "text"), {"_size": "long"}, count_words)
+    table = written(sized.select("doc_id", "source", "_size").withColumn("_row", F.monotonically_increasing_id()), "mix-sizes")
+    _, pieces = mix_plan(table, block_words=block_words, seed=seed, draw=draw)
+    return pieces.select("_row", "_from", "_to", F.explode("_places").alias("_p")).join(table.select("_row", "doc_id", "source"), "_row").select(
+        "_p.shard", "_p.slot", "doc_id", "source", F.col("_from").alias("from_word"), F.col("_to").alias("to_word"))
+
+
+@shielded
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """The mixed corpus, in the columns of ``docs``: one row per document and pass over it.
 
     A row's text is what the pass takes of the document, from the first taken
     word to the last, gaps between taken blocks left out; a pass that takes all
-    of a document gives its text as it is. ``n_chars``, if there, is set anew."""
+    of a document gives its text as it is. ``n_chars``, if there, is set anew. Inside an output
+    file rows come in the order of the first slot they fill: shard, then slot."""
     cols = docs.columns
     table = written(add_columns(docs, {"_size": "long"}, count_words).withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
     _, pieces = mix_plan(table.select("doc_id", "source", "_size", "_row"), block_words=block_words, seed=seed)
     # a document has as many pieces as blocks; one row per document and pass
-    passes = (pieces.select("_row", "_from", "_to", F.explode(F.sequence(F.lit(1), F.col("_uses").cast("int"))).alias("_pass"))
-              .groupBy("_row", "_pass").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
-              .select("_row", F.col("_spans._from").alias("_from"), F.col("_spans._to").alias("_to")))
+    passes = (pieces.select("_row", "_from", "_to", F.posexplode("_places").alias("_pass", "_place"))
+              .groupBy("_row", "_pass").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"), F.min("_place").alias("_place"))
+              .select("_row", "_place", F.col("_spans._from").alias("_from"), F.col("_spans._to").alias("_to")))
     small_batches(docs.sparkSession)
-    joined = table.join(passes, "_row").select(*cols, "_size", "_from", "_to")
+    joined = table.join(passes, "_row").sortWithinPartitions("_place").select(*cols, "_size", "_from", "_to")
     at = cols.index("text")
 
     def cut(batches):
