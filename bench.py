@@ -28,7 +28,8 @@ NOT_TIMED = {"pair_average_chunked", "pair_average_global_chunked", "record_runs
              "changelog_sum_nulls", "running_xor", "changelog_json", "json_decode", "json_quarantine", "document_ids", "epoch_millis",
              "text_lines", "csv_lines", "text_rows", "dash_d2_recent", "dash_d3_recent", "dash_d6_recent",
              "stream_pair_average_global", "stream_record_runs_global", "stream_signal_qa_json", "stream_word_count_changelog",
-             "stream_changelog_json", "stream_late_rows", "stream_idle_sources", "stream_arrival_order", "sql_team_spend", "table_by_name"}
+             "stream_changelog_json", "stream_late_rows", "stream_idle_sources", "stream_arrival_order", "sql_team_spend", "table_by_name",
+             "literal_lookup", "stream_restarts", "stream_recovery"}
 
 
 def main() -> None:

@@ -27,13 +27,25 @@ def keyed_sum(df: DataFrame, key, value: str, out: str = "total") -> DataFrame:
     return df.groupBy(*_as_list(key)).agg(exact_sum(value).alias(out))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when it is read in far fewer pieces than there are cores.
+
+    A parquet row group is one task, so a table of one row group would be tokenised by one core. Such a table is dealt
+    out by a shuffle; it is at most half as many splits as cores, so a few splits a core at most. A
+    table with more splits, a stream, and what comes out of a shuffle stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def word_count(lines: DataFrame, line: str = "line") -> DataFrame:
     """Tokens of every line counted (J1: tokenise, group, count).
 
     ``explode`` stays in the JVM; the count is pre-aggregated per task, so a
     very frequent word costs one row per task in the shuffle.
     """
-    words = lines.select(F.explode(split_blanks(line)).alias("word"))
+    words = spread(lines.select(line)).select(F.explode(split_blanks(line)).alias("word"))
     # A plain filter after explode stays in generated code (a lambda filter
     # would not).
     words = words.where(F.col("word") != F.lit(""))
@@ -136,21 +148,25 @@ def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: s
 
 
 def window_summary(df: DataFrame, key: str, ts: str, value: str, flag: str,
-                   size: str = "15 seconds") -> DataFrame:
+                   size: str = "15 seconds", shared: Sequence[str] = ()) -> DataFrame:
     """Per key and tumbling event-time window: mean/max/min of the value (as
     FLOAT, the sink's type), row count and number of flags (A4/W4).
 
     Batch or streaming input; a streaming caller sets the watermark first.
+    ``shared``: all columns of a batch input whose shuffle other outputs use too; the summary then reads
+    them all and drops rows without a time only after aggregating, so its plan below the shuffle is the same.
     """
     v = F.col(value).cast("float")
-    ts_col = F.col(ts)
+    ts_col = F.coalesce(F.col(ts), F.lit("1900-01-01").cast(df.schema[ts].dataType)) if shared else F.col(ts)
     win = F.window(ts_col, size)
     agg = (df.groupBy(F.col(key), win.alias("w"))
              .agg(F.avg(v).cast("float").alias("mean"),
                   F.max(v).alias("max"),
                   F.min(v).alias("min"),
                   F.count(F.col(key)).alias("n_elements"),
-                  F.sum(F.col(flag).cast("long")).alias("n_flags")))
+                  F.sum(F.col(flag).cast("long")).alias("n_flags"), *(F.count(c).alias(f"__{c}") for c in shared)))
+    if shared:
+        agg = agg.where((F.col(f"__{ts}") > 0) & (F.least(*(F.col(f"__{c}") for c in shared)) >= 0))
     return agg.select(key, "mean", "max", "min", "n_elements", "n_flags",
                       to_ntz(F.col("w.start")).alias("window_start"),
                       to_ntz(F.col("w.end")).alias("window_end"))

@@ -205,16 +205,20 @@ def global_columns(rows: DataFrame, value: str) -> DataFrame:
 
 
 def scan(df: DataFrame, key, order: Sequence[str], value: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-         keep: Sequence[str] = ()) -> DataFrame:
+         keep: Sequence[str] = (), chunked: bool | None = None) -> DataFrame:
     """Rows of ``df`` with the columns of :func:`global_columns`, computed chunk-parallel.
 
     Keeps ``__k``/``__c``; callers drop every ``__`` column. Only the key, order, value and
     ``keep`` columns pass through (the caller must use them all, so that the summary and the
-    rows read the same columns and share one shuffle)."""
+    rows read the same columns and share one shuffle). ``chunked``: ``df`` has its (key, chunk) columns
+    already, and whether there are cuts; it is taken with all its columns."""
     order = list(order)
-    df = df.select(*dict.fromkeys([*_as_list(key), *order, value, *keep]))
-    chunked, cut = chunking(df, key, order, rows_per_chunk)
-    rows = run_columns(chunked, order, value)
+    if chunked is None:
+        df = df.select(*dict.fromkeys([*_as_list(key), *order, value, *keep]))
+        rows, cut = chunking(df, key, order, rows_per_chunk)
+    else:
+        rows, cut = df, chunked
+    rows = run_columns(rows, order, value)
     if cut:
         # Run lengths need the ordered rows: group on the window's own
         # partitioning (no exchange; the row shuffle is reused).

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rillet.functions.flags import truncating_mean
 from rillet.operators.scan import (
     C, DEFAULT_ROWS_PER_CHUNK, K, _as_list, before, carried, chunking, global_columns, in_chunk, keep_last_row, last_row,
-    run_columns, scan,
+    run_columns, running, scan,
 )
 
 
@@ -110,15 +110,21 @@ def record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col:
 
 
 def flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
-              emit_empty_first: bool = True, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+              emit_empty_first: bool = True, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, chunked: bool | None = None) -> DataFrame:
     """Completed flag runs (T3): when the flag falls to 0 after a run of 1s, emit
     the run's length with the time of the 0 row. A run still open is not
     emitted; 0 after 0 emits nothing. With ``emit_empty_first`` a key whose
     first row has flag 0 emits a run of length 0 (the reference's behaviour).
+    ``chunked``: see :func:`rillet.operators.scan.scan`.
     """
     keys = _as_list(key)
+    if chunked is not None:
+        # a filter above a window stays above the shuffle, so that others can share it
+        seen = [F.count(c).over(running(in_chunk(order))).alias(f"__seen{i}") for i, c in enumerate(df.columns) if not c.startswith("__")]
+        df = df.select("*", *seen)
+        df = df.where(F.least(*(F.col(c) for c in df.columns if c.startswith("__seen"))) >= 0)
     df = df.where(F.col(flag).isin(0, 1))  # other flag values (and NULL) change nothing
-    rows = scan(df, key, order, flag, rows_per_chunk, [time_col])
+    rows = scan(df, key, order, flag, rows_per_chunk, [time_col], chunked)
     first = F.col("__rn") == 1
     after_run = ~first & (F.col("__pv") == 1)
     ends = (F.col(flag) == 0) & (after_run | (first & F.lit(emit_empty_first)))

@@ -17,20 +17,21 @@ from rillet.functions.text import WHITESPACE_RE2
 from rillet.functions.udtf import split_words
 from rillet.functions.flags import document_id
 from rillet.functions.time import epoch_millis, to_ntz
-from rillet.operators.aggregates import changelog, running_aggregate, running_folds
+from rillet.operators.aggregates import changelog, running_aggregate, running_folds, spread
+from rillet.operators.lookup import lookup
 from rillet.operators.sequences import keys_with_flag_runs
 from rillet.plans import dashboards as D
 from rillet.plans import jobs as J
 from rillet.session import scratch_path
-from rillet.sources.files import read_csv_lines, read_text_lines
+from rillet.sources.files import from_rows, read_csv_lines, read_text_lines
 from rillet.sources.json_stream import ARRIVAL, decode_json, kafka_options_from_connector, read_json_stream, split_quarantine, with_event_time
 from rillet.sources.tables import load, register_views, role_bits, role_lines, role_payments, role_signal, role_teams
 from rillet.streaming import jobs as SJ
 from rillet.streaming.queries import (
-    run_available, stream_changes, stream_flag_runs, stream_latest, stream_pair_average, stream_table, stream_window_summary,
+    run_available, run_with_restarts, stream_changes, stream_flag_runs, stream_latest, stream_pair_average, stream_table, stream_window_summary,
 )
 from rillet.streaming.sinks import (
-    append_sink, changelog_records, observed, read_batches, read_upserted, upsert_sink, write_changelog_json, write_text_rows,
+    append_sink, changelog_records, observed, read_batches, read_upserted, upsert_batch, upsert_sink, write_changelog_json, write_text_rows,
 )
 
 AVAILABLE = {"availableNow": True}
@@ -53,7 +54,7 @@ def q_word_count(spark, d):
 
 
 def q_word_count_udtf(spark, d):
-    return split_words(role_lines(load(spark, d, "documents"))) \
+    return split_words(spread(role_lines(load(spark, d, "documents")))) \
         .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -275,6 +276,29 @@ def q_stream_recovery(spark, d):
     return spark.read.parquet(slices.out).select("user_id", "create_time", "value", "run_length")
 
 
+def q_stream_restarts(spark, d):
+    """The latest flag per key from a job that fails in its first attempt, half its output written, and is started
+    again from its checkpoint after a fixed delay (W14)."""
+    signal = role_signal(_stream(spark, d, "events"))
+    out, ckpt = scratch_path(spark, "stream_restarts"), scratch_path(spark, "stream_restarts-ckpt")
+    attempts = []
+
+    def start():
+        attempts.append(1)
+        first = len(attempts) == 1
+
+        def write(batch, batch_id):
+            upsert_batch(batch.where("user_id % 2 = 0") if first else batch, batch_id, out, ["user_id"], J.SIGNAL_ORDER)
+            if first:
+                raise RuntimeError("lost on purpose")
+        return [stream_latest(signal, "user_id", J.SIGNAL_ORDER, "flag").writeStream.outputMode("update")
+                .option("checkpointLocation", ckpt).foreachBatch(write).trigger(**AVAILABLE).start()]
+
+    if run_with_restarts(start, restarts=2, delay_s=0.2) or len(attempts) != 2:
+        raise RuntimeError(f"{len(attempts)} attempts")
+    return read_upserted(spark, out, ["user_id"], J.SIGNAL_ORDER).select("user_id", "flag")
+
+
 LATE = "event_id % 97 = 0"  # these events arrive after all others
 
 
@@ -488,6 +512,12 @@ def q_dash_d6_recent(spark, d):
     return D.record_run_panel(J.record_runs_job(_bits(spark, d), "user_id"), as_of=_as_of(spark, d), minutes=RECENT_MINUTES)
 
 
+def q_literal_lookup(spark, d):
+    """The current flags with their names, from a table written as literal rows."""
+    names = from_rows(spark, [(0, "fine"), (1, "flagged")], "flag int, name string")
+    return lookup(q_latest_flag(spark, d), names, "flag").select("user_id", "name")
+
+
 def q_text_lines(spark, d):
     """Part names written as text lines, read back and counted by word."""
     path = scratch_path(spark, "lines")
@@ -561,6 +591,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count_changelog": q_stream_word_count_changelog,
     "stream_changelog_json": q_stream_changelog_json,
     "stream_recovery": q_stream_recovery,
+    "stream_restarts": q_stream_restarts,
     "stream_late_rows": q_stream_late_rows,
     "stream_idle_sources": q_stream_idle_sources,
     "stream_arrival_order": q_stream_arrival_order,
@@ -606,6 +637,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "epoch_millis": q_epoch_millis,
     "text_lines": q_text_lines,
     "csv_lines": q_csv_lines,
+    "literal_lookup": q_literal_lookup,
     "text_rows": q_text_rows,
     "sql_team_spend": q_sql_team_spend,
     "table_by_name": q_table_by_name,
@@ -859,6 +891,8 @@ SELECT '{{"data":[{{"user_id":' || user_id || ',"count":' || n || '}}],"type":"'
 FROM (SELECT user_id, c AS n, 'INSERT' AS kind FROM r UNION ALL SELECT user_id, c - 1 AS n, 'DELETE' AS kind FROM r WHERE c > 1)
 """,
     "stream_recovery": _records("user_id"),
+    "stream_restarts": _LATEST,
+    "literal_lookup": f"SELECT user_id, CASE flag WHEN 0 THEN 'fine' WHEN 1 THEN 'flagged' END AS name FROM ({_LATEST})",
     "stream_late_rows": f"""
 WITH e AS (SELECT user_id, ts, {_FLAG} AS flag, {LATE} AS late,
                   time_bucket(INTERVAL 15 SECOND, ts, TIMESTAMP '1970-01-01') AS w FROM events),

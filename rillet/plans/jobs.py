@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.functions.text import WHITESPACE_JAVA
-from rillet.operators.aggregates import MONEY, changelog, keyed_sum, window_summary, word_count
+from rillet.operators.aggregates import MONEY, changelog, keyed_sum, spread, window_summary, word_count
 from rillet.operators.lookup import lookup
-from rillet.operators.scan import Cuts
+from rillet.operators.scan import C, Cuts, K, chunking
 from rillet.operators.sequences import flag_runs, latest_by_key, pair_average, record_runs
 
 SIGNAL_ORDER = ["ts", "event_id"]
@@ -37,7 +37,7 @@ def word_count_changelog(docs: DataFrame, doc_id: str = "doc_id", line: str = "l
     from a sample of the ids alone; the texts are not read for them.
     """
     cuts = Cuts(docs, [doc_id], docs_per_chunk, key=False)
-    tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
+    tokens = spread(docs.select(doc_id, line)).select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
     tokens = tokens.where(F.col("word") != F.lit(""))
     return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count", cuts=cuts)
 
@@ -99,15 +99,17 @@ def signal_current(signal: DataFrame) -> DataFrame:
 
 
 def signal_qa(signal: DataFrame, size: str = WINDOW) -> dict[str, DataFrame]:
-    """The three outputs of the QA job, all fed by the same flagged rows.
-
-    The flag is a deterministic column, so the three plans may read the
-    source independently and still agree (the reference needed one shared
-    flagging node because its flag was random).
+    """The three outputs of the QA job, all fed by one read and one shuffle of the flagged rows by
+    (key, chunk). Each output's plan is the same up to that shuffle (same columns, no filter below it), so Spark
+    runs it once and reuses it; the summary and the current flag aggregate on its partitions before a second, small shuffle.
     """
-    return {"summary": signal_summary(signal, size),
-            "runs": signal_runs(signal),
-            "current": signal_current(signal)}
+    cols = ["user_id", *SIGNAL_ORDER, "value", "flag"]
+    keyed, cut = chunking(signal.select(*cols), "user_id", SIGNAL_ORDER)
+    rows = keyed.repartition(K, C)
+    current = rows.groupBy("user_id").agg(F.max_by("flag", F.struct(*SIGNAL_ORDER)).alias("flag"), F.count("value").alias("__seen"))
+    return {"summary": window_summary(rows, "user_id", "ts", "value", "flag", size, shared=cols),
+            "runs": flag_runs(rows, "user_id", SIGNAL_ORDER, "flag", "ts", chunked=cut),
+            "current": current.where("__seen >= 0").drop("__seen")}
 
 
 def signal_qa_union(signal: DataFrame, size: str = WINDOW) -> DataFrame:

@@ -67,6 +67,29 @@ def test_sequence_queries_shuffle_rows_once(spark, name):
         assert "ReusedExchange" in plan
 
 
+def test_sequence_queries_plan_at_most_two_scans(spark):
+    """Rows and summary; without a cut the rows alone. No side is broadcast by force."""
+    from rillet.operators import pair_average, record_runs
+    from rillet.sources.tables import load, role_bits
+
+    for df, _ in _sequence_plans(spark).values():
+        plan = _plan(df)
+        assert 1 <= len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= 2
+        assert "BroadcastExchange" not in plan
+    bits, o = role_bits(load(spark, SF, "events")), ["ts", "event_id"]
+    for df in (pair_average(bits, "user_id", o, "bit", "ts"), record_runs(bits, None, o, "bit", "ts")):
+        plan = _plan(df)
+        assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+        assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
+
+
+def test_signal_qa_reads_and_shuffles_the_events_once(spark):
+    df = QUERIES["signal_qa"](spark, SF)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Scan parquet", final)) == 1 and final.count("ReusedExchange") == 2
+
+
 def test_no_nested_loop_joins(spark):
     for df, _ in _sequence_plans(spark).values():
         assert "NestedLoopJoin" not in _plan(df) and "CartesianProduct" not in _plan(df)
