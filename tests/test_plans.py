@@ -72,8 +72,14 @@ def test_sequence_queries_plan_at_most_two_scans(spark):
     from rillet.operators import pair_average, record_runs
     from rillet.sources.tables import load, role_bits
 
-    for df, _ in _sequence_plans(spark).values():
-        plan = _plan(df)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # a broadcast that remains would be a hint
+    try:
+        plans = [_plan(df) for df, _ in _sequence_plans(spark).values()]
+    finally:
+        spark.conf.set(limit, before)
+    for plan in plans:
         assert 1 <= len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= 2
         assert "BroadcastExchange" not in plan
     bits, o = role_bits(load(spark, SF, "events")), ["ts", "event_id"]
