@@ -23,6 +23,8 @@ SAMPLE = 20_000
 TREES, DEPTH = 10, 4
 #: A suffix seen less often among the labelled URLs leans to the share of all.
 PRIOR = 20
+#: The rates of a fitted URL come from the other folds.
+FOLDS = 10
 
 FEATURES = ["url_length", "host_length", "path_length", "query_length", "depth", "host_labels", "digit_ratio", "path_digit_ratio",
             "entropy", "params", "hyphens", "dots", "has_extension", "https", "last_segment_length", "first_segment_length",
@@ -88,19 +90,28 @@ def lexical(pages: DataFrame) -> DataFrame:
                         first.alias("_section"))
 
 
-def suffix_statistics(labelled: DataFrame, key: str, share: float) -> DataFrame:
-    """(key, share of blocked, log count) of the values of a suffix key among labelled
-    URLs, of which ``share`` is blocked."""
+def suffix_statistics(labelled: DataFrame, key: str, *by: str) -> DataFrame:
+    """(key, by..., blocked and all of the labelled URLs with that value of a suffix key)."""
     name = key[1:]
-    found = labelled.groupBy(key).agg(F.sum("_label").alias("_b"), F.count(F.lit(1)).alias("_n"))
-    return found.select(key, ((F.col("_b") + PRIOR * share) / (F.col("_n") + PRIOR)).alias(f"_x_{name}_rate"),
-                        F.log1p("_n").alias(f"_x_{name}_count"))
+    return labelled.groupBy(key, *by).agg(F.sum("_label").alias(f"_b_{name}"), F.count(F.lit(1)).alias(f"_n_{name}"))
 
 
-def _with_statistics(rows: DataFrame, stats: dict[str, DataFrame], share: float) -> DataFrame:
+def _with_statistics(rows: DataFrame, stats: dict[str, DataFrame], share: float, folds: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``rows`` with the rate and log count of each suffix key, leaning to ``share``.
+
+    ``folds`` (the same statistics by ``_fold``) is given for the rows that the trees are fitted to: a row's rates then
+    come from the other folds, so no row sees its own label, and rows of one fold and key
+    see the same rate whatever their label (a rate without the row's own label alone would give it away)."""
     for key, table in stats.items():
+        name = key[1:]
+        b, n = F.coalesce(F.col(f"_b_{name}"), F.lit(0.0)), F.coalesce(F.col(f"_n_{name}"), F.lit(0)).cast("double")
         rows = rows.join(table, key, "left")
-    return rows.fillna({f"_x_{k[1:]}_rate": share for k in stats} | {f"_x_{k[1:]}_count": 0.0 for k in stats})
+        if folds:
+            rows = rows.join(folds[key].withColumnsRenamed({f"_b_{name}": "_fb", f"_n_{name}": "_fn"}), [key, "_fold"], "left")
+            b, n = b - F.coalesce("_fb", F.lit(0.0)), n - F.coalesce("_fn", F.lit(0))
+        rows = rows.withColumns({f"_x_{name}_rate": (b + PRIOR * share) / (n + PRIOR), f"_x_{name}_count": F.log1p(n)}).drop(
+            f"_b_{name}", f"_n_{name}", "_fb", "_fn")
+    return rows
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
@@ -123,11 +134,14 @@ def url_verdicts(pages: DataFrame, rules=RULES, sample: int = SAMPLE, id_col: st
     decided = F.coalesce(F.col("_verdict"), F.when(F.col("_p") >= 0.5, F.lit("block")).otherwise(F.lit("allow")))
     if 0 < blocked < n:
         share = blocked / n
-        stats = {k: written(suffix_statistics(labelled, k, share), "suffixes") for k in ("_suffix", "_domain", "_section")}
+        labelled = labelled.withColumn("_fold", F.pmod(F.xxhash64("_url", F.lit(3)), F.lit(FOLDS)).cast("int"))
+        keys = ("_suffix", "_domain", "_section")
+        stats = {k: written(suffix_statistics(labelled, k), "suffixes") for k in keys}
+        folds = {k: written(suffix_statistics(labelled, k, "_fold"), "suffix-folds") for k in keys}
         fit_rows = written(labelled.orderBy(F.xxhash64("_url", "page_id"), "_url", "page_id").limit(sample).coalesce(4), "labelled-urls")
         fitted = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=TREES, maxDepth=DEPTH, seed=7,
                                predictionCol="_pred").setProbabilityCol("_prob").setRawPredictionCol("_raw")
-        model = fitted.fit(_assembled(_with_statistics(fit_rows, stats, share)).select("_features", "_label"))
+        model = fitted.fit(_assembled(_with_statistics(fit_rows, stats, share, folds)).select("_features", "_label"))
         scored = model.transform(_assembled(_with_statistics(rows, stats, share)))
         scored = scored.withColumn("_p", F.when(F.col("_verdict").isNull(), F.element_at(vector_to_array("_prob"), 2)))
     else:
