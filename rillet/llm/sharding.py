@@ -8,13 +8,14 @@ inside the key intervals that still hold an open splitter, and narrows each
 interval to the two probes around its target. When every splitter meets
 its tolerance the rows are exchanged once, each to its range.
 
-A shard is several ranges (cut by the same probes at a looser tolerance), so
-numbering the rows of a shard needs no task that holds the whole shard.
+Only the splitters between shards are refined, so what a round brings to the driver depends
+on the number of shards, never on the rows. A shard's rows are numbered in *pieces* of about
+``ROWS_PER_PIECE`` rows, dealt by the identifier's hash (so a text that a third of all rows share
+spreads over all of them); where a piece begins is a running sum over the pieces' counts, inside the plan.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +26,9 @@ from rillet.llm.common import written
 KEY_BITS = 62
 TEXT_BITS = 38
 PROBE_BITS = 10
-#: Rows a range should hold (each shard has at least RANGES_PER_SHARD ranges).
-ROWS_PER_RANGE = 1_000_000
-RANGES_PER_SHARD = 4
+#: Rows of a shard that are numbered in one task, about; each shard has at least PIECES of them.
+ROWS_PER_PIECE = 1_000_000
+PIECES = 4
 
 
 def order_key(id_col: Column, text: Column) -> Column:
@@ -77,23 +78,17 @@ def _refine(keys: DataFrame, todo: list[Open]) -> None:
                 o.lo, o.bits, o.below = probe << step, step, total
 
 
-def splitters(keys: DataFrame, total: int, shards: int, per_shard: int, tolerance: float) -> tuple[list[int], list[int]]:
-    """Keys that begin ranges, and the shard of each range.
-
-    ``shards - 1`` splitters are refined until the bytes below them are within
-    ``tolerance`` of a shard's share, or no key lies nearer; the others, which
-    only cut a shard's rows into tasks, to a quarter of a range."""
-    n = shards * per_shard
-    points = [Open(total * k / n, total / shards * tolerance if k % per_shard == 0 else total / n / 4) for k in range(1, n)]
+def splitters(keys: DataFrame, total: int, shards: int, tolerance: float) -> list[int]:
+    """Keys that begin the shards after the first: refined until the bytes below them are within
+    ``tolerance`` of a shard's share, or no key lies nearer."""
+    points = [Open(total * k / shards, total / shards * tolerance) for k in range(1, shards)]
     while todo := [o for o in points if o.cut is None]:
         _refine(keys, todo)
-    main = [points[k * per_shard - 1].cut for k in range(1, shards)]
-    starts = sorted({0, *(o.cut for o in points)})
-    return starts, [bisect_right(main, s) for s in starts]
+    return [o.cut for o in points]
 
 
 def _range_of(key: Column, starts: list[int], lo: int, hi: int) -> Column:
-    """Number of the range that holds the key: a balanced tree of comparisons."""
+    """Number of the shard that holds the key: a balanced tree of comparisons."""
     if hi - lo == 1:
         return F.lit(lo)
     mid = (lo + hi) // 2
@@ -105,7 +100,7 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     """``docs`` (columns ``keep``, all by default) with ``_size``, ``_shard`` and ``_slot``.
 
     Size: UTF-8 bytes of the text (null: none) plus 8. Shards have nearly
-    equal sizes; ``_slot`` numbers a shard's rows from 0 in key order. Repeated
+    equal sizes; ``_slot`` numbers a shard's rows from 0, piece by piece and in key order there. Repeated
     rows share a key and so a shard. Of fewer rows than shards some shards are
     empty; an empty table gives an empty result."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -113,19 +108,16 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
                            order_key(F.col(id_col), text).alias("_key"))
     keys = written(measured.select("_key", "_size"), "shard-keys")
     total, rows = keys.agg(F.sum("_size"), F.count(F.lit(1))).first()
-    per_shard = max(RANGES_PER_SHARD, -(-rows // (ROWS_PER_RANGE * shards)))
-    starts, shard_of = splitters(keys, total or 0, shards, per_shard, tolerance) if rows else ([0], [0])
-    found = _range_of(F.col("_key"), starts, 0, len(starts))
-    counts = dict(map(tuple, keys.withColumn("_range", found).groupBy("_range").count().collect()))  # one row per range
-    first, seen = [], {}
-    for r, s in enumerate(shard_of):
-        first.append(seen.get(s, 0))
-        seen[s] = first[-1] + counts.get(r, 0)
-    w = Window.partitionBy("_range").orderBy("_key", id_col)
-    at = lambda xs: F.element_at(F.lit(xs), F.col("_range") + 1)
-    return (measured.withColumn("_range", found).withColumn("_row", F.row_number().over(w) - 1)
-            .withColumn("_shard", at(shard_of).cast("int"))
-            .withColumn("_slot", at(first).cast("long") + F.col("_row")).drop("_range", "_row", "_key"))
+    starts = [0, *(splitters(keys, total or 0, shards, tolerance) if rows else [])]
+    pieces = max(PIECES, -(-rows // (ROWS_PER_PIECE * shards)))
+    piece = F.pmod(F.col("_key").bitwiseAND((1 << (KEY_BITS - TEXT_BITS)) - 1), F.lit(pieces)).cast("int")
+    dealt = lambda df: df.withColumns({"_shard": _range_of(F.col("_key"), starts, 0, len(starts)).cast("int"), "_piece": piece})
+    counts = dealt(keys).groupBy("_shard", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_shard").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_shard", "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_begin"))
+    w = Window.partitionBy("_shard", "_piece").orderBy("_key", id_col)
+    return (dealt(measured).withColumn("_place", F.row_number().over(w) - 1).join(begins, ["_shard", "_piece"])
+            .withColumn("_slot", F.col("_begin") + F.col("_place")).drop("_piece", "_place", "_begin", "_key"))
 
 
 def shard_table(docs: DataFrame, shards: int = 24) -> DataFrame:

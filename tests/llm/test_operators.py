@@ -120,6 +120,21 @@ def test_shards_are_even(spark):
     assert all(r.m == r.n - 1 for r in g)
 
 
+def test_shards_in_many_pieces(spark, monkeypatch):
+    """With pieces of 50 rows the slots are as gapless, the driver gets as little, and no piece is hot."""
+    monkeypatch.setattr(sharding, "ROWS_PER_PIECE", 50)
+    came = []
+    refine = sharding._refine
+    monkeypatch.setattr(sharding, "_refine", lambda keys, todo: (came.append(len(todo)), refine(keys, todo)))
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("same text")).otherwise(
+        F.concat(F.lit("t"), F.col("id"))).alias("text"))
+    got = sharding.shard_table(df, 8)
+    by = got.groupBy("shard").agg(F.sort_array(F.collect_list("slot")).alias("s"), F.sum("size").alias("b")).collect()
+    assert all(r.s == list(range(len(r.s))) for r in by) and max(r.b for r in by) < 1.01 * min(r.b for r in by)
+    assert max(came) <= 7
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sharding.shard_table(df, 8).collect()))
+
+
 # ------------------------------------------------------------------ 9 quality rules
 
 def test_base_stats(docs, rows, no_labels):
@@ -462,6 +477,23 @@ def test_url_without_labels(spark):
     assert {(r.page_id, r.verdict) for r in url_filter.url_verdicts(df).collect()} == {(1, "allow"), (2, "allow")}
 
 
+def test_url_rates_leave_their_own_label_out(spark):
+    """Domains of one labelled URL each, labels drawn at random: nothing to learn, so fitted rows look like scored ones and
+    the trees must not tell the labels of other such domains better than chance."""
+    rng = random.Random(6)
+    rows = [(i, f"http://d{i}x.net/{'block' if rng.random() < .5 else 'allow'}/page{rng.randint(0, 9)}") for i in range(400)]
+    # the path's first word decides, so it is taken away from what the trees see
+    df = spark.createDataFrame([(i, u.replace("/allow/", "/").replace("/block/", "/")) for i, u in rows], "page_id long, url string")
+    kinds = [("block" if "/block/" in u else "allow", f"d{i}x.net/") for i, u in rows[:200]]
+    got = {r.page_id: r for r in url_filter.url_verdicts(df, rules=kinds).collect()}
+    assert all(got[i].rule == f"d{i}x.net/" for i in range(200))
+    right = sum(("/block/" in u) == (got[i].verdict == "block") for i, u in rows[200:])
+    assert 70 <= right <= 130
+    spread = [got[i].block_probability for i in range(200, 400)]
+    assert all(0.02 < p < 0.98 for p in spread)
+
+
+
 # ------------------------------------------------------------------ empty tables
 
 def test_empty_tables(spark, empty, no_labels):
