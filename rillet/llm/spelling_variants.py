@@ -11,7 +11,7 @@ m - b. A group is such a frame (m, a, b, beginning, end) with the minimised acce
 its words of length m and m + 1 hold inside it. Every word stands in four groups at
 first, the two halves of lengths m = L and m = L - 1. A group of more than
 ``GROUP_WORDS`` words is halved again, its frame growing, until it fits; a frame of one
-position can't exceed that, for the alphabet has fewer than 90 letters. An insertion that could lie
+position can't exceed that, for the alphabet has 90 letters (at most 8,190 words). An insertion that could lie
 at several positions belongs to the last of them, so every pair is found once.
 """
 
