@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm.common import prefix_hash, small_batches, span_hash, text_buffers, written
@@ -136,16 +136,17 @@ def compared(rows: DataFrame, expected: int, name: str) -> DataFrame:
     buckets = max(1, -(-expected // BUCKET_ROWS))
     marked = written(rows.repartitionByRange(buckets, *_COLS).mapInArrow(_bucket, _ROW + ", _flags int, _part long"), name)
     flag = lambda bit: F.col("_flags").bitwiseAND(bit) > 0
-    # two rows of each bucket, in the buckets' order
-    edge = marked.where(F.col("_flags") >= 16).withColumn("_last", flag(32).cast("int"))
-    w = Window.orderBy("_part", "_last")
-    equal = lambda side: (F.coalesce((side("_g").over(w) == F.col("_g")) & (side("_p").over(w) == F.col("_p")), F.lit(False)),
-                          F.coalesce(side("_s").over(w) == F.col("_s"), F.lit(False)))
-    (pg, ps), (ng, ns) = equal(F.lag), equal(F.lead)
+    # two rows of each bucket; buckets follow the order of the suffixes, so equal ones stand together, and a row has
+    # an equal neighbour across its bucket's edge exactly if an equal one stands before (behind) it anywhere
+    edge = marked.where(F.col("_flags") >= 16).withColumn("_pos", F.struct("_part", flag(32).cast("int").alias("_last")))
+    for name, cols in (("core", ["_p", "_g"]), ("span", ["_p", "_g", "_s"])):
+        edge = edge.join(edge.groupBy(*cols).agg(F.min("_pos").alias(f"_first_{name}"), F.max("_pos").alias(f"_last_{name}")), cols)
+    bit = lambda cond, value: F.when(cond, value).otherwise(0)
+    before, behind = (lambda n: F.col(f"_first_{n}") < F.col("_pos")), (lambda n: F.col(f"_last_{n}") > F.col("_pos"))
     bits = (F.col("_flags").bitwiseAND(15)
-            .bitwiseOR(F.when(flag(16) & pg, F.when(ps, 3).otherwise(1)).otherwise(0))
-            .bitwiseOR(F.when(flag(32) & ng, F.when(ns, 12).otherwise(4)).otherwise(0)))
-    edge = edge.withColumn("_flags", bits).drop("_last")
+            .bitwiseOR(bit(flag(16) & before("core"), 1)).bitwiseOR(bit(flag(16) & before("span"), 2))
+            .bitwiseOR(bit(flag(32) & behind("core"), 4)).bitwiseOR(bit(flag(32) & behind("span"), 8)))
+    edge = edge.withColumn("_flags", bits).select(marked.columns)
     known = marked.where(F.col("_flags") < 16).unionByName(edge).where("_flags > 0")
     full = flag(2) | flag(8)
     return known.select("_g", "_key", "_at", full.alias("_full"),
