@@ -22,6 +22,10 @@ from rillet.session import scratch_path
 BATCH_ROWS = 200
 #: Bytes of text handled at once inside a batch (a longer text is a slice of its own).
 SLICE_BYTES = 1 << 18
+#: A text above this many bytes is hashed, counted and cut into words in blocks of this size.
+BLOCK_BYTES = 1 << 20
+#: Values sorted at once where repeats among the words or lines of a text are sought.
+SORTED_AT_ONCE = 1 << 22
 
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,8 +143,22 @@ def text_slices(col: pa.Array, lower: bool = False) -> Iterator[tuple[int, int,
         i = j
 
 
+def _bounds_long(data: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of one text, found block by block."""
+    flips, inside = [], False
+    for a in range(0, len(data), BLOCK_BYTES):
+        now = member[data[a:a + BLOCK_BYTES]]
+        flips.append(np.flatnonzero(now != np.append(inside, now[:-1])) + a)
+        inside = now[-1]
+    flips = np.concatenate([*flips, [len(data)]] if inside else flips)
+    return flips[0::2], flips[1::2]
+
+
 def word_bounds(data: np.ndarray, offs: np.ndarray, member: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word (maximal run of bytes in ``member``); ``offs`` are the rows' offsets."""
+    if len(offs) == 2 and len(data) > BLOCK_BYTES:
+        starts, ends = _bounds_long(data, member)
+        return starts, ends, np.zeros(len(starts), np.int64)
     inside = np.zeros(len(data) + 1, bool)
     inside[:-1] = member[data]
     before = np.zeros(len(data) + 1, bool)
@@ -155,8 +173,67 @@ def word_bounds(data: np.ndarray, offs: np.ndarray, member: np.ndarray = IS_WORD
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
+def _spans_in_blocks(data, start, end):
+    """(block's offset, block, i, j, from, to): the parts of spans i..j-1 that lie in each block.
+
+    Spans are in order, not empty, and don't overlap; one may run through many blocks."""
+    for a in range(0, len(data), BLOCK_BYTES):
+        block = data[a:a + BLOCK_BYTES]
+        i, j = np.searchsorted(end, a, "right"), np.searchsorted(start, a + len(block))
+        if i < j:
+            yield a, block, i, j, np.maximum(start[i:j] - a, 0), np.minimum(end[i:j] - a, len(block))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``span_hash`` of ordered spans that don't overlap, with prefix sums of one block at a time."""
+    out = np.zeros(len(start), np.uint64)
+    for a, block, i, j, lo, hi in _spans_in_blocks(data, start, end):
+        prefix = prefix_hash(block)
+        part = (prefix[hi] - prefix[lo]) * _Powers.get(len(prefix))[1][lo]
+        if start[i] < a:  # goes on from the block before: its powers do, too
+            part[:1] *= np.uint64(pow(int(_BASE), int(a - start[i]), 1 << 64))
+        out[i:j] += part
+    return mix64(out ^ (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
+def span_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """Number of bytes in ``member`` in ordered spans that don't overlap."""
+    out = np.zeros(len(start), np.int64)
+    for _, block, i, j, lo, hi in _spans_in_blocks(data, start, end):
+        total = np.zeros(len(block) + 1, np.int64)
+        np.cumsum(member[block], out=total[1:])
+        out[i:j] += total[hi] - total[lo]
+    return out
+
+
+def byte_counts(data: np.ndarray, offs: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """Number of bytes in ``member`` in each text of a slice."""
+    if len(offs) == 2:
+        return np.array([sum(np.count_nonzero(member[data[a:a + BLOCK_BYTES]]) for a in range(0, len(data), BLOCK_BYTES))], np.int64)
+    return span_sums(member[data], offs)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(prefix_hash(data), starts, ends)
+    return span_hashes(data, starts, ends)
+
+
+def occurrences(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two masks: the first one of each value, and those whose value occurs twice or more.
+
+    Many values are dealt by their low bits, so that only a part of them is sorted at once."""
+    first, twice = np.zeros(len(values), bool), np.zeros(len(values), bool)
+    parts = 1 if len(values) <= SORTED_AT_ONCE else 16
+    for p in range(parts):
+        at = np.flatnonzero(values & np.uint64(15) == p) if parts > 1 else np.arange(len(values))
+        if not len(at):
+            continue
+        at = at[np.argsort(values[at], kind="stable")]
+        now = values[at]
+        same = now[1:] == now[:-1]
+        first[at[np.append(True, ~same)]] = True
+        twice[at[1:][same]] = True
+        twice[at[:-1][same]] = True
+    return first, twice
 
 
 def per_row(row: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:

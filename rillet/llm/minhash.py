@@ -40,6 +40,8 @@ BLOCK = 300
 VERIFY = 200
 #: Shingles sketched at once.
 SKETCHED = 150_000
+#: Shingles of a long text hashed at once.
+HASHED = 1 << 20
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = 2) -> list[np.ndarray]:
@@ -51,7 +53,9 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int = 2) -> list[np.
     gram = h.copy()
     for k in range(1, width):
         stop = max(len(gram) - k, 0)  # a slice may hold fewer words than a shingle
-        gram[:stop] = mix64(gram[:stop] * np.uint64(0x9E3779B97F4A7C15) + h[k:])
+        for a in range(0, stop, HASHED):
+            own = slice(a, min(a + HASHED, stop))
+            gram[own] = mix64(gram[own] * np.uint64(0x9E3779B97F4A7C15) + h[own.start + k:own.stop + k])
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):
         if b - a >= width:
@@ -77,11 +81,13 @@ def fast_sketch(sets: list[np.ndarray], t: int = T) -> np.ndarray:
     x, owner = np.concatenate([sets[i] for i in live]), np.repeat(live, sizes[live])
     flat, t64 = out.reshape(-1), np.uint64(t)
     for i in range(2 * t):
-        h = mix64(x + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        # the round above the hash: a later round never replaces what an earlier one left
-        value = (h >> np.uint64(12)) | np.uint64(i << 52)
-        coord = (mix64(h ^ np.uint64(0xA0761D6478BD642F)) % t64).astype(np.int64) if i < t else i - t
-        np.minimum.at(flat, owner * t + coord, value)
+        for a in range(0, len(x), HASHED):
+            own = slice(a, a + HASHED)
+            h = mix64(x[own] + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+            # the round above the hash: a later round never replaces what an earlier one left
+            value = (h >> np.uint64(12)) | np.uint64(i << 52)
+            coord = (mix64(h ^ np.uint64(0xA0761D6478BD642F)) % t64).astype(np.int64) if i < t else i - t
+            np.minimum.at(flat, owner[own] * t + coord, value)
         open_ = (out[live] == empty).any(axis=1)
         if not open_.all():
             live = live[open_]
@@ -89,7 +95,8 @@ def fast_sketch(sets: list[np.ndarray], t: int = T) -> np.ndarray:
                 break
             still = np.zeros(len(sets), bool)
             still[live] = True
-            x, owner = x[still[owner]], owner[still[owner]]
+            kept = still[owner]
+            x, owner = x[kept], owner[kept]
     return out
 
 

@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm.common import (
-    IS_WORD, add_columns, mix64, per_row, small_batches, span_sums, word_bounds, word_hashes, written,
+    add_columns, byte_counts, mix64, occurrences, per_row, small_batches, span_counts, word_bounds, word_hashes, written,
 )
-from rillet.llm.quality_rules import text_stats
+from rillet.llm.quality_rules import WORD_CHAR, text_stats
 
 SAMPLE = 20_000
 BINS, PAIR_BINS, PAIRS = 32, 8, 10
@@ -41,26 +41,22 @@ def text_features(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     n_words, chars, symbols, dups, repeats, lines, upper, bangs = (x.astype(float) for x in text_stats(data, offs))
     start, end, row = word_bounds(data, offs)
     h = word_hashes(data, start, end)
-    salted = h ^ mix64(row.astype(np.uint64) + np.uint64(1))
-    order = np.argsort(salted, kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = salted[order][1:] != salted[order][:-1]
-    lengths = span_sums((data & 0xC0) != 0x80, np.append(start, len(data)))  # word and the gap after it
-    gap = span_sums(~IS_WORD[data], np.append(start, len(data)))
-    lengths = lengths - gap
+    new, _ = occurrences(h ^ mix64(row.astype(np.uint64) + np.uint64(1)))
+    lengths = span_counts(data, start, end, WORD_CHAR)
     share = lambda a, b: np.divide(a, b, out=np.zeros(n), where=b > 0)
     of = lambda mask: per_row(row[mask], n).astype(float)
     twin = np.zeros(len(row), bool)
     twin[1:] = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
     first = data[start] if len(start) else np.zeros(0, np.uint8)
-    count = lambda byte: span_sums(data == byte, offs).astype(float)
+    byte = np.arange(256)
+    count = lambda member: byte_counts(data, offs, member).astype(float)
     size = np.diff(offs).astype(float)
     return [np.log1p(n_words), share(chars, n_words), share(symbols, n_words), share(dups, lines), share(repeats, n_words),
-            share(upper, chars), share(bangs, n_words), share(count(124), n_words),
-            share(span_sums((data >= 48) & (data <= 57), offs).astype(float), chars), share(of(order[new]), n_words),
+            share(upper, chars), share(bangs, n_words), share(count(byte == 124), n_words),
+            share(count((byte >= 48) & (byte <= 57)), chars), share(of(new), n_words),
             share(of(twin), n_words), share(of(lengths <= 3), n_words), share(of(lengths >= 9), n_words),
-            share(count(46), n_words), share(count(44), n_words), share(n_words, lines),
-            share(span_sums(data >= 128, offs).astype(float), size), share(of((first >= 65) & (first <= 90)), n_words)]
+            share(count(byte == 46), n_words), share(count(byte == 44), n_words), share(n_words, lines),
+            share(count(byte >= 128), size), share(of((first >= 65) & (first <= 90)), n_words)]
 
 
 def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm.common import (
-    IS_WORD, add_columns, mix64, per_row, prefix_hash, shielded, span_hash, span_sums, word_bounds, written,
+    IS_WORD, add_columns, byte_counts, mix64, occurrences, per_row, shielded, span_hashes, word_bounds, word_hashes, written,
 )
 
 #: False rejections of good documents allowed in a stratum, and the chance that the guarantee fails.
@@ -37,17 +37,21 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
+_BYTE = np.arange(256)
+#: First bytes of characters in words, capital letters, exclamation marks.
+WORD_CHAR, UPPER, BANG = IS_WORD & (_BYTE & 0xC0 != 0x80), (_BYTE >= 65) & (_BYTE <= 90), _BYTE == 33
+#: 5-word windows hashed at once.
+WINDOWS = 1 << 20
 STATS = ["_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words", "_n_lines", "_n_upper", "_n_bang"]
 
 
 def text_stats(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     """STATS of each text of a slice.
 
-    Lines and 5-word windows are compared by 64-bit hashes mixed with the row."""
+    Lines and 5-word windows are compared by 64-bit hashes mixed with the row. What is held
+    grows with a text's words and lines; bytes are looked at block by block."""
     n = len(offs) - 1
-    inside = IS_WORD[data]
     start, end, row = word_bounds(data, offs)
-    prefix = prefix_hash(data)
     salt = mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
     # lines that hold a word
@@ -57,35 +61,31 @@ def text_stats(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     line_row = np.searchsorted(offs, line_start, "right") - 1
     nxt = np.append(breaks, len(data))[np.searchsorted(breaks, line_start)]
     line_end = np.minimum(nxt, offs[line_row + 1])
-    words_before = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(inside, out=words_before[1:])
-    full = words_before[line_end] > words_before[line_start]
+    full = np.append(start, len(data))[np.searchsorted(start, line_start)] < line_end
     line_start, line_end, line_row = line_start[full], line_end[full], line_row[full]
     lines = per_row(line_row, n)
-    _, first = np.unique(span_hash(prefix, line_start, line_end) ^ salt[line_row], return_index=True)
+    first, _ = occurrences(span_hashes(data, line_start, line_end) ^ salt[line_row])
     dup_lines = lines - per_row(line_row[first], n)
+    del breaks, line_start, line_end, line_row, nxt, full, first
 
     # words inside 5-word windows found twice or more in the text
-    repeated = np.zeros(n, np.int64)
-    if len(row) >= 5:
-        h = span_hash(prefix, start, end)
-        at = np.flatnonzero(row[:-4] == row[4:])
-        gram = salt[row[at]]
+    h = word_hashes(data, start, end)
+    del start, end
+    at = np.flatnonzero(row[:-4] == row[4:]) if len(row) >= 5 else np.zeros(0, np.int64)
+    gram = salt[row[at]]
+    for a in range(0, len(at), WINDOWS):
+        own = slice(a, a + WINDOWS)
         for k in range(5):
-            gram = mix64(gram * np.uint64(0x9E3779B97F4A7C15) + h[at + k])
-        order = np.argsort(gram, kind="stable")
-        same = gram[order][1:] == gram[order][:-1]
-        twice = np.zeros(len(at), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        step = np.zeros(len(row) + 1, np.int64)
-        np.add.at(step, at[twice], 1)
-        np.add.at(step, at[twice] + 5, -1)
-        repeated = per_row(row[np.cumsum(step[:-1]) > 0], n)
-
-    chars = span_sums(inside & ((data & 0xC0) != 0x80), offs)
-    return [per_row(row, n), chars, span_sums(SYMBOL[data], offs), dup_lines, repeated, lines,
-            span_sums((data >= 65) & (data <= 90), offs), span_sums(data == 33, offs)]
+            gram[own] = mix64(gram[own] * np.uint64(0x9E3779B97F4A7C15) + h[at[own] + k])
+    del h
+    _, twice = occurrences(gram)
+    at = at[twice]
+    covered = np.zeros(len(row), bool)
+    for k in range(5):
+        covered[at + k] = True
+
+    count = lambda member: byte_counts(data, offs, member)
+    return [per_row(row, n), count(WORD_CHAR), count(SYMBOL), dup_lines, per_row(row[covered], n), lines, count(UPPER), count(BANG)]
 
 
 def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
