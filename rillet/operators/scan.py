@@ -8,8 +8,11 @@ about ``rows_per_chunk`` consecutive rows, a smaller key is one chunk.
 0. One pass over key and order columns takes the same sample that a range partitioner
    takes: one row in ``rows_per_chunk / SAMPLES``, chosen by hash. Inside Spark, every
    ``SAMPLES``-th sampled row of a key becomes a cut; only those come to the
-   driver, at most about one per ``rows_per_chunk`` rows. There is no other limit on their
-   number. The cuts are a literal of the plan, so every branch and every recomputed task agrees on them.
+   driver, at most about one per ``rows_per_chunk`` rows. The cuts are a literal of the plan, so
+   every branch and every recomputed task agrees on them. Chunks so small that there would be more than
+   ``MAX_CUTS`` cuts are made in two steps: the cuts part the rows into ``MAX_CUTS`` ranges, and a
+   window numbers the rows of a (key, range), which is parted every ``rows_per_chunk`` rows.
+   The number of chunks has no limit, what the driver holds has.
 1. Rows are shuffled once, by (key, chunk), and numbered inside their chunk
    by window functions (run ids, position in run).
 2. Each chunk is summarised in one row: its first and last segment (count, first and last
@@ -38,6 +41,8 @@ C = "__c"
 DEFAULT_ROWS_PER_CHUNK = 1_000_000
 #: Sampled rows per chunk: a chunk's size is off by about a fifth.
 SAMPLES = 20
+#: About how many cuts the driver holds and a plan carries, when chunks are smaller than the default.
+MAX_CUTS = 4096
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 # microseconds, so that cuts keep what the order columns hold
@@ -118,8 +123,17 @@ def chunking(df: DataFrame, key, order: Sequence[str], rows_per_chunk: int = DEF
     ``order`` already (the same for all keys, say) passes them; no sample is taken then."""
     order = list(order)
     keyed = df.withColumn(K, _key_surrogate(df, _as_list(key), order[0]))
-    cuts = Cuts(keyed, order, rows_per_chunk) if cuts is None else cuts
-    return keyed.withColumn(C, cuts.rank().cast("long") if cuts else F.lit(0).cast("long")), bool(cuts)
+    per_range = rows_per_chunk
+    if cuts is None:
+        if rows_per_chunk < DEFAULT_ROWS_PER_CHUNK:
+            per_range = max(rows_per_chunk, -(-df.count() // MAX_CUTS))
+        cuts = Cuts(keyed, order, per_range)
+    keyed = keyed.withColumn(C, cuts.rank().cast("long") if cuts else F.lit(0).cast("long"))
+    if per_range == rows_per_chunk:
+        return keyed, bool(cuts)
+    # equal rows have one rank, so every branch puts them into the same chunk
+    inner = F.floor((F.rank().over(in_chunk(order)) - 1) / rows_per_chunk)
+    return keyed.withColumn(C, F.shiftleft(C, 32) + inner), True
 
 
 def last_row(columns: Sequence[str]) -> Column:
