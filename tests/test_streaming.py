@@ -327,3 +327,18 @@ def test_message_with_null_fields_is_not_corrupt(spark):
     raw = spark.createDataFrame([('{"a":null}',), ("{}",), ("[1]",), ('{"a":',), ("nonsense",)], "value string")
     assert [r._corrupt_record is None for r in decode_json(raw, __import__("pyspark").sql.types.StructType.fromDDL("a int")).collect()] \
         == [True, True, False, False, False]
+
+
+@pytest.mark.parametrize("name", ["stream_pair_average_global", "stream_record_runs_global"])
+def test_global_streams_take_bounded_slices(spark, name, monkeypatch):
+    """A global sequence over several micro-batches of bounded rows gives what one micro-batch gives."""
+    from rillet.plans import catalog
+
+    taken = []
+    add = catalog._Slices.add
+    monkeypatch.setattr(catalog, "ROWS_PER_SLICE", 200, raising=False)
+    monkeypatch.setattr(catalog._Slices, "add", lambda self, rows, start: taken.append(self.table.where(rows).count()) or add(self, rows, start))
+    batch = catalog.QUERIES[name.removeprefix("stream_")](spark, SF)
+    got = catalog.STREAM_QUERIES[name](spark, SF)
+    assert _rows(got.select(*batch.columns)) == _rows(batch)
+    assert len(taken) > 2 and max(taken) <= 500
