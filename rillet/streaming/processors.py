@@ -229,3 +229,136 @@ class ChangeProcessor(_Ordered):
         same = {c: pdf[c].iloc[at].reset_index(drop=True) for c in (*self.key_names, *self.order)}
         yield pd.DataFrame({**{k: same[k] for k in self.key_names}, "op": op, "count": np.where(add, now[at], now[at] - 1),
                             **{c: same[c] for c in self.order}, "change_seq": add.astype(np.int32)})
+
+
+class _Bucketed(_Ordered):
+    """A state machine over a bucket of keys: the keys of a micro-batch are handled in one call, vectorised over
+    all of them, and the state of each is an entry of a map state."""
+
+    def __init__(self, key_names, key_ddl: str, order, col: str, time_col: str, whole: Sequence[str] = ()):
+        super().__init__(key_names, order, time_col)
+        self.key_ddl, self.col = key_ddl, col
+        self.whole = list(whole)  # integer keys, which pandas makes floats when some are NULL
+
+    def _by_key(self, pdf: pd.DataFrame):
+        """Rows key by key, each in its order; the number of each row's key, and the keys as state keys."""
+        pdf = pdf.astype({k: "Int64" for k in self.whole})
+        code = pdf.groupby(self.key_names, sort=False, dropna=False).ngroup().to_numpy()
+        at = np.argsort(code, kind="stable")
+        pdf, code = pdf.iloc[at].reset_index(drop=True), code[at]
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+        return pdf, code, first, self._plain(pdf.iloc[first], self.key_names)
+
+    @staticmethod
+    def _plain(rows: pd.DataFrame, cols: Sequence[str]) -> list[tuple]:
+        lists = [[None if pd.isna(x) else getattr(x, "item", lambda x=x: x)() for x in rows[c]] for c in cols]
+        return list(zip(*lists, strict=True))
+
+    @staticmethod
+    def _positions(v: np.ndarray, code: np.ndarray, first: np.ndarray, state: list) -> np.ndarray:
+        """Position of each value in its run, which may go on from the key's last (value, length)."""
+        starts = np.append(True, (v[1:] != v[:-1]) | (code[1:] != code[:-1]))
+        at = np.flatnonzero(starts)
+        carry = np.zeros(len(v), np.int64)
+        for i, s in zip(first.tolist(), state, strict=True):
+            if s is not None and v[i] == s[0]:
+                carry[i] = s[1]
+        run = np.cumsum(starts) - 1
+        return np.arange(len(v)) - at[run] + 1 + carry[at][run]
+
+    def _keyed(self, rows: pd.DataFrame, cols: dict) -> pd.DataFrame:
+        return pd.DataFrame({**{k: rows[k].reset_index(drop=True) for k in self.key_names}, **cols})
+
+
+class BucketRecordRuns(_Bucketed):
+    """T2 for a bucket of keys: :class:`RecordRunProcessor`, with the longest runs by key and value."""
+
+    def __init__(self, key_names, key_ddl, order, value: str, time_col: str, value_type: str, whole: Sequence[str] = ()):
+        super().__init__(key_names, key_ddl, order, value, time_col, whole)
+        self.value_type = value_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getMapState("run", self.key_ddl, f"prev {self.value_type}, len int")
+        self.best = handle.getMapState("best", f"{self.key_ddl}, `__v` {self.value_type}", "len int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = self._batch(rows, self.col)
+        if pdf.empty:
+            return
+        pdf, code, first, names = self._by_key(pdf)
+        v = pdf[self.col].to_numpy()
+        n = self._positions(v, code, first, [self.run.getValue(k) for k in names])
+        # Only runs of two or more can be records: the rest need no look at the longest runs.
+        pair = pd.DataFrame({"c": code, "v": v, "n": n})
+        groups = pair.groupby(["c", "v"], sort=False)
+        top = groups["n"].transform("max").to_numpy()
+        earlier = groups["n"].cummax().groupby([pair["c"], pair["v"]], sort=False).shift(1).fillna(0).to_numpy(dtype=np.int64)
+        pair["bar"] = np.maximum(earlier, 1)
+        maybe = pair[(n > pair["bar"].to_numpy()) & (top >= 2)]
+        known = {}
+        for c, x in maybe[["c", "v"]].drop_duplicates().itertuples(index=False):
+            at = (*names[c], x.item() if hasattr(x, "item") else x)
+            found = self.best.getValue(at)
+            known[c, x] = (at, found[0] if found else 1)
+        keep = maybe["n"].to_numpy() > np.fromiter((known[c, x][1] for c, x in zip(maybe["c"], maybe["v"], strict=True)), np.int64, len(maybe))
+        rec = maybe[keep]
+        for (c, x), most in rec.groupby(["c", "v"], sort=False)["n"].max().items():
+            self.best.updateValue(known[c, x][0], (int(most),))
+        ends = np.append(first[1:], len(v)) - 1
+        for k, i in zip(names, ends.tolist(), strict=True):
+            self.run.updateValue(k, (v[i].item() if hasattr(v[i], "item") else v[i], int(n[i])))
+        if len(rec):
+            out = pdf.iloc[rec.index]
+            yield self._keyed(out, {"create_time": out[self.time_col].to_numpy(), "value": out[self.col].to_numpy(),
+                                    "run_length": rec["n"].to_numpy(dtype=np.int32)})
+
+
+class BucketFlagRuns(_Bucketed):
+    """T3 for a bucket of keys: :class:`FlagRunProcessor`; with ``latest`` also the latest flag of each key, in the
+    rows of :class:`SignalStateProcessor`."""
+
+    def __init__(self, key_names, key_ddl, order, flag: str, time_col: str, whole: Sequence[str] = (),
+                 emit_empty_first: bool = True, latest: bool = False):
+        super().__init__(key_names, key_ddl, order, flag, time_col, whole)
+        self.emit_empty_first, self.latest = emit_empty_first, latest
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getMapState("run", self.key_ddl, "prev int, len int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = self._batch(rows, self.col)
+        if pdf.empty:
+            return
+        pdf, code, first, names = self._by_key(pdf)
+        f = pdf[self.col].to_numpy(dtype=np.int64)
+        last = pdf.iloc[np.append(first[1:], len(f)) - 1]
+        keep = (f == 0) | (f == 1)  # other flag values change nothing
+        if keep.any():
+            yield from self._runs(pdf[keep].reset_index(drop=True), f[keep], code[keep], names)
+        if self.latest:
+            n = len(last)
+            yield self._keyed(last, {"kind": ["current"] * n, "n_samples": pd.array([None] * n, "Int32"), "end_time": [None] * n,
+                                     "flag": pd.array(last[self.col].to_numpy(dtype=np.int32), "Int32"),
+                                     **{f"o{i}": last[c].to_numpy() for i, c in enumerate(self.order)}})
+
+    def _runs(self, pdf, f, code, names):
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+        names = [names[c] for c in code[first]]
+        state = [self.run.getValue(k) for k in names]
+        ones = np.where(f == 1, self._positions(f, code, first, state), 0)
+        before, length = np.append(-1, f[:-1]), np.append(0, ones[:-1])
+        before[first] = [-1 if s is None else s[0] for s in state]
+        length[first] = [s[1] if s is not None and s[0] == 1 else 0 for s in state]
+        new = np.zeros(len(f), bool)
+        new[first] = [s is None and self.emit_empty_first for s in state]
+        emit = (f == 0) & ((before == 1) | new)
+        for k, i in zip(names, (np.append(first[1:], len(f)) - 1).tolist(), strict=True):
+            self.run.updateValue(k, (int(f[i]), int(ones[i])))
+        if not emit.any():
+            return
+        out, n = pdf[emit], np.where(before == 1, length, 0)[emit].astype(np.int32)
+        if not self.latest:
+            yield self._keyed(out, {"n_samples": n, "end_time": out[self.time_col].to_numpy()})
+            return
+        yield self._keyed(out, {"kind": ["run"] * len(n), "n_samples": pd.array(n, "Int32"), "end_time": out[self.time_col].to_numpy(),
+                                "flag": pd.array([None] * len(n), "Int32"), **{f"o{i}": [None] * len(n) for i in range(len(self.order))}})

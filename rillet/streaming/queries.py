@@ -23,12 +23,14 @@ from rillet.schemas import EVENTS
 from rillet.session import scratch_path
 from rillet.sources.tables import path_kind
 from rillet.streaming.processors import (
-    ChangeProcessor, FlagRunProcessor, PairAverageProcessor, RecordRunProcessor, SignalStateProcessor,
+    BucketFlagRuns, BucketRecordRuns, ChangeProcessor, FlagRunProcessor, PairAverageProcessor, RecordRunProcessor,
 )
 from rillet.streaming.sinks import append_sink, read_upserted, upsert_sink
 
 GLOBAL_KEY = "__all"
 
+#: Buckets that the keys of a stateful stream are dealt to: one call, and one task, per bucket and micro-batch.
+BUCKETS = 64
 
 #: Files a micro-batch takes unless the caller says otherwise, so a backfill is many bounded batches.
 FILES_PER_TRIGGER = 64
@@ -65,6 +67,13 @@ def _schema_of(df: DataFrame, cols: Sequence[str]) -> list[T.StructField]:
     return [T.StructField(c, df.schema[c].dataType) for c in cols]
 
 
+def _bucketed(df: DataFrame, keys: Sequence[str], cols: Sequence[str], buckets: int = BUCKETS):
+    """``df``'s keys and ``cols``, grouped by a hash of the keys, with the keys' DDL and the integers among them."""
+    own = T.StructType(_schema_of(df, keys))
+    rows = df.select(*dict.fromkeys([*keys, *cols]), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__bucket"))
+    return rows.groupBy("__bucket"), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own), [f.name for f in own if isinstance(f.dataType, T.IntegralType)]
+
+
 def _drop_global(out: DataFrame, keys_out: list[str]) -> DataFrame:
     return out if keys_out else out.drop(GLOBAL_KEY)
 
@@ -83,12 +92,17 @@ def stream_pair_average(df: DataFrame, key, order: Sequence[str], value: str, ti
 
 
 def stream_record_runs(df: DataFrame, key, order: Sequence[str], value: str, time_col: str) -> DataFrame:
-    """T2 on a stream (append): the open run in value state, the longest run of each value in map state."""
+    """T2 on a stream (append): the open run and the longest run of each value in state. Keys are
+    dealt to buckets by hash, and a bucket's keys are handled in one call; ``key=None`` is one sequence, one task."""
     df, keys, keys_out = _keyed(df, key)
     vtype = df.schema[value].dataType
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("create_time", df.schema[time_col].dataType),
                                                   T.StructField("value", vtype),
                                                   T.StructField("run_length", T.IntegerType())])
+    if keys_out:
+        rows, ddl, whole = _bucketed(df, keys, [*order, value, time_col])
+        proc = BucketRecordRuns(keys, ddl, order, value, time_col, vtype.simpleString(), whole)
+        return rows.transformWithStateInPandas(proc, schema, "Append", "None")
     proc = RecordRunProcessor(keys, order, value, time_col, vtype.simpleString())
     out = df.groupBy(*keys).transformWithStateInPandas(proc, schema, "Append", "None")
     return _drop_global(out, keys_out)
@@ -96,23 +110,28 @@ def stream_record_runs(df: DataFrame, key, order: Sequence[str], value: str, tim
 
 def stream_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str,
                      emit_empty_first: bool = True) -> DataFrame:
-    """T3 on a stream (append): the open run in value state."""
+    """T3 on a stream (append): the open run in state, keys dealt to buckets as in :func:`stream_record_runs`."""
     df, keys, keys_out = _keyed(df, key)
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("n_samples", T.IntegerType()),
                                                   T.StructField("end_time", df.schema[time_col].dataType)])
+    if keys_out:
+        rows, ddl, whole = _bucketed(df, keys, [*order, flag, time_col])
+        proc = BucketFlagRuns(keys, ddl, order, flag, time_col, whole, emit_empty_first)
+        return rows.transformWithStateInPandas(proc, schema, "Append", "None")
     proc = FlagRunProcessor(keys, order, flag, time_col, emit_empty_first)
     out = df.groupBy(*keys).transformWithStateInPandas(proc, schema, "Append", "None")
     return _drop_global(out, keys_out)
 
 
 def stream_signal_state(df: DataFrame, key, order: Sequence[str], flag: str, time_col: str) -> DataFrame:
-    """T3 and T4 of a signal in one stateful pass: see :class:`~rillet.streaming.processors.SignalStateProcessor`.
+    """T3 and T4 of a signal in one stateful pass: see :class:`~rillet.streaming.processors.BucketFlagRuns`.
     The order columns of the latest flag are named ``o0``, ``o1``, ..."""
     keys = _as_list(key)
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("kind", T.StringType()), T.StructField("n_samples", T.IntegerType()),
                                                   T.StructField("end_time", df.schema[time_col].dataType), T.StructField("flag", T.IntegerType())]
                           + [T.StructField(f"o{i}", df.schema[c].dataType) for i, c in enumerate(order)])
-    return df.groupBy(*keys).transformWithStateInPandas(SignalStateProcessor(keys, order, flag, time_col), schema, "Append", "None")
+    rows, ddl, whole = _bucketed(df, keys, [*order, flag, time_col])
+    return rows.transformWithStateInPandas(BucketFlagRuns(keys, ddl, order, flag, time_col, whole, latest=True), schema, "Append", "None")
 
 
 def stream_changes(df: DataFrame, key, order: Sequence[str], buckets: int = 64) -> DataFrame:
