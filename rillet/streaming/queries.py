@@ -100,7 +100,7 @@ def stream_record_runs(df: DataFrame, key, order: Sequence[str], value: str, tim
                                                   T.StructField("value", vtype),
                                                   T.StructField("run_length", T.IntegerType())])
     if keys_out:
-        rows, ddl, whole = _bucketed(df, keys, [*order, value, time_col])
+        rows, ddl, whole = _bucketed(df.where(F.col(value).isNotNull()), keys, [*order, value, time_col])
         proc = BucketRecordRuns(keys, ddl, order, value, time_col, vtype.simpleString(), whole)
         return rows.transformWithStateInPandas(proc, schema, "Append", "None")
     proc = RecordRunProcessor(keys, order, value, time_col, vtype.simpleString())
@@ -115,7 +115,7 @@ def stream_flag_runs(df: DataFrame, key, order: Sequence[str], flag: str, time_c
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("n_samples", T.IntegerType()),
                                                   T.StructField("end_time", df.schema[time_col].dataType)])
     if keys_out:
-        rows, ddl, whole = _bucketed(df, keys, [*order, flag, time_col])
+        rows, ddl, whole = _bucketed(df.where(F.col(flag).isNotNull()), keys, [*order, flag, time_col])
         proc = BucketFlagRuns(keys, ddl, order, flag, time_col, whole, emit_empty_first)
         return rows.transformWithStateInPandas(proc, schema, "Append", "None")
     proc = FlagRunProcessor(keys, order, flag, time_col, emit_empty_first)
@@ -130,7 +130,7 @@ def stream_signal_state(df: DataFrame, key, order: Sequence[str], flag: str, tim
     schema = T.StructType(_schema_of(df, keys) + [T.StructField("kind", T.StringType()), T.StructField("n_samples", T.IntegerType()),
                                                   T.StructField("end_time", df.schema[time_col].dataType), T.StructField("flag", T.IntegerType())]
                           + [T.StructField(f"o{i}", df.schema[c].dataType) for i, c in enumerate(order)])
-    rows, ddl, whole = _bucketed(df, keys, [*order, flag, time_col])
+    rows, ddl, whole = _bucketed(df.where(F.col(flag).isNotNull()), keys, [*order, flag, time_col])
     return rows.transformWithStateInPandas(BucketFlagRuns(keys, ddl, order, flag, time_col, whole, latest=True), schema, "Append", "None")
 
 

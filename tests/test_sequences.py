@@ -275,11 +275,11 @@ def test_small_chunks_leave_the_driver_few_cuts(spark, key, monkeypatch):
 
     held = []
     monkeypatch.setattr(Cuts, "rank", lambda self, rank=Cuts.rank: held.append(self.n) or rank(self))
-    df = spark.range(30000).selectExpr("id div 2 AS t", "IF(id < 20000, 0, id % 3) AS k", "id AS seq", "cast(id % 7 < 3 as int) AS v")
+    df = spark.range(15000).selectExpr("id div 2 AS t", "IF(id < 14000, 0, id % 3) AS k", "id AS seq", "cast(id % 7 < 3 as int) AS v")
     chunked, cut = chunking(df, key, ["t", "seq"], rows_per_chunk=3)
     sizes = [r["count"] for r in chunked.groupBy("__k", "__c").count().collect()]
-    assert cut and sum(sizes) == 30000 and max(sizes) <= 3
+    assert cut and sum(sizes) == 15000 and max(sizes) <= 3
     for fn in (pair_average, record_runs, flag_runs):
         got, whole = (sorted(map(tuple, fn(df, key, ["t", "seq"], "v", "seq", **kw).collect())) for kw in ({"rows_per_chunk": 3}, {}))
         assert got == whole
-    assert held and max(held) <= 6000
+    assert held and max(held) <= 4200

@@ -349,7 +349,9 @@ def test_one_call_handles_many_keys(spark, tmp_path, monkeypatch):
     from rillet.streaming import queries
 
     monkeypatch.setattr(queries, "BUCKETS", 3, raising=False)
-    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("user_id", F.when(F.col("user_id") > 2, F.col("user_id")))
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumns({
+        "user_id": F.when(F.col("user_id") > 2, F.col("user_id")), "event_type": F.when(F.col("event_id") % 7 > 0, F.col("event_type")),
+        "props": F.when(F.col("event_id") % 11 > 0, F.col("props"))})  # NULL keys, flags and bits
     folder = str(tmp_path / "ev")
     _write_slices(spark, events, folder, 3)
     ev = stream_table(spark, folder, "events", EVENTS, max_files_per_trigger=1)
