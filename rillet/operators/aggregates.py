@@ -113,8 +113,31 @@ def running_aggregate(df: DataFrame, key, order: Sequence[str], value: str | Non
     return running_folds(df, key, order, {out: (fn, value)}, rows_per_chunk)
 
 
-def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: str = "count",
-              out: str = "value", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, cuts: Cuts | None = None) -> DataFrame:
+def running_count_of_places(df: DataFrame, key: str, chunk: str, places: Sequence[str], out: str) -> DataFrame:
+    """The running count of a key, from rows that hold all places of a key in a chunk, in order: lists of one length, one
+    per order column. Chunks follow each other in the order. Columns: key, out, places... of each place.
+
+    One row per key and chunk is shuffled, not one per place; the counts of a key's earlier chunks
+    are a prefix over light rows and joined back, so a key in all chunks is spread over tasks."""
+    # The branches of the rows and of their counts share this shuffle: both read every list, and the filter is the
+    # one that Spark would add for exploding them.
+    rows = df.select(key, chunk, *places).where((F.size(places[0]) > 0) & F.col(places[0]).isNotNull()).repartition(key, chunk)
+    n = F.greatest(F.lit(0), *(F.size(p) for p in places)).cast("long")
+    earlier = F.sum("__n").over(Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1))
+    tot = rows.select(key, chunk, n.alias("__n")).select(key, chunk, earlier.alias("__pre")).where(F.col("__pre").isNotNull())
+    rows = rows.join(tot, [key, chunk], "left")
+    return each_place(rows, [key], F.coalesce("__pre", F.lit(0)), places, out)
+
+
+def each_place(rows: DataFrame, keys: list[str], before: Column, places: Sequence[str], out: str) -> DataFrame:
+    """A row for each entry of the lists ``places``, with its number after ``before`` in ``out``."""
+    first, *rest = places
+    each = rows.select(*keys, before.alias("__before"), F.posexplode(first).alias("__i", first), *(F.col(p).alias(f"__all_{p}") for p in rest))
+    return each.select(*keys, (F.col("__before") + F.col("__i") + 1).alias(out), first, *(F.get(f"__all_{p}", "__i").alias(p) for p in rest))
+
+
+def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: str = "count", out: str = "value",
+              rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, cuts: Cuts | None = None, chunk: str | None = None) -> DataFrame:
     """The change stream of a keyed running ``sum``/``count`` (A5).
 
     The first row of a key inserts its value (``+I``); every later row
@@ -123,11 +146,19 @@ def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: s
     1 for a new value) so consumers replay changes in order. The previous
     value is the current one minus the row's own contribution, so no
     look-back across chunks is needed; a sum is NULL until a value came.
+
+    ``chunk``: a row of ``df`` holds all rows of a key in the chunk that this column names, the order columns as
+    lists (:func:`running_count_of_places`); for a count of rows by one non-NULL key.
     """
     if fn not in ("sum", "count"):
         raise ValueError("changelog supports sum and count")
     keys = _as_list(key)
     order = list(order)
+    if chunk is not None:
+        if value is not None or fn != "count" or len(keys) != 1:
+            raise ValueError("rows of places can only be counted, by one key")
+        runs = running_count_of_places(df, keys[0], chunk, order, "__cur")
+        return changes(runs, keys, order, F.col("__cur") == 1, F.col("__cur") - 1, out)
     folds = {"__cur": (fn, value), "__pos": ("count", None)}
     summed = fn == "sum" and value is not None
     if summed:
@@ -138,9 +169,13 @@ def changelog(df: DataFrame, key, order: Sequence[str], value: str | None, fn: s
         prev = F.when(had > 0, F.col("__cur") - F.coalesce(F.col(value), F.lit(0)))
     else:
         prev = F.col("__cur") - (F.lit(1) if value is None or fn == "sum" else F.col(value).isNotNull().cast("long"))
-    prev = prev.cast(runs.schema["__cur"].dataType)
+    return changes(runs, keys, order, F.col("__pos") == 1, prev.cast(runs.schema["__cur"].dataType), out)
+
+
+def changes(runs: DataFrame, keys: list[str], order: list[str], first: Column, prev: Column, out: str) -> DataFrame:
+    """The records of each row of ``runs``: it inserts ``__cur``, or retracts ``prev`` and adds ``__cur``."""
     entry = lambda op, v, seq: F.struct(F.lit(op).alias("op"), v.alias("v"), F.lit(seq).alias("change_seq"))
-    entries = F.when(F.col("__pos") == 1, F.array(entry("+I", F.col("__cur"), 1))) \
+    entries = F.when(first, F.array(entry("+I", F.col("__cur"), 1))) \
         .otherwise(F.array(entry("-U", prev, 0), entry("+U", F.col("__cur"), 1)))
     ex = runs.select(*keys, *order, F.explode(entries).alias("__e"))
     return ex.select(*keys, F.col("__e.op").alias("op"), F.col("__e.v").alias(out), *order,

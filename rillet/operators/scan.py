@@ -43,6 +43,8 @@ DEFAULT_ROWS_PER_CHUNK = 1_000_000
 SAMPLES = 20
 #: About how many cuts the driver holds and a plan carries, when chunks are smaller than the default.
 MAX_CUTS = 4096
+#: About how many rows are sampled to cut a table by size.
+SAMPLED_ROWS = 200_000
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 # microseconds, so that cuts keep what the order columns hold
@@ -89,12 +91,30 @@ class Cuts:
     def __init__(self, df: DataFrame, order: Sequence[str], rows_per_chunk: int, key: bool = True):
         self.by = [K] * key + list(order)
         per = max(1, min(SAMPLES, rows_per_chunk))
-        rate = max(1, rows_per_chunk // per)
-        rows = df.select(*self.by)
-        if rate > 1:
-            rows = rows.where(F.pmod(F.xxhash64(*self.by), F.lit(rate)) == 0)
+        rows = self._sample(df.select(*self.by), rows_per_chunk // per)
         nth = F.row_number().over(Window.partitionBy(*[K] * key).orderBy(*order))
-        marks = rows.withColumn("__i", nth).where(F.col("__i") % per == 0).select(self._point().alias("p"))
+        self._take(rows.withColumn("__i", nth).where(F.col("__i") % per == 0))
+
+    @classmethod
+    def by_size(cls, df: DataFrame, order: Sequence[str], size: Column, most: int, parts: int) -> Cuts:
+        """Cuts of a table as one sequence into ranges of about equal sums of ``size``: about ``parts`` ranges, more where
+        these would be over ``most``, and about ``MAX_CUTS`` at the most. Sums are taken over a sample of rows."""
+        cuts = cls.__new__(cls)
+        cuts.by = list(order)
+        sized = df.select(*cuts.by, F.coalesce(size, F.lit(0)).cast("long").alias("__size"))
+        n, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("__size"), F.lit(0))).first()
+        rate = max(1, n // SAMPLED_ROWS)
+        per = max(min(most, total // parts + 1), total // MAX_CUTS + 1)
+        upto = F.sum("__size").over(Window.orderBy(*order)) * rate
+        rows = cuts._sample(sized, rate).withColumn("__upto", upto)
+        cuts._take(rows.where(F.floor(F.col("__upto") / per) > F.floor((F.col("__upto") - F.col("__size") * rate) / per)))
+        return cuts
+
+    def _sample(self, rows: DataFrame, rate: int) -> DataFrame:
+        return rows.where(F.pmod(F.xxhash64(*self.by), F.lit(rate)) == 0) if rate > 1 else rows
+
+    def _take(self, rows: DataFrame) -> None:
+        marks = rows.select(self._point().alias("p"))
         self.kind = T.ArrayType(marks.schema["p"].dataType)
         found = marks.agg(F.array_sort(F.collect_set("p")).alias("p")).select(F.size("p"), F.to_json("p", _JSON)).first()
         self.n, self.text = int(found[0]), found[1]

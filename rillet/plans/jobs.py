@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.text import WHITESPACE_JAVA
-from rillet.operators.aggregates import MONEY, changelog, keyed_sum, spread, window_summary, word_count
+from rillet.operators.aggregates import MONEY, changelog, keyed_sum, window_summary, word_count
 from rillet.operators.lookup import lookup
 from rillet.operators.scan import C, Cuts, K, chunking
 from rillet.operators.sequences import flag_runs, latest_by_key, pair_average, record_runs
+from rillet.operators.words import words_by_chunk
 
 SIGNAL_ORDER = ["ts", "event_id"]
 WINDOW = "15 seconds"
@@ -24,22 +24,30 @@ def word_count_job(lines: DataFrame) -> DataFrame:
     return word_count(lines, "line")
 
 
+#: Bytes of text in a range of documents whose words one task puts together.
+CHUNK_BYTES = 24 << 20
+
+
 def word_count_changelog(docs: DataFrame, doc_id: str = "doc_id", line: str = "line",
-                         docs_per_chunk: int = 100_000) -> DataFrame:
+                         docs_per_chunk: int | None = None) -> DataFrame:
     """J1 with the change-record sink (K2): every word occurrence, in
     (document, position) order, changes its word's count; the first
     occurrence inserts it (``+I``), each later one retracts the old count
     (``-U``) and adds the new one (``+U``). Columns: word, op, count, doc_id,
     pos, change_seq.
 
-    Every word is cut into the same ranges of about ``docs_per_chunk`` documents, so a
-    very frequent word spreads over as many tasks as there are ranges. The ranges come
-    from a sample of the ids alone; the texts are not read for them.
+    The texts are shuffled once, into ranges of ids that hold about equal amounts of text (or of about
+    ``docs_per_chunk`` documents). A task puts the places of each word of a range together, and one row per
+    word and range goes on, so no occurrence is sorted or shuffled by itself, and a very
+    frequent word is spread over as many tasks as there are ranges.
     """
-    cuts = Cuts(docs, [doc_id], docs_per_chunk, key=False)
-    tokens = spread(docs.select(doc_id, line)).select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
-    tokens = tokens.where(F.col("word") != F.lit(""))
-    return changelog(tokens, "word", [doc_id, "pos"], None, "count", "count", cuts=cuts)
+    if docs_per_chunk is None:
+        cuts = Cuts.by_size(docs, [doc_id], F.octet_length(line), CHUNK_BYTES, 2 * docs.sparkSession.sparkContext.defaultParallelism)
+    else:
+        cuts = Cuts(docs, [doc_id], docs_per_chunk, key=False)
+    ranged = docs.withColumn(C, cuts.rank().cast("long") if cuts else F.lit(0).cast("long"))
+    places = words_by_chunk(ranged, doc_id, line, C)
+    return changelog(places, "word", [doc_id, "pos"], None, "count", "count", chunk=C)
 
 
 def team_spend(payments: DataFrame, teams: DataFrame) -> DataFrame:

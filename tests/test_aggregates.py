@@ -102,6 +102,31 @@ def test_word_count_changelog_across_chunks(spark, chunking):
     assert got == sorted(expect)
 
 
+def test_word_count_changelog_repeated_ids(spark):
+    """Documents of one id (or without id) share their positions; ranges hold equal amounts of text."""
+    from rillet.operators.scan import Cuts
+    from rillet.operators.words import words_by_chunk
+    from rillet.plans.jobs import word_count_changelog
+    from pyspark.sql import functions as F
+
+    docs = [(2, "a b a a"), (2, "b a"), (None, " a"), (None, "x a"), (1, "a " * 300), (7, None), (8, ""), (9, "b b")]
+    df = spark.createDataFrame(docs, "doc_id long, line string")
+    places = sorted((-1 if d is None else d, d, pos, w) for d, line in docs for pos, w in enumerate(__import__("re").split(r"\s+", line or "")) if w)
+    expect, counts = [], {}
+    for _, d, pos, w in places:
+        c = counts[w] = counts.get(w, 0) + 1
+        expect += [(w, "+I", c, d, pos, 1)] if c == 1 else [(w, "-U", c - 1, d, pos, 0), (w, "+U", c, d, pos, 1)]
+    got = [tuple(r) for r in word_count_changelog(df).select("word", "op", "count", "doc_id", "pos", "change_seq").collect()]
+    assert sorted(got, key=str) == sorted(expect, key=str)
+    cuts = Cuts.by_size(df, ["doc_id"], F.octet_length("line"), 100, 1)
+    ranks = {r.doc_id: r.c for r in df.select("doc_id", cuts.rank().alias("c")).collect()}
+    assert ranks[None] < ranks[1] <= ranks[2] and cuts.n <= 7
+    # one row per word and range goes on, not one per occurrence
+    ranged = df.withColumn("c", cuts.rank().cast("long"))
+    rows = words_by_chunk(ranged, "doc_id", "line", "c").select("c", "word", F.size("pos").alias("n")).collect()
+    assert len({(r.c, r.word) for r in rows}) == len(rows) < sum(r.n for r in rows) == len(places)
+
+
 def test_whitespace_sets_agree():
     import re
 
