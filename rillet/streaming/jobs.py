@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rillet.functions.text import WHITESPACE_JAVA
 from rillet.operators.lookup import lookup
+from rillet.operators.words import words_by_block
 from rillet.plans.jobs import SIGNAL_ORDER, WINDOW
 from rillet.streaming.queries import (
     stream_changes, stream_pair_average, stream_record_runs, stream_signal_state, stream_window_summary, stream_word_count,
@@ -30,9 +30,9 @@ def start_word_count(lines: DataFrame, out: str, checkpoint: str, trigger: dict
 def start_word_changes(docs: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                        doc_id: str = "doc_id", line: str = "line") -> StreamingQuery:
     """J1 with the change-record sink: every change of every word's count, in (document, position) order
-    inside a micro-batch (``plans.jobs.word_count_changelog`` as a stream)."""
-    tokens = docs.select(F.col(doc_id), F.posexplode(F.split(F.col(line), WHITESPACE_JAVA)).alias("pos", "word"))
-    return append_sink(stream_changes(tokens.where(F.col("word") != F.lit("")), "word", [doc_id, "pos"]), out, checkpoint, trigger)
+    inside a micro-batch (``plans.jobs.word_count_changelog`` as a stream). Documents without id are left out."""
+    places = words_by_block(docs.where(F.col(doc_id).isNotNull()), doc_id, line)
+    return append_sink(stream_changes(places, "word", [doc_id, "pos"], places=True), out, checkpoint, trigger)
 
 
 def start_team_spend(payments: DataFrame, teams: DataFrame, out: str, checkpoint: str,

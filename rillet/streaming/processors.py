@@ -189,46 +189,74 @@ class SignalStateProcessor(FlagRunProcessor):
                                   "flag": pd.array([int(last[self.flag])], "Int32"), **{f"o{i}": [last[c]] for i, c in enumerate(self.order)}})
 
 
+#: Places of a key in one row of :class:`ChangeProcessor`'s result.
+MOST_PLACES = 1 << 16
+
+
 class ChangeProcessor(_Ordered):
-    """A5: the change stream of a keyed running count, in order: the first row of a key inserts its
-    count (``+I``), every later one retracts the old count (``-U``) and adds the new one (``+U``).
+    """A5: a keyed running count, in order: every row with its key's count, itself included (``n``).
 
-    Grouped by a bucket of keys, whose counts are one map state: many rare keys are numbered in one call."""
+    Grouped by a bucket of keys: many rare keys are numbered in one call. Their counts are map state by cell
+    (column ``__cell``: a hash of the key), so the state store is asked once per cell, not per key. With ``places`` a row
+    holds several rows of its key, the order columns as lists, and ``n`` is the count before the first of a result row's."""
 
-    def __init__(self, key_names, key_ddl: str, order, whole: Sequence[str] = ()):
+    def __init__(self, key_names, key_ddl: str, order, whole: Sequence[str] = (), places: bool = False):
         super().__init__(key_names, order, order[0])
-        self.key_ddl = key_ddl
+        self.key_ddl, self.places = key_ddl, places
         self.whole = list(whole)  # integer keys, which pandas makes floats when some are NULL
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", self.key_ddl, "n long")
+        self.counts = handle.getMapState("counts", "cell int", f"{self.key_ddl}, `__n` array<bigint>")
+
+    def _count(self, pdf: pd.DataFrame, code: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The count of each key (by its code) before these rows; the state is moved on by ``size``."""
+        first = pdf.iloc[np.unique(code, return_index=True)[1]]
+        gaps = [first[k].isna().to_numpy() for k in self.key_names]
+        names = list(zip(*([None if gap else x for x, gap in zip(first[k].tolist(), gone, strict=True)]
+                           for k, gone in zip(self.key_names, gaps, strict=True)), strict=True))
+        cell = first["__cell"].to_numpy()
+        at = np.argsort(cell, kind="stable")
+        base = np.zeros(len(names), np.int64)
+        size = size.tolist()
+        for some in np.split(at, np.flatnonzero(np.diff(cell[at])) + 1):
+            key = (int(cell[some[0]]),)
+            found = self.counts.getValue(key)
+            known = dict(zip(zip(*found[:-1], strict=True), found[-1], strict=True)) if found else {}
+            for i in some.tolist():
+                before = known.get(names[i], 0)
+                known[names[i]] = before + size[i]
+                base[i] = before
+            self.counts.updateValue(key, (*map(list, zip(*known, strict=True)), list(known.values())))
+        return base
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = self._batch(rows, self.order[0])
-        m = len(pdf)
-        if not m:
-            return
+        # by position: Spark renames columns that begin with an underscore
+        pdf = pd.concat(list(rows), ignore_index=True).set_axis([*self.key_names, *self.order, "__bucket", "__cell"], axis=1)
         pdf = pdf.astype({k: "Int64" for k in self.whole})
-        groups = pdf.groupby(self.key_names, sort=False, dropna=False)
-        code, index = groups.ngroup().to_numpy(), groups.cumcount().to_numpy()
-        first = np.flatnonzero(index == 0)
-        names = [tuple(None if pd.isna(x) else getattr(x, "item", lambda x=x: x)() for x in row)
-                 for row in pdf.iloc[first][self.key_names].itertuples(index=False)]
-        found = [self.counts.getValue(n) for n in names]
-        base = np.zeros(len(names), np.int64)
-        base[code[first]] = [f[0] if f else 0 for f in found]
-        now = base[code] + index + 1
-        total = base + np.bincount(code)
-        for n, c in zip(names, code[first], strict=True):
-            self.counts.updateValue(n, (int(total[c]),))
-        at = np.repeat(np.arange(m), 2)
-        add = np.tile([False, True], m)
-        keep = (now[at] > 1) | add  # nothing to retract before the first
-        at, add = at[keep], add[keep]
-        op = np.where(add, np.where(now[at] == 1, "+I", "+U"), "-U")
-        same = {c: pdf[c].iloc[at].reset_index(drop=True) for c in (*self.key_names, *self.order)}
-        yield pd.DataFrame({**{k: same[k] for k in self.key_names}, "op": op, "count": np.where(add, now[at], now[at] - 1),
-                            **{c: same[c] for c in self.order}, "change_seq": add.astype(np.int32)})
+        code = pdf.groupby(self.key_names, sort=False, dropna=False).ngroup().to_numpy()
+        row = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf[self.order[0]]]) if self.places else np.arange(len(pdf))
+        cols = {c: np.concatenate(pdf[c].to_numpy()) if self.places else pdf[c].to_numpy() for c in self.order}
+        if all(x.dtype.kind in "iu" for x in cols.values()):
+            at = np.lexsort((*reversed(cols.values()), code[row]))
+        else:
+            at = pd.DataFrame({"__code": code[row], **cols}).sort_values(["__code", *self.order], kind="stable").index.to_numpy()
+        by = code[row][at]
+        size = np.bincount(by)
+        base, start = self._count(pdf, code, size), np.cumsum(size) - size
+        index = np.arange(len(by)) - start[by]
+        if not self.places:
+            out = pdf.iloc[at].reset_index(drop=True)
+            yield pd.DataFrame({**{k: out[k] for k in self.key_names}, "n": base[by] + index + 1, **{c: out[c] for c in self.order}})
+            return
+        cut = np.flatnonzero(index % MOST_PLACES == 0)
+        out = pdf.iloc[row[at[cut]]].reset_index(drop=True)
+        yield pd.DataFrame({**{k: out[k] for k in self.key_names}, "n": base[by[cut]] + index[cut],
+                            **{c: self._parts(v[at], cut) for c, v in cols.items()}})
+
+    @staticmethod
+    def _parts(v: np.ndarray, cut: np.ndarray) -> pd.Series:
+        ends = np.append(cut[1:], len(v)).tolist()
+        return pd.Series([v[a:b] for a, b in zip(cut.tolist(), ends, strict=True)], dtype=object)
 
 
 class _Bucketed(_Ordered):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rillet.operators.aggregates import window_summary, word_count
+from rillet.operators.aggregates import changes, each_place, window_summary, word_count
 from rillet.operators.scan import _as_list
 from rillet.schemas import EVENTS
 from rillet.session import scratch_path
@@ -32,6 +32,9 @@ GLOBAL_KEY = "__all"
 #: Buckets that the keys of a stateful stream are dealt to: one call, and one task, per bucket and micro-batch.
 BUCKETS = 64
 
+#: Cells of a bucket: the counts of a cell's keys are one entry of the state.
+CELLS = 256
+
 #: Files a micro-batch takes unless the caller says otherwise, so a backfill is many bounded batches.
 FILES_PER_TRIGGER = 64
 
@@ -134,20 +137,28 @@ def stream_signal_state(df: DataFrame, key, order: Sequence[str], flag: str, tim
     return rows.transformWithStateInPandas(BucketFlagRuns(keys, ddl, order, flag, time_col, whole, latest=True), schema, "Append", "None")
 
 
-def stream_changes(df: DataFrame, key, order: Sequence[str], buckets: int = 64) -> DataFrame:
+def stream_changes(df: DataFrame, key, order: Sequence[str], buckets: int = BUCKETS, places: bool = False) -> DataFrame:
     """A5 on a stream (append): every change of each key's running count, in ``order`` inside a micro-batch.
     Columns: key..., op, count, order..., change_seq, as :func:`rillet.operators.changelog` has them.
+    Rows without the first order column are left out.
 
-    Keys are dealt to ``buckets`` by hash; a bucket's counts are one map state, and its rows
-    of a micro-batch meet in one task."""
+    Keys are dealt to ``buckets`` by hash, and a bucket's rows of a micro-batch meet in one task, which numbers
+    them; the records are made of the numbered rows. ``places``: a row holds several rows of its key, the
+    order columns as lists without NULLs; what is numbered is then dealt to all tasks again, so that a frequent key's records are made by many."""
     keys, order = _as_list(key), list(order)
     own = T.StructType(_schema_of(df, keys))
-    schema = T.StructType([*own.fields, T.StructField("op", T.StringType()), T.StructField("count", T.LongType()),
-                           *_schema_of(df, order), T.StructField("change_seq", T.IntegerType())])
-    rows = df.select(*keys, *order, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__bucket"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+    schema = T.StructType([*own.fields, T.StructField("n", T.LongType()), *_schema_of(df, order)])
+    h = F.xxhash64(*keys)
+    rows = df.where(F.col(order[0]).isNotNull()).select(
+        *keys, *order, F.pmod(h, F.lit(buckets)).cast("int").alias("__bucket"), F.pmod(F.shiftright(h, 24), F.lit(CELLS)).cast("int").alias("__cell"))
+    ddl = ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in own)
     whole = [f.name for f in own if isinstance(f.dataType, T.IntegralType)]
-    return rows.groupBy("__bucket").transformWithStateInPandas(ChangeProcessor(keys, ddl, order, whole), schema, "Append", "None")
+    found = rows.groupBy("__bucket").transformWithStateInPandas(ChangeProcessor(keys, ddl, order, whole, places), schema, "Append", "None")
+    if not places:
+        return changes(found.withColumnRenamed("n", "__cur"), keys, order, F.col("__cur") == 1, F.col("__cur") - 1, "count")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = each_place(found.repartition(tasks), keys, F.col("n"), order, "__cur")
+    return changes(each, keys, order, F.col("__cur") == 1, F.col("__cur") - 1, "count")
 
 
 def stream_window_summary(df: DataFrame, key: str, ts: str, value: str, flag: str,

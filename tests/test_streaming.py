@@ -212,6 +212,47 @@ def test_changes_equal_batch_across_restart(spark, tmp_path):
     assert rows(spark.read.parquet(out)) == rows(want)
 
 
+def test_word_changes_in_batches(spark, tmp_path):
+    from rillet.streaming.jobs import start_word_changes
+
+    batches = [[(5, "a b a c"), (3, " a  d"), (4, None), (None, "z")], [(7, "c a"), (6, "e a a"), (6, "a b")]]
+    live, out = str(tmp_path / "live"), str(tmp_path / "out")
+    for docs in batches:
+        spark.createDataFrame(docs, "doc_id long, line string").write.mode("append").parquet(live)
+        stream = spark.readStream.schema("doc_id long, line string").parquet(live)
+        run_available(start_word_changes(stream, out, str(tmp_path / "ckpt"), {"availableNow": True}))
+    docs = spark.createDataFrame([d for b in batches for d in b if d[0] is not None], "doc_id long, line string")
+    want = J.word_count_changelog(docs)
+    rows = lambda df: sorted((tuple(r) for r in df.select(*want.columns).collect()), key=str)
+    assert rows(spark.read.parquet(out)) == rows(want)
+
+
+def test_change_state_is_asked_by_cell():
+    import numpy as np
+    import pandas as pd
+    from rillet.streaming.processors import ChangeProcessor
+
+    class State(dict):
+        asked = 0
+
+        def getValue(self, k):
+            self.asked += 1
+            return self.get(k)
+
+        updateValue = dict.__setitem__
+
+    proc = ChangeProcessor(["word"], "`word` array<string>", ["doc_id", "pos"], places=True)
+    proc.counts = State()
+    words = [f"w{i}" for i in range(1000)]
+    frame = pd.DataFrame({"word": [*words, "w0"], "doc_id": [np.array([4, 9])] * 1000 + [np.array([2])], "pos": [np.array([1, 0])] * 1000 + [np.array([7])],
+                          "__bucket": 0, "__cell": [i % 4 for i in range(1000)] + [0]})
+    for n, asked in ((0, 4), (2, 8)):
+        out = pd.concat(proc.handleInputRows((0,), iter([frame]), None)).set_index("word")
+        assert proc.counts.asked == asked
+        assert out.loc["w1", "n"] == n and out.loc["w0", "n"] == (0 if n == 0 else 3)
+        assert out.loc["w0", "doc_id"].tolist() == [2, 4, 9] and out.loc["w0", "pos"].tolist() == [7, 1, 0]
+
+
 def test_segments_arrival_order_and_start(spark, tmp_path):
     from rillet.schemas import BITS
     from rillet.sources import read_json_stream, read_segments
